@@ -165,3 +165,33 @@ def by_bucket(bucket: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]
     for b in range(count):
         if edge[b + 1] > edge[b]:
             yield b, order[edge[b] : edge[b + 1]]
+
+
+def spark_xxhash64(a: np.ndarray) -> np.ndarray:
+    """What Spark's xxhash64 gives for a column of longs, so that both sides deal rows alike."""
+    p1, p2, p3, p4, p5 = (U64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, r: (x << U64(r)) | (x >> U64(64 - r))
+    with np.errstate(over="ignore"):
+        h = np.full(len(a), 42 + 8, U64) + p5
+        h ^= turn(a.astype(np.int64).view(U64) * p2, 31) * p1
+        h = turn(h, 27) * p1 + p4
+        h ^= h >> U64(33)
+        h *= p2
+        h ^= h >> U64(29)
+        h *= p3
+        h ^= h >> U64(32)
+    return h.view(np.int64)
+
+
+def packed_rows(key: str, where: np.ndarray, count: int, arrays: list[np.ndarray], **same: int) -> Iterator[pa.RecordBatch]:
+    """One row per non-empty bucket with its members of all arrays, few rows at a time."""
+    out = [(b, pack(*(a[at] for a in arrays))) for b, at in by_bucket(where, count)]
+    for i in range(0, len(out), 32):
+        part = out[i : i + 32]
+        yield pa.record_batch({key: pa.array([b for b, _ in part], pa.int32()), **{k: pa.array([v] * len(part), pa.int32()) for k, v in same.items()}, "data": pa.array([d for _, d in part], pa.binary())})
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
+    """The packed arrays of all rows, each joined to one."""
+    held = [unpack(d) for batch in batches for d in batch.column("data").to_pylist()]
+    return [np.concatenate(x) for x in zip(*held)] if held else None
