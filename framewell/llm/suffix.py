@@ -39,6 +39,7 @@ from framewell.llm import text as T
 from framewell.llm.store import cut, partitions
 
 CORE = 32
+#: Contexts of one core above which it is refined by whole windows.
 HOT = 4096
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 12 << 20
@@ -165,7 +166,7 @@ def _spans(ids: np.ndarray, place: np.ndarray, size: np.ndarray, blocks: int) ->
     yield from T.packed_rows("_block", block_of(ids, blocks), blocks, [ids, place, size], kind=0)
 
 
-def _first_buckets(length: int, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_buckets(length: int, hot: int, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: removed runs; kind 1: contexts to refine, with whether their core is hot."""
     got = T.gathered(batches)
     if got is None:
@@ -185,7 +186,7 @@ def _first_buckets(length: int, blocks: int, batches: Iterator[pa.RecordBatch])
         count = np.diff(np.concatenate([at, [len(core)]]))
         count = np.repeat(count, count)
         many = count > 1
-        yield from T.packed_rows("_block", block_of(ids[many], blocks), blocks, [ids[many], place[many], more[many], core[many], (count[many] > HOT).astype(np.uint8)], kind=1)
+        yield from T.packed_rows("_block", block_of(ids[many], blocks), blocks, [ids[many], place[many], more[many], core[many], (count[many] > hot).astype(np.uint8)], kind=1)
 
 
 def _pick(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
@@ -324,7 +325,7 @@ def _arrow(schema: st.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True, hot: int = HOT) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes) and, if keep_text, kept_text.
 
     Without keep_text only doc_id and the digest are returned.
@@ -334,7 +335,7 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True) -> DataFra
     buckets = 2 * partitions(spark)
     key = source.select("_id", "_row", "_block", "_text")
     packed = key.select("_id", "_row", "_text").mapInArrow(partial(_anchors, length, buckets), "bucket int, data binary").repartition(buckets, "bucket")
-    first = cut(packed.mapInArrow(partial(_first_buckets, length, blocks), "_block int, kind int, data binary"))
+    first = cut(packed.mapInArrow(partial(_first_buckets, length, hot, blocks), "_block int, kind int, data binary"))
     context = key.groupBy("_block").cogroup(first.where("kind = 1").select("_block", "data").groupBy("_block")).applyInArrow(partial(_contexts, length, blocks, buckets), "bucket int, kind int, data binary")
     refined = context.repartition(buckets, "bucket").mapInArrow(partial(_refine_buckets, length, blocks), "_block int, kind int, data binary")
     spans = first.where("kind = 0").select("_block", "data").union(refined.select("_block", "data"))
