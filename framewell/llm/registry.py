@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-PLANS: tuple[str, ...] = ("q_jaccard", "q_suffix")
+PLANS: tuple[str, ...] = ("q_jaccard", "q_suffix", "q_packing")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:
