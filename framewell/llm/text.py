@@ -69,12 +69,12 @@ def lower(buf: np.ndarray) -> np.ndarray:
 class Words:
     """The words of several texts: start, end, hash and text number of each, in order."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], gaps: np.ndarray = SPACE):
         joined = b"\n".join([*texts, b""])
         self.buf = lower(np.frombuffer(joined, np.uint8))
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.offset = np.concatenate([[0], np.cumsum(sizes)])
-        word = ~SPACE[self.buf]
+        word = ~gaps[self.buf]
         edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.hash = mix(span_hash(prefix_hash(self.buf), self.start, self.end))
