@@ -194,55 +194,95 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _sets(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def wide_parity(tokens: np.ndarray) -> bytes:
+    """A parity bitmap of about one bit a token."""
+    width = max(BITS, 1 << max(len(tokens) - 1, 1).bit_length())
+    return np.packbits((np.bincount((tokens & T.U64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def _wide_filter(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+        differ = []
+        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+            s, t = (np.frombuffer(z, np.uint8) for z in sorted((x, y), key=len))
+            while len(t) > len(s):  # places modulo half the width
+                t = t[: len(t) // 2] ^ t[len(t) // 2 :]
+            differ.append(int(np.bitwise_count(s ^ t).sum(dtype=np.int64)))
+        yield batch.select(["a", "b"]).filter(pa.array(_may_link(n, m, np.array(differ, np.int64), percent), pa.bool_()))
+
+
+def _sets(k: int, whole: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.chunks(batches):
         sets = T.shingle_sets(T.texts_of(batch), k)
-        yield pa.record_batch({"doc_id": batch.column("doc_id"), "tokens": pa.array([s.tobytes() for s in sets], pa.binary())})
+        yield pa.record_batch({"doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "x": pa.array([s.tobytes() if whole else wide_parity(s) for s in sets], pa.binary())})
 
 
-def verify_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose whole sets link."""
-    pairs = cut(pairs)
+def _of_pairs(docs: DataFrame, pairs: DataFrame, k: int, whole: bool) -> DataFrame:
+    """The pairs with n, x and m, y: size and set, or wide bitmap, of both documents."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     count = ids.count()
     source = T.binary_text(docs, "doc_id")
     source = source.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    sets = cut(source.mapInArrow(partial(_sets, k), "doc_id long, tokens binary"))
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.mapInArrow(partial(_verify, percent), "a long, b long").distinct()
+    sets = cut(source.mapInArrow(partial(_sets, k, whole), "doc_id long, n long, x binary"))
+    return pairs.join(sets.toDF("a", "n", "x"), "a").join(sets.toDF("b", "m", "y"), "b")
+
+
+def verify_pairs(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose whole sets link; a wide bitmap first spares most sets the way."""
+    pairs = cut(pairs)
+    near = cut(_of_pairs(docs, pairs, k, False).mapInArrow(partial(_wide_filter, percent), "a long, b long").distinct())
+    return _of_pairs(docs, near, k, True).mapInArrow(partial(_verify, percent), "a long, b long").distinct()
+
+
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start, and the end."""
+    return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(key)]])
+
+
+def _across(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of whole blocks that lie in different components and may link. Rows are sorted by sig, i, j, part."""
+    rep, comp, n, part, i, j = (rows.column(c).to_numpy() for c in ("rep", "comp", "n", "part", "i", "j"))
+    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(rep), BITS // 64)
+    edge = _runs(np.stack([rows.column("sig").to_numpy(), i, j], 1))
+    size = np.diff(edge)
+    at, end = np.arange(len(rep)), np.repeat(edge[1:], size)
+    # Within a part every row meets the later ones; across two parts those of the first meet the second's.
+    first_of_j = np.repeat(np.add.reduceat((part == i) & (i != j), edge[:-1]) + edge[:-1], size)
+    begin = np.where(i == j, at + 1, np.where(part == i, first_of_j, end))
+    count = end - begin
+    total = np.cumsum(count)
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + 1_000_000, "right")))
+        c = count[lo:hi]
+        left = np.repeat(at[lo:hi], c)
+        right = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[lo:hi], c)
+        ok = (comp[left] != comp[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right]))
+        left, right = left[ok], right[ok]
+        ok = _may_link(n[left], n[right], np.bitwise_count(bits[left] ^ bits[right]).sum(1, dtype=np.int64), percent)
+        left, right = left[ok], right[ok]
+        if len(left):
+            pairs = np.unique(np.stack([np.minimum(rep[left], rep[right]), np.maximum(rep[left], rep[right])], 1), axis=0)
+            yield pa.record_batch({"a": pa.array(np.ascontiguousarray(pairs[:, 0])), "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
+        lo = hi
 
 
 def _open_pairs(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block of an open group that lie in different components and may link. Rows come sorted by block."""
     held: list[pa.RecordBatch] = []
-    last = None
-
-    def compare(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(rows)
-        rep, comp, n, part = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "part"))
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(rep), BITS // 64)
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        left, right = (np.flatnonzero(part == p) for p in (i, j))
-        for at in left:
-            to = right[rep[right] > rep[at]] if i == j else right
-            to = to[comp[to] != comp[at]]
-            to = to[_may_link(n[at], n[to], np.bitwise_count(bits[at] ^ bits[to]).sum(1, dtype=np.int64), percent)]
-            if len(to):
-                yield pa.record_batch({"a": pa.array(np.minimum(rep[at], rep[to])), "b": pa.array(np.maximum(rep[at], rep[to]))})
-
+    count = 0
     for batch in batches:
-        key = np.stack([batch.column(c).to_numpy() for c in ("sig", "i", "j")], 1)
-        edge = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-        for a, b in zip(edge, edge[1:]):
-            if a == b:
-                continue
-            if last is not None and tuple(key[a]) != last:
-                yield from compare(held)
-                held = []
-            last = tuple(key[a])
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield from compare(held)
+        held.append(batch)
+        count += batch.num_rows
+        if count >= 50_000:  # whole blocks of BLOCK members or two; the last, perhaps not whole, is kept
+            rows = pa.Table.from_batches(held).combine_chunks()
+            last = int(_runs(np.stack([rows.column(c).to_numpy() for c in ("sig", "i", "j")], 1))[-2])
+            if last:
+                yield from _across(rows.slice(0, last), percent)
+                rows = rows.slice(last)
+            held, count = rows.to_batches(), rows.num_rows
+    if count:
+        yield from _across(pa.Table.from_batches(held).combine_chunks(), percent)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -270,7 +310,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     inside = members.join(open_groups, "sig").join(sketch, "rep")
     inside = inside.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     inside = inside.select("sig", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "comp", "n", "bits")
-    again = inside.repartition(partitions(spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(partial(_open_pairs, percent), "a long, b long").distinct()
+    again = inside.repartition(partitions(spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "part").mapInArrow(partial(_open_pairs, percent), "a long, b long").distinct()
     more = verify_pairs(docs, again, k, percent)
     found = connected_components(links.union(more).toDF("u", "v"), cut)
 
