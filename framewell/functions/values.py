@@ -58,7 +58,7 @@ def parse_iso(x: Column | str) -> Column:
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    return (F.unix_micros(_c(later)) - F.unix_micros(_c(earlier))) / F.lit(1e6)
+    return (F.unix_micros(_c(later).cast("timestamp")) - F.unix_micros(_c(earlier).cast("timestamp"))) / F.lit(1e6)
 
 
 def age_hours(later: Column | str, earlier: Column | str, clip: bool = True) -> Column:
