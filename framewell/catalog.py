@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 #: Modules of framewell.plans that register queries.
-MODULES: tuple[str, ...] = ("profiling", "joining")
+MODULES: tuple[str, ...] = ("profiling", "joining", "ranking")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:
