@@ -131,7 +131,7 @@ def _anchors(length: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> It
         ids, row = (batch.column(c).to_numpy().astype(np.int64)[doc] for c in ("_id", "_row"))
         held.append((ids, (row << ROW) + start, more, shift, core, context))
         total += len(doc)
-        if total > 1_500_000:
+        if total > 600_000:
             yield from flush()
             total = 0
     if held:
@@ -269,19 +269,19 @@ def refine(buf: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
 
 
 def _refine_buckets(length: int, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts, windows, spans = [], [], []
+    texts: dict[int, list[list[np.ndarray]]] = {}  # a bucket's contexts are refined by themselves
+    windows, spans = [], []
     for batch in batches:
-        for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
-            (texts, windows, spans)[kind].append(T.unpack(data))
+        for bucket, kind, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "data"))):
+            (texts.setdefault(bucket, []), windows, spans)[kind].append(T.unpack(data))
     out = [tuple(x) for x in spans]
 
     def later(keys: np.ndarray, ids: np.ndarray, place: np.ndarray) -> None:
         order, first = _split_first([keys], ids, place)
         out.append((ids[order][~first], place[order][~first], np.full(int((~first).sum()), length)))
 
-    if texts:
-        ids, place, more, buf = (np.concatenate(x) for x in zip(*texts))
-        texts.clear()
+    for bucket in [b for b, x in texts.items() if x]:
+        ids, place, more, buf = (np.concatenate(x) for x in zip(*texts.pop(bucket)))
         n = more.astype(np.int64) + 1
         base = np.concatenate([[0], np.cumsum(n + length - 1)])[:-1]
         step = np.arange(n.sum()) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
@@ -336,7 +336,7 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True, hot: int =
     key = source.select("_id", "_row", "_block", "_text")
     packed = key.select("_id", "_row", "_text").mapInArrow(partial(_anchors, length, buckets), "bucket int, data binary").repartition(buckets, "bucket")
     first = cut(packed.mapInArrow(partial(_first_buckets, length, hot, blocks), "_block int, kind int, data binary"))
-    context = key.groupBy("_block").cogroup(first.where("kind = 1").select("_block", "data").groupBy("_block")).applyInArrow(partial(_contexts, length, blocks, buckets), "bucket int, kind int, data binary")
+    context = key.groupBy("_block").cogroup(first.where("kind = 1").select("_block", "data").groupBy("_block")).applyInArrow(partial(_contexts, length, blocks, 8 * buckets), "bucket int, kind int, data binary")
     refined = context.repartition(buckets, "bucket").mapInArrow(partial(_refine_buckets, length, blocks), "_block int, kind int, data binary")
     spans = first.where("kind = 0").select("_block", "data").union(refined.select("_block", "data"))
     made = st.StructType([st.StructField("n_bytes", st.LongType()), st.StructField("n_removed", st.LongType()), st.StructField("n_spans", st.LongType()), st.StructField("kept_sha256", st.StringType())])
