@@ -30,7 +30,8 @@ from framewell.llm import text as T
 BUCKETS = 1 << 16
 DIM = 16
 ORDERS = (1, 2, 3, 4)
-EPOCHS = 8
+#: Steps of training at least, and texts of one step.
+STEPS, TEXTS = 1000, 32
 #: Subwords of one training text that a step looks at, drawn anew in each epoch.
 DRAW = 400
 UNKNOWN = "und"
@@ -108,7 +109,7 @@ def train(texts: list[bytes], names: list[str], reject: float = 0.002, seed: int
     labels = sorted(set(names))
     y = np.array([labels.index(x) for x in names])
     rng = np.random.default_rng(seed)
-    parts = [subwords([t])[0] for t in texts]
+    parts = [subwords([t])[0].astype(np.uint16) for t in texts]
     keep = np.array([len(p) > 0 for p in parts], bool)
     held = keep & (np.arange(len(parts)) % 10 == 9)
     use = np.flatnonzero(keep & ~held)
@@ -117,9 +118,10 @@ def train(texts: list[bytes], names: list[str], reject: float = 0.002, seed: int
     table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out = np.zeros((DIM, len(labels)), np.float32)
     bias = np.zeros(len(labels), np.float32)
-    for epoch in range(EPOCHS):
-        rate = 2.0 * (1 - epoch / EPOCHS)
-        for batch in np.array_split(rng.permutation(use), max(1, len(use) // 32)):
+    epochs = max(8, -(-STEPS * TEXTS // max(len(use), 1)))
+    for epoch in range(epochs):
+        rate = 2.0 * (1 - epoch / epochs)
+        for batch in np.array_split(rng.permutation(use), max(1, len(use) // TEXTS)):
             if not len(batch):
                 continue
             drawn = [parts[i] if len(parts[i]) <= DRAW else parts[i][rng.integers(0, len(parts[i]), DRAW)] for i in batch]
@@ -148,15 +150,19 @@ def train(texts: list[bytes], names: list[str], reject: float = 0.002, seed: int
     return model
 
 
-def fit(docs: DataFrame, allowed: Column, sample: int = 4000, reject: float = 0.002) -> Model | None:
+def fit(docs: DataFrame, allowed: Column, sample: int = 2000, reject: float = 0.002) -> Model | None:
     """Train on at most `sample` labelled rows that `allowed` names, with the least hashes of doc_id."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("doc_id", "lang").alias("h"), "lang", F.col("text").cast("binary").alias("text"))
-    got = rows.orderBy("h", "lang", "text").limit(sample).collect()
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("doc_id", "lang"))
+    # The hashes first: only the texts that are used travel.
+    last = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return None
+    got = rows.where(F.col("h") <= last).select("h", "lang", F.col("text").cast("binary").alias("text")).orderBy("h", "lang", "text").limit(sample).collect()
     return train([bytes(r["text"]) for r in got], [r["lang"] for r in got], reject) if got else None
 
 
 def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in T.chunks(batches, "_bytes", 1 << 20):
+    for batch in T.chunks(batches, "_bytes", 1 << 18):
         names, scores, rejected = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
         letters = batch.column("_letters").to_pylist()
         at = np.array([i for i, ok in enumerate(letters) if ok], np.int64)
@@ -173,9 +179,10 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with lang_pred, lang_score (0 to 1) and lang_rejected."""
+    """Each row as struct ``doc`` with lang_pred, lang_score (0 to 1) and lang_rejected."""
     from pyspark.sql import types as st
 
-    schema = st.StructType([*docs.schema.fields, st.StructField("lang_pred", st.StringType()), st.StructField("lang_score", st.DoubleType()), st.StructField("lang_rejected", st.BooleanType())])
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"_bytes": text.cast("binary"), "_letters": text.rlike(r"\p{L}")}).mapInArrow(partial(_predict, model), schema)
+    rows = docs.select(F.struct("*").alias("doc"), text.cast("binary").alias("_bytes"), text.rlike(r"\p{L}").alias("_letters"))
+    schema = st.StructType([rows.schema["doc"], st.StructField("lang_pred", st.StringType()), st.StructField("lang_score", st.DoubleType()), st.StructField("lang_rejected", st.BooleanType())])
+    return rows.mapInArrow(partial(_predict, model), schema)

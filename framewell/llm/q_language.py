@@ -12,7 +12,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     model = fit(docs, ~held_out())
     named = identify(docs.select("doc_id", "text"), model)
-    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+    return named.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
 #: Trained embeddings have no SQL; tests measure held-out accuracy.
