@@ -18,7 +18,8 @@ earlier start) is removed; strings never cross documents and are judged on the i
 Identifiers of whole contexts and of hot windows are 64-bit polynomial hashes over at most 2 * length bytes.
 
 Null text is empty. Texts shorter than ``length`` are kept. Rows that repeat a doc_id are documents of their own, in
-the order of their texts; a null doc_id comes before all others. Other columns pass through ``dedup`` as they are.
+the order of their texts; a null doc_id comes before all others. ``dedup`` returns whole rows in a struct, so other
+columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ ROW = 40
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """docs with _id, _row, _block and _text, and the number of blocks."""
-    out = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_text": F.coalesce(F.col("text").cast("binary"), F.lit(b""))})
+    """Rows as struct doc, with _id, _row, _block and _text, and the number of blocks."""
+    out = docs.select(F.struct("*").alias("doc")).select("doc", F.coalesce(F.col("doc.doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col("doc.text").cast("binary"), F.lit(b"")).alias("_text"))
     total, rows = out.agg(F.sum(F.octet_length("_text")), F.count("*")).first()
     again = out.groupBy("_id").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
     row = F.row_number().over(Window.partitionBy("_id").orderBy("_text")) - 1 if again else F.lit(0)
@@ -131,7 +132,7 @@ def _anchors(length: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> It
         ids, row = (batch.column(c).to_numpy().astype(np.int64)[doc] for c in ("_id", "_row"))
         held.append((ids, (row << ROW) + start, more, shift, core, context))
         total += len(doc)
-        if total > 600_000:
+        if total > 300_000:
             yield from flush()
             total = 0
     if held:
@@ -326,9 +327,8 @@ def _arrow(schema: st.StructType) -> pa.Schema:
 
 
 def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True, hot: int = HOT) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes) and, if keep_text, kept_text.
-
-    Without keep_text only doc_id and the digest are returned.
+    """n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes) of each row, with the row as struct ``doc``
+    and kept_text if keep_text, else with its doc_id.
     """
     spark = docs.sparkSession
     source, blocks = keyed(docs if keep_text else docs.select("doc_id", "text"))
@@ -341,9 +341,9 @@ def dedup(docs: DataFrame, length: int = 100, keep_text: bool = True, hot: int =
     spans = first.where("kind = 0").select("_block", "data").union(refined.select("_block", "data"))
     made = st.StructType([st.StructField("n_bytes", st.LongType()), st.StructField("n_removed", st.LongType()), st.StructField("n_spans", st.LongType()), st.StructField("kept_sha256", st.StringType())])
     if keep_text:
-        out = st.StructType([*docs.schema.fields, *made.fields, st.StructField("kept_text", st.StringType())])
+        out = st.StructType([source.schema["doc"], *made.fields, st.StructField("kept_text", st.StringType())])
         left = source
     else:
         out = st.StructType([docs.schema["doc_id"], *made.fields])
-        left = source.select("doc_id", "_id", "_row", "_block", "_text")
+        left = source.select("doc.doc_id", "_id", "_row", "_block", "_text")
     return left.groupBy("_block").cogroup(spans.groupBy("_block")).applyInArrow(partial(_finish, _arrow(out)), out)
