@@ -21,7 +21,7 @@ from framewell.llm.suffix import dedup
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
     named = identify(docs, fit(docs, ~held_out()))
-    return named.where(~F.col("lang_rejected")).select(docs.columns)
+    return named.where(~F.col("lang_rejected")).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +41,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 100 bytes that occur earlier; documents of which nothing is left go."""
     out = dedup(docs, length=100)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     out = out.where((F.col("n_removed") == 0) | (F.length(F.trim("kept_text")) > 0))
-    length = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
-    out = out.withColumn("n_chars", length) if length is not None else out
-    return out.withColumn("text", text).select(docs.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    changed = lambda c: F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col(f"doc.{c}")).alias(c) if c in new else F.col(f"doc.`{c}`")
+    return out.select(*(changed(c) for c in docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
