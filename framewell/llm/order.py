@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,31 +51,43 @@ def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarra
     return out.astype(np.int64)
 
 
+def _squeeze(records: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(records.astype("<u2").tobytes())
+
+
+def _records(blob: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=1 << 31), "<u2").reshape(-1, length)
+
+
 def _sequences(length: int, paths: tuple[str, str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """This task's stream in sequences, with the documents each one holds."""
+    """This task's stream in padded sequences, some hundred a row, with the documents each one holds."""
     from pyspark import TaskContext
 
     part, number = TaskContext.get().partitionId(), 0
     bpe = byte_bpe(*paths)
     stream, spans = np.zeros(0, np.uint16), []  # what is not yet cut, and (doc_id, start, end) in it
 
-    def rows(blocks: list[np.ndarray]) -> pa.RecordBatch:
+    def row(ids: np.ndarray) -> pa.RecordBatch:
         nonlocal number
-        own, first = [], 0
-        for k, block in enumerate(blocks):
-            lo, hi = k * length, k * length + len(block)
+        count = -(-len(ids) // length)
+        records = np.full(count * length, PAD, np.uint16)
+        records[: len(ids)] = ids
+        own, sizes, first = [], [], 0
+        for lo in range(0, len(ids), length):
+            hi = min(lo + length, len(ids))
             while spans[first][2] <= lo:
                 first += 1
             last = first
             while last < len(spans) and spans[last][1] < hi:
                 last += 1
             own.append([d for d, _, _ in spans[first:last]])
-        raw = [b.astype("<u2").tobytes() for b in blocks]
-        number += len(blocks)
-        places = pa.array(range(number - len(blocks), number), pa.int64())
-        return pa.record_batch({"part": pa.array([part] * len(blocks), pa.int32()), "place": places, "doc_ids": pa.array(own, pa.list_(pa.int64())), "n_ids": pa.array(map(len, blocks), pa.int32()), "ids_crc32": pa.array(map(zlib.crc32, raw), pa.int64()), "ids": pa.array(raw, pa.binary())})
+            sizes.append(hi - lo)
+        sums = [zlib.crc32(ids[i * length : i * length + n].astype("<u2").tobytes()) for i, n in enumerate(sizes)]
+        number += count
+        columns = ([part], [number - count], [count], [sizes], [sums], [own], [_squeeze(records)])
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())), pa.binary()))], names=NAMES)
 
-    for batch in T.chunks(batches):
+    for batch in T.chunks(batches, limit=1 << 20):
         parts, end = [stream], len(stream)
         for doc, text in zip(batch.column("doc_id").to_pylist(), T.texts_of(batch)):
             ids = bpe.document(text.decode("utf-8", "replace")).astype(np.uint16)
@@ -82,28 +95,63 @@ def _sequences(length: int, paths: tuple[str, str], batches: Iterator[pa.RecordB
             spans.append((doc, end, end + len(ids)))
             end += len(ids)
         stream = np.concatenate(parts)
-        whole = len(stream) // length
-        if whole:
-            yield rows(list(stream[: whole * length].reshape(whole, length)))
-            done = whole * length
+        done = len(stream) // length * length
+        if done:
+            yield row(stream[:done])
             stream, spans = stream[done:], [(d, max(a - done, 0), b - done) for d, a, b in spans if b > done]
     if len(stream):
-        yield rows([stream])
+        yield row(stream)
+
 
+SEQUENCES = "part int, first long, count long, n_ids array<int>, ids_crc32 array<long>, doc_ids array<array<long>>, ids binary"
+NAMES = [c.split()[0] for c in SEQUENCES.split(", ")]
+#: Records that a task deals out at once.
+DEAL = 32_768
+#: Tasks whose offsets are broadcast, 12 bytes each; more are joined.
+BROADCAST_TASKS = 1_000_000
 
-SEQUENCES = "part int, place long, doc_ids array<long>, n_ids int, ids_crc32 long, ids binary"
 
+def _slots(n: int, key: int, shard_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The manifest's rows: each sequence with its slot."""
+    for batch in batches:
+        count = batch.column("count").to_numpy()
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        slot = feistel(np.repeat(batch.column("number").to_numpy(), count) + step, n, key)
+        flat = [batch.column(c).flatten() for c in ("n_ids", "ids_crc32", "doc_ids")]
+        yield pa.record_batch([pa.array(slot), *flat], names=["slot", "n_ids", "ids_crc32", "doc_ids"])
+
+
+def _deal(n: int, key: int, length: int, shard_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records by shard, compressed together."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-def _slots(n: int, key: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the slot, and pads the ids to a record where they are asked for."""
+    def flush() -> Iterator[pa.RecordBatch]:
+        slots, records = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        shard, where = np.unique(slots // shard_rows, return_inverse=True)
+        for k, at in T.by_bucket(where, len(shard)):
+            yield pa.record_batch({"shard": pa.array([shard[k]], pa.int32()), "slots": pa.array([T.pack(slots[at])], pa.binary()), "ids": pa.array([_squeeze(records[at])], pa.binary())})
+
+    have = 0
+    for batch in batches:
+        for number, blob in zip(batch.column("number").to_pylist(), batch.column("ids").to_pylist()):
+            records = _records(blob, length)
+            held.append((feistel(number + np.arange(len(records)), n, key), records))
+            have += len(records)
+            if have >= DEAL:
+                yield from flush()
+                have = 0
+    if held:
+        yield from flush()
+
+
+def _write(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Single records again, some thousand at a time."""
     for batch in batches:
-        slot = pa.array(feistel(batch.column("number").to_numpy(), n, key))
-        names = [c for c in batch.schema.names if c != "number"]
-        columns = [batch.column(c) for c in names]
-        if "ids" in names:
-            pad = np.full(length, PAD, "<u2").tobytes()
-            columns[names.index("ids")] = pa.array([x + pad[len(x) :] for x in batch.column("ids").to_pylist()], pa.binary())
-        yield pa.record_batch([*columns, slot], names=[*names, "slot"])
+        for shard, slots, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "slots", "ids"))):
+            raw, slot = _records(blob, length).tobytes(), T.unpack(slots)[0]
+            width = 2 * length
+            yield pa.record_batch({"shard": pa.array([shard] * len(slot), pa.int32()), "slot": pa.array(slot), "record": pa.array([raw[i * width : i * width + width] for i in range(len(slot))], pa.binary())})
 
 
 def materialise(docs: DataFrame, length: int = 512, shard_rows: int = 16_384, key: int = 20_240_601, paths: tuple[str, str] | None = None) -> tuple[DataFrame, str | None]:
@@ -112,19 +160,21 @@ def materialise(docs: DataFrame, length: int = 512, shard_rows: int = 16_384, ke
     paths = paths or default_paths()
     folder = scratch(spark)
     made = T.binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(partial(_sequences, length, paths), SEQUENCES)
-    made.write.option("compression", "zstd").parquet(f"{folder}/sequences")
+    # The ids are compressed already.
+    made.write.option("compression", "lz4_raw").parquet(f"{folder}/sequences")
     made = spark.read.schema(made.schema).parquet(f"{folder}/sequences")
     # A row for each task: the number of its first sequence.
-    tasks = made.groupBy("part").agg(F.count("*").alias("c"))
-    n = tasks.agg(F.sum("c")).first()[0] or 0
+    tasks = made.groupBy("part").agg(F.sum("count").alias("c"))
+    n, parts = tasks.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     base = tasks.select("part", (F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")).alias("base"))
-    numbered = made.join(base, "part").withColumn("number", F.col("base") + F.col("place"))
-    manifest = numbered.select("n_ids", "ids_crc32", "doc_ids", "number").mapInArrow(partial(_slots, n, key, length), "n_ids int, ids_crc32 long, doc_ids array<long>, slot long")
+    numbered = made.join(F.broadcast(base) if parts <= BROADCAST_TASKS else base, "part").withColumn("number", F.col("base") + F.col("first"))
+    manifest = numbered.select("count", "n_ids", "ids_crc32", "doc_ids", "number").mapInArrow(partial(_slots, n, key, shard_rows), "slot long, n_ids int, ids_crc32 long, doc_ids array<long>")
     manifest = manifest.select("slot", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows * (2 * length + 1)).alias("byte_offset"), "n_ids", "ids_crc32", "doc_ids")
     if not n:
         return manifest, None
-    shards = -(-n // shard_rows)
-    records = numbered.select("ids", "number").mapInArrow(partial(_slots, n, key, length), "ids binary, slot long").withColumn("shard", F.expr(f"slot div {shard_rows}"))
-    records = records.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
-    records.select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").text(f"{folder}/shards")
+    dealt = numbered.select("ids", "number").mapInArrow(partial(_deal, n, key, length, shard_rows), "shard int, slots binary, ids binary")
+    # Partition s is shard s: a range of slots.
+    dealt = dealt.repartitionById(-(-n // shard_rows), F.col("shard"))
+    records = dealt.mapInArrow(partial(_write, length), "shard int, slot long, record binary").sortWithinPartitions("shard", "slot")
+    records.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{folder}/shards")
     return manifest, f"{folder}/shards"

@@ -34,7 +34,7 @@ from framewell.llm import text as T
 from framewell.llm.store import cut
 from framewell.llm.tokens import byte_bpe, default_paths
 
-GROUPS = 256
+GROUPS = 1024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
