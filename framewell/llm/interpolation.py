@@ -46,7 +46,7 @@ BINS = 160
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one block and batch as one compressed row: texts travel three times, so they travel small."""
     press = zstandard.ZstdCompressor(level=3)
-    for batch in T.chunks(batches, "text", 8 << 20):
+    for batch in T.chunks(batches, "text", 4 << 20):
         block = batch.column("block").to_numpy()
         keys, data = [], []
         for b in np.unique(block):

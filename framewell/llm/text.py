@@ -19,7 +19,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of texts handled at once in numpy.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -21,10 +21,8 @@ class ByteBpe:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(model)
-        self.slow.encode_special_tokens = True
+        self.model, self.slow = model, None
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
@@ -32,6 +30,11 @@ class ByteBpe:
     def encode(self, text: str) -> np.ndarray:
         if PLAIN.fullmatch(text):
             return np.array(self.fast.encode_ordinary(text), np.uint32)
+        if self.slow is None:  # read only where it is needed
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.model)
+            self.slow.encode_special_tokens = True
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def document(self, text: str | None) -> np.ndarray:
