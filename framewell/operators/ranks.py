@@ -20,12 +20,16 @@ def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank")
     return df.join(ranks, [*keys, value])
 
 
+def correlation(x: Column | str, y: Column | str) -> Column:
+    """Aggregate: Pearson correlation, NULL without variance (the built-in one raises under ANSI rules)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def spearman(df: DataFrame, keys: list[str], x: str, y: str, least: int = 2) -> DataFrame:
     """Spearman correlation over finite pairs; NULL under ``least`` pairs or without variance."""
     rows = df.select(*keys, finite(x).alias("_x"), finite(y).alias("_y")).where("_x IS NOT NULL AND _y IS NOT NULL")
     rows = average_rank(average_rank(rows, keys, "_x", "_rx"), keys, "_y", "_ry")
-    ok = (F.count("*") >= least) & (F.stddev_pop("_rx") > 0) & (F.stddev_pop("_ry") > 0)
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.when(ok, F.corr("_rx", "_ry")).alias("spearman"))
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.when(F.count("*") >= least, correlation("_rx", "_ry")).alias("spearman"))
 
 
 def mae(y: str, p: str) -> Column:
@@ -46,15 +50,20 @@ def redundant_pairs(df: DataFrame, row: str, features: list[str], threshold: flo
     pairs = [(a, b) for i, a in enumerate(use) for b in use[i + 1 :]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, spearman double")
-    wide = ranked.agg(*(F.corr(f"r_{a}", f"r_{b}").alias(f"{i}") for i, (a, b) in enumerate(pairs)))
+    wide = ranked.agg(*(correlation(f"r_{a}", f"r_{b}").alias(f"{i}") for i, (a, b) in enumerate(pairs)))
     long = wide.select(F.explode(F.array(*(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("spearman")) for i, (a, b) in enumerate(pairs)))).alias("x")).select("x.*")
     return long.where(F.abs("spearman") >= threshold)
 
 
+def _finite_correlation(a: str, b: str) -> Column:
+    both = finite(a).isNotNull() & finite(b).isNotNull()
+    return correlation(F.when(both, finite(a)), F.when(both, finite(b)))
+
+
 def correlation_pairs(df: DataFrame, features: list[str], top: int) -> DataFrame:
     """Pearson correlations of all feature pairs in one pass, the strongest first."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
-    wide = df.agg(*(F.corr(finite(a), finite(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)))
+    wide = df.agg(*(_finite_correlation(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)))
     long = wide.select(F.explode(F.array(*(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("corr")) for i, (a, b) in enumerate(pairs)))).alias("x")).select("x.*")
     return long.orderBy(F.desc(F.abs("corr")), "feature_a", "feature_b").limit(top)
 
