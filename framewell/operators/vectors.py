@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -70,6 +75,92 @@ def top_k_cosine(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vec
     return top_k(best, ["_q"], [F.desc(F.round("score", 12)), F.col("_g")], k).select(F.col("_q").alias(qid), "rank", F.col("_g").alias(gid), "score")
 
 
+#: Vectors of a block when all rows meet all rows; two blocks meet in a task.
+BLOCK_ROWS = 8_192
+#: Scores in a worker's memory at a time.
+_SCORES = 1 << 21
+
+
+def _unit(t: pa.Table, name: str) -> np.ndarray:
+    v = t[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(t.num_rows, -1)
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
+
+def _scores(q: pa.Table, g: pa.Table, exclude_self: bool):
+    """First row and matrix of cosines rounded to 12 digits, chunk by chunk; -inf where a row meets itself."""
+    a, b = _unit(q, "_qv"), _unit(g, "_gv").T
+    own = pc.fill_null(pc.index_in(q["_q"], value_set=g["_g"].combine_chunks()), -1).to_numpy(zero_copy_only=False) if exclude_self else None
+    step = max(1, _SCORES // g.num_rows)
+    for lo in range(0, q.num_rows, step):
+        s = a[lo : lo + step] @ b
+        np.round(s, 12, out=s)
+        if exclude_self:
+            at = np.flatnonzero(own[lo : lo + step] >= 0)
+            s[at, own[lo + at]] = -np.inf
+        yield lo, s
+
+
+def _best_of_block(k: int, exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
+    g = g.sort_by("_g")
+    rows, cols, values = [np.empty(0, "int64")], [np.empty(0, "int64")], [np.empty(0)]
+    for lo, s in _scores(q, g, exclude_self) if q.num_rows and g.num_rows else ():
+        if s.shape[1] > k:
+            least = np.partition(s, s.shape[1] - k, axis=1)[:, -k, None]
+            keep = s >= least
+            tied = np.flatnonzero(keep.sum(axis=1) > k)  # the smaller ids of equal scores
+            above, equal = s[tied] > least[tied], s[tied] == least[tied]
+            keep[tied] = above | (equal & (equal.cumsum(axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        else:
+            keep = np.ones(s.shape, bool)
+        i, j = np.nonzero(keep & (s > -np.inf))
+        rows.append(i + lo), cols.append(j), values.append(s[i, j])
+    return pa.table({"_q": q["_q"].take(pa.array(np.concatenate(rows))), "_g": g["_g"].take(pa.array(np.concatenate(cols))), "score": np.concatenate(values)})
+
+
+def _best_of_groups(exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
+    g = g.sort_by("_t")
+    code = pc.rank(g["_t"], tiebreaker="dense").to_numpy() if g.num_rows else np.empty(0)
+    first = np.flatnonzero(np.diff(code, prepend=-1))
+    rows, cols, values = [np.empty(0, "int64")], [np.empty(0, "int64")], [np.empty(0)]
+    for lo, s in _scores(q, g, exclude_self) if q.num_rows and g.num_rows else ():
+        m = np.maximum.reduceat(s, first, axis=1)
+        i, j = np.nonzero(m > -np.inf)
+        rows.append(i + lo), cols.append(first[j]), values.append(m[i, j])
+    return pa.table({"_q": q["_q"].take(pa.array(np.concatenate(rows))), "_t": g["_t"].take(pa.array(np.concatenate(cols))), "score": np.concatenate(values)})
+
+
+def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column):
+    """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension."""
+    n, m = (max(1, -(-df.count() // BLOCK_ROWS)) for df in (queries, gallery))
+
+    def side(df: DataFrame, own: str, blocks: int, other: str, others: int, *columns: Column) -> DataFrame:
+        key = qid if own == "_i" else gid
+        rows = df.where(usable(vector) & (norm(vector) > 0)).select(*columns, F.size(vector).alias("_d"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(own))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    q = side(queries, "_i", n, "_j", m, F.col(qid).alias("_q"), F.col(vector).alias("_qv"))
+    g = side(gallery, "_j", m, "_i", n, F.col(gid).alias("_g"), F.col(vector).alias("_gv"), *keep)
+    return q.groupBy("_d", "_i", "_j").cogroup(g.groupBy("_d", "_i", "_j"))
+
+
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def top_k_cosine_all(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, k: int, exclude_self: bool = False) -> DataFrame:
+    """As top_k_cosine, for many queries against many vectors: blocks meet as matrices, nothing is left out."""
+    schema = f"_q {_kind(queries, qid)}, _g {_kind(gallery, gid)}, score double"
+    best = _met(queries, gallery, qid, gid, vector).applyInArrow(partial(_best_of_block, k, exclude_self), schema)
+    return top_k(best, ["_q"], [F.desc("score"), F.col("_g")], k).select(F.col("_q").alias(qid), "rank", F.col("_g").alias(gid), "score")
+
+
+def best_by_group(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, group: str, exclude_self: bool = False) -> DataFrame:
+    """The best cosine of each query in each group of the gallery, over all its vectors (A37): qid, group, score."""
+    schema = f"_q {_kind(queries, qid)}, _t {_kind(gallery, group)}, score double"
+    best = _met(queries, gallery, qid, gid, vector, F.col(group).alias("_t")).applyInArrow(partial(_best_of_groups, exclude_self), schema)
+    return best.groupBy(F.col("_q").alias(qid), F.col("_t").alias(group)).agg(F.max("score").alias("score"))
+
+
 def by_dimension(df: DataFrame, keys: list[str], vector: str, *keep: str) -> DataFrame:
     """One row for each component: keys, kept columns, d, x."""
     return df.select(*keys, *keep, F.posexplode(doubles(vector)).alias("d", "x"))

@@ -54,16 +54,20 @@ def v09_nearest_centroid(spark, sf):
     return t.groupBy("vec_id").agg(F.min_by("label", "rank").alias("cluster"), F.round(1 - F.max("score"), 5).alias("distance"), F.round(F.max("score") - F.min("score"), 5).alias("margin"))
 
 
-def v10_cluster_entropy(spark, sf):
+def _cluster_entropy(spark, sf, rows):
     from pyspark.sql.window import Window
 
     from framewell.functions.values import softmax_over
 
-    t = V.top_k_cosine(_e(spark, sf).where("vec_id % 10 = 0"), _centroids(spark, sf).withColumnRenamed("vector", "embedding"), "vec_id", "label", "embedding", 5)
+    t = V.top_k_cosine(rows, _centroids(spark, sf).withColumnRenamed("vector", "embedding"), "vec_id", "label", "embedding", 5)
     p = t.withColumn("p", softmax_over(F.col("score"), Window.partitionBy("vec_id"), 0.1))
     return V.entropy(p, ["vec_id"], "p").select("vec_id", *(F.round(c, 5).alias(c) for c in ("entropy", "normalised", "perplexity")))
 
 
+def v10_cluster_entropy(spark, sf):
+    return _cluster_entropy(spark, sf, _e(spark, sf).where("vec_id % 10 = 0"))
+
+
 def v11_threshold_after_k(spark, sf):
     return v08_topk_cosine(spark, sf).where("score >= 0.4").select("query_id", "vec_id")
 
@@ -131,6 +135,41 @@ def a38_track_topk(spark, sf):
     return top_k(t, ["track"], [F.desc(F.round("score", 9)), F.col("gid")], 3).select("track", "gid", "rank")
 
 
+def _as_query(e):
+    return e.withColumnRenamed("vec_id", "query_id")
+
+
+def v08_topk_cosine_all(spark, sf):
+    e = _e(spark, sf)
+    return V.top_k_cosine_all(_as_query(e), e, "query_id", "vec_id", "embedding", 5).select("query_id", "rank", "vec_id", F.round("score", 5).alias("score"))
+
+
+def v07_corpus_topk_all(spark, sf):
+    e = _e(spark, sf)
+    t = V.top_k_cosine_all(_as_query(e), e, "query_id", "vec_id", "embedding", 4, True)
+    return t.groupBy("query_id").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.max("rank").alias("n"))
+
+
+def v10_cluster_entropy_all(spark, sf):
+    return _cluster_entropy(spark, sf, _e(spark, sf))
+
+
+def v11_threshold_after_k_all(spark, sf):
+    return v08_topk_cosine_all(spark, sf).where("score >= 0.4").select("query_id", "vec_id")
+
+
+def v12_filtered_search_all(spark, sf):
+    e = _e(spark, sf)
+    return V.top_k_cosine_all(_as_query(e), e.where("label % 2 = 0"), "query_id", "vec_id", "embedding", 10).select("query_id", "rank", "vec_id")
+
+
+def a38_track_topk_all(spark, sf):
+    """All rows of a track against all rows but themselves; a row's best three hold all that can be among the track's."""
+    e = _e(spark, sf).withColumnRenamed("label", "track")
+    t = V.top_k_cosine_all(e, e.withColumnRenamed("vec_id", "gid"), "vec_id", "gid", "embedding", 3, True).join(e.select("vec_id", "track"), "vec_id").groupBy("track", "gid").agg(F.max("score").alias("score"))
+    return top_k(t, ["track"], [F.desc(F.round("score", 9)), F.col("gid")], 3).select("track", "gid", "rank")
+
+
 def a44_uniqueness(spark, sf):
     e = _e(spark, sf).withColumn("video", F.expr("vec_id div 25"))
     return V.uniqueness(e, ["video"], "vec_id", "embedding", 0.5).select("video", "n", *(F.round(c, 5).alias(c) for c in ("repetition_ratio", "p95_similarity", "diversity")))
@@ -172,4 +211,11 @@ QUERIES = {
     "a44_uniqueness": (a44_uniqueness, f"WITH c AS (SELECT a.vec_id//25 video, a.vec_id i, {_ab} s FROM embeddings a JOIN embeddings b ON a.vec_id//25=b.vec_id//25 AND a.vec_id<>b.vec_id), n AS (SELECT video, i, max(s) m, avg(s) a FROM c GROUP BY ALL) SELECT video, count(*) n, round(avg((m>=0.5)::INT),5) repetition_ratio, round(quantile_cont(m,0.95),5) p95_similarity, round(1-avg(a),5) diversity FROM n GROUP BY 1"),
     "w02_consecutive": (w02_consecutive, f"WITH b AS (SELECT vec_id, embedding, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) p FROM embeddings), c AS (SELECT vec_id, {_COS.format(a='embedding', b='p')} s FROM b) SELECT vec_id, round(s,5) similarity, round(1-s,5) novelty FROM c"),
     "w24_shift": (w24_shift, f"WITH {_D}, r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) i, count(*) OVER (PARTITION BY label) n FROM embeddings), k AS (SELECT *, least(3,greatest(1,n//2)) k FROM r), m AS (SELECT label, d, avg(x) FILTER (i<=k) a, avg(x) FILTER (i>n-k) b FROM d JOIN k USING (vec_id,label) GROUP BY ALL) SELECT label, round(sum(a*b)/sqrt(sum(a*a)*sum(b*b)),5) shift_cosine FROM m GROUP BY 1"),
+    # Over all rows; the SQL above is of a part of them. tests/test_whole.py holds these against numpy.
+    "v07_corpus_topk_all": (v07_corpus_topk_all, None),
+    "v08_topk_cosine_all": (v08_topk_cosine_all, None),
+    "v10_cluster_entropy_all": (v10_cluster_entropy_all, None),
+    "v11_threshold_after_k_all": (v11_threshold_after_k_all, None),
+    "v12_filtered_search_all": (v12_filtered_search_all, None),
+    "a38_track_topk_all": (a38_track_topk_all, None),
 }
