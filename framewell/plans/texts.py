@@ -60,7 +60,7 @@ def f15_lexical(spark, sf):
 
 
 def f16_hashtags(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", F.lit("#Top"), F.regexp_replace(F.substring("text", 1, 300), " ([a-z]{5,9}) ", " #$1 ")).alias("t"))
+    d = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", F.lit("#Top"), F.regexp_replace("text", " ([a-z]{5,9}) ", " #$1 ")).alias("t"))
     return d.select("doc_id", F.array_join(X.hashtags("t", 12), ",").alias("tags"), F.length(X.without_hashtags("t")).alias("rest"))
 
 
@@ -69,6 +69,11 @@ def f17_tags(spark, sf):
     return d.select("doc_id", F.array_join(X.canonical_tags("tags", 8), "|").alias("tags"))
 
 
+def f17_tags_all(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("tags"))
+    return d.select("doc_id", F.array_join(X.canonical_tags("tags", 8), "|").alias("tags"))
+
+
 def f18_questions(spark, sf):
     c = table(spark, sf, "conversations").select("conv_id", "role", "turn", F.regexp_replace("text", r"\. ", "? ").alias("text"))
     return X.questions(c, ["conv_id"], "role", "turn", "text", 3, 5)
@@ -138,6 +143,7 @@ QUERIES = {
     "f15_lexical": (f15_lexical, f"WITH t AS (SELECT doc_id, {_T} t FROM documents), w AS (SELECT doc_id, t, list_transform(regexp_extract_all(t,'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM t), n AS (SELECT *, len(w) n, nullif(length(t),0) c FROM w) SELECT doc_id, n::BIGINT n_words, len(list_distinct(w))::BIGINT n_unique, round(coalesce(len(list_distinct(w))/nullif(n,0),0),7) type_token, round(coalesce(list_sum(list_transform(w, lambda x: length(x)))/nullif(n,0),0),7) mean_word, round(coalesce({_N('[!-/:-@\\[-`{-~]')}/c,0),7) punct_ratio, round(coalesce({_N('[A-Z]')}/nullif({_N('[A-Za-z]')},0),0),7) caps_ratio, round(coalesce({_N('[0-9]')}/c,0),7) digit_ratio, {_N('\\?')}::BIGINT n_question, (coalesce(w[1] IN ({', '.join(repr(x) for x in X.QUESTION_WORDS)}),false) OR ends_with(t,'?'))::BIGINT is_question, {_N('https?://\\S+')}::BIGINT n_urls, {_N('@[A-Za-z0-9_]+')}::BIGINT n_mentions, {_N('[0-9]+')}::BIGINT n_numbers, len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in X.CLICKBAIT)})))::BIGINT n_clickbait, round(coalesce(len(list_filter(w, lambda x: length(x)>6))/nullif(n,0),0),7) long_word_ratio FROM n"),
     "f16_hashtags": (f16_hashtags, None),
     "f17_tags": (f17_tags, "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(text[1:200],' ')[1:12], lambda x: lower(trim(regexp_replace(x,'^#+','')))), lambda x: x<>'')))[1:8],'|') tags FROM documents"),
+    "f17_tags_all": (f17_tags_all, None),
     "f18_questions": (f18_questions, None),
     "f19_keyphrases": (f19_keyphrases, f"WITH w AS (SELECT item_id, list_transform(regexp_extract_all(coalesce(text,''),'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM benchmark), g AS (SELECT item_id, n, unnest(range(len(w)-n+1)) a, w FROM w, (SELECT unnest([1,2,3]) n)), p AS (SELECT item_id, n, a, w[a+1:a+n] g FROM g), k AS (SELECT item_id, n, array_to_string(g,' ') phrase, count(*) tf, min(a) f FROM p WHERE g[1] NOT IN ({', '.join(repr(x) for x in X.STOPWORDS)}) AND g[-1] NOT IN ({', '.join(repr(x) for x in X.STOPWORDS)}) AND len(list_filter(g, lambda x: length(x)<=1))=0 GROUP BY ALL), s AS (SELECT item_id, phrase, round(tf/(1.0+f)*(1+0.25*(n-1)),9)::DOUBLE score FROM k) SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, phrase)::INT \"rank\", phrase, score FROM s QUALIFY \"rank\"<=5"),
     "f20_speech": (f20_speech, f"WITH w AS (SELECT conv_id, turn, coalesce(text,'') t, list_transform(regexp_extract_all(coalesce(text,''),'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w, turn*4.0 s FROM conversations), n AS (SELECT *, len(w) n FROM w) SELECT conv_id, turn, CASE WHEN s>0 THEN round((n*60.0/s)::DOUBLE,6) END wpm, CASE WHEN s>0 THEN round((length(t)/s)::DOUBLE,6) END chars_per_second, round(coalesce(len(regexp_extract_all(t,'[,;:.!?]'))/nullif(n,0),0),6) pause_density, round(coalesce(len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in X.FILLERS)})))/nullif(n,0),0),6) filler_ratio, round(coalesce(len(list_filter(w, lambda x: length(x)>9))/nullif(n,0),0),6) rare_ratio FROM n"),

@@ -1,8 +1,10 @@
 """Queries over whole tables against numpy and plain Python."""
 
+import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,25 @@ def test_equal_vectors_rank_by_id(spark, monkeypatch):
     assert out[0] == [1, 2, 3] and out[2] == [0, 1, 3] and out[29] == [0, 1, 2] and out[30] == [0, 1, 2] and set(out) == set(range(31))
     few = vectors.top_k_cosine_all(df.where("id < 2").withColumnRenamed("id", "q"), df.where(F.col("id") == 33), "q", "id", "v", 3)
     assert few.count() == 0
+
+
+def test_long_texts(spark, tmp_path):
+    """Tags and windows far behind any prefix; a length that is missing."""
+    words = [f"{a}{b}" for a in ("alpha", "gamma", "delta", "X") for b in "abcdefghij"]
+    texts = ["", "a short one", " ".join(words) + " zebra End", "Pad " * 1500 + "quartz Late", ("Word " * 90 + "banana ") * 11]
+    t = {"doc_id": list(range(5)), "text": texts, "n_chars": [*map(len, texts[:4]), None]}
+    pq.write_table(pa.table(t, pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_chars", pa.int64())])), tmp_path / "documents.parquet")
+    q, sf = catalog.queries(), str(tmp_path)
+    tags = {x.doc_id: x.tags for x in q["f16_hashtags"](spark, sf).collect()}
+    assert tags == {i: ",".join(dict.fromkeys(w.lower() for w in re.findall(r"(?<![\w-])#([\w-]{1,12})(?![\w-])", "#Top " + re.sub(" ([a-z]{5,9}) ", r" #\1 ", x)))) for i, x in enumerate(texts)}
+    assert "quartz" in tags[3] and "banana" in tags[4] and "zebra" in tags[2]
+    canonical = {x.doc_id: x.tags for x in q["f17_tags_all"](spark, sf).collect()}
+    assert canonical == {i: "|".join(sorted({w.lower() for w in x.split(" ")} - {""})[:8]) for i, x in enumerate(texts)} and canonical[3] == "late|pad|quartz"
+    want = set()
+    for i, n in enumerate(map(len, texts)):
+        last = max(n - 32, 0)
+        s = sorted({*range(0, last + 1, 64), last})
+        for a in {s[round(j * (len(s) - 1) / 7)] for j in range(8)} if len(s) > 8 else s:
+            f = [x // 4 for x in range(a, a + 16) if x % 4 == 0 and x <= n]
+            want.add((i, f[0], f[-1], len(f)))
+    assert {tuple(x) for x in q["w18_union_windows_all"](spark, sf).collect()} == want and {x[0] for x in want} == set(range(5))
