@@ -123,12 +123,25 @@ def a36_entropy(spark, sf):
     return V.entropy(c, ["o_custkey"], "w").select("o_custkey", *(F.round(x, 6).alias(x) for x in ("entropy", "normalised", "perplexity")))
 
 
-def a37_topics(spark, sf):
-    e, c = _e(spark, sf).where("vec_id % 20 = 0"), _e(spark, sf).where("vec_id % 20 = 1").withColumnRenamed("vec_id", "prompt").withColumnRenamed("label", "topic")
-    t = V.top_k_cosine(e, c, "vec_id", "prompt", "embedding", 1000).join(c.select("prompt", "topic"), "prompt").groupBy("vec_id", "topic").agg(F.max("score").alias("score"))
+def _topics(e, prompts):
+    t = V.best_by_group(e, prompts, "vec_id", "prompt", "embedding", "topic", True)
     return top_k(t, ["vec_id"], [F.desc(F.round("score", 9)), F.col("topic")], 3).select("vec_id", "topic", "rank", F.round("score", 5).alias("score"))
 
 
+def _prompts(e):
+    return e.withColumnRenamed("vec_id", "prompt").withColumnRenamed("label", "topic")
+
+
+def a37_topics(spark, sf):
+    e = _e(spark, sf)
+    return _topics(e.where("vec_id % 20 = 0"), _prompts(e.where("vec_id % 20 = 1")))
+
+
+def a37_topics_all(spark, sf):
+    """All rows against all rows but themselves as prompts."""
+    return _topics(_e(spark, sf), _prompts(_e(spark, sf)))
+
+
 def a38_track_topk(spark, sf):
     e, g = _e(spark, sf).where("vec_id % 5 = 0").withColumnRenamed("label", "track"), _e(spark, sf).where("vec_id % 50 = 1").select(F.col("vec_id").alias("gid"), "embedding")
     t = V.top_k_cosine(e, g, "vec_id", "gid", "embedding", 3).join(e.select("vec_id", "track"), "vec_id").groupBy("track", "gid").agg(F.max("score").alias("score"))
@@ -217,5 +230,6 @@ QUERIES = {
     "v10_cluster_entropy_all": (v10_cluster_entropy_all, None),
     "v11_threshold_after_k_all": (v11_threshold_after_k_all, None),
     "v12_filtered_search_all": (v12_filtered_search_all, None),
+    "a37_topics_all": (a37_topics_all, None),
     "a38_track_topk_all": (a38_track_topk_all, None),
 }

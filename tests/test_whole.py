@@ -58,6 +58,23 @@ def test_tracks_meet_all_rows(spark, blocks, embedded):
     assert {tuple(x) for x in run(spark, "a38_track_topk_all")} == want
 
 
+def test_topics_of_all_rows(spark, blocks, embedded):
+    ids, label, s, _ = embedded
+    t = s.copy()
+    np.fill_diagonal(t, -1)
+    per = np.stack([t[:, label == k].max(axis=1) for k in range(10)], axis=1)
+    want = {(i, k, r): per[i, k] for i in ids for r, k in enumerate(best(np.round(per[i], 9), 3), 1)}
+    assert {(x.vec_id, x.topic, x["rank"]): x.score for x in run(spark, "a37_topics_all")} == pytest.approx(want, abs=1e-5)
+
+
+def test_topics_behind_many_prompts(spark, tmp_path):
+    """Over 1,000 prompts of one topic are nearer than the first of the others."""
+    rows = [(0, [1.0, 0.0], 9)] + [(20 * i + 1, [1.0, i / 1e4], 1) for i in range(1100)] + [(20 * i + 1, [1.0, 2.0 * i - 2000], i % 2 + 2) for i in range(1100, 1104)]
+    pq.write_table(pa.table({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows], "label": [r[2] for r in rows]}), tmp_path / "embeddings.parquet")
+    out = catalog.queries()["a37_topics"](spark, str(tmp_path)).orderBy("rank").collect()
+    assert [(x.vec_id, x.topic) for x in out] == [(0, 1), (0, 2), (0, 3)]
+
+
 def test_entropy_of_all_rows(spark, embedded):
     ids, label, _, v = embedded
     raw = np.array(pq.read_table(f"{SF}/embeddings.parquet").sort_by("vec_id")["embedding"].to_pylist(), "float64")
