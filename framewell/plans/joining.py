@@ -122,10 +122,18 @@ def j19_known_keys(spark, sf):
     return _t(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment").join(seen, "k", "left_semi").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
-def j20_nearest(spark, sf):
+def _nearest(spark, sf, only="true"):
     p = _t(spark, sf, "part").select(F.lit(1).alias("g"), (F.col("p_partkey") * 7 % 1009).cast("double").alias("x"), F.col("p_partkey").alias("pos"))
     probes = _t(spark, sf, "supplier").select(F.lit(1).alias("g"), (F.col("s_suppkey") * 10.3).alias("x"))
-    return J.nearest_match(probes, p.where("pos % 9 = 0"), ["g"], "x", "pos").select(F.round("x", 6).alias("x"), "pos")
+    return J.nearest_match(probes, p.where(only), ["g"], "x", "pos").select(F.round("x", 6).alias("x"), "pos")
+
+
+def j20_nearest(spark, sf):
+    return _nearest(spark, sf, "pos % 9 = 0")
+
+
+def j20_nearest_all(spark, sf):
+    return _nearest(spark, sf)
 
 
 def u01_union_by_key(spark, sf):
@@ -198,6 +206,7 @@ QUERIES = {
     "j17_overlay": (j17_overlay, "WITH b AS (SELECT l_orderkey k, l_linenumber i, max(l_quantity) d FROM lineitem WHERE l_linenumber<=2 GROUP BY ALL), o AS (SELECT l_orderkey k, l_linenumber i, -min(l_quantity) d FROM lineitem WHERE l_linenumber BETWEEN 2 AND 3 AND l_orderkey IN (SELECT k FROM b) GROUP BY ALL) SELECT i l_linenumber, count(*) n, sum(coalesce(o.d,b.d)) total FROM b FULL JOIN o USING (k,i) GROUP BY 1"),
     "j19_known_keys": (j19_known_keys, "SELECT c_mktsegment, count(*) n FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1"),
     "j20_nearest": (j20_nearest, "WITH p AS (SELECT (p_partkey*7%1009)::DOUBLE x, p_partkey pos FROM part WHERE p_partkey%9=0), q AS (SELECT s_suppkey*10.3::DOUBLE x FROM supplier) SELECT round(q.x,6) x, arg_min(pos, (abs(p.x-q.x), pos)) pos FROM q, p GROUP BY q.x"),
+    "j20_nearest_all": (j20_nearest_all, "WITH p AS (SELECT (p_partkey*7%1009)::DOUBLE x, p_partkey pos FROM part), q AS (SELECT s_suppkey*10.3::DOUBLE x FROM supplier) SELECT round(q.x,6) x, arg_min(pos, (abs(p.x-q.x), pos)) pos FROM q, p GROUP BY q.x"),
     "u01_union_by_key": (u01_union_by_key, "WITH r AS (SELECT o_custkey k, o_orderkey AS row, CASE WHEN o_orderkey%3=0 THEN 0 ELSE 1 END p FROM orders) SELECT k, row FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY p, row DESC)=1"),
     "u02_distinct_rows": (u02_distinct_rows, "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%2=0 UNION SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%3=0"),
     "u03_max_merge": (u03_max_merge, "SELECT l_suppkey, greatest(count(*) FILTER (l_linestatus='O'), count(*) FILTER (l_linestatus='F')) n, array_to_string(list_sort(list(DISTINCT l_returnflag)),',') flags FROM lineitem GROUP BY 1"),

@@ -110,12 +110,20 @@ def o07_extremes(spark, sf):
     return top.unionByName(low).select("o_custkey", "o_orderkey", "rank", "side")
 
 
-def o08_slots(spark, sf):
-    top = R.top_k(_items(spark, sf).where("l_orderkey % 3 = 0").select("l_orderkey", "l_linenumber", "l_extendedprice"), ["l_orderkey"], [F.desc("l_extendedprice"), F.asc("l_linenumber")], 4)
+def _slots(items):
+    top = R.top_k(items.select("l_orderkey", "l_linenumber", "l_extendedprice"), ["l_orderkey"], [F.desc("l_extendedprice"), F.asc("l_linenumber")], 4)
     slots = top.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("rank", "l_extendedprice"))).alias("m"))
     return slots.select("l_orderkey", *(F.try_element_at("m", F.lit(i)).alias(f"top{i}") for i in range(1, 5)))
 
 
+def o08_slots(spark, sf):
+    return _slots(_items(spark, sf).where("l_orderkey % 3 = 0"))
+
+
+def o08_slots_all(spark, sf):
+    return _slots(_items(spark, sf))
+
+
 def o09_limit(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
 
@@ -178,6 +186,7 @@ QUERIES = {
     "o06_hash_sample": (o06_hash_sample, "SELECT c_custkey FROM customer ORDER BY sha256('7::'||c_custkey) LIMIT 40"),
     "o07_extremes": (o07_extremes, "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INT \"rank\", 'most' side FROM orders QUALIFY \"rank\"<=2 UNION ALL SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey)::INT \"rank\", 'least' FROM orders QUALIFY \"rank\"<=2"),
     "o08_slots": (o08_slots, "WITH r AS (SELECT l_orderkey, l_extendedprice v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) i FROM lineitem WHERE l_orderkey%3=0) SELECT l_orderkey, max(v) FILTER (i=1) top1, max(v) FILTER (i=2) top2, max(v) FILTER (i=3) top3, max(v) FILTER (i=4) top4 FROM r GROUP BY 1"),
+    "o08_slots_all": (o08_slots_all, "WITH r AS (SELECT l_orderkey, l_extendedprice v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) i FROM lineitem) SELECT l_orderkey, max(v) FILTER (i=1) top1, max(v) FILTER (i=2) top2, max(v) FILTER (i=3) top3, max(v) FILTER (i=4) top4 FROM r GROUP BY 1"),
     "o09_limit": (o09_limit, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25"),
     "o10_time_split": (o10_time_split, "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) i, count(*) OVER () n FROM orders WHERE o_orderdate IS NOT NULL) SELECT o_orderkey, CASE WHEN i<=round_even(n*0.7,0) THEN 'train' WHEN i<=round_even(n*0.7,0)+round_even(n*0.15,0) THEN 'valid' ELSE 'test' END split FROM r"),
     "o11_group_time_split": (o11_group_time_split, "WITH g AS (SELECT o_custkey, min(coalesce(o_orderdate, TIMESTAMP '1970-01-01')) t FROM orders GROUP BY 1), r AS (SELECT o_custkey, row_number() OVER (ORDER BY t, o_custkey) i, count(*) OVER () n FROM g) SELECT o_orderkey, CASE WHEN i<=floor(n*0.7) THEN 'train' WHEN i<=floor(n*(0.7+0.15)) THEN 'valid' ELSE 'test' END split FROM orders JOIN r USING (o_custkey)"),

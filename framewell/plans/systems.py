@@ -27,6 +27,14 @@ def s06_keyed_records(spark, sf):
     return S.snapshots(rows, "video_id", [0, 1]).select("video_id", "snapshot_index", "views", "likes")
 
 
+def s06_keyed_records_all(spark, sf):
+    """All orders, in shards of up to 10,000."""
+    path = S.scratch(spark)
+    o = table(spark, sf, "orders").select(F.expr("o_orderkey div 10000").alias("shard"), F.format_string('"%d":{"snapshot_0":{"viewCount":"%d"},"snapshot_1":{"viewCount":"%d","likeCount":"x"}}', "o_orderkey", F.floor("o_totalprice").cast("bigint"), F.floor(F.col("o_totalprice") * 2).cast("bigint")).alias("record"))
+    o.groupBy("shard").agg(F.concat(F.lit("{"), F.concat_ws(",", F.collect_list("record")), F.lit("}")).alias("value")).write.partitionBy("shard").text(path)
+    return S.snapshots(S.keyed_records(spark, path, "video_id"), "video_id", [0, 1]).select("video_id", "snapshot_index", "views", "likes")
+
+
 def s12_partition_value(spark, sf):
     path = S.scratch(spark)
     table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("category")).write.partitionBy("category").json(path)
@@ -85,13 +93,13 @@ def _train(spark, sf):
 
 
 def l01_fit_predict(spark, sf):
-    t = _train(spark, sf).where("o_orderkey % 5 = 0")
+    t = _train(spark, sf)
     out = L.predict(t, L.fit_heads(t, ["o_totalprice", "day", "cust"], {"target_7d": "mask_7d"}, rounds=2, depth=2))
     return out.select("o_orderkey", F.round("pred_target_7d", 6).alias("prediction"))
 
 
 def l03_out_of_fold(spark, sf):
-    t = R.grouped_folds(_train(spark, sf).where("o_orderkey % 5 = 0"), "o_custkey", 2)
+    t = R.grouped_folds(_train(spark, sf), "o_custkey", 2)
     return L.out_of_fold(t, ["o_totalprice", "day"], "target_7d", "fold", 2, rounds=2, depth=2).groupBy("fold").agg(F.count("*").alias("n"), F.count("pred_target_7d").alias("predicted"))
 
 
@@ -110,6 +118,12 @@ def l08_segments(spark, sf):
     return out.groupBy("segment").agg(F.count("*").alias("n"))
 
 
+def l08_segments_all(spark, sf):
+    """All values: more than k are distinct, so that k-means runs."""
+    out = L.segment_1d(table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("double").alias("v")), "v", 3)
+    return out.groupBy("v", "segment").agg(F.count("*").alias("n"))
+
+
 def l11_topo(spark, sf):
     graph = {"segmenter": [], "clip": ["segmenter"], "flow": ["segmenter"], "scene": ["clip"], "story": ["scene", "flow"], "text": []}
     return spark.createDataFrame(list(enumerate(L.topo_order(graph, ["story"]))), "place long, name string")
@@ -139,6 +153,7 @@ _E = "events WHERE ts IS NOT NULL AND user_id IS NOT NULL"
 QUERIES = {
     "s01_csv_round_trip": (s01_csv_round_trip, "SELECT n_nationkey, n_name FROM nation"),
     "s06_keyed_records": (s06_keyed_records, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders WHERE o_orderkey%80=0"),
+    "s06_keyed_records_all": (s06_keyed_records_all, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
     "s12_partition_value": (s12_partition_value, "SELECT c_mktsegment category, count(*) n FROM customer GROUP BY 1"),
     "s18_sidecar": (s18_sidecar, "SELECT count(*) n_rows, (SELECT count(*) FROM information_schema.columns WHERE table_name='supplier') n_columns, sha256((SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns WHERE table_name='supplier')) column_hash FROM supplier"),
     "s19_split_export": (s19_split_export, "WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey)-1 i, ceil(count(*) OVER ()/7.0) e FROM customer) SELECT floor(i/e)::INT file, count(*) n, min(c_custkey) AS first FROM r GROUP BY 1"),
@@ -154,6 +169,7 @@ QUERIES = {
     "l05_select_by_fold": (l05_select_by_fold, None),
     "l07_synthetic": (l07_synthetic, "SELECT count(*) n, count(*) over_five FROM orders"),
     "l08_segments": (l08_segments, "SELECT CASE l_linenumber WHEN 1 THEN 0 ELSE 2 END segment, count(*) n FROM lineitem WHERE l_linenumber<=2 GROUP BY 1"),
+    "l08_segments_all": (l08_segments_all, None),
     "l11_topo": (l11_topo, "SELECT unnest([0,1,2,3,4])::BIGINT place, unnest(['segmenter','clip','flow','scene','story']) AS name"),
     "l12_similarity": (l12_similarity, "SELECT p_partkey, round(CASE WHEN p_partkey%2=0 THEN 0.6*(p_partkey%10/10.0)+0.4*(p_partkey%7/7.0) ELSE p_partkey%7/7.0 END::DOUBLE,7) score FROM part"),
     "l15_melt": (l15_melt, "SELECT c_custkey, 'clip' component, c_name path FROM customer WHERE c_custkey%2=0 UNION ALL SELECT c_custkey, 'flow', c_mktsegment FROM customer WHERE c_custkey%3<>0"),

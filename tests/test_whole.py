@@ -119,3 +119,21 @@ def test_long_texts(spark, tmp_path):
             f = [x // 4 for x in range(a, a + 16) if x % 4 == 0 and x <= n]
             want.add((i, f[0], f[-1], len(f)))
     assert {tuple(x) for x in q["w18_union_windows_all"](spark, sf).collect()} == want and {x[0] for x in want} == set(range(5))
+
+
+def test_every_order_is_predicted(spark):
+    orders = pq.read_table(f"{SF}/orders.parquet")["o_orderkey"].to_pylist()
+    out = run(spark, "l01_fit_predict")
+    assert sorted(x.o_orderkey for x in out) == sorted(orders) and all(x.prediction is not None for x in out)
+    out = run(spark, "l03_out_of_fold")
+    assert sum(x.n for x in out) == sum(x.predicted for x in out) == len(orders)
+
+
+def test_k_means_of_all_values(spark):
+    """A segment for every row, numbered by its mean, and each value nearest to the mean of its own segment."""
+    v = pq.read_table(f"{SF}/lineitem.parquet")["l_linenumber"].to_numpy()
+    out = {x.v: (x.segment, x.n) for x in run(spark, "l08_segments_all")}
+    assert {k: n for k, (_, n) in out.items()} == dict(zip(*np.unique(v.astype(float), return_counts=True)))
+    own = np.array([out[x][0] for x in v])
+    means = np.array([v[own == k].mean() for k in range(3)])
+    assert (np.diff(means) > 0).all() and (np.abs(v[:, None] - means).argmin(axis=1) == own).all()
