@@ -1,4 +1,4 @@
-"""Join idioms (J01-J20 of the survey). Equi joins are left to Catalyst; these are the ones it lacks."""
+"""Join idioms (J01-J20 of the survey; J18 is missing). Equi joins are left to Catalyst; these are the ones it lacks."""
 
 from __future__ import annotations
 

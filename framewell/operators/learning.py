@@ -1,4 +1,4 @@
-"""Model fitting, folds and graph planning (L01-L15 of the survey)."""
+"""Model fitting, folds and graph planning (L01-L12 and L15 of the survey; L13 and L14 are missing)."""
 
 from __future__ import annotations
 

@@ -1,14 +1,17 @@
-"""Vector operators (V01-V14, W02, W24, A29-A38, A44, J15-J16 of the survey) over ARRAY<FLOAT or DOUBLE> columns."""
+"""Vector operators (V01-V14, F27, W02, W24, A29-A38, A44, J15-J16 of the survey) over ARRAY<FLOAT or DOUBLE> columns."""
 
 from __future__ import annotations
 
+import hashlib
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from framewell.operators.ranks import top_k
@@ -249,6 +252,15 @@ def uniqueness(df: DataFrame, keys: list[str], item: str, vector: str, repeat: f
     return near.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col("_m") >= repeat).cast("int")).alias("repetition_ratio"), F.percentile("_m", F.lit(0.95)).alias("p95_similarity"), (1 - F.avg("_a")).alias("diversity"))
 
 
+def _vector_ids(vectors: pd.Series) -> pd.Series:
+    return vectors.map(lambda v: None if v is None else hashlib.sha256(np.asarray(v, dtype="<f4").tobytes()).hexdigest()[:24])
+
+
+def vector_id(v: Column | str) -> Column:
+    """First 24 hex digits of the SHA-256 of a vector's little-endian float32 bytes; NULL without a vector."""
+    return F.pandas_udf(_vector_ids, StringType())(_c(v))
+
+
 def first_vector(*columns: str) -> Column:
     """The first usable vector in configured order."""
     return F.coalesce(*(F.when(usable(c) & (norm(c) > 0), F.col(c)) for c in columns))

@@ -89,6 +89,10 @@ def v14_upsert(spark, sf):
     return V.upsert(e, changed, e.where("vec_id % 14 = 0").select("vec_id"), "vec_id")
 
 
+def f27_vector_id(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", V.vector_id("embedding").alias("source_id"))
+
+
 def a29_mean_vector(spark, sf):
     m = V.mean_vector(_e(spark, sf), ["label"], "embedding", F.col("vec_id") % 5 + 1.0)
     return m.join(V.spread(_e(spark, sf), ["label"], "embedding"), "label").select("label", *_at("vector", 0, 3, 7), F.round("mean_std", 6).alias("mean_std"), F.round("element_std", 6).alias("element_std"))
@@ -224,6 +228,7 @@ QUERIES = {
     "a44_uniqueness": (a44_uniqueness, f"WITH c AS (SELECT a.vec_id//25 video, a.vec_id i, {_ab} s FROM embeddings a JOIN embeddings b ON a.vec_id//25=b.vec_id//25 AND a.vec_id<>b.vec_id), n AS (SELECT video, i, max(s) m, avg(s) a FROM c GROUP BY ALL) SELECT video, count(*) n, round(avg((m>=0.5)::INT),5) repetition_ratio, round(quantile_cont(m,0.95),5) p95_similarity, round(1-avg(a),5) diversity FROM n GROUP BY 1"),
     "w02_consecutive": (w02_consecutive, f"WITH b AS (SELECT vec_id, embedding, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) p FROM embeddings), c AS (SELECT vec_id, {_COS.format(a='embedding', b='p')} s FROM b) SELECT vec_id, round(s,5) similarity, round(1-s,5) novelty FROM c"),
     "w24_shift": (w24_shift, f"WITH {_D}, r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) i, count(*) OVER (PARTITION BY label) n FROM embeddings), k AS (SELECT *, least(3,greatest(1,n//2)) k FROM r), m AS (SELECT label, d, avg(x) FILTER (i<=k) a, avg(x) FILTER (i>n-k) b FROM d JOIN k USING (vec_id,label) GROUP BY ALL) SELECT label, round(sum(a*b)/sqrt(sum(a*a)*sum(b*b)),5) shift_cosine FROM m GROUP BY 1"),
+    "f27_vector_id": (f27_vector_id, None),
     # Over all rows; the SQL above is of a part of them. tests/test_whole.py holds these against numpy.
     "v07_corpus_topk_all": (v07_corpus_topk_all, None),
     "v08_topk_cosine_all": (v08_topk_cosine_all, None),

@@ -1,6 +1,8 @@
 """Queries over whole tables against numpy and plain Python."""
 
+import hashlib
 import re
+import struct
 from collections import defaultdict
 
 import numpy as np
@@ -137,3 +139,11 @@ def test_k_means_of_all_values(spark):
     own = np.array([out[x][0] for x in v])
     means = np.array([v[own == k].mean() for k in range(3)])
     assert (np.diff(means) > 0).all() and (np.abs(v[:, None] - means).argmin(axis=1) == own).all()
+
+
+def test_vector_ids(spark):
+    t = pq.read_table(f"{SF}/embeddings.parquet")
+    want = {i: hashlib.sha256(struct.pack(f"<{len(v)}f", *v)).hexdigest()[:24] for i, v in zip(t["vec_id"].to_pylist(), t["embedding"].to_pylist())}
+    assert {x.vec_id: x.source_id for x in run(spark, "f27_vector_id")} == want
+    odd = spark.createDataFrame([(0, [1.0, 0.1]), (1, None), (2, [])], "i long, v array<double>").select("i", vectors.vector_id("v").alias("h")).collect()
+    assert {x.i: x.h for x in odd} == {0: hashlib.sha256(struct.pack("<2f", 1.0, 0.1)).hexdigest()[:24], 1: None, 2: hashlib.sha256(b"").hexdigest()[:24]}
