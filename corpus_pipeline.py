@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framewell.llm.decontam import contaminated
-from framewell.llm.jaccard import jaccard_components
+from framewell.llm.jaccard import one_of_each
 from framewell.llm.language import fit, held_out, identify
 from framewell.llm.packing import pack_documents
 from framewell.llm.store import cut
@@ -25,17 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
-
-    Of rows that repeat a kept doc_id the first text stays; rows without doc_id go.
-    """
-    groups = cut(jaccard_components(docs, k=5, percent=80).select("doc_id", "component_id"))
-    kept = groups.where("doc_id = component_id").select("doc_id")
-    out = docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
-    if not kept.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").limit(1).count():
-        return out
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return out.withColumn("_r", F.row_number().over(first)).where("_r = 1").select(docs.columns)
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id, null last."""
+    return one_of_each(docs, k=5, percent=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder name under spark.checkpoint.dir; a local folder of our own only where that is unset."""
+    """A fresh folder name under spark.checkpoint.dir. Only a local session may do without that setting, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="framewell-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/framewell-{uuid.uuid4().hex}"

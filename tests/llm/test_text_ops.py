@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ import pytest
 
 from framewell.llm import decontam, interpolation, jaccard, language, licenses, order, packing, suffix, wordpiece
 from framewell.llm import text as T
-from tests.llm.odd import empty, odd_docs, repeated
+from tests.llm.odd import empty, odd_docs, prose, repeated
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -46,29 +47,82 @@ def components(rows, k, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("block", [2048, 3])
-def test_jaccard_matches_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "classes"), [(2048, (6, 12)), (3, (1, 2)), (5, (2, 3)), (2048, (1, 4))])
+def test_jaccard_matches_all_pairs(spark, monkeypatch, block, classes):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = odd_docs(spark)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 4, 85).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 4, 85, classes).collect()}
     assert got == components([(r.doc_id, r.text) for r in docs.collect()], 4, 85)
 
 
-def test_jaccard_bears_repeated_and_no_rows(spark):
+def near_copies(count, length, seed):
+    """Copies of one text with more or fewer words changed: some link to the first, some only to others, some to none."""
+    rng = random.Random(seed)
+    base = prose(rng, length).split(" ")
+    out = []
+    for i in range(count):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6]) * length // 100):
+            own[rng.randrange(length)] = f"x{rng.randrange(10**9)}"
+        out.append((i, " ".join(own)))
+    return out
+
+
+@pytest.mark.parametrize(("block", "classes"), [(2048, (6, 12)), (16, (2, 5)), (16, (3, 6))])
+def test_jaccard_of_a_large_cluster_and_a_common_line(spark, monkeypatch, block, classes):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(8)
+    line = prose(rng, 12)
+    rows = near_copies(90, 150, 3) + [(200 + i, f"{line} {prose(rng, rng.randrange(0, 6))}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 85):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 4, percent, classes).collect()}
+        want = components(rows, 4, percent)
+        assert got == want and len({c for _, c in want.values()}) > 5
+
+
+def test_jaccard_of_very_long_texts(spark):
+    rows = near_copies(70, 20_000, 5)[:100]
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").repartition(8)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 5, 80).collect()}
+    assert got == components(rows, 5, 80)
+
+
+def test_jaccard_bears_null_repeated_and_no_rows(spark):
     assert jaccard.jaccard_components(repeated(spark)).count() == repeated(spark).count()
     assert jaccard.jaccard_components(empty(spark)).collect() == []
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "red blue green white black grey"
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (None, c), (None, b), (5, c + " x"), (None, "a lonely text of six words"), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, 5, 60).collect()), key=str)
+    assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (0, 2, 5), (0, 2, 1), (5, 3, 5), (0, 2, None), (0, 0, None)], key=str)
+    kept = jaccard.one_of_each(docs, 5, 60).collect()
+    assert sorted(r.text or "" for r in kept) == sorted([a, b, c + " x", "a lonely text of six words", ""])
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "keep", 1), (1, "a b c d e f", "other", 2), (2, "a b c d e f", "third", 3)], "doc_id long, text string, _r string, t int")
+    out = jaccard.one_of_each(docs).collect()
+    assert len(out) == 1 and out[0]._r in ("keep", "other") and jaccard.one_of_each(docs).columns == docs.columns
 
 
-def test_signatures_lose_no_pair():
+@pytest.mark.parametrize("percent", [60, 80, 85, 95])
+def test_signatures_lose_no_pair(percent):
     rng = np.random.default_rng(3)
-    for _ in range(200):
-        n = int(rng.integers(1, 60))
+    tried = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 80))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, 2**63, int(rng.integers(0, 4))).astype(np.uint64)]))
-        frequent = rng.random(jaccard.CELLS) < rng.choice([0, 0.5, 1])
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 1 - rng.random() * 0.2], rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 6))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
-        if len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
-            assert set(jaccard.signatures(a, frequent, 85).tolist()) & set(jaccard.signatures(b, frequent, 85).tolist())
+        if not both or 100 * both < percent * (len(a) + len(b) - both) or both == len(a) == len(b):
+            continue
+        # Any level of two or more that both sides see alike, as counts over all sets give.
+        shared, low = rng.integers(2, 6), rng.integers(0, 1 << 30)
+        level = lambda s: np.where(np.isin(s, a) & np.isin(s, b), shared + (T.mix(s + np.uint64(low)) % np.uint64(12)).astype(np.int64) * (low % 3), rng.integers(1, 16, len(s)))
+        assert set(jaccard.signatures(a, level(a), percent).tolist()) & set(jaccard.signatures(b, level(b), percent).tolist())
+        assert len(jaccard.signatures(a, level(a), percent)) <= 4 * len(a)
+        tried += 1
+    assert tried > 100
 
 
 def removed(rows, length):
