@@ -10,8 +10,9 @@ their multiplicities, of at least ``similarity``. An item with fewer than five w
 
 The items are taken in blocks of bounded number and bytes, so what a worker holds does not grow with the benchmark.
 
-Null and empty texts, and items without words, match nothing. Repeated rows are matched each; equal rows in the
-result are not merged. Other columns are ignored.
+Null and empty texts, and items without words, match nothing. A null doc_id or item_id stays null in the result.
+Repeated rows are matched each; equal rows in the result are not merged. Very long texts are taken in slices of
+windows. Other columns, whatever their names, are ignored. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from framewell.llm import text as T
 
 SHINGLE = 5
-RADIUS = 10
+RADIUS = 14
 BLOCKS = 5
+#: Windows of a document whose fingerprints are held at once.
+SLICE = 1 << 16
 #: Items, and bytes of their texts, that one pass holds.
 PASS_ITEMS = 20_000
 PASS_BYTES = 16 << 20
@@ -66,7 +69,7 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
 class Index:
     """The items of one pass: their shingles, and multi-index Hamming blocks for each size."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int | None, bytes]]):
         self.ids, self.counts, prints, sizes, grams = [], [], [], [], []
         for item, text in items:
             words = T.Words([text], GAPS)
@@ -108,30 +111,33 @@ class Index:
         ok = apart <= RADIUS
         return pairs[ok, 0], pairs[ok, 1], apart[ok]
 
-    def matches(self, hashes: np.ndarray, hit: np.ndarray, similarity: float) -> list[tuple[int, int, int, float, int]]:
+    def matches(self, hashes: np.ndarray, hit: np.ndarray, similarity: float) -> list[tuple[int | None, int, int, float, int]]:
         """Of one document's words, with the shingles that items hold marked: (item, start, words, similarity, bits) of each item's best window."""
-        sums = np.zeros((len(hashes) + 1, 64), np.int32)
-        np.cumsum(word_bits(hashes), axis=0, out=sums[1:])
         own = shingles(hashes)
         seen = np.concatenate([[0], np.cumsum(hit)])
         best: dict[int, tuple[float, int, int, int]] = {}
-        for size in self.by_size:
-            if size <= len(hashes):
-                at = np.arange(len(hashes) - size + 1)
-                per = max(size - SHINGLE + 1, 1)
-                at = at[seen[np.minimum(at + per, len(hit))] > seen[np.minimum(at, len(hit))]] if size >= SHINGLE else at
-                width = size
-            else:
-                at, width = np.zeros(1, np.int64), len(hashes)
-            if not len(at):
-                continue
-            window, item, apart = self.near(size, fingerprints(sums[at + width] - sums[at]))
-            for w, i, d in zip(window.tolist(), item.tolist(), apart.tolist()):
-                start = int(at[w])
-                mine = own[start : start + width - SHINGLE + 1] if width >= SHINGLE and len(hashes) >= SHINGLE else shingles(hashes[start : start + width])
-                s = weighted_similarity(Counter(mine.tolist()), self.counts[i])
-                if s >= similarity and (i not in best or (s, -start) > (best[i][0], -best[i][1])):
-                    best[i] = (s, start, width, d)
+        longest = max(self.by_size, default=0)
+        for lo in range(0, max(len(hashes), 1), SLICE):
+            part = hashes[lo : lo + SLICE + longest]
+            sums = np.zeros((len(part) + 1, 64), np.int32)
+            np.cumsum(word_bits(part), axis=0, out=sums[1:])
+            for size in self.by_size:
+                if size <= len(hashes):
+                    at = np.arange(lo, min(lo + SLICE, len(hashes) - size + 1))
+                    per = max(size - SHINGLE + 1, 1)
+                    at = at[seen[np.minimum(at + per, len(hit))] > seen[np.minimum(at, len(hit))]] if size >= SHINGLE else at
+                    width = size
+                else:
+                    at, width = np.zeros(0 if lo else 1, np.int64), len(hashes)
+                if not len(at):
+                    continue
+                window, item, apart = self.near(size, fingerprints(sums[at - lo + width] - sums[at - lo]))
+                for w, i, d in zip(window.tolist(), item.tolist(), apart.tolist()):
+                    start = int(at[w])
+                    mine = own[start : start + width - SHINGLE + 1] if width >= SHINGLE and len(hashes) >= SHINGLE else shingles(hashes[start : start + width])
+                    s = weighted_similarity(Counter(mine.tolist()), self.counts[i])
+                    if s >= similarity and (i not in best or (s, -start) > (best[i][0], -best[i][1])):
+                        best[i] = (s, start, width, d)
         return [(self.ids[i], start, width, s, d) for i, (s, start, width, d) in sorted(best.items())]
 
 
@@ -177,6 +183,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8)
     found = []
     for p in range(passes):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).collect()
-        index = Index(sorted((r["item_id"] if r["item_id"] is not None else -1, bytes(r["text"])) for r in rows))
+        index = Index(sorted(((r["item_id"], bytes(r["text"])) for r in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1])))
         found.append(source.mapInArrow(partial(_scan, index, similarity), SCHEMA))
     return reduce(DataFrame.union, found)

@@ -1,21 +1,24 @@
 """Language-model scoring by deleted interpolation.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased and one end for each text. The model mixes
-maximum-likelihood estimates of order two, one and zero,
+maximum-likelihood estimates of order three, two, one and zero,
 
-    p(w | h) = a[b] c(h, w) / c(h) + m[b] c(w) / N + z[b] / (V + 1),
+    p(w | g h) = a[b] c(g, h, w) / c(g, h) + d[b] c(h, w) / c(h) + m[b] c(w) / N + z[b] / (V + 1),
 
-with weights by bucket b of the context's frequency c(h) (its number of binary digits). The weights are learned by
-expectation-maximisation on the training tokens' counts with each token itself left out (c - 1), which holds it out
-of the estimates. N and V are the training tokens' and types'; an unseen context gives order two no weight.
+with weights by bucket b of the context's frequency: the number of binary digits of c(g, h), or, where that is 0, of
+c(h). The weights are learned by expectation-maximisation on the training tokens' counts with each token itself left
+out (c - 1), which holds it out of the estimates. N and V are the training tokens' and types'; a context never seen
+gives its order no weight.
 
-Documents are dealt out in blocks. Each block sends its distinct one- and two-token hashes with their training
-counts, packed by hash range; ranges add them up and send each block the totals of what it asked for. A block never
-asks for more than it holds, so memory does not grow with the corpus. EM sees a histogram of binned estimates of
-fixed size (counts exact, estimates to a quarter of a bit).
+Documents are dealt out in blocks. Each block sends its distinct hashes of one, two and three tokens with their
+training counts, packed by hash range; ranges add them up and send each block the totals of what it asked for. Blocks
+and ranges are of bounded bytes of text, so memory does not grow with the corpus, while what is counted does. EM sees
+a histogram of binned estimates of fixed size (counts exact, estimates to half a bit).
 
-Null text is empty: its one token is the end. Repeated rows are scored, and counted, each. With nothing to train on,
-N = V = 0 and every token gets 1 / (V + 1). Other columns are ignored.
+Tokens are told apart by 64 bits, pairs and triples by 56 bits of their hashes. Null text is empty: its one token is
+the end. A null doc_id stays null and counts as held out. A very long text is one block's whole. Repeated rows are
+scored, and counted, each. With nothing to train on, N = V = 0 and every token gets 1 / (V + 1). Other columns,
+whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,13 +37,15 @@ from framewell.llm import text as T
 from framewell.llm.store import cut, partitions
 
 END_WORD, START = T.U64(0x6A09E667F3BCC908), T.U64(0xBB67AE8584CAA73B)
-#: Bytes of text in a block of documents.
-BLOCK_BYTES = 16 << 20
-#: Bits of a token hash that are sent.
-SENT = 56
-BUCKETS = 40
-#: Bins of an estimate: zero, then quarters of a bit.
-BINS = 160
+#: Bytes of text in a block of documents, and of those whose hashes make one range.
+BLOCK_BYTES, RANGE_BYTES = 6 << 20, 4 << 20
+#: Bits of the hashes of one, two and three tokens that are sent.
+SENT = {1: 64, 2: 56, 3: 56}
+#: Binary digits of a context's frequency that are told apart: of pairs, then of single tokens.
+DIGITS = 40
+BUCKETS = 2 * DIGITS
+#: Bins of an estimate: zero, then halves of a bit.
+BINS = 64
 
 
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +65,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Block:
-    """The tokens of a block: ids of documents, distinct one- and two-token hashes and where each token finds them."""
+    """The tokens of a block: ids of documents, distinct hashes of one, two and three tokens and where each token finds them."""
 
     def __init__(self, packed: list[bytes]):
         parts = [pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(p, max_output_size=1 << 31)).read_all() for p in packed]
@@ -80,23 +85,29 @@ class Block:
             counts.append(n + 1)
         token, self.n = np.concatenate(tokens), np.concatenate(counts)
         self.start = np.concatenate([[0], np.cumsum(self.n)])
-        context = np.concatenate([[START], token[:-1]])
-        context[self.start[:-1]] = START
+        first = self.start[:-1]
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
-        drop = T.U64(64 - SENT)
-        self.one, self.at_one = np.unique(token >> drop, return_inverse=True)
-        self.two, self.at_two = np.unique(T.fold([context, token]) >> drop, return_inverse=True)
-        # The context's place among the one-token hashes; -1 is the start of a text.
-        self.before = np.concatenate([[-1], self.at_one[:-1]])
-        self.before[self.start[:-1]] = -1
-
-    def trained(self, at: np.ndarray, size: int) -> np.ndarray:
+        #: By order, the distinct hashes and each token's place among them.
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        gram = token
+        for order in SENT:
+            if order > 1:  # the gram before, and the token
+                before = np.concatenate([[START], gram[:-1]])
+                before[first] = START
+                gram = T.fold([before, token])
+            self.grams[order] = np.unique(gram >> T.U64(64 - SENT[order]), return_inverse=True)
+        #: Whether a token is its text's first.
+        self.head = np.zeros(len(token), bool)
+        self.head[first] = True
+
+    def trained(self, order: int) -> np.ndarray:
         """Training tokens of this block at each distinct hash."""
-        return np.bincount(at[self.train[self.doc]], minlength=size)
+        hashes, at = self.grams[order]
+        return np.bincount(at[self.train[self.doc]], minlength=len(hashes))
 
 
-def _range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
-    return ((hashes >> T.U64(SENT - 32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+def _range_of(hashes: np.ndarray, order: int, ranges: int) -> np.ndarray:
+    return ((hashes >> T.U64(SENT[order] - 32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
 
 
 def _small(a: np.ndarray) -> np.ndarray:
@@ -109,9 +120,9 @@ def _ask(ranges: int, table: pa.Table) -> pa.Table:
     """What a block holds: hashes as differences, and training counts, by order and range."""
     block = Block(table.column("data").to_pylist())
     name, rows = table.column("block")[0].as_py(), []
-    for order, hashes, at in ((1, block.one, block.at_one), (2, block.two, block.at_two)):
-        count = block.trained(at, len(hashes))
-        edge = np.searchsorted(_range_of(hashes, ranges), np.arange(ranges + 1))
+    for order in SENT:
+        hashes, count = block.grams[order][0], block.trained(order)
+        edge = np.searchsorted(_range_of(hashes, order, ranges), np.arange(ranges + 1))
         for r in range(ranges):
             a, b = edge[r], edge[r + 1]
             if b > a:
@@ -130,7 +141,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, b, o, data in zip(*(batch.column(c).to_pylist() for c in ("range", "block", "order", "data"))):
             step, count = T.unpack(data)
             held.setdefault((r, o), []).append((b, np.cumsum(step, dtype=T.U64), count))
-    end = END_WORD >> T.U64(64 - SENT)
+    end = END_WORD >> T.U64(64 - SENT[1])
     for (r, o), parts in held.items():
         hashes = np.concatenate([h for _, h, _ in parts])
         values, inverse = np.unique(hashes, return_inverse=True)
@@ -151,63 +162,88 @@ def _answers(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in ANSWER.split(", ")])
 
 
-def _known(block: Block, answers: pa.Table, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each token: training count of itself, of its context, and of both together."""
+def _known(block: Block, answers: pa.Table, texts: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each token, by order: the training count of its gram, and of the gram's context (of order two and three)."""
     order, where = (answers.column(c).to_numpy() for c in ("order", "range"))
     data = answers.column("data").to_pylist()
-    counts = []
-    for o in (1, 2):
+    count, context = [], []
+    for o in SENT:
         at = np.flatnonzero(order == o)
-        counts.append(np.concatenate([T.unpack(data[i])[0].astype(np.int64) for i in at[np.argsort(where[at])]]))
-    one, two = counts
-    return one[block.at_one], np.where(block.before < 0, texts, one[block.before]), two[block.at_two]
+        count.append(np.concatenate([T.unpack(data[i])[0].astype(np.int64) for i in at[np.argsort(where[at])]])[block.grams[o][1]])
+        if o < max(SENT):
+            before = np.concatenate([[texts], count[-1][:-1]])
+            before[block.head] = texts
+            context.append(before)
+    return count, context
 
 
-def bucket_of(context: np.ndarray) -> np.ndarray:
-    """Number of binary digits of the context's count."""
-    return np.minimum(np.frexp(context.astype(np.float64))[1], BUCKETS - 1).astype(np.int64)
+def bucket_of(context: list[np.ndarray]) -> np.ndarray:
+    """Number of binary digits of the pair's count, or, beyond DIGITS, of the single token's where no pair was seen."""
+    one, two = (np.minimum(np.frexp(c.astype(np.float64))[1], DIGITS - 1).astype(np.int64) for c in context)
+    return np.where(context[1] > 0, two, DIGITS + one)
+
+
+def estimates(count: list[np.ndarray], context: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """Maximum-likelihood estimates of order three, two and one."""
+    share = lambda a, b: np.divide(a, b, out=np.zeros(len(a)), where=b > 0)
+    return [share(count[2], context[1]), share(count[1], context[0]), count[0] / max(n, 1)]
 
 
 def _bin(p: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore"):
-        return np.where(p > 0, np.clip(1 + np.round(-4 * np.log2(np.maximum(p, 1e-300))), 1, BINS - 1), 0).astype(np.int64)
+    return np.where(p > 0, np.clip(1 + np.round(-2 * np.log2(np.maximum(p, 1e-300))), 1, BINS - 1), 0).astype(np.int64)
+
+
+def cells_of(count: list[np.ndarray], context: list[np.ndarray], n: int) -> np.ndarray:
+    """The histogram's cell of each training token, left out of its own counts: bucket, then the bins of order three, two and one."""
+    count, context = [c - 1 for c in count], [c - 1 for c in context]
+    cell = bucket_of(context)
+    for p in estimates(count, context, n - 1):
+        cell = cell * BINS + _bin(p)
+    return cell
 
 
 def _histogram(n: int, texts: int, docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """Training tokens by context bucket and binned estimates of order two and one, each token left out of its own counts."""
+    """How many training tokens each cell has."""
     schema = pa.schema([("group", pa.int32()), ("data", pa.binary())])
     if not docs.num_rows:
         return schema.empty_table()
     block = Block(docs.column("data").to_pylist())
-    word, context, both = (x[block.train[block.doc]] - 1 for x in _known(block, answers, texts))
-    p2 = np.divide(both, context, out=np.zeros(len(both)), where=context > 0)
-    cell = (bucket_of(context) * BINS + _bin(p2)) * BINS + _bin(word / max(n - 1, 1))
-    at, count = np.unique(cell, return_counts=True)
-    return pa.table([[docs.column("block")[0].as_py() % 64], [T.pack(at, count)]], schema=schema)
+    own = block.train[block.doc]
+    count, context = ([c[own] for c in x] for x in _known(block, answers, texts))
+    at, number = np.unique(cells_of(count, context, n), return_counts=True)
+    return pa.table([[docs.column("block")[0].as_py() % 64], [T.pack(at, number)]], schema=schema)
 
 
 def _sum_cells(table: pa.Table) -> pa.Table:
-    total = np.zeros(BUCKETS * BINS * BINS, np.int64)
-    for data in table.column("data").to_pylist():
-        at, count = T.unpack(data)
-        total[at] += count
-    at = np.flatnonzero(total)
-    return pa.table([pa.array([0], pa.int32()), pa.array([T.pack(at, total[at])], pa.binary())], names=["group", "data"])
+    at, number = (np.concatenate(x) for x in zip(*(T.unpack(d) for d in table.column("data").to_pylist())))
+    cell, where = np.unique(at, return_inverse=True)
+    total = np.zeros(len(cell), np.int64)
+    np.add.at(total, where, number)
+    return pa.table([pa.array([0], pa.int32()), pa.array([T.pack(cell, total)], pa.binary())], names=["group", "data"])
+
+
+START_WEIGHTS = np.array([0.4, 0.3, 0.25, 0.05])
 
 
 def learn_weights(at: np.ndarray, count: np.ndarray, types: int, rounds: int = 40) -> np.ndarray:
-    """EM for the three weights of each context bucket over the histogram's cells."""
-    bucket, b2, b1 = at // (BINS * BINS), at // BINS % BINS, at % BINS
-    p = np.stack([np.where(b > 0, np.exp2((1 - b) / 4.0), 0.0) for b in (b2, b1)] + [np.full(len(at), 1 / (types + 1))], 1)
-    weight = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
+    """EM for the weights of each context bucket over the histogram's cells: of order three, two, one and zero."""
+    bins, rest = [], at
+    for _ in range(3):
+        bins.append(rest % BINS)
+        rest = rest // BINS
+    p = np.stack([np.where(b > 0, np.exp2((1 - b) / 2.0), 0.0) for b in reversed(bins)] + [np.full(len(at), 1 / (types + 1))], 1)
+    allowed = np.ones((BUCKETS, 4))
+    allowed[DIGITS:, 0] = 0  # no such pair was seen
+    allowed[[0, DIGITS], :2] = 0  # nor such a token
+    start = START_WEIGHTS * allowed
+    weight = start / start.sum(1, keepdims=True)
     for _ in range(rounds):
-        share = weight[bucket] * p
+        share = weight[rest] * p
         share *= (count / share.sum(1))[:, None]
-        total = np.stack([np.bincount(bucket, share[:, k], BUCKETS) for k in range(3)], 1)
+        total = np.stack([np.bincount(rest, share[:, k], BUCKETS) for k in range(4)], 1)
         # A little of the start keeps buckets without tokens, and every weight, above zero.
-        total += np.array([0.4, 0.5, 0.1]) * 0.1
+        total += start * 0.1
         weight = total / total.sum(1, keepdims=True)
-    weight[0] = [0.0, *(weight[0, 1:] / weight[0, 1:].sum())]  # a context never seen says nothing
     return weight
 
 
@@ -219,22 +255,24 @@ def _score(n: int, types: int, texts: int, weight: np.ndarray, docs: pa.Table, a
     if not docs.num_rows:
         return pa.schema([(x, k) for x, k in zip(names, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]).empty_table()
     block = Block(docs.column("data").to_pylist())
-    word, context, both = _known(block, answers, texts)
-    base = np.log10((word + 1) / (n + types + 1))
+    count, context = _known(block, answers, texts)
+    base = np.log10((count[0] + 1) / (n + types + 1))
     w = weight[bucket_of(context)]
-    p = w[:, 0] * np.divide(both, context, out=np.zeros(len(both)), where=context > 0) + w[:, 1] * (word / max(n, 1)) + w[:, 2] / (types + 1)
+    p = w[:, 3] / (types + 1)
+    for k, share in enumerate(estimates(count, context, n)):
+        p += w[:, k] * share
     add = lambda x: np.add.reduceat(x, block.start[:-1])
-    columns = [block.doc_id.combine_chunks(), pa.array(~block.train), pa.array(block.n.astype(np.int64)), pa.array(add((word > 0).astype(np.int64))), pa.array(np.full(len(block.n), n)), pa.array(add(base)), pa.array(add(np.log10(p)))]
+    columns = [block.doc_id.combine_chunks(), pa.array(~block.train), pa.array(block.n.astype(np.int64)), pa.array(add((count[0] > 0).astype(np.int64))), pa.array(np.full(len(block.n), n)), pa.array(add(base)), pa.array(add(np.log10(p)))]
     return pa.table(columns, names=names)
 
 
 def score_documents(docs: DataFrame, train: F.Column) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10). ``train`` marks rows to learn from."""
     spark = docs.sparkSession
-    ranges = 2 * partitions(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(partitions(spark), math.ceil(size / BLOCK_BYTES))
+    ranges = max(2 * partitions(spark), math.ceil(size / RANGE_BYTES))
     packed = source.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).mapInArrow(_pack_texts, "block int, data binary").groupBy("block")
 
     def ask(table: pa.Table) -> pa.Table:
@@ -248,5 +286,5 @@ def score_documents(docs: DataFrame, train: F.Column) -> DataFrame:
     for _ in range(2):
         cells = cells.groupBy("group").applyInArrow(_sum_cells, "group int, data binary")
     row = cells.first()
-    weight = learn_weights(*T.unpack(bytes(row["data"])), types) if row and n else np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
+    weight = learn_weights(*T.unpack(bytes(row["data"])), types) if row and n else np.tile([0.0, 0.0, 0.0, 1.0], (BUCKETS, 1))
     return packed.cogroup(sent).applyInArrow(partial(_score, n, types, texts, weight), SCORES)

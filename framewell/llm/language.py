@@ -6,12 +6,14 @@ trained together by stochastic gradient descent in numpy. Since the output is li
 the weights is one row of logits, and prediction sums such rows over the whole text.
 
 Training reads whole texts of labelled rows; the fit uses at most ``sample`` of them, those whose hash of doc_id is
-least, which is the documented bound. A tenth of these is held back to set the temperature and the rejection bound:
-the confidence that all but ``reject`` of its rightly named texts exceed. A text is rejected when it is null, has no
-letter, or its confidence is below the bound.
+least, which is the documented bound. Workers count their subwords, so that a text of any length is at most BUCKETS
+counts to the driver. Half of these rows train the weights; the other half sets the temperature, so that confidence
+is the chance of being right: the least cross-entropy against smoothed labels, which never claims more than so many
+texts can show. A text is rejected when it is null, has no letter, or its calibrated confidence is below ``least``.
 
 Null texts and texts without letters get ``und`` and score 0. With no labelled row every text is ``und``. Language,
-source and doc_id are never inputs of a prediction. Repeated rows are predicted each.
+source and doc_id are never inputs of a prediction. Very long texts are summed in slices. Repeated rows are predicted
+each; a null doc_id counts as held out. Columns of any name pass through in a struct.
 """
 
 from __future__ import annotations
@@ -31,14 +33,15 @@ BUCKETS = 1 << 16
 DIM = 16
 ORDERS = (1, 2, 3, 4)
 #: Steps of training at least, and texts of one step.
-STEPS, TEXTS = 1000, 32
-#: Subwords of one training text that a step looks at, drawn anew in each epoch.
-DRAW = 400
+STEPS, TEXTS = 500, 32
+#: Bytes of texts whose subwords are held at once.
+SLICE = 1 << 18
 UNKNOWN = "und"
 
 
 def held_out(column: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
-    return F.crc32(F.col(column).cast("string").cast("binary")) % parts == part
+    """Whether crc32 of the id as text leaves the remainder; a null id does."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts == part, F.lit(True))
 
 
 def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +79,26 @@ def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.zeros(0, np.uint32), np.concatenate([[0], np.cumsum(lengths)])
 
 
+def slices(text: bytes, limit: int = SLICE) -> list[bytes]:
+    """The text in parts, parted where a space or line end stands if there is one, so that no word's subwords change."""
+    out, at = [], 0
+    while len(text) - at > limit:
+        gap = max(text.rfind(b" ", at, at + limit), text.rfind(b"\n", at, at + limit))
+        to = gap if gap > at else at + limit
+        out.append(text[at:to])
+        at = to
+    return [*out, text[at:]]
+
+
+def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The text's distinct subwords and how often each occurs."""
+    total = np.zeros(BUCKETS, np.int64)
+    for part in slices(text):
+        total += np.bincount(subwords([part])[0], minlength=BUCKETS)
+    keys = np.flatnonzero(total)
+    return keys.astype(np.uint16), total[keys]
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -86,17 +109,21 @@ class Model:
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Label number and confidence of each text with letters; -1 and 0 without subwords."""
-        keys, start = subwords(texts)
-        n = np.diff(start)
-        sums = np.zeros((len(texts), len(self.labels)))
-        some = n > 0
-        if some.any():
-            rows = np.concatenate([self.logits[keys], np.zeros((1, len(self.labels)), np.float32)])
-            sums[some] = np.add.reduceat(rows, start[:-1][some], axis=0, dtype=np.float64)
+        sums, n = np.zeros((len(texts), len(self.labels))), np.zeros(len(texts), np.int64)
+        parts = [(i, p) for i, t in enumerate(texts) for p in slices(t)]
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum([len(p) for _, p in parts]) // SLICE)) + 1, [len(parts)]]).tolist()
+        for a, b in zip(edge, edge[1:]):
+            keys, start = subwords([p for _, p in parts[a:b]])
+            size = np.diff(start)
+            some = size > 0
+            owner = np.array([i for i, _ in parts[a:b]])
+            np.add.at(n, owner, size)
+            if some.any():
+                np.add.at(sums, owner[some], np.add.reduceat(self.logits[keys], start[:-1][some], axis=0, dtype=np.float64))
         z = (sums / np.maximum(n, 1)[:, None] + self.bias) / self.temperature
         p = softmax(z)
         best = p.argmax(1)
-        return np.where(some, best, -1), np.where(some, p[np.arange(len(p)), best], 0.0)
+        return np.where(n > 0, best, -1), np.where(n > 0, p[np.arange(len(p)), best], 0.0)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -104,14 +131,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(texts: list[bytes], names: list[str], reject: float = 0.002, seed: int = 7) -> Model:
-    """Fit embeddings and weights by SGD on mean-pooled subwords, then temperature and rejection bound on a tenth held back."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], names: list[str], least: float = 0.5, seed: int = 7) -> Model:
+    """Fit embeddings and weights by SGD on texts' mean subwords, then the temperature on every other text, held back."""
     labels = sorted(set(names))
     y = np.array([labels.index(x) for x in names])
     rng = np.random.default_rng(seed)
-    parts = [subwords([t])[0].astype(np.uint16) for t in texts]
-    keep = np.array([len(p) > 0 for p in parts], bool)
-    held = keep & (np.arange(len(parts)) % 10 == 9)
+    share = [(keys, (count / count.sum()).astype(np.float32)) for keys, count in rows]
+    keep = np.array([len(keys) > 0 for keys, _ in rows], bool)
+    held = keep & (np.arange(len(rows)) % 2 == 1)
     use = np.flatnonzero(keep & ~held)
     if not len(use):
         use = np.flatnonzero(keep)
@@ -124,41 +151,47 @@ def train(texts: list[bytes], names: list[str], reject: float = 0.002, seed: int
         for batch in np.array_split(rng.permutation(use), max(1, len(use) // TEXTS)):
             if not len(batch):
                 continue
-            drawn = [parts[i] if len(parts[i]) <= DRAW else parts[i][rng.integers(0, len(parts[i]), DRAW)] for i in batch]
-            n = np.array([len(d) for d in drawn])
-            flat = np.concatenate(drawn)
-            mean = np.add.reduceat(table[flat], np.concatenate([[0], np.cumsum(n)[:-1]]), axis=0) / n[:, None]
+            n = np.fromiter((len(share[i][0]) for i in batch), np.int64, len(batch))
+            flat, part = (np.concatenate([share[i][j] for i in batch]) for j in (0, 1))
+            mean = np.add.reduceat(table[flat] * part[:, None], np.cumsum(n) - n, axis=0)
             grad = softmax(mean @ out + bias)
             grad[np.arange(len(batch)), y[batch]] -= 1
-            back = grad @ out.T
+            back = (rate * (grad @ out.T)).astype(np.float32)
             out -= rate * (mean.T @ grad / len(batch)).astype(np.float32)
             bias -= (0.1 * rate * grad.mean(0)).astype(np.float32)
-            np.subtract.at(table, flat, np.repeat((rate * back / n[:, None]).astype(np.float32), n, axis=0))
-    model = Model(labels, (table @ out).astype(np.float32), bias, 1.0, 0.0)
+            # One text after the other: its subwords are distinct.
+            at = 0
+            for size, own in zip(n.tolist(), back):
+                table[flat[at : at + size]] -= part[at : at + size, None] * own
+                at += size
+    model = Model(labels, (table @ out).astype(np.float32), bias, 1.0, least)
     check = np.flatnonzero(held) if held.any() else use
     if not len(check):
         return model
-    keys = [parts[i] for i in check]
-    z = np.array([model.logits[k].mean(0) for k in keys]) + bias
-    gold = y[check]
-    grid = np.geomspace(0.5, 20, 40)
-    model.temperature = float(grid[np.argmin([-np.log(softmax(z / t)[np.arange(len(z)), gold] + 1e-12).mean() for t in grid])])
-    p = softmax(z / model.temperature)
-    right = p.argmax(1) == gold
-    if right.any():
-        model.least = min(0.5, float(np.quantile(p.max(1)[right], reject)))
+    z = np.array([share[i][1] @ model.logits[share[i][0]] for i in check]) + bias
+    # Platt's targets: one more right text, and one of each other label.
+    target = np.full(z.shape, 1 / (len(check) + len(labels)))
+    target[np.arange(len(z)), y[check]] = (len(check) + 1) / (len(check) + len(labels))
+    grid = np.geomspace(0.1, 20, 80)
+    model.temperature = float(grid[np.argmin([-(target * np.log(softmax(z / t) + 1e-300)).sum() for t in grid])])
     return model
 
 
-def fit(docs: DataFrame, allowed: Column, sample: int = 2000, reject: float = 0.002) -> Model | None:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in T.chunks(batches, "text", SLICE):
+        rows = [T.pack(*counted(t)) for t in T.texts_of(batch)]
+        yield pa.record_batch([batch.column("h"), batch.column("lang"), pa.array(rows, pa.binary())], names=["h", "lang", "counts"])
+
+
+def fit(docs: DataFrame, allowed: Column, sample: int = 4000, least: float = 0.5) -> Model | None:
     """Train on at most `sample` labelled rows that `allowed` names, with the least hashes of doc_id."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("doc_id", "lang"))
-    # The hashes first: only the texts that are used travel.
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("doc_id", "lang").alias("h"), "lang", F.col("text").cast("binary").alias("text"))
+    # The hashes first: only the counts of the texts that are used travel.
     last = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if last is None:
         return None
-    got = rows.where(F.col("h") <= last).select("h", "lang", F.col("text").cast("binary").alias("text")).orderBy("h", "lang", "text").limit(sample).collect()
-    return train([bytes(r["text"]) for r in got], [r["lang"] for r in got], reject) if got else None
+    got = rows.where(F.col("h") <= last).mapInArrow(_count, "h long, lang string, counts binary").orderBy("h", "lang", "counts").limit(sample).collect()
+    return train([tuple(T.unpack(bytes(r["counts"]))) for r in got], [r["lang"] for r in got], least) if got else None
 
 
 def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

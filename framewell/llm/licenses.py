@@ -5,10 +5,13 @@ GRAM-word grams of the texts are joined to the templates' grams; a hit votes for
 place in the template). Short phrases must win all votes of one diagonal: their words then stand consecutively. For
 longer templates neighbouring diagonals (words put in or left out) are merged into one span, and a span counts when
 it holds at least COVER of the template's grams; hits of grams are verified on the words themselves, not on hashes.
+Notices that differ in a few words verify each other's spans, so of spans that overlap only those with the largest
+share count.
 
 A document's labels are those of its phrases and of its verified spans; its score is the best span's share of the
-template's grams (1 for a phrase), 0 without any. Null and empty texts have no words. Repeated rows, and rows that
-repeat a doc_id with another text, are each scored. Other columns are ignored.
+template's grams (1 for a phrase), 0 without any. Null and empty texts have no words; very long ones are scanned
+whole. Repeated rows, and rows that repeat a doc_id with another text, are each scored; a null doc_id stays null.
+Other columns, whatever their names, are ignored. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql.window import Window
 GRAM = 3
 #: Share of a template's grams that verifies a span.
 COVER = 0.5
+#: Grams of templates that are broadcast; a larger table is joined by a shuffle.
+BROADCAST_GRAMS = 200_000
 #: Diagonals that differ by at most so many words are neighbours.
 DRIFT = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +46,10 @@ NOTICES = (
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
     ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
     ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
+    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("this work is licensed under a creative commons attribution noderivatives 4 0 international license", "cc-by-nd"),
+    ("this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license", "cc-by-nc-sa"),
+    ("this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license", "cc-by-nc-nd"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("released under the mit license", "mit"),
 )
@@ -58,14 +67,20 @@ def words(text: Column) -> Column:
 
 
 def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
-    """One row for each gram of each template: gram, template, place, grams (of the template), label, exact. Its size is the constants'."""
-    rows = []
-    for number, (body, label, exact) in enumerate([(*p, True) for p in phrases] + [(*n, False) for n in notices]):
-        own = body.split(" ")
-        if len(own) < GRAM:
-            raise ValueError(f"a template needs {GRAM} words: {body}")
-        rows += [(" ".join(own[i : i + GRAM]), number, i, len(own) - GRAM + 1, label, exact) for i in range(len(own) - GRAM + 1)]
-    return spark.createDataFrame(rows, "gram string, template int, place int, grams int, label string, exact boolean").withColumn("h", F.xxhash64("gram"))
+    """One row for each gram of each template: gram, template, place, grams (of the template), label, exact.
+
+    notices may be a table (body, label) of whole licence texts. A template needs GRAM words.
+    """
+    if any(len(body.split(" ")) < GRAM for body, _ in phrases):
+        raise ValueError(f"a phrase needs {GRAM} words")
+    own = spark.createDataFrame([(n, *p, True) for n, p in enumerate(phrases)], "template long, body string, label string, exact boolean")
+    if isinstance(notices, DataFrame):
+        more = notices.select(F.xxhash64("label", "body").alias("template"), "body", "label", F.lit(False).alias("exact"))
+    else:
+        more = spark.createDataFrame([(len(phrases) + n, *p, False) for n, p in enumerate(notices)], own.schema)
+    rows = own.union(more).select("template", words(F.col("body")).alias("w"), "label", "exact").where(F.size("w") >= GRAM)
+    rows = rows.select("template", "label", "exact", (F.size("w") - (GRAM - 1)).alias("grams"), F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - (GRAM - 1)), lambda i: F.array_join(F.slice("w", i, GRAM), " "))).alias("place", "gram"))
+    return rows.withColumn("h", F.xxhash64("gram"))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, cover: float = COVER) -> tuple[DataFrame, DataFrame]:
@@ -74,6 +89,8 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, cover: float = COVER
     Keys are doc_id, and hash and length of the text, so that rows sharing a doc_id stay apart.
     """
     table = templates(docs.sparkSession, phrases, notices)
+    if not isinstance(notices, DataFrame) or table.count() <= BROADCAST_GRAMS:
+        table = F.broadcast(table)
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"))
     key = ["doc_id", "text_hash", "text_bytes"]
@@ -84,7 +101,7 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, cover: float = COVER
     shifted = [F.slice("w", i + 1, F.size("w") - (GRAM - 1)) for i in range(GRAM)]
     grams = grams.select(*key, F.posexplode(F.arrays_zip(*(s.alias(f"w{i}") for i, s in enumerate(shifted)))).alias("at", "g"))
     grams = grams.select(*key, "at", F.concat_ws(" ", *(F.col(f"g.w{i}") for i in range(GRAM))).alias("gram"))
-    hits = grams.withColumn("h", F.xxhash64("gram")).join(F.broadcast(table), ["h"]).where(grams["gram"] == table["gram"])
+    hits = grams.withColumn("h", F.xxhash64("gram")).join(table.withColumnRenamed("gram", "own"), ["h"]).where("gram = own")
     # Identical rows give identical hits; each counts once.
     hits = hits.select(*key, "template", "label", "exact", "grams", "place", "at", (F.col("at") - F.col("place")).alias("diagonal"))
     votes = hits.groupBy(*key, "template", "label", "exact", "grams", "diagonal").agg(F.collect_set("place").alias("places"), F.min("at").alias("lo"), F.max("at").alias("hi"))
@@ -96,6 +113,11 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, cover: float = COVER
     loose = loose.withColumn("span", F.sum(F.col("new").cast("int")).over(run))
     loose = loose.groupBy(*key, "template", "label", "exact", "grams", "span").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("got"), F.min("lo").alias("begin"), (F.max("hi") + GRAM - 1).alias("end"))
     loose = loose.withColumn("share", F.col("got") / F.col("grams")).where(F.col("share") >= cover)
+    # Spans that overlap: of these the best.
+    ahead = Window.partitionBy(*key).orderBy("begin", "end", "template")
+    loose = loose.withColumn("apart", F.coalesce(F.col("begin") > F.max("end").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)))
+    loose = loose.withColumn("heap", F.sum(F.col("apart").cast("int")).over(ahead.rowsBetween(Window.unboundedPreceding, 0)))
+    loose = loose.withColumn("best", F.max("share").over(Window.partitionBy(*key, "heap"))).where("share = best")
     return counted, phrase.unionByName(loose.select(*phrase.columns))
 
 

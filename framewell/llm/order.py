@@ -1,18 +1,21 @@
 """Training-order materialisation: fixed-stride shards in the order of a keyed Feistel permutation.
 
-Token ids of a task's documents, each with its end id, form one stream that is cut into sequences of ``length`` ids;
-only a task's last one is padded. Sequences are numbered by task and place. A balanced Feistel network on the least
-even number of bits that holds all numbers, walked until the result is a number again, gives every sequence a global
-slot; the same key and inputs give the same slots. Slots are dealt out in ranges of ``shard_rows``: shard s holds
-slots s * shard_rows and up, each as ``length`` little-endian unsigned 16-bit ids and one line feed, so slot k is at
-byte (k mod shard_rows) * (2 * length + 1) of its shard and reading can start at any slot. Shards are written by
-Spark's committer to the shared folder.
-
-Null text is empty (one end id). Repeated rows are written each. An empty table gives no shards.
+Documents are taken in order of doc_id (null first), rows of one doc_id in order of their texts' hashes. Their token
+ids, each document's with its end id, form one stream that is cut into sequences of ``length`` ids; only the last one
+is padded. A balanced Feistel network on the least even number of bits that holds all sequence numbers, walked until
+the result is a number again, gives every sequence a global slot: the same key and documents give the same slots,
+however the input is partitioned. Slots are dealt out in ranges of ``shard_rows``: shard s holds slots
+s * shard_rows and up, each as ``length`` little-endian unsigned 16-bit ids and one line feed, so slot k is at byte
+(k mod shard_rows) * (2 * length + 1) of its shard and reading can start at any slot. A task writes some whole shards;
+Spark's committer puts them in the shared folder. Ids of 65,535 and up raise an error.
+
+Null text is empty (one end id). Very long texts run over many sequences. Rows that repeat are written each. Other
+columns, whatever their names, are ignored. An empty table gives no shards.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -25,11 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewell.llm import text as T
-from framewell.llm.store import scratch
+from framewell.llm.store import partitions, scratch
 from framewell.llm.tokens import byte_bpe, default_paths
 
 ROUNDS = 6
 PAD = 0xFFFF
+#: Bytes of text that a task turns into ids, and bytes of records that a task writes as whole shards.
+TASK_BYTES, WRITE_BYTES = 64 << 20, 64 << 20
+#: Ids that a task deals out at once.
+DEAL = 8 << 20
+#: Tasks whose offsets are broadcast, 12 bytes each; more are joined.
+BROADCAST_TASKS = 1_000_000
 
 
 def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -51,93 +60,63 @@ def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarra
     return out.astype(np.int64)
 
 
-def _squeeze(records: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=6).compress(records.astype("<u2").tobytes())
+def _squeeze(ids: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(ids.astype("<u2").tobytes())
+
+
+def _ids(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=1 << 34), "<u2")
 
 
-def _records(blob: bytes, length: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=1 << 31), "<u2").reshape(-1, length)
+MANIFEST = "slot long, shard long, byte_offset long, n_ids int, ids_crc32 long, doc_ids array<long>"
+TOKENS = "part int, first long, count long, docs binary, ids binary"
 
 
-def _sequences(length: int, paths: tuple[str, str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """This task's stream in padded sequences, some hundred a row, with the documents each one holds."""
+def _tokenise(paths: tuple[str, str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """This task's stream, some hundred documents a row: their ids (0 and a mark for null), sizes, and token ids."""
     from pyspark import TaskContext
 
-    part, number = TaskContext.get().partitionId(), 0
+    part, first = TaskContext.get().partitionId(), 0
     bpe = byte_bpe(*paths)
-    stream, spans = np.zeros(0, np.uint16), []  # what is not yet cut, and (doc_id, start, end) in it
-
-    def row(ids: np.ndarray) -> pa.RecordBatch:
-        nonlocal number
-        count = -(-len(ids) // length)
-        records = np.full(count * length, PAD, np.uint16)
-        records[: len(ids)] = ids
-        own, sizes, first = [], [], 0
-        for lo in range(0, len(ids), length):
-            hi = min(lo + length, len(ids))
-            while spans[first][2] <= lo:
-                first += 1
-            last = first
-            while last < len(spans) and spans[last][1] < hi:
-                last += 1
-            own.append([d for d, _, _ in spans[first:last]])
-            sizes.append(hi - lo)
-        sums = [zlib.crc32(ids[i * length : i * length + n].astype("<u2").tobytes()) for i, n in enumerate(sizes)]
-        number += count
-        columns = ([part], [number - count], [count], [sizes], [sums], [own], [_squeeze(records)])
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())), pa.binary()))], names=NAMES)
-
     for batch in T.chunks(batches, limit=1 << 20):
-        parts, end = [stream], len(stream)
-        for doc, text in zip(batch.column("doc_id").to_pylist(), T.texts_of(batch)):
-            ids = bpe.document(text.decode("utf-8", "replace")).astype(np.uint16)
-            parts.append(ids)
-            spans.append((doc, end, end + len(ids)))
-            end += len(ids)
-        stream = np.concatenate(parts)
-        done = len(stream) // length * length
-        if done:
-            yield row(stream[:done])
-            stream, spans = stream[done:], [(d, max(a - done, 0), b - done) for d, a, b in spans if b > done]
-    if len(stream):
-        yield row(stream)
-
-
-SEQUENCES = "part int, first long, count long, n_ids array<int>, ids_crc32 array<long>, doc_ids array<array<long>>, ids binary"
-NAMES = [c.split()[0] for c in SEQUENCES.split(", ")]
-#: Records that a task deals out at once.
-DEAL = 32_768
-#: Tasks whose offsets are broadcast, 12 bytes each; more are joined.
-BROADCAST_TASKS = 1_000_000
+        names = batch.column("doc_id")
+        ids = [bpe.document(text.decode("utf-8", "replace")) for text in T.texts_of(batch)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.concatenate(ids)
+        if flat.max() >= PAD:
+            raise ValueError("an id does not fit the shards' 16 bits")
+        docs = T.pack(names.fill_null(0).to_numpy(), np.asarray(names.is_null().to_numpy(zero_copy_only=False), np.uint8), size)
+        yield pa.record_batch({"part": pa.array([part], pa.int32()), "first": pa.array([first], pa.int64()), "count": pa.array([len(flat)], pa.int64()), "docs": pa.array([docs], pa.binary()), "ids": pa.array([_squeeze(flat)], pa.binary())})
+        first += len(flat)
 
 
-def _slots(n: int, key: int, shard_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The manifest's rows: each sequence with its slot."""
-    for batch in batches:
-        count = batch.column("count").to_numpy()
-        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        slot = feistel(np.repeat(batch.column("number").to_numpy(), count) + step, n, key)
-        flat = [batch.column(c).flatten() for c in ("n_ids", "ids_crc32", "doc_ids")]
-        yield pa.record_batch([pa.array(slot), *flat], names=["slot", "n_ids", "ids_crc32", "doc_ids"])
+def _fragments(start: int, size: np.ndarray, n: int, key: int, length: int) -> tuple[np.ndarray, ...]:
+    """Where sequences and documents part a row's tokens, of which the first is number start: slot, place in it, tokens and document number of each fragment."""
+    edge = np.cumsum(size)
+    at = np.unique(np.concatenate([[0], edge[:-1], np.arange(-start % length, edge[-1], length)]))
+    number, place = np.divmod(start + at, length)
+    return feistel(number, n, key), place, np.diff(np.append(at, edge[-1])), np.searchsorted(edge, at, "right")
 
 
-def _deal(n: int, key: int, length: int, shard_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records by shard, compressed together."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _deal(n: int, key: int, length: int, group_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fragments of sequences by group of shards: slot, place in it and size of each, and their ids."""
+    held: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        slots, records = (np.concatenate(x) for x in zip(*held))
+        slot, place, size, ids = (np.concatenate([h[i] for h in held]) for i in range(4))
         held.clear()
-        shard, where = np.unique(slots // shard_rows, return_inverse=True)
-        for k, at in T.by_bucket(where, len(shard)):
-            yield pa.record_batch({"shard": pa.array([shard[k]], pa.int32()), "slots": pa.array([T.pack(slots[at])], pa.binary()), "ids": pa.array([_squeeze(records[at])], pa.binary())})
+        start = np.cumsum(size) - size
+        group, where = np.unique(slot // group_rows, return_inverse=True)
+        for g, at in T.by_bucket(where, len(group)):
+            c = size[at]
+            take = np.arange(c.sum()) + np.repeat(start[at] - (np.cumsum(c) - c), c)
+            yield pa.record_batch({"group": pa.array([group[g]], pa.int32()), "parts": pa.array([T.pack(slot[at], place[at].astype(np.int32), c.astype(np.int32))], pa.binary()), "ids": pa.array([_squeeze(ids[take])], pa.binary())})
 
     have = 0
     for batch in batches:
-        for number, blob in zip(batch.column("number").to_pylist(), batch.column("ids").to_pylist()):
-            records = _records(blob, length)
-            held.append((feistel(number + np.arange(len(records)), n, key), records))
-            have += len(records)
+        for start, docs, blob in zip(batch.column("start").to_pylist(), batch.column("docs").to_pylist(), batch.column("ids").to_pylist()):
+            held.append((*_fragments(start, T.unpack(docs)[2], n, key, length)[:3], _ids(blob)))
+            have += len(held[-1][3])
             if have >= DEAL:
                 yield from flush()
                 have = 0
@@ -145,36 +124,79 @@ def _deal(n: int, key: int, length: int, shard_rows: int, batches: Iterator[pa.R
         yield from flush()
 
 
-def _write(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Single records again, some thousand at a time."""
+def _assemble(n: int, length: int, shard_rows: int, group_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole records in the order of their slots. A task holds one group of shards: group_rows records."""
+    held: dict[int, list[tuple[bytes, bytes]]] = {}
+    for batch in batches:
+        for g, p, b in zip(*(batch.column(c).to_pylist() for c in ("group", "parts", "ids"))):
+            held.setdefault(g, []).append((p, b))
+    width = 2 * length
+    for g in sorted(held):
+        low, count = g * group_rows, min(group_rows, n - g * group_rows)
+        records = np.full(count * length, PAD, "<u2")
+        for parts, blob in held.pop(g):
+            (slot, place, size), ids = T.unpack(parts), _ids(blob)
+            records[np.arange(len(ids)) + np.repeat((slot - low) * length + place - (np.cumsum(size) - size), size)] = ids
+        for a in range(0, count, 2048):
+            raw, slots = records[a * length : (a + 2048) * length].tobytes(), low + np.arange(a, min(a + 2048, count))
+            yield pa.record_batch({"shard": pa.array(slots // shard_rows), "slot": pa.array(slots), "record": pa.array([raw[i * width : i * width + width] for i in range(len(slots))], pa.binary())})
+
+
+def _holders(n: int, key: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which document stands where in which slot."""
+    for batch in batches:
+        for start, docs in zip(batch.column("start").to_pylist(), batch.column("docs").to_pylist()):
+            doc, null, size = T.unpack(docs)
+            slot, place, _, of = _fragments(start, size, n, key, length)
+            yield pa.record_batch({"slot": pa.array(slot), "place": pa.array(place.astype(np.int32)), "doc_id": pa.array(doc[of], mask=null[of].astype(bool))})
+
+
+def _written(length: int, shard_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slot, size and checksum of each record of a written shard."""
+    stride = 2 * length + 1
     for batch in batches:
-        for shard, slots, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "slots", "ids"))):
-            raw, slot = _records(blob, length).tobytes(), T.unpack(slots)[0]
-            width = 2 * length
-            yield pa.record_batch({"shard": pa.array([shard] * len(slot), pa.int32()), "slot": pa.array(slot), "record": pa.array([raw[i * width : i * width + width] for i in range(len(slot))], pa.binary())})
+        for shard, i in zip(batch.column("shard").to_pylist(), range(batch.num_rows)):
+            raw = np.frombuffer(batch.column("content")[i].as_buffer(), np.uint8).reshape(-1, stride)
+            ids = np.ascontiguousarray(raw[:, :-1]).view("<u2")
+            n_ids = (ids != PAD).sum(1)
+            sums = [zlib.crc32(x[:k]) for x, k in zip(ids, n_ids.tolist())]
+            yield pa.record_batch({"slot": pa.array(shard * shard_rows + np.arange(len(ids))), "n_ids": pa.array(n_ids.astype(np.int32)), "ids_crc32": pa.array(sums, pa.int64())})
 
 
 def materialise(docs: DataFrame, length: int = 512, shard_rows: int = 16_384, key: int = 20_240_601, paths: tuple[str, str] | None = None) -> tuple[DataFrame, str | None]:
-    """Write the shards; the manifest (slot, shard, byte_offset, n_ids, ids_crc32, doc_ids) and the shards' folder."""
+    """Write the shards; the manifest (slot, shard, byte_offset, n_ids, ids_crc32, doc_ids) and the shards' folder.
+
+    docs needs doc_id and text. See the module's text for the order and the edge cases.
+    """
     spark = docs.sparkSession
     paths = paths or default_paths()
     folder = scratch(spark)
-    made = T.binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(partial(_sequences, length, paths), SEQUENCES)
+    source = T.binary_text(docs, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"))
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    source = source.repartitionByRange(max(partitions(spark), math.ceil(size / TASK_BYTES)), "doc_id", "t").sortWithinPartitions("doc_id", "t")
+    made = source.select("doc_id", "text").mapInArrow(partial(_tokenise, paths), TOKENS)
     # The ids are compressed already.
-    made.write.option("compression", "lz4_raw").parquet(f"{folder}/sequences")
-    made = spark.read.schema(made.schema).parquet(f"{folder}/sequences")
-    # A row for each task: the number of its first sequence.
+    made.write.option("compression", "lz4_raw").parquet(f"{folder}/tokens")
+    made = spark.read.schema(made.schema).parquet(f"{folder}/tokens")
+    # A row for each task, in the order of the documents: the number of its first token.
     tasks = made.groupBy("part").agg(F.sum("count").alias("c"))
-    n, parts = tasks.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    total, parts = tasks.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    n = -(-total // length)
     base = tasks.select("part", (F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")).alias("base"))
-    numbered = made.join(F.broadcast(base) if parts <= BROADCAST_TASKS else base, "part").withColumn("number", F.col("base") + F.col("first"))
-    manifest = numbered.select("count", "n_ids", "ids_crc32", "doc_ids", "number").mapInArrow(partial(_slots, n, key, shard_rows), "slot long, n_ids int, ids_crc32 long, doc_ids array<long>")
-    manifest = manifest.select("slot", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows * (2 * length + 1)).alias("byte_offset"), "n_ids", "ids_crc32", "doc_ids")
+    placed = made.join(F.broadcast(base) if parts <= BROADCAST_TASKS else base, "part").select((F.col("base") + F.col("first")).alias("start"), "docs", "ids")
     if not n:
-        return manifest, None
-    dealt = numbered.select("ids", "number").mapInArrow(partial(_deal, n, key, length, shard_rows), "shard int, slots binary, ids binary")
-    # Partition s is shard s: a range of slots.
-    dealt = dealt.repartitionById(-(-n // shard_rows), F.col("shard"))
-    records = dealt.mapInArrow(partial(_write, length), "shard int, slot long, record binary").sortWithinPartitions("shard", "slot")
+        return spark.createDataFrame([], MANIFEST), None
+    group_rows = shard_rows * max(1, WRITE_BYTES // (2 * length * shard_rows))
+    dealt = placed.mapInArrow(partial(_deal, n, key, length, group_rows), "group int, parts binary, ids binary")
+    # Partition g is group g: a range of slots.
+    dealt = dealt.repartitionById(max(1, -(-n // group_rows)), F.col("group"))
+    records = dealt.mapInArrow(partial(_assemble, n, length, shard_rows, group_rows), "shard long, slot long, record binary").sortWithinPartitions("shard", "slot")
     records.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{folder}/shards")
+    # The manifest tells what stands in the written shards.
+    holders = placed.select("start", "docs").mapInArrow(partial(_holders, n, key, length), "slot long, place int, doc_id long")
+    holders = holders.groupBy("slot").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id"))).alias("held"))
+    shards = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(f"{folder}/shards")
+    shards = shards.select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("long").alias("shard"), "content")
+    written = shards.mapInArrow(partial(_written, length, shard_rows), "slot long, n_ids int, ids_crc32 long")
+    manifest = written.join(holders, "slot").select("slot", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows * (2 * length + 1)).alias("byte_offset"), "n_ids", "ids_crc32", F.col("held.doc_id").alias("doc_ids"))
     return manifest, f"{folder}/shards"

@@ -4,18 +4,23 @@ A document is cut only when it is longer than ``capacity``: whole sequences from
 sequences stand alone. The other lengths number at most ``capacity - 1``, however many documents there are, so the
 plan is made on their counts:
 
-1. lengths above ``small`` are put, longest first, into groups of equal cardinality and rounded up to the group's
-   longest;
-2. configurations of few rounded sizes are optimised one after another: the fullest configuration the remaining
-   counts allow (a knapsack over the capacity) is used as often as they allow;
-3. actual lengths are substituted, longest first in each group, which splits configurations into runs of sequences
+1. pieces longer than ``small`` are put, longest first, into GROUPS groups of equal cardinality (the last may be
+   smaller; pieces of one length may lie in several groups) and rounded up to their group's longest;
+2. configurations of few rounded sizes are optimised one after another: the longest size left, with the fullest
+   filling of what it leaves that the remaining counts allow (a bounded knapsack, longer sizes first), used as often
+   as the counts allow;
+3. actual lengths are substituted, longest first in each size, which splits configurations into runs of sequences
    with equal contents;
 4. the other lengths are best-fitted, longest first, into the runs with the least room that holds them, and open new
    sequences when none does.
 
+The plan is made for ``small`` of a sixteenth, a quarter, half and all of the capacity (then everything is best-fitted),
+and the one with the fewest sequences is used.
+
 Documents take their places by their rank within their length: a count per task and length, summed over tasks.
 
-Null text is empty: one end id. Rows that repeat a doc_id are packed each. An empty table gives an empty result.
+Null text is empty: one end id. Very long texts are cut like others. Rows that repeat a doc_id are packed each. Other
+columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from framewell.llm import text as T
 from framewell.llm.store import cut
 from framewell.llm.tokens import byte_bpe, default_paths
 
-GROUPS = 1024
+GROUPS = 4096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
@@ -67,34 +72,61 @@ def _pieces(capacity: int, paths: tuple[str, str], batches: Iterator[pa.RecordBa
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=names)
 
 
-def fullest(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, int]]:
-    """The fullest multiset of sizes within counts and capacity, larger sizes first on ties: (index, copies).
+def fullest(sizes: list[int], counts: list[int], room: int) -> list[tuple[int, int]]:
+    """The fullest multiset of sizes (falling) within counts and room, of the longest sizes that fill it: (index, copies).
 
-    A bounded knapsack by size, kept as the least copies of each size that reach each total.
+    Reachable totals are the bits of a number, kept before each size for the way back.
     """
-    reach = np.full(capacity + 1, -1, np.int32)  # the size that reached this total last
-    used = np.zeros(capacity + 1, np.int32)
-    reach[0] = len(sizes)
-    for i in np.argsort(-sizes, kind="stable"):
-        s, c = int(sizes[i]), int(counts[i])
-        if not c:
+    totals, mask, before = 1, (1 << room + 1) - 1, []
+    for i, s in enumerate(sizes):
+        rest = min(counts[i], room // s)
+        if not rest:
             continue
-        used[:] = 0
-        for _ in range(min(c, capacity // s)):
-            old = np.flatnonzero((reach[:-s] >= 0) & (reach[s:] < 0) & (used[:-s] < c))
-            if not len(old):
-                break
-            reach[old + s] = i
-            used[old + s] = used[old] + 1
-        if reach[capacity] >= 0:
+        before.append((i, totals))
+        step = 1
+        while rest:
+            step = min(step, rest)
+            totals |= totals << s * step & mask
+            rest -= step
+            step *= 2
+        if totals >> room:
             break
-    total = int(np.flatnonzero(reach >= 0)[-1])
-    out: dict[int, int] = {}
-    while total:
-        i = int(reach[total])
-        out[i] = out.get(i, 0) + 1
-        total -= int(sizes[i])
-    return sorted(out.items())
+    left, out = totals.bit_length() - 1, []
+    for i, old in reversed(before):
+        copies = 0
+        while not old >> left & 1:
+            left -= sizes[i]
+            copies += 1
+        if copies:
+            out.append((i, copies))
+    return out[::-1]
+
+
+def grouped(left: dict[int, int], small: int, capacity: int, groups: int) -> dict[int, list[list[int]]]:
+    """Rounded sizes of the pieces longer than small, falling, each with the [length, pieces] that it stands for, falling."""
+    total = sum(c for n, c in left.items() if small < n < capacity)
+    share, out, free, size = max(1, -(-total // groups)), {}, 0, 0
+    for n in sorted((n for n in left if small < n < capacity), reverse=True):
+        c = left[n]
+        while c:
+            if not free:
+                free, size = share, n
+            take = min(c, free)
+            of = out.setdefault(size, [])
+            if of and of[-1][0] == n:
+                of[-1][1] += take
+            else:
+                of.append([n, take])
+            c, free = c - take, free - take
+            if not free and c >= share:  # whole groups of one length at once
+                whole = c // share * share
+                of = out.setdefault(n, [])
+                if of and of[-1][0] == n:
+                    of[-1][1] += whole
+                else:
+                    of.append([n, whole])
+                c -= whole
+    return out
 
 
 class Run:
@@ -106,16 +138,23 @@ class Run:
         self.base, self.count, self.room = base, count, room
 
 
-def plan(histogram: dict[int, int], capacity: int, small: int | None = None, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+Places = list[tuple[int, int, int, int, int, int]]
+
+
+def plan(histogram: dict[int, int], capacity: int, small: int | None = None, groups: int = GROUPS) -> tuple[Places, int]:
     """Places for all pieces: (length, first rank, pieces, first sequence, copies a sequence, offset), and the number of sequences.
 
     Piece number r of a length, r from first rank on, goes to sequence first + (r - rank) // copies at
     offset + ((r - rank) % copies) * length.
     """
-    small = capacity // 16 if small is None else small
+    tries = (capacity // 16, capacity // 4, capacity // 2, capacity) if small is None else (small,)
+    return min((_plan(histogram, capacity, s, groups) for s in tries), key=lambda p: p[1])
+
+
+def _plan(histogram: dict[int, int], capacity: int, small: int, groups: int) -> tuple[Places, int]:
     left = {n: c for n, c in histogram.items() if c and n > 0}
     taken = dict.fromkeys(left, 0)
-    places: list[tuple[int, int, int, int, int, int]] = []
+    places: Places = []
     made = 0
 
     def put(n: int, count: int, base: int, copies: int, offset: int) -> None:
@@ -126,47 +165,40 @@ def plan(histogram: dict[int, int], capacity: int, small: int | None = None, gro
     if left.get(capacity):
         put(capacity, left[capacity], 0, 1, 0)
         made = taken[capacity]
-    large = sorted((n for n in left if small < n < capacity), reverse=True)
-    total = sum(left[n] for n in large)
-    share = max(1, -(-total // groups))
-    members: list[list[int]] = []
-    have = share
-    for n in large:
-        if have >= share:
-            members.append([])
-            have = 0
-        members[-1].append(n)
-        have += left[n]
-    sizes = np.array([g[0] for g in members], np.int64)
-    counts = np.array([sum(left[n] for n in g) for g in members], np.int64)
+    classes = grouped(left, small, capacity, groups)
+    sizes = list(classes)
+    counts = [sum(c for _, c in of) for of in classes.values()]
     runs: list[Run] = []
-    while counts.sum():
-        shape = fullest(sizes, np.minimum(counts, capacity), capacity)
-        times = min(int(counts[i]) // c for i, c in shape)
-        for i, c in shape:
-            counts[i] -= c * times
+    while sizes:
+        shape = dict(fullest(sizes, [counts[0] - 1, *counts[1:]], capacity - sizes[0]))
+        shape[0] = shape.get(0, 0) + 1
+        times = min(counts[i] // c for i, c in shape.items())
         done = 0
         while done < times:
             # As many of these sequences as have the same actual lengths in all places.
-            fit, content = times - done, []
-            for i, c in shape:
-                need, ahead = c, {n: left[n] for n in members[i]}
-                for n in members[i]:
-                    k = min(need, ahead[n])
+            content: list[tuple[list[int], int]] = []
+            for i, need in shape.items():
+                for of in classes[sizes[i]]:
+                    k = min(need, of[1])
                     if k:
-                        content.append((n, k))
+                        content.append((of, k))
                         need -= k
                     if not need:
                         break
-            for n, k in content:
-                fit = min(fit, left[n] // k)
+            fit = min(times - done, *(of[1] // k for of, k in content))
             offset = 0
-            for n, k in content:
-                put(n, fit * k, made, k, offset)
-                offset += n * k
+            for of, k in content:
+                put(of[0], fit * k, made, k, offset)
+                of[1] -= fit * k
+                offset += of[0] * k
             runs.append(Run(made, fit, capacity - offset))
             made += fit
             done += fit
+        for i, c in shape.items():
+            counts[i] -= c * times
+            classes[sizes[i]] = [of for of in classes[sizes[i]] if of[1]]
+        keep = [i for i, c in enumerate(counts) if c]
+        sizes, counts = [sizes[i] for i in keep], [counts[i] for i in keep]
     by_room: dict[int, list[Run]] = {}
     for r in runs:
         by_room.setdefault(r.room, []).append(r)

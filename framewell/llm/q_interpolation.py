@@ -13,5 +13,5 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, ~held_out("doc_id", 7, 2))
 
 
-#: Weights learned by EM have no SQL; tests hold counts, base scores and scores against brute force.
+#: Weights learned by EM have no SQL; tests hold counts, base scores and scores against a plain Python version.
 QUERIES = {"op8_lm_scoring": (op8_lm_scoring, None)}

@@ -25,8 +25,11 @@ v AS (SELECT doc_id, template, label, exact, grams, diagonal, list(DISTINCT plac
 p AS (SELECT doc_id, label, exact, diagonal AS b, 1.0::DOUBLE AS share FROM v WHERE exact AND len(places) = grams),
 l AS (SELECT *, CASE WHEN abs(diagonal - lag(diagonal) OVER r) <= {DRIFT} AND lo - lag(hi) OVER r <= grams THEN 0 ELSE 1 END AS new FROM v WHERE NOT exact WINDOW r AS (PARTITION BY doc_id, template ORDER BY lo, diagonal)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY lo, diagonal) AS span FROM l),
-m AS (SELECT doc_id, label, exact, grams, len(list_distinct(flatten(list(places)))) AS got FROM s GROUP BY doc_id, template, label, exact, grams, span),
-f AS (SELECT doc_id, label, exact, b, share FROM p UNION ALL SELECT doc_id, label, exact, NULL, got / grams FROM m WHERE got / grams >= {COVER}),
+m AS (SELECT doc_id, template, label, exact, len(list_distinct(flatten(list(places)))) / grams AS share, min(lo) AS a, max(hi) + {GRAM - 1} AS z FROM s GROUP BY doc_id, template, label, exact, grams, span),
+o AS (SELECT *, CASE WHEN a > max(z) OVER (PARTITION BY doc_id ORDER BY a, z, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS apart FROM m WHERE share >= {COVER}),
+k AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id ORDER BY a, z, template ROWS UNBOUNDED PRECEDING) AS heap FROM o),
+x AS (SELECT *, max(share) OVER (PARTITION BY doc_id, heap) AS best FROM k),
+f AS (SELECT doc_id, label, exact, b, share FROM p UNION ALL SELECT doc_id, label, exact, NULL, share FROM x WHERE share = best),
 d AS (SELECT doc_id, count(b) AS n_base, min(b) AS first_word, max(b) AS last_word, coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (exact)), ','), '') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score FROM f GROUP BY 1)
 SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM w LEFT JOIN d USING (doc_id)
 """

@@ -17,7 +17,7 @@ earlier start) is removed; strings never cross documents and are judged on the i
 
 Identifiers of whole contexts and of hot windows are 64-bit polynomial hashes over at most 2 * length bytes.
 
-Null text is empty. Texts shorter than ``length`` are kept. Rows that repeat a doc_id are documents of their own, in
+Null text is empty. Texts shorter than ``length`` are kept; very long ones are anchored whole. Rows that repeat a doc_id are documents of their own, in
 the order of their texts; a null doc_id comes before all others. ``dedup`` returns whole rows in a struct, so other
 columns pass through whatever their names.
 """
@@ -63,13 +63,15 @@ def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return np.mod(T.spark_xxhash64(ids), blocks).astype(np.int64)
 
 
-def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
-    out, have = a, 1
+def sliding_least(a: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each window of a stands, the first one on ties."""
+    out, at, have = a, np.arange(len(a), dtype=np.int32 if len(a) < 1 << 31 else np.int64), 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out[:-step], out[step:])
+        left = out[:-step] <= out[step:]
+        out, at = np.where(left, out[:-step], out[step:]), np.where(left, at[:-step], at[step:])
         have += step
-    return out
+    return at
 
 
 def find_anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
@@ -84,14 +86,13 @@ def find_anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     prefix = T.prefix_hash(buf)
     _, down = T.powers(len(prefix))
     hashes = T.mix((prefix[core:] - prefix[:-core]) * down[: len(prefix) - core])
-    bits = T.U64(int(len(buf)).bit_length())
-    least = sliding_min((hashes >> bits << bits) | np.arange(len(hashes), dtype=T.U64), width)
+    least = sliding_least(hashes, width)
     ok = np.zeros(len(least) + 1, np.int32)
     has = size >= length
     np.add.at(ok, offset[:-1][has], 1)
     np.add.at(ok, offset[1:][has] - length + 1, -1)
     at = np.flatnonzero(np.cumsum(ok[:-1]))
-    anchor = (least[at] & ((T.U64(1) << bits) - T.U64(1))).astype(np.int64)
+    anchor = least[at].astype(np.int64)
     edge = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(at) != 1), [True]]))
     lo, hi, anchor = at[edge[:-1]], at[edge[1:] - 1], anchor[edge[:-1]]
     context = T.mix(T.span_hash(prefix, lo, hi + length) + ((anchor - lo) * 256 + (hi - lo)).astype(T.U64))

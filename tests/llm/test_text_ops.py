@@ -191,14 +191,52 @@ def test_plan_places_every_piece_once(lengths):
     assert made <= max(-(-sum(lengths) // 1024) * 1.12 + 1, sum(n > 512 for n in lengths))
 
 
+def best_fit_decreasing(lengths, capacity):
+    """Sequences that plain best-fit decreasing opens."""
+    rooms = Counter()
+    for n in sorted(lengths, reverse=True):
+        room = min((r for r in rooms if r >= n), default=None)
+        if room is not None:
+            rooms[room] -= 1
+            rooms += Counter()
+        rooms[(capacity if room is None else room) - n] += 1
+    return sum(rooms.values())
+
+
+@pytest.mark.parametrize("low, high, count", [(65, 1023, 5000), (1, 1024, 3000), (300, 700, 3000), (1, 200, 5000)])
+def test_plan_is_no_worse_than_best_fit_decreasing(low, high, count):
+    lengths = np.random.default_rng(low).integers(low, high, count).tolist()
+    made = packing.plan(dict(Counter(lengths)), 1024)[1]
+    assert -(-sum(lengths) // 1024) <= made <= best_fit_decreasing(lengths, 1024)
+
+
+def test_plan_of_the_documents(spark):
+    from framewell.llm.tokens import byte_bpe, default_paths
+
+    bpe = byte_bpe(*default_paths())
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    lengths = [n for t in texts for n in packing.cut_lengths(len(bpe.document(t)), 1024)]
+    assert packing.plan(dict(Counter(lengths)), 1024)[1] <= best_fit_decreasing(lengths, 1024)
+
+
+def test_groups_are_of_equal_cardinality():
+    left = dict(Counter(np.random.default_rng(4).integers(65, 1023, 10_000).tolist()))
+    classes = packing.grouped(left, 64, 1024, 100)
+    assert sum(c for of in classes.values() for _, c in of) == 10_000 and all(n <= s for s, of in classes.items() for n, _ in of)
+    assert all(sum(c for _, c in of) % 100 == 0 for of in classes.values())
+
+
+SPECIAL = [(5000, "before <|endoftext|> after", None, "s", 1, 1, "k", 2, b"x", "clash", 3, "clash"), (5001, "<|endoftext|>", None, "s", 1, 1, "k", 2, b"x", "clash", 3, "clash")]
+
+
 def test_packing_ids_and_layout(spark):
     docs = odd_docs(spark)
+    docs = docs.union(spark.createDataFrame(SPECIAL, docs.schema))
     from tokenizers import Tokenizer
 
     import public_tokenizers
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     out = packing.pack_documents(docs, 256).collect()
     by = defaultdict(list)
     for r in out:
@@ -242,19 +280,33 @@ def test_wordpiece_equals_greedy(spark):
 
 
 def test_shards_read_back(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
     docs = odd_docs(spark)
-    manifest, folder = order.materialise(docs, length=64, shard_rows=10)
-    rows = manifest.collect()
-    n = len(rows)
-    assert sorted(r.slot for r in rows) == list(range(n))
+    docs = docs.union(spark.createDataFrame(SPECIAL, docs.schema)).union(docs.where("doc_id = 7")).union(docs.where("doc_id = 8").selectExpr("NULL", *docs.columns[1:]))
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = sorted(((r.doc_id, r.h, r.text or "") for r in docs.selectExpr("doc_id", "xxhash64(text) AS h", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    stream = [(d, x) for d, _, t in rows for x in [*tok.encode(t, add_special_tokens=False).ids, 2]]
+    n = -(-len(stream) // 64)
+    found = []
+    for parts in (1, 3, 50):
+        manifest, folder = order.materialise(docs.repartition(parts), length=64, shard_rows=10)
+        found.append(sorted((r.slot, r.shard, r.byte_offset, r.n_ids, r.ids_crc32, tuple(r.doc_ids)) for r in manifest.collect()))
+    assert found[0] == found[1] == found[2] and [r[0] for r in found[0]] == list(range(n))
     raw = {}
     for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(folder).collect():
         raw[int(re.search(r"shard=(\d+)", r.path)[1])] = bytes(r.content)
     assert all(len(v) % 129 == 0 for v in raw.values()) and sum(len(v) for v in raw.values()) == 129 * n
-    for r in rows:
-        ids = raw[r.shard][r.byte_offset : r.byte_offset + 2 * r.n_ids]
-        assert r.shard == r.slot // 10 and zlib.crc32(ids) == r.ids_crc32
-    assert {d for r in rows for d in r.doc_ids} == {d.doc_id for d in docs.collect()}
+    at = order.feistel(np.arange(n), n, 20_240_601)
+    for number, slot in enumerate(at.tolist()):
+        own = stream[64 * number : 64 * number + 64]
+        _, shard, offset, n_ids, crc, held = found[0][slot]
+        ids = np.frombuffer(raw[shard][offset : offset + 128], "<u2").tolist()
+        assert shard == slot // 10 and ids == [x for _, x in own] + [order.PAD] * (64 - len(own)) and n_ids == len(own)
+        assert crc == zlib.crc32(np.array(ids[:n_ids], "<u2").tobytes())
+        ends = [i for i, (_, x) in enumerate(own[:-1]) if x == 2]
+        assert list(held)[0] == own[0][0] and set(held) == {d for d, _ in own} and len(held) >= len({d for d, _ in own}) and len(ends) >= len(held) - 1
     m, f = order.materialise(empty(spark))
     assert m.collect() == [] and f is None
 
@@ -279,6 +331,17 @@ def test_licenses_count_consecutive_words(spark):
     assert licenses.license_digest(empty(spark)).collect() == [] and licenses.license_digest(repeated(spark)).count() == repeated(spark).count()
 
 
+def test_each_notice_gets_its_own_label_only(spark):
+    own = [(i, f"Some words before. {body.upper()} and some after", label) for i, (body, label) in enumerate(licenses.NOTICES)]
+    got = {r.doc_id: r.labels for r in licenses.license_digest(spark.createDataFrame(own, "doc_id long, text string, label string")).collect()}
+    for i, _, label in own:
+        assert label in got[i].split(",") and set(got[i].split(",")) <= {label, *(x for p, x in licenses.PHRASES if p in own[i][1].lower())}
+    whole = spark.createDataFrame([(" ".join(f"clause{i} of the long text" for i in range(300)), "own")], "body string, label string")
+    text = whole.first().body
+    docs = spark.createDataFrame([(1, f"x {text} y"), (2, text[:1000]), (3, text[:8000])], "doc_id long, text string")
+    assert [r.labels for r in licenses.license_digest(docs, notices=whole).orderBy("doc_id").collect()] == ["own", "", "own"]
+
+
 def test_decontamination_matches_all_windows(spark):
     rows = [(r.doc_id, r.text) for r in odd_docs(spark).collect()]
     item = " ".join(words(rows[1][1])[:40])
@@ -309,38 +372,115 @@ def test_decontamination_matches_all_windows(spark):
     assert decontam.contaminated(empty(spark), bench).collect() == [] and decontam.contaminated(docs, bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("size", [60, 150, 400])
+def test_near_copies_of_long_items_are_found(size):
+    """Windows near similarity 0.8, one edit of adjoining words: almost all lie within the radius."""
+    rng = random.Random(size)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    index = decontam.Index([(1, " ".join(item).encode())])
+    found = 0
+    for _ in range(200):
+        edit = int((size - 4) / 9) - 4 if size > 80 else 2
+        at = rng.randrange(size - edit)
+        own = [f"v{rng.randrange(10**6)}" for _ in range(30)] + item[:at] + [f"u{rng.randrange(10**6)}" for _ in range(edit)] + item[at + edit :]
+        words = T.Words([" ".join(own).encode()], decontam.GAPS)
+        grams = decontam.shingles(words.hash)
+        found += bool(index.matches(words.hash, np.isin(grams, index.grams), 0.8))
+    assert found >= 197
+
+
+def test_decontamination_in_slices_and_of_null_ids(spark, monkeypatch):
+    rng = random.Random(4)
+    item = prose(rng, 40)
+    long = f"{prose(rng, 90_000)} {item} {prose(rng, 90_000)}"
+    bench = spark.createDataFrame([(None, item), (-1, "six words that stand quite alone")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, long), (None, item), (1, long), (2, None), (3, "")], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.item_id, r.start_word, r.similarity) for r in decontam.contaminated(docs, bench).collect()), key=str)
+    assert got == [(0, None, 0, 1.0), (1, None, 90_000, 1.0), (1, None, 90_000, 1.0)]
+
+
 def test_hamming_blocks_find_all_within_radius():
     rng = np.random.default_rng(2)
     items = [(i, " ".join(f"w{rng.integers(500)}" for _ in range(20)).encode()) for i in range(30)]
     index = decontam.Index(items)
     prints = index.prints[rng.integers(0, 30, 200)].copy()
     for i in range(200):
-        for b in rng.choice(64, rng.integers(0, 14), replace=False):
+        for b in rng.choice(64, rng.integers(0, 18), replace=False):
             prints[i] ^= np.uint64(1) << np.uint64(b)
     got = set(zip(*(x.tolist() for x in index.near(20, prints)[:2])))
     assert got == {(i, j) for i in range(200) for j in range(30) if int(np.bitwise_count(prints[i] ^ index.prints[j])) <= decontam.RADIUS}
 
 
+def deleted_interpolation(rows):
+    """Counts, base and model scores of (key, words, train) rows in plain Python, EM on the same half-bit bins."""
+    end = None
+    grams = lambda w: [((w[i],), (("^",) if i < 1 else (w[i - 1],)) + (w[i],), (("^",) if i < 1 else ("^", w[0]) if i < 2 else (w[i - 2], w[i - 1])) + (w[i],)) for i in range(len(w))]
+    counts, texts = Counter(), 0
+    for _, w, train in rows:
+        if train:
+            texts += 1
+            counts.update(x for t in grams([*w, end]) for x in enumerate(t))
+    one = {g: c for g, c in counts.items() if g[0] == 0}
+    n, v = sum(one.values()), len(one)
+
+    def parts(t, less):
+        c1, c2 = ((texts if g == ("^",) else counts[k, g]) - less for k, g in ((0, t[1][:-1]), (1, t[2][:-1])))
+        k = [counts[x] - less for x in enumerate(t)]
+        bucket = min(c2.bit_length(), 39) if c2 > 0 else 40 + min(c1.bit_length(), 39)
+        return bucket, [k[2] / c2 if c2 > 0 else 0.0, k[1] / c1 if c1 > 0 else 0.0, k[0] / max(n - less, 1)]
+
+    near = lambda p: 2 ** (-min(max(float(np.round(-2 * math.log2(p))), 0), 62) / 2) if p > 0 else 0.0
+    cells = Counter()
+    for _, w, train in rows:
+        if train:
+            for t in grams([*w, end]):
+                b, p = parts(t, 1)
+                cells[b, *(near(x) for x in p), 1 / (v + 1)] += 1
+    start = {b: [0.4 * (b < 40 and b != 0), 0.3 * (b not in (0, 40)), 0.25, 0.05] for b in range(80)}
+    weight = {b: [x / sum(s) for x in s] for b, s in start.items()}
+    for _ in range(40):
+        total = {b: [0.1 * x for x in s] for b, s in start.items()}
+        for (b, *p), c in cells.items():
+            mix = [x * y for x, y in zip(weight[b], p)]
+            for k in range(4):
+                total[b][k] += c * mix[k] / sum(mix)
+        weight = {b: [x / sum(s) for x in s] for b, s in total.items()}
+    out = {}
+    for key, w, _ in rows:
+        ts = grams([*w, end])
+        score = sum(math.log10(sum(x * y for x, y in zip(weight[b], [*p, 1 / (v + 1)]))) for b, p in (parts(t, 0) for t in ts))
+        out[key] = (len(ts), sum(counts[0, t[0]] > 0 for t in ts), n, sum(math.log10((counts[0, t[0]] + 1) / (n + v + 1)) for t in ts), score)
+    return out
+
+
 def test_language_model_scores(spark):
     docs = odd_docs(spark)
+    docs = docs.union(docs.where("doc_id = 6").selectExpr("NULL", *docs.columns[1:]))
     got = {r.doc_id: r for r in interpolation.score_documents(docs, ~language.held_out("doc_id", 7, 2)).collect()}
-    rows = [(r.doc_id, [*words(r.text), None]) for r in docs.collect()]
-    train = [(d, w) for d, w in rows if zlib.crc32(str(d).encode()) % 7 != 2]
-    one = Counter(x for _, w in train for x in w)
-    n, v = sum(one.values()), len(one)
-    for d, w in rows:
-        r = got[d]
-        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(one[x] > 0 for x in w), n) and r.base_score == pytest.approx(base) and r.score < 0
-    held = [got[d] for d, _ in rows if got[d].held_out]
+    want = deleted_interpolation([(r.doc_id, words(r.text), r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 7 != 2) for r in docs.collect()])
+    assert set(got) == set(want) and got[None].held_out
+    for key, w in want.items():
+        r = got[key]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3] and r.base_score == pytest.approx(w[3]) and r.score == pytest.approx(w[4], rel=1e-6)
+    held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert interpolation.score_documents(empty(spark), ~language.held_out()).collect() == []
     assert interpolation.score_documents(repeated(spark), ~language.held_out()).count() == repeated(spark).count()
 
 
+def test_language_model_tells_repeated_texts_apart(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 80) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts[:20])]
+    got = {r.doc_id: r.score / r.n_tokens for r in interpolation.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), ~language.held_out("doc_id", 7, 2)).collect()}
+    twice = [got[i] for i in range(20) if all(zlib.crc32(str(j).encode()) % 7 != 2 for j in (i, 1000 + i))]
+    assert min(twice) > max(got[i] for i in range(20, 150) if zlib.crc32(str(i).encode()) % 7 == 2)
+
+
 def test_em_weights_are_distributions():
-    w = interpolation.learn_weights(np.array([3 * 160 * 160 + 5 * 160 + 40, 7 * 160 * 160 + 20]), np.array([10, 5]), 100)
-    assert np.allclose(w.sum(1), 1) and w[0, 0] == 0 and (w >= 0).all()
+    b = interpolation.BINS
+    w = interpolation.learn_weights(np.array([((3 * b + 4) * b + 5) * b + 40, ((45 * b) * b + 9) * b + 20]), np.array([10, 5]), 100)
+    assert np.allclose(w.sum(1), 1) and (w[[0, interpolation.DIGITS], :2] == 0).all() and (w[interpolation.DIGITS :, 0] == 0).all() and (w >= 0).all()
 
 
 def test_language_held_out_accuracy(spark):
@@ -350,6 +490,22 @@ def test_language_held_out_accuracy(spark):
     assert sum(r.lang_pred == r.doc.lang for r in out) >= 0.95 * len(out) and not any(r.lang_rejected for r in out if len(r.doc.text) > 200)
 
 
+def test_language_slices_change_nothing(monkeypatch):
+    text = ("The quick brown fox\njumped over the lazy dog and " * 200).encode()
+    whole = language.counted(text)
+    monkeypatch.setattr(language, "SLICE", 300)
+    assert language.slices(text, 300)[1][:1] in (b" ", b"\n") and b"".join(language.slices(text, 300)) == text
+    parts = np.zeros(language.BUCKETS, np.int64)
+    for p in language.slices(text, 300):
+        parts += np.bincount(language.subwords([p])[0], minlength=language.BUCKETS)
+    assert (np.flatnonzero(parts) == whole[0]).all() and (parts[whole[0]] == whole[1]).all()
+
+
+def test_null_ids_are_held_out(spark):
+    docs = spark.createDataFrame([(None, "some text"), (3, "b"), (6, "c")], "doc_id long, text string")
+    assert [r.h for r in docs.select(language.held_out().alias("h")).collect()] == [zlib.crc32(b"3") % 4 == 2 if d == 3 else zlib.crc32(b"6") % 4 == 2 if d == 6 else True for d in (None, 3, 6)]
+
+
 def test_language_bears_odd_rows(spark):
     docs = repeated(spark)
     model = language.fit(docs, ~language.held_out())
@@ -358,6 +514,7 @@ def test_language_bears_odd_rows(spark):
     for r in out:
         letters = any(c.isalpha() for c in r.doc.text or "")
         assert (r.lang_pred == "und") == (not letters) and 0 <= r.lang_score <= 1 and (letters or r.lang_rejected)
+        assert r.lang_rejected == (r.lang_score < 0.5)
     assert language.fit(empty(spark), ~language.held_out()) is None
     assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
     assert language.identify(empty(spark), model).collect() == []
