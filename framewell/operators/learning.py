@@ -1,4 +1,4 @@
-"""Model fitting, folds and graph planning (L01-L12 and L15 of the survey; L13 and L14 are missing)."""
+"""Model fitting, folds and graph planning (L01-L12 and L15 of the survey; L13 is in rules, L14 in profile)."""
 
 from __future__ import annotations
 
@@ -30,6 +30,16 @@ def predict(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     return df
 
 
+def save_models(models: dict[str, PipelineModel], path: str) -> None:
+    """All heads below one path, for scoring jobs."""
+    for name, m in models.items():
+        m.write().overwrite().save(f"{path}/{name}")
+
+
+def load_models(path: str, heads: list[str]) -> dict[str, PipelineModel]:
+    return {name: PipelineModel.load(f"{path}/{name}") for name in heads}
+
+
 def out_of_fold(df: DataFrame, features: list[str], target: str, fold: str, folds: int, **fit) -> DataFrame:
     """Each row predicted by a model that has not seen its fold, missing features by the other folds' medians."""
     parts = None

@@ -78,6 +78,34 @@ def drift(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("severity", F.when(F.col("score") >= 55, "high").when(F.col("score") >= 30, "medium").otherwise("low"))
 
 
+def emotion_summary(df: DataFrame, keys: list[str], valence: str = "valence", arousal: str = "arousal", chances: str = "chances", micro: str | None = None) -> DataFrame:
+    """Stress, confidence, tension and nervousness of a valence and arousal series (L14), each a mean of shares in 0..1.
+
+    ``chances`` maps emotion names to probabilities, a missing one is 0, as is a missing valence or arousal. ``micro`` is
+    the rate of microexpressions a second, constant in a key, or none. One aggregation a key; nothing is collected.
+    """
+    v, a = F.coalesce(finite(valence), F.lit(0.0)), F.coalesce(finite(arousal), F.lit(0.0))
+    p = lambda *names: F.avg(sum((F.coalesce(F.try_element_at(F.col(chances), F.lit(n)), F.lit(0.0)) for n in names), F.lit(0.0)))
+    share = lambda c: F.avg(c.cast("double"))
+    sums = df.groupBy(*keys).agg(
+        F.count("*").alias("n"), ((F.var_pop(v) + F.var_pop(a)) / 2).alias("_var"), share((a > 0.3) & (v < 0)).alias("_low"), p("Fear", "Anger").alias("_fa"), share(v > 0.2).alias("_pos"),
+        share((a > -0.2) & (a < 0.5)).alias("_mid"), p("Happy", "Neutral").alias("_hn"), share(a > 0.4).alias("_high"), p("Sad", "Anger", "Fear").alias("_neg"), p("Fear", "Surprise").alias("_fs"),
+        (F.max(micro) if micro else F.lit(None).cast("double")).alias("_micro"),
+    )
+    top = lambda c, by: F.least(F.lit(1.0), c * by)
+    c = F.col
+
+    def mean(parts: list[Column], rate: float | None = None) -> Column:
+        plain = sum(parts, F.lit(0.0)) / len(parts)
+        with_micro = (sum(parts, F.lit(0.0)) + F.least(F.lit(1.0), c("_micro") / rate)) / (len(parts) + 1) if rate else plain
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(c("_micro").isNotNull(), with_micro).otherwise(plain)))
+
+    return sums.select(
+        *keys, "n", mean([c("_low"), c("_fa"), top(c("_var"), 2.0)], 2.0).alias("stress"), mean([c("_pos"), c("_mid"), c("_hn"), 1 - top(c("_var"), 1.0)]).alias("confidence"),
+        mean([c("_high"), 1 - top(c("_var"), 2.0), c("_neg")]).alias("tension"), mean([top(c("_var"), 3.0), c("_high"), c("_fs")], 1.5).alias("nervousness"),
+    )
+
+
 def first_non_empty(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
     """Per key and column the first value, in order, that is not empty text."""
     keep = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))

@@ -99,6 +99,18 @@ def apply_rules(long: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.select("component", "column", "raw", warning.alias("warning"))
 
 
+def validate(wide: DataFrame, keys: list[str], ranges: list[tuple[str, float, float, str]], crosses: list[tuple[str, str, Column]] = ()) -> DataFrame:
+    """Issues of each row (L13): (feature, low, high, severity) for values outside a closed range or not finite, and
+    (name, severity, failing condition) over several columns. NULL breaks no range, and a condition that is NULL holds
+    no issue. keys, feature, severity, value.
+    """
+    none = F.lit(None).cast("struct<feature: string, severity: string, value: double>")
+    issue = lambda name, severity, bad, value: F.when(bad, F.struct(F.lit(name).alias("feature"), F.lit(severity).alias("severity"), value.cast("double").alias("value"))).otherwise(none)
+    found = [issue(f, s, F.col(f).isNotNull() & (finite(f).isNull() | ~F.col(f).between(lo, hi)), F.col(f)) for f, lo, hi, s in ranges]
+    found += [issue(n, s, bad, F.lit(None)) for n, s, bad in crosses]
+    return wide.select(*keys, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x")).select(*keys, "x.*")
+
+
 def flatten_meta(df: DataFrame, key: str, meta: str, longest: int = 40) -> DataFrame:
     """Map entries as rows: booleans as 0 and 1, numbers, short strings."""
     rows = df.select(key, F.explode(meta).alias("name", "raw"))

@@ -84,14 +84,14 @@ BLOCK_ROWS = 8_192
 _SCORES = 1 << 21
 
 
-def _unit(t: pa.Table, name: str) -> np.ndarray:
+def _matrix(t: pa.Table, name: str, unit: bool = True) -> np.ndarray:
     v = t[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(t.num_rows, -1)
-    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True)) if unit else v
 
 
-def _scores(q: pa.Table, g: pa.Table, exclude_self: bool):
-    """First row and matrix of cosines rounded to 12 digits, chunk by chunk; -inf where a row meets itself."""
-    a, b = _unit(q, "_qv"), _unit(g, "_gv").T
+def _scores(q: pa.Table, g: pa.Table, exclude_self: bool, unit: bool = True):
+    """First row and matrix of cosines (inner products unless unit) rounded to 12 digits, chunk by chunk; -inf where a row meets itself."""
+    a, b = _matrix(q, "_qv", unit), _matrix(g, "_gv", unit).T
     own = pc.fill_null(pc.index_in(q["_q"], value_set=g["_g"].combine_chunks()), -1).to_numpy(zero_copy_only=False) if exclude_self else None
     step = max(1, _SCORES // g.num_rows)
     for lo in range(0, q.num_rows, step):
@@ -103,10 +103,10 @@ def _scores(q: pa.Table, g: pa.Table, exclude_self: bool):
         yield lo, s
 
 
-def _best_of_block(k: int, exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
+def _best_of_block(k: int, exclude_self: bool, unit: bool, q: pa.Table, g: pa.Table) -> pa.Table:
     g = g.sort_by("_g")
     rows, cols, values = [np.empty(0, "int64")], [np.empty(0, "int64")], [np.empty(0)]
-    for lo, s in _scores(q, g, exclude_self) if q.num_rows and g.num_rows else ():
+    for lo, s in _scores(q, g, exclude_self, unit) if q.num_rows and g.num_rows else ():
         if s.shape[1] > k:
             least = np.partition(s, s.shape[1] - k, axis=1)[:, -k, None]
             keep = s >= least
@@ -150,10 +150,13 @@ def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def top_k_cosine_all(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, k: int, exclude_self: bool = False) -> DataFrame:
-    """As top_k_cosine, for many queries against many vectors: blocks meet as matrices, nothing is left out."""
+def top_k_cosine_all(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, k: int, exclude_self: bool = False, unit: bool = True) -> DataFrame:
+    """As top_k_cosine, for many queries against many vectors: blocks meet as matrices, nothing is left out.
+
+    With unit False the score is the plain inner product.
+    """
     schema = f"_q {_kind(queries, qid)}, _g {_kind(gallery, gid)}, score double"
-    best = _met(queries, gallery, qid, gid, vector).applyInArrow(partial(_best_of_block, k, exclude_self), schema)
+    best = _met(queries, gallery, qid, gid, vector).applyInArrow(partial(_best_of_block, k, exclude_self, unit), schema)
     return top_k(best, ["_q"], [F.desc("score"), F.col("_g")], k).select(F.col("_q").alias(qid), "rank", F.col("_g").alias(gid), "score")
 
 
@@ -252,6 +255,29 @@ def uniqueness(df: DataFrame, keys: list[str], item: str, vector: str, repeat: f
     return near.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col("_m") >= repeat).cast("int")).alias("repetition_ratio"), F.percentile("_m", F.lit(0.95)).alias("p95_similarity"), (1 - F.avg("_a")).alias("diversity"))
 
 
+def mean_similarity(df: DataFrame, keys: list[str], item: str, vector: str) -> DataFrame:
+    """Mean cosine of each vector to the others of its key (J16): from the key's mean vector, so no pair is formed.
+
+    The sum of a unit vector's products with all others is its product with their sum. NULL where it is alone.
+    """
+    unit = df.where(usable(vector) & (norm(vector) > 0)).select(*keys, item, normalise(vector).alias("_v"))
+    mean = mean_vector(unit, keys, "_v", unit=False).join(unit.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
+    all_of = F.col("_n") * dot("_v", "vector") - dot("_v", "_v")
+    return unit.join(mean, keys).select(*keys, item, F.try_divide(all_of, F.col("_n") - 1).alias("mean_similarity"))
+
+
+def cosine_pairs(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Cosines of all pairs of the named vector columns (V03): columns a_b, NULL by the rules of ``cosine``."""
+    return df.select(*keys, *(cosine(a, b).alias(f"{a}_{b}") for i, a in enumerate(names) for b in names[i + 1 :]))
+
+
+def cosine_to_mean(one: DataFrame, many: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    """Cosine of a key's vector with the mean of the unit vectors of its many rows, and how many they are (V05); 0 without any."""
+    unit = many.where(usable(vector) & (norm(vector) > 0)).select(*keys, normalise(vector).alias(vector))
+    mean = mean_vector(unit, keys, vector).join(unit.groupBy(*keys).agg(F.count("*").alias("n_many")), keys)
+    return one.join(mean, keys, "left").select(*keys, F.coalesce("n_many", F.lit(0)).alias("n_many"), cosine(vector, "vector").alias("cosine"))
+
+
 def _vector_ids(vectors: pd.Series) -> pd.Series:
     return vectors.map(lambda v: None if v is None else hashlib.sha256(np.asarray(v, dtype="<f4").tobytes()).hexdigest()[:24])
 

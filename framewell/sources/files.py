@@ -15,9 +15,11 @@ from pyspark.sql.window import Window
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder name under the cluster's spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """A fresh folder name under the cluster's spark.checkpoint.dir; only a local session may do without it, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="framewell-")
     return f"{base.rstrip('/')}/framewell-{uuid.uuid4().hex}"
 
@@ -35,6 +37,50 @@ def read_dataset(spark: SparkSession, path: str, schema: str | None = None) -> D
     raise ValueError(f"no reader for {path}")
 
 
+def require_columns(df: DataFrame, needed: list[str]) -> DataFrame:
+    """df, or an error that names the columns it lacks."""
+    lacking = [c for c in needed if c not in df.columns]
+    if lacking:
+        raise ValueError(f"columns are missing: {', '.join(lacking)}")
+    return df
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Parquet, CSV or JSON lines by suffix (S17); nested columns go to CSV as JSON text."""
+    suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if suffix == "csv":
+        flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("struct", "array", "map") else F.col(f"`{f.name}`") for f in df.schema]
+        df.select(*flat).write.mode("overwrite").csv(path, header=True)
+    elif suffix in ("jsonl", "json", "ndjson"):
+        df.write.mode("overwrite").json(path)
+    elif suffix == "parquet":
+        df.write.mode("overwrite").parquet(path)
+    else:
+        raise ValueError(f"no writer for {path}")
+
+
+def put_files(spark: SparkSession, root: str, files: dict[str, bytes]) -> None:
+    """A handful of small files at given paths below root, through Hadoop's file systems (S16); tables are written by Spark."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name, data in files.items():
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        stream = path.getFileSystem(conf).create(path, True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+
+
+def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """path and length of all files below root, on any store that Spark reads (S15, S16); contents stay where they are."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", "length")
+
+
+def write_results(df: DataFrame, path: str) -> None:
+    """A compressed result store (S20): gzip JSON lines, which appear only when Spark's committer ends the job."""
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
 MANIFEST = "run struct<platform_id: string, video_id: string, run_id: string, config_hash: string, created_at: string, frames_dir: string>, components array<struct<name: string, status: string, duration_ms: bigint, device_used: string, artifacts array<struct<type: string, path: string>>>>"
 MANIFEST = MANIFEST.replace("artifacts array", "artifacts: array")
 

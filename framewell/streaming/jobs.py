@@ -24,11 +24,11 @@ def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
         stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
-    def last(df: DataFrame, _: int) -> None:
-        df.write.mode("overwrite").parquet(f"{folder}/out")
-
-    stream.writeStream.outputMode(mode).foreachBatch(last).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    # In complete mode each batch is the whole result; the last confirmed one counts, so a failed write loses nothing.
+    stream.writeStream.outputMode(mode).foreachBatch(confirmed_sink(folder)).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    rows = confirmed(spark, folder, stream.schema)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == F.lit(last)).drop("batch")
 
 
 def dedup(stream: DataFrame, keys: list[str], t: str, late: str) -> DataFrame:
@@ -54,17 +54,60 @@ def not_completed(stream: DataFrame, done: DataFrame, keys: list[str]) -> DataFr
     return stream.join(done.select(*keys), keys, "left_anti")
 
 
-def idempotent_sink(write: Callable[[DataFrame, int], None], seen: set[int]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that skips a batch it has confirmed before."""
+def confirmed_sink(folder: str, confirm: Callable[[int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function whose batches count once, also after a restart.
+
+    A batch's rows go to a folder named by its id, which a repeated batch overwrites; a mark beside them is written
+    last. Readers see marked batches only. ``confirm`` is called between both, for the caller's own acknowledgement.
+    """
 
     def sink(df: DataFrame, batch: int) -> None:
-        if batch not in seen:
-            write(df, batch)
-            seen.add(batch)
+        df.write.mode("overwrite").parquet(f"{folder}/data/batch={batch}")
+        if confirm:
+            confirm(batch)
+        df.sparkSession.range(1).select(F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{folder}/done/batch={batch}")
 
     return sink
 
 
+def confirmed(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """Rows of the batches that were confirmed, with the batch's number."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/data")
+    rows = rows.withColumn("batch", F.regexp_extract("_metadata.file_path", r"batch=(\d+)", 1).cast("long"))
+    done = spark.read.schema("batch long").option("recursiveFileLookup", True).parquet(f"{folder}/done").distinct()
+    return rows.join(done, "batch", "left_semi")
+
+
+def run_confirmed(stream: DataFrame, folder: str, confirm: Callable[[int], None] | None = None) -> DataFrame:
+    """Process what is there now into a confirmed sink with its checkpoint beside it; call it again to go on."""
+    writer = stream.writeStream.foreachBatch(confirmed_sink(folder, confirm)).option("checkpointLocation", f"{folder}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return confirmed(stream.sparkSession, folder, stream.schema)
+
+
+def lease_step(ttl: float) -> Callable[[tuple | None, pd.DataFrame], tuple[tuple, pd.DataFrame]]:
+    """Named leases (T07): acquire and heartbeat extend a lease that is free, expired or the owner's own; release ends it.
+
+    Rows have key, event_id, owner, action and at (seconds); state is owner and expiry.
+    """
+
+    def step(current: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        owner, until = current if current else ("", float("-inf"))
+        rows, granted = rows.sort_values(["at", "event_id"]).reset_index(drop=True), []
+        for who, action, at in zip(rows.owner, rows.action, rows["at"]):
+            free = at >= until or owner == ""
+            if action == "release":
+                ok = owner == who and not free
+                owner, until = ("", float("-inf")) if ok else (owner, until)
+            else:
+                ok = owner == who and not free or action == "acquire" and free
+                owner, until = (who, at + ttl) if ok else (owner, until)
+            granted.append(ok)
+        return (owner, until), pd.DataFrame({"key": rows.key, "event_id": rows.event_id, "granted": granted})
+
+    return step
+
+
 def stateful(stream: DataFrame, key: str, output: str, state: str, step: Callable[[tuple | None, pd.DataFrame], tuple[tuple, pd.DataFrame]], timeout_ms: int | None = None) -> DataFrame:
     """A keyed fold: step(state, rows) gives the new state and output rows; idle state goes after timeout_ms."""
 

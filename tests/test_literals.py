@@ -198,8 +198,3 @@ def test_stream_steps():
     assert state == (3, "done") and out.status[0] == "done"
     state, out = jobs.cap_step(2)((1,), rows)
     assert state == (2,) and out.accepted.tolist() == [True, False, False]
-    done, seen = [], set()
-    sink = jobs.idempotent_sink(lambda df, b: done.append(b), seen)
-    sink(None, 1)
-    sink(None, 1)
-    assert done == [1]
