@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framewell.functions.names import free
 from framewell.functions.values import finite
+from framewell.operators.ranks import percentile_of, running_sums
 
 
 def to_long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
@@ -17,11 +19,25 @@ def to_long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
 def array_summary(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Finite values only: mean, std (population), min, max, p10, p50, p90, count; is_empty and all_non_finite flags."""
     v = finite(value)
-    return df.groupBy(*keys).agg(
+    base = df.groupBy(*keys).agg(
         F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile(v, F.lit(0.1)).alias("p10"), F.percentile(v, F.lit(0.5)).alias("p50"), F.percentile(v, F.lit(0.9)).alias("p90"),
         F.count(v).alias("n"), (F.count(F.col(value)) == 0).alias("is_empty"), ((F.count(F.col(value)) > 0) & (F.count(v) == 0)).alias("all_non_finite"),
     )
+    return with_percentiles(base, df.select(*keys, v.alias("v")), keys, {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+
+
+def with_percentiles(base: DataFrame, rows: DataFrame, keys: list[str], shares: dict[str, float], distinct: str | None = None) -> DataFrame:
+    """base with exact percentiles of rows(keys, v), and the number of distinct values if named.
+
+    Values are counted first, which combines before the shuffle, and counts are summed in range partitions: no group's
+    values meet in one task.
+    """
+    counts = rows.where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    found = running_sums(counts, keys, "v", ["c"]).groupBy(*keys).agg(*(percentile_of("v", s).alias(n) for n, s in shares.items()), *([F.count("*").alias(distinct)] if distinct else []))
+    a, b, same = base.alias("a"), found.alias("b"), F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`"))
+    return a.join(b, same, "left").select(*(F.col(f"a.`{c}`") for c in base.columns), *(F.col(f"b.{n}") for n in shares), *([F.coalesce(f"b.{distinct}", F.lit(0)).alias(distinct)] if distinct else []))
 
 
 def health(nan_rate: Column, oor_rate: Column, coverage: Column, constant: Column) -> Column:
@@ -46,14 +62,14 @@ def feature_quality(long: DataFrame, keys: list[str], ranges: DataFrame | None =
     v, raw = finite("value"), F.col("value")
     out = long.groupBy(*keys).agg(
         F.count("*").alias("n_rows"), F.count(raw).alias("n_present"), F.count(F.when(F.isnan(raw), 1)).alias("n_nan"),
-        F.count(F.when(F.abs(raw) == float("inf"), 1)).alias("n_inf"), F.count(v).alias("n_finite"), F.countDistinct(v).alias("n_distinct"),
-        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.percentile(v, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias("p"),
-        F.count(F.when((v < F.col("lo")) | (v > F.col("hi")), 1)).alias("n_oor"),
+        F.count(F.when(F.abs(raw) == float("inf"), 1)).alias("n_inf"), F.count(v).alias("n_finite"),
+        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count(F.when((v < F.col("lo")) | (v > F.col("hi")), 1)).alias("n_oor"),
     )
+    out = with_percentiles(out, long.select(*keys, v.alias("v")), keys, {"p01": 0.01, "p50": 0.5, "p99": 0.99}, "n_distinct")
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
-    out = out.withColumns({"coverage": share("n_present", "n_rows"), "nan_rate": share("n_nan", "n_present"), "inf_rate": share("n_inf", "n_present"), "oor_rate": share("n_oor", "n_finite"), "is_constant": F.col("n_distinct") <= 1, "p01": F.col("p")[0], "p50": F.col("p")[1], "p99": F.col("p")[2]})
+    out = out.withColumns({"coverage": share("n_present", "n_rows"), "nan_rate": share("n_nan", "n_present"), "inf_rate": share("n_inf", "n_present"), "oor_rate": share("n_oor", "n_finite"), "is_constant": F.col("n_distinct") <= 1})
     out = out.withColumn("health", health(F.col("nan_rate"), F.col("oor_rate"), F.col("coverage"), F.col("is_constant")))
-    return out.withColumn("severity", severity(F.col("health"))).drop("p", "n_inf", "n_oor", "n_nan")
+    return out.withColumn("severity", severity(F.col("health"))).drop("n_inf", "n_oor", "n_nan")
 
 
 def ks_two_sample(a: DataFrame, b: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -63,15 +79,22 @@ def ks_two_sample(a: DataFrame, b: DataFrame, keys: list[str], value: str = "val
     """
     side = lambda df, x, y: df.select(*keys, finite(value).alias("v"), F.lit(x).alias("na"), F.lit(y).alias("nb")).where("v IS NOT NULL")
     counts = side(a, 1, 0).union(side(b, 0, 1)).groupBy(*keys, "v").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
-    upto, all_rows = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys)
-    steps = counts.select(*keys, F.sum("na").over(upto).alias("ca"), F.sum("nb").over(upto).alias("cb"), F.sum("na").over(all_rows).alias("ta"), F.sum("nb").over(all_rows).alias("tb"))
-    gap = F.max(F.abs(F.try_divide(F.col("ca").cast("double"), F.col("ta")) - F.try_divide(F.col("cb").cast("double"), F.col("tb"))))
-    return steps.groupBy(*keys).agg(F.when((F.max("ta") >= 2) & (F.max("tb") >= 2), gap).alias("ks"), F.max("ta").alias("n_a"), F.max("tb").alias("n_b"))
+    steps = running_sums(counts, keys, "v", ["na", "nb"])
+    gap = F.max(F.abs(F.try_divide(F.col("na_upto").cast("double"), F.col("na_all")) - F.try_divide(F.col("nb_upto").cast("double"), F.col("nb_all"))))
+    # The medians of both sides come from the same running sums.
+    return steps.groupBy(*keys).agg(F.when((F.max("na_all") >= 2) & (F.max("nb_all") >= 2), gap).alias("ks"), F.max("na_all").alias("n_a"), F.max("nb_all").alias("n_b"), _side_median("na").alias("p50_a"), _side_median("nb").alias("p50_b"))
+
+
+def _side_median(c: str) -> Column:
+    """Aggregate over running sums of c: the interpolated median of the side that c counts."""
+    place = (F.col(f"{c}_all") - 1) / 2
+    at = lambda i: F.max(F.when((i >= F.col(f"{c}_upto") - F.col(c)) & (i < F.col(f"{c}_upto")), F.col("v")))
+    return (at(F.floor(place)) + at(F.ceil(place))) / 2
 
 
 def drift(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Keys on both sides: coverage, nan rate, mean and median differences, KS, score and severity."""
-    one = lambda df, s: df.groupBy(*keys).agg((F.count("value") / F.count("*")).alias(f"coverage_{s}"), F.coalesce(F.try_divide(F.count(F.when(F.isnan("value"), 1)).cast("double"), F.count("value")), F.lit(0.0)).alias(f"nan_rate_{s}"), F.avg(finite("value")).alias(f"mean_{s}"), F.percentile(finite("value"), F.lit(0.5)).alias(f"p50_{s}"))
+    one = lambda df, s: df.groupBy(*keys).agg((F.count("value") / F.count("*")).alias(f"coverage_{s}"), F.coalesce(F.try_divide(F.count(F.when(F.isnan("value"), 1)).cast("double"), F.count("value")), F.lit(0.0)).alias(f"nan_rate_{s}"), F.avg(finite("value")).alias(f"mean_{s}"))
     out = one(a, "a").join(one(b, "b"), keys).join(ks_two_sample(a, b, keys), keys)
     score = 100 * (0.6 * F.coalesce("ks", F.lit(0.0)) + 0.25 * F.abs(F.col("coverage_a") - F.col("coverage_b")) + 0.15 * F.abs(F.col("nan_rate_a") - F.col("nan_rate_b")))
     out = out.withColumns({"mean_diff": F.col("mean_b") - F.col("mean_a"), "p50_diff": F.col("p50_b") - F.col("p50_a"), "score": score})
@@ -120,19 +143,18 @@ def nearest_rank(value: Column, percent: float) -> Column:
 
 def nearest_rank_table(df: DataFrame, keys: list[str], value: str, percents: list[float]) -> DataFrame:
     """As nearest_rank for many rows: value counts and running sums, no list of a group's values. keys, percent, value."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
-    upto, whole = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys)
-    counts = counts.withColumns({"hi": F.sum("c").over(upto), "n": F.sum("c").over(whole)})
+    counts = running_sums(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c")), keys, value, ["c"])
     want = counts.withColumn("percent", F.explode(F.array(*(F.lit(float(p)) for p in percents))))
-    at = F.bround(F.col("percent") / 100.0 * (F.col("n") - 1), 0)
-    return want.where((at < F.col("hi")) & (at >= F.col("hi") - F.col("c"))).select(*keys, "percent", value)
+    at = F.bround(F.col("percent") / 100.0 * (F.col("c_all") - 1), 0)
+    return want.where((at < F.col("c_upto")) & (at >= F.col("c_upto") - F.col("c"))).select(*keys, "percent", value)
 
 
 def best_run(df: DataFrame, video: str, run: str, ok: Column) -> DataFrame:
     """Per video the run with most ok components, ties to the first run id (A10)."""
     rich = df.groupBy(video, run).agg(F.count(F.when(ok, 1)).alias("richness"))
     best = Window.partitionBy(video).orderBy(F.desc("richness"), run)
-    return rich.withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r")
+    place = free(rich, "_place")
+    return rich.withColumn(place, F.row_number().over(best)).where(F.col(place) == 1).drop(place)
 
 
 def fan_out_counts(df: DataFrame, category: str, fields: list[str]) -> DataFrame:

@@ -6,17 +6,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framewell.functions.names import free
 from framewell.functions.values import finite
 
 
+def running_sums(df: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
+    """df with, for each column of ``sums``, its sum up to the row within the key in order of value (_upto) and in all (_all).
+
+    No task sees a whole key: rows go to range partitions of (key, value), which sum by themselves; what lies before
+    each partition comes from a table of one row for each key and partition. The dealt rows are written to the shared
+    folder first, so both uses see the same partitions and lost executors lose nothing. NULL keys are a key.
+    """
+    from framewell.sources.files import scratch
+
+    part, path = free(df, "_part"), scratch(df.sparkSession)
+    dealt = df.repartitionByRange(*keys, value) if keys else df.repartitionByRange(value)
+    dealt = dealt.withColumn(part, F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    totals = dealt.groupBy(*keys, part).agg(*(F.sum(s).alias(s) for s in sums))
+    totals = totals.select(*keys, part, *(F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_upto") for s in sums), *(F.sum(s).over(whole).alias(f"{s}_all") for s in sums))
+    here = Window.partitionBy(part, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    own = dealt.select(*df.columns, part, *(F.sum(s).over(here).alias(f"{s}_here") for s in sums)).alias("own")
+    base = totals.alias("base")
+    same = F.lit(True)
+    for k in (part, *keys):
+        same = same & F.col(f"own.`{k}`").eqNullSafe(F.col(f"base.`{k}`"))
+    return own.join(base, same).select(*(F.col(f"own.`{c}`") for c in df.columns), *((F.col(f"own.{s}_here") + F.col(f"base.{s}_upto")).alias(f"{s}_upto") for s in sums), *(F.col(f"base.{s}_all") for s in sums))
+
+
+def percentile_of(value: str, share: float) -> Column:
+    """Aggregate over value counts with running sums (c, c_upto, c_all): the interpolated percentile."""
+    place = F.lit(share) * (F.col("c_all") - 1)
+    at = lambda i: F.max(F.when((i >= F.col("c_upto") - F.col("c")) & (i < F.col("c_upto")), F.col(value)))
+    lo, hi, rest = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
+    return lo + (hi - lo) * rest
+
+
 def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank") -> DataFrame:
     """Average rank among equal values.
 
-    Ranks come from counts by distinct value: the ordered window runs over distinct values, not rows, and joins back.
+    Ranks come from running counts of distinct values, in range partitions, and join back. NULL values have no rank
+    and are left out.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = counts.select(*keys, value, (F.sum("_c").over(w) - (F.col("_c") - 1) / 2.0).alias(out))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
+    ranks = running_sums(counts, keys, value, ["c"]).select(*keys, value, (F.col("c_upto") - (F.col("c") - 1) / 2.0).alias(out))
     return df.join(ranks, [*keys, value])
 
 
@@ -97,12 +133,18 @@ def numbered(df: DataFrame, order: list[Column], out: str = "rn") -> DataFrame:
 
     Range partitions are sorted by themselves; the rows before each are added from a table of a row for each.
     """
-    df = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    # The split is kept, so that both uses see the same partitions.
-    df = df.persist()
-    counts = df.groupBy("_p").agg(F.count("*").alias("_c"))
-    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")).alias("_b"))
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order))).join(before, "_p").withColumn(out, F.col("_r") + F.col("_b")).drop("_p", "_r", "_b")
+    from framewell.sources.files import scratch
+
+    columns, path = df.columns, scratch(df.sparkSession)
+    part, here, ahead = (free(df, n) for n in ("_part", "_here", "_ahead"))
+    # The split is written, so that both uses see the same partitions, whatever executors are lost.
+    dealt = df.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    counts = dealt.groupBy(part).agg(F.count("*").alias("c"))
+    before = counts.select(part, (F.sum("c").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")).alias(ahead))
+    rows = dealt.withColumn(here, F.row_number().over(Window.partitionBy(part).orderBy(*order))).join(before, part)
+    return rows.select(*(F.col(f"`{c}`") for c in columns), (F.col(here) + F.col(ahead)).alias(out))
 
 
 def time_split(df: DataFrame, t: str, tie: str, train: float, valid: float) -> DataFrame:

@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framewell.functions.names import free
+
 
 def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row of each key."""
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("_r = 1").drop("_r")
+    place = free(df, "_place")
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where(F.col(place) == 1).drop(place)
 
 
 def due_entries(schedule: DataFrame, done: DataFrame, keys: list[str], due: str, now: Column) -> DataFrame:
@@ -30,7 +33,8 @@ def merge_claims(df: DataFrame, key: str, order: str, status: str, expires: str,
 
     A release or completion ends earlier claims and a claim after it counts again, so only the last row decides.
     """
-    last = df.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where("_r = 1").drop("_r")
+    place = free(df, "_place")
+    last = df.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where(F.col(place) == 1).drop(place)
     return last.where(~F.col(status).isin("done", "released") & (F.col(expires) > now))
 
 
@@ -88,11 +92,13 @@ def accept(df: DataFrame, group: str, order: str, channel: str, value: str, cap:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         kept, used, out = deque(maxlen=history), Counter(), []
+        shift = one = two = 0.0
         for c, v in zip(pdf[channel], pdf[value]):
             reason = None
             if v is not None and not math.isnan(v) and len(kept) >= least:
-                mean = sum(kept) / len(kept)
-                sd = math.sqrt(sum((x - mean) ** 2 for x in kept) / (len(kept) - 1))
+                # Sums of the kept values less their first keep digits; both are carried from row to row.
+                mean = shift + one / len(kept)
+                sd = math.sqrt(max(0.0, two - one * one / len(kept)) / (len(kept) - 1))
                 if sd > 0 and (v - mean) / sd > z:
                     reason = "outlier"
             if reason is None and used[c] >= cap:
@@ -100,7 +106,12 @@ def accept(df: DataFrame, group: str, order: str, channel: str, value: str, cap:
             if reason is None:
                 used[c] += 1
                 if v is not None and not math.isnan(v):
+                    if not kept:
+                        shift = v
+                    if len(kept) == history:
+                        one, two = one - (kept[0] - shift), two - (kept[0] - shift) ** 2
                     kept.append(v)
+                    one, two = one + (v - shift), two + (v - shift) ** 2
             out.append(reason)
         return pdf.assign(reason=out)
 

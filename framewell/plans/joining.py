@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from framewell.operators import joins as J
 from framewell.operators import setops as S
 from framewell.plans.common import table
+from framewell.sources.files import cut
 
 
 def _t(spark, sf, name):
@@ -171,7 +172,7 @@ def u07_components(spark, sf):
 
     i = _t(spark, sf, "lineitem").where("l_quantity >= 49 AND l_tax = 0.0")
     edges = i.select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 10_000_000).alias("v"))
-    return connected_components(edges, lambda d: d.checkpoint() if spark.sparkContext.getCheckpointDir() else d.cache())
+    return connected_components(edges, cut)
 
 
 def u08_incidents(spark, sf):

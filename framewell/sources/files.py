@@ -24,6 +24,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/framewell-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df written in the shared folder and read again: its lineage ends here and lost executors lose nothing."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_dataset(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet, CSV or JSON lines by suffix."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -204,7 +211,10 @@ def write_shards(df: DataFrame, path: str, category: str, shard_rows: int) -> No
 
 def latest_by_path(df: DataFrame, key: list[str]) -> DataFrame:
     """The row of the last path for each key."""
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("path")))).where("_r = 1").drop("_r")
+    from framewell.functions.names import free
+
+    place = free(df, "_place")
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("path")))).where(F.col(place) == 1).drop(place)
 
 
 def kafka_events(df: DataFrame, key: str, brokers: str, topic: str, checkpoint: str):
