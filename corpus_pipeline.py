@@ -13,7 +13,7 @@ from framewell.llm.decontam import contaminated
 from framewell.llm.jaccard import one_of_each
 from framewell.llm.language import fit, held_out, identify
 from framewell.llm.packing import pack_documents
-from framewell.llm.store import cut
+from framewell.llm.store import cut, release
 from framewell.llm.suffix import dedup
 
 
@@ -57,5 +57,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)

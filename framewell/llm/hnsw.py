@@ -3,14 +3,16 @@
 Vectors are dealt out by hash in shards of about SHARD distinct vectors. A shard's graph is kept as flat neighbour
 arrays, one row of fixed width for each node and layer, beside its vectors, in one table row. Layers are built from
 the top; nodes enter a layer in batches, each found by a beam search of many nodes at once in what stands already,
-linked to diverse near nodes and linked back. A search takes blocks of queries through each shard the same way.
+linked to diverse near nodes and linked back. A search takes packed blocks of queries through each shard the same way.
+Shards grow with the vectors a partition has, up to SHARD_MOST, so that fewer graphs answer each query at scale.
 
 Equal vectors are one node that carries the smallest ``k + 1`` of their ids, which is all that k results (and the
 query's own row left out) can need; so one vector held by a third of the rows is one node. Found vectors are scored
 by cosine in double precision on the original components; ties go to the smaller id.
 
 Vectors that are null, zero, or hold null or non-finite components take no part. Only vectors of equal dimension are
-compared. Rows that repeat an id and a vector count once. Fewer candidates than k give all. Other columns are ignored.
+compared. Rows that repeat an id and a vector count once. Fewer candidates than k give all. Other columns, whatever
+their names, are ignored. Without vectors or queries the result is empty.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,10 +31,10 @@ from pyspark.sql.window import Window
 from framewell.llm import text as T
 from framewell.llm.store import cut, partitions
 
-SHARD = 4096
+SHARD, SHARD_MOST = 4096, 65_536
 #: Links of a node on upper layers; the lowest has twice as many.
 LINKS = 16
-BEAM_BUILD, BEAM_SEARCH = 64, 96
+BEAM_BUILD, BEAM_SEARCH = 48, 64
 BATCH = 512
 #: Nodes of a beam that are expanded in one step.
 STRIDE = 4
@@ -211,14 +214,15 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([c], k) for c, k in zip(row, kinds)], names=[c.split()[0] for c in INDEX.split(", ")])
 
 
-def build_index(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
+def build_index(vectors: DataFrame, k: int, shard: int | None = None) -> DataFrame:
     """The index table of vectors(id, v): one row for each shard. It serves searches for up to k results."""
     spark = vectors.sparkSession
     rows = vectors.where(usable("v")).select(F.col("id").cast("long").alias("id"), F.transform("v", lambda x: x.cast("double") + F.lit(0.0)).alias("v")).where("id IS NOT NULL")
     # Ids beyond the first k + 1 of a vector are dropped before the shuffle and after it: none of them can be a result.
     ranked = rows.withColumn("r", F.dense_rank().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     distinct = cut(ranked.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")))
-    shards = max(1, math.ceil(distinct.count() / shard))
+    count = distinct.count()
+    shards = max(1, math.ceil(count / (shard or min(SHARD_MOST, max(SHARD, count // partitions(spark))))))
     dealt = distinct.select(F.size("v").alias("dim"), F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int").alias("shard"), "ids", "v")
     return cut(dealt.groupBy("dim", "shard").applyInArrow(_build, INDEX))
 
@@ -235,6 +239,18 @@ def _load(row: dict) -> tuple[Graph, np.ndarray, list[np.ndarray]]:
     return Graph(normalised(vectors), layers), vectors, ids
 
 
+def _pack_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of up to BATCH queries of one dimension: their ids and vectors as bytes."""
+    for batch in batches:
+        dim = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+        for d in np.unique(dim).tolist():
+            own = batch.filter(pa.array(dim == d))
+            for lo in range(0, own.num_rows, BATCH):
+                part = own.slice(lo, BATCH)
+                vectors = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.record_batch({"dim": pa.array([d], pa.int32()), "ids": pa.array([T.pack(part.column("query_id").to_numpy())], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())})
+
+
 def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: a shard's index row, then its queries. Gives each query's k best found in the shard."""
     loaded = None
@@ -251,10 +267,9 @@ def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if loaded is None or loaded[0] != tuple(key[a, :2]):
                 continue  # no vector of this dimension in the shard
             graph, vectors, ids = loaded[1]
-            for lo in range(0, len(part), BATCH):
-                own = part.slice(lo, BATCH)
-                queries = np.array(own.column("v").to_pylist(), np.float64)
-                query_id = own.column("query_id").to_numpy()
+            for packed, raw in zip(part.column("ids").to_pylist(), part.column("vectors").to_pylist()):
+                query_id = T.unpack(packed)[0]
+                queries = np.frombuffer(raw, np.float64).reshape(len(query_id), -1)
                 found = graph.search(normalised(queries), max(BEAM_SEARCH, 2 * k))
                 at, col = np.nonzero(found >= 0)
                 node = found[at, col]
@@ -277,7 +292,8 @@ def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     shards = index.agg(F.max("shard")).first()[0]
     if shards is None:
         shards = 0
-    asked = asked.select(F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shards))).alias("shard"), F.lit(1).alias("kind"), "query_id", "v")
+    asked = asked.where("query_id IS NOT NULL").mapInArrow(_pack_queries, "dim int, ids binary, vectors binary")
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards)))).withColumn("kind", F.lit(1))
     rows = index.withColumn("kind", F.lit(0)).unionByName(asked, allowMissingColumns=True)
     rows = rows.repartition(max(partitions(spark), 1), "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
     found = rows.mapInArrow(partial(_search, k), "query_id long, vec_id long, score double")

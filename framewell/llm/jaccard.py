@@ -42,17 +42,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewell.llm import text as T
-from framewell.llm.store import cut, partitions
+from framewell.llm.store import cut, partitions, release
 from framewell.operators.graph import connected_components
 
 #: Bit lengths of the number of sets that hold a token: rare up to 63 sets, frequent up to 4,095, hot beyond.
 RARE, FREQUENT = 6, 12
-#: Bits of a token by which it is counted. Tokens that share them share a level, which keeps the order common to all.
-COUNTED = 40
+#: Bits, beyond those of the number of tokens, of a token's hash by which it is counted. Tokens that share them share a
+#: level, which keeps the order common to all.
+SPARE = 10
 #: Bytes of text in a piece of the corpus, and tokens of one range of counts.
-PIECE, RANGE_TOKENS = 4 << 20, 2 << 20
+PIECE, RANGE_TOKENS = 2 << 20, 1 << 20
 #: Members of a pivot compared in one block, and bytes of bitmaps that a task gathers before it compares.
 BLOCK, HELD = 2048, 16 << 20
+#: Kept documents whose ids and hashes are broadcast, 16 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Rounds of best partners before all that is left is tried.
 ROUNDS = 2
 
@@ -100,8 +103,16 @@ def _sets_of(nodes: bytes, data: bytes, k: int) -> tuple[np.ndarray, list[np.nda
     return ids, T.shingle_sets([joined[a:b] for a, b in zip(edge, edge[1:])], k)
 
 
-def _counted(sets: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(sets) >> T.U64(64 - COUNTED)
+def _counted(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    return np.concatenate(sets) >> T.U64(64 - bits)
+
+
+def _press(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(T.pack(*arrays))
+
+
+def _unpress(blob: bytes) -> list[np.ndarray]:
+    return T.unpack(_unpressed([blob])[0])
 
 
 def _narrow(a: np.ndarray) -> np.ndarray:
@@ -109,13 +120,13 @@ def _narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def _ask(k: int, ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(k: int, bits: int, ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each piece's distinct tokens and the number of its sets that hold them, by range."""
     for batch in batches:
         for piece, nodes, data in zip(*(batch.column(c).to_pylist() for c in ("piece", "nodes", "data"))):
-            tokens, count = np.unique(_counted(_sets_of(nodes, data, k)[1]), return_counts=True)
-            edge = np.searchsorted(tokens * T.U64(ranges) >> T.U64(COUNTED), np.arange(ranges + 1))
-            rows = [(r, T.pack(_narrow(np.diff(tokens[a:b], prepend=T.U64(0))), _narrow(count[a:b]))) for r, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
+            tokens, count = np.unique(_counted(_sets_of(nodes, data, k)[1], bits), return_counts=True)
+            edge = np.searchsorted((tokens >> T.U64(bits - 32)) * T.U64(ranges) >> T.U64(32), np.arange(ranges + 1))
+            rows = [(r, _press(_narrow(np.diff(tokens[a:b], prepend=T.U64(0))), _narrow(count[a:b]))) for r, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a]
             for i in range(0, len(rows), 256):
                 own = rows[i : i + 256]
                 yield pa.record_batch({"range": pa.array([r for r, _ in own], pa.int32()), "piece": pa.array([piece] * len(own), pa.int64()), "data": pa.array([d for _, d in own], pa.binary())})
@@ -123,7 +134,7 @@ def _ask(k: int, ranges: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 
 def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bit length of each asked token's total. A task holds its ranges: about RANGE_TOKENS tokens each."""
-    held = [(r, p, *T.unpack(d)) for batch in batches for r, p, d in zip(*(batch.column(c).to_pylist() for c in ("range", "piece", "data")))]
+    held = [(r, p, *_unpress(d)) for batch in batches for r, p, d in zip(*(batch.column(c).to_pylist() for c in ("range", "piece", "data")))]
     if not held:
         return
     tokens = np.concatenate([np.cumsum(h[2], dtype=T.U64) for h in held])
@@ -134,7 +145,7 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held[i : i + 256]
         data = []
         for h in own:
-            data.append(T.pack(level[at : at + len(h[2])]))
+            data.append(_press(level[at : at + len(h[2])]))
             at += len(h[2])
         yield pa.record_batch({"piece": pa.array([h[1] for h in own], pa.int64()), "range": pa.array([h[0] for h in own], pa.int32()), "data": pa.array(data, pa.binary())})
 
@@ -189,13 +200,13 @@ def parity(tokens: np.ndarray) -> bytes:
 INDEX = "node long, n long, own long, bits binary, sigs array<long>"
 
 
-def _index(k: int, percent: int, classes: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(k: int, percent: int, bits: int, classes: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: a piece, then its levels by range. Gives each node's size, unshared tokens, bitmap and signatures."""
     now: list = []
 
     def finish() -> Iterator[pa.RecordBatch]:
         ids, sets = _sets_of(*now[0], k)
-        _, inverse = np.unique(_counted(sets), return_inverse=True)
+        _, inverse = np.unique(_counted(sets, bits), return_inverse=True)
         level = np.concatenate(now[1])[inverse]
         edge = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
         own, sigs = [], []
@@ -213,7 +224,7 @@ def _index(k: int, percent: int, classes: tuple[int, int], batches: Iterator[pa.
                     yield from finish()
                 now = [(nodes, data), []]
             else:
-                now[1].append(T.unpack(data)[0])
+                now[1].append(_unpress(data)[0])
     if now:
         yield from finish()
 
@@ -223,12 +234,14 @@ def index_nodes(reps: DataFrame, k: int, percent: int, classes: tuple[int, int]
     spark = reps.sparkSession
     tokens = reps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     pieces = cut(reps.select("node", "z").mapInArrow(_pieces, "piece long, nodes binary, data binary"))
-    ranges = max(partitions(spark), math.ceil(tokens / RANGE_TOKENS))
-    asked = pieces.mapInArrow(partial(_ask, k, ranges), "range int, piece long, data binary")
+    ranges, bits = max(partitions(spark), math.ceil(tokens / RANGE_TOKENS)), min(64, max(32, tokens.bit_length() + SPARE))
+    asked = pieces.mapInArrow(partial(_ask, k, bits, ranges), "range int, piece long, data binary")
     levels = asked.repartition(ranges, "range").mapInArrow(_levels, "piece long, range int, data binary")
     rows = pieces.select("piece", F.lit(-1).alias("range"), "nodes", "data").unionByName(levels, allowMissingColumns=True)
-    rows = rows.repartition(max(partitions(spark), math.ceil(tokens / RANGE_TOKENS)), "piece").sortWithinPartitions("piece", "range")
-    return cut(rows.mapInArrow(partial(_index, k, percent, classes), INDEX))
+    rows = rows.repartition(ranges, "piece").sortWithinPartitions("piece", "range")
+    index = cut(rows.mapInArrow(partial(_index, k, percent, bits, classes), INDEX))
+    release(pieces)
+    return index
 
 
 def _may_link(n: np.ndarray, m: np.ndarray, most: np.ndarray, percent: int) -> np.ndarray:
@@ -306,7 +319,9 @@ def verify_pairs(reps: DataFrame, pairs: DataFrame, k: int, percent: int) -> Dat
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = cut(reps.select("node", "z").join(ids, "node", "left_semi").mapInArrow(partial(_sets, k), "node long, x binary"))
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return cut(both.select("a", "b", "x", "y").mapInArrow(partial(_verify, percent), "a long, b long"))
+    links = cut(both.select("a", "b", "x", "y").mapInArrow(partial(_verify, percent), "a long, b long"))
+    release(pairs, sets)
+    return links
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -390,26 +405,32 @@ def resolve(docs: DataFrame, k: int, percent: int, classes: tuple[int, int] = (R
     described = source.mapInArrow(partial(_describe, k), "doc_id long, t long, n long, h1 long, h2 long, z binary")
     # One node for each distinct set; min and first combine before the shuffle.
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "t")
-    described = cut(described)
-    reps = described.where("n > 0").groupBy("n", "h1", "h2").agg(F.min(first).alias("first"), F.first("z").alias("z"))
+    whole = cut(described)
+    described = cut(whole.drop("z"))
+    reps = whole.where("n > 0").groupBy("n", "h1", "h2").agg(F.min(first).alias("first"), F.first("z").alias("z"))
     reps = cut(reps.withColumn("node", F.monotonically_increasing_id()))
+    release(whole)
     index = index_nodes(reps, k, percent, classes)
     side = index.select("node", "n", "own", "bits")
     posts = cut(index.select("node", F.explode("sigs").alias("sig")))
     heads = posts.groupBy("sig").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1").select("sig", "pivot")
     members = cut(posts.join(heads, "sig").where("node <> pivot").select("pivot", "node").distinct())
+    release(posts)
     pairs = members.toDF("a", "b").join(side.toDF("a", "n", "own", "bits"), "a").join(side.toDF("b", "m", "own_m", "bits_m"), "b").where(_bound(percent))
     links = verify_pairs(reps, pairs.select("a", "b", "n", "m", "own", "own_m", "bits", "bits_m").mapInArrow(partial(_bitmap_filter, percent), "a long, b long"), k, percent)
-    found = connected_components(links.toDF("u", "v"), cut)
+    found = cut(connected_components(links.toDF("u", "v"), cut))
     for best in [True] * ROUNDS + [False]:
         tried = cut(open_pairs(members, found, side, percent, best))
         if tried.isEmpty():
             break
         links = verify_pairs(reps, tried, k, percent)
+        release(tried)
         if not links.isEmpty():
-            found = connected_components(found.toDF("u", "v").union(links), cut)
-    sets = reps.join(found.toDF("node", "c"), "node", "left").select("n", "h1", "h2", "first", F.coalesce("c", "node").alias("comp"))
-    return described.select("doc_id", "t", "n", "h1", "h2"), sets
+            found = cut(connected_components(found.toDF("u", "v").union(links), cut))
+        release(links)
+    sets = cut(reps.join(found.toDF("node", "c"), "node", "left").select("n", "h1", "h2", "first", F.coalesce("c", "node").alias("comp")))
+    release(reps, index, members, found)
+    return described, sets
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple[int, int] = (RARE, FREQUENT)) -> DataFrame:
@@ -433,6 +454,8 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     described, sets = resolve(docs, k, percent)
     kept = cut(sets.groupBy("comp").agg(F.min("first").alias("least")).select(F.col("least.doc_id").alias("_id"), F.col("least.t").alias("_t")))
+    if kept.count() <= BROADCAST_ROWS:
+        kept = F.broadcast(kept)
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t"))
     some = F.coalesce(F.col("doc.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     out = rows.where(some).join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")), "left_semi")

@@ -179,7 +179,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], names: list[str], least: fl
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.chunks(batches, "text", SLICE):
-        rows = [T.pack(*counted(t)) for t in T.texts_of(batch)]
+        rows = [T.pack(keys, count.astype(np.uint16 if count.max(initial=0) < 1 << 16 else np.uint32 if count.max() < 1 << 32 else np.int64)) for keys, count in map(counted, T.texts_of(batch))]
         yield pa.record_batch([batch.column("h"), batch.column("lang"), pa.array(rows, pa.binary())], names=["h", "lang", "counts"])
 
 

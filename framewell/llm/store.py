@@ -23,7 +23,19 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it again: lost executors lose nothing, lineage ends here."""
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once all that reads them has been written itself."""
+    for table in tables:
+        path = getattr(table, "written_at", None)
+        if path:
+            spark = table.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def partitions(spark: SparkSession) -> int:

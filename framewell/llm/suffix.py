@@ -43,7 +43,7 @@ CORE = 32
 #: Contexts of one core above which it is refined by whole windows.
 HOT = 4096
 #: Bytes of text in a block of documents.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 #: A place is the row's number among rows of its doc_id, then the byte.
 ROW = 40
@@ -133,7 +133,7 @@ def _anchors(length: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> It
         ids, row = (batch.column(c).to_numpy().astype(np.int64)[doc] for c in ("_id", "_row"))
         held.append((ids, (row << ROW) + start, more, shift, core, context))
         total += len(doc)
-        if total > 300_000:
+        if total > 150_000:
             yield from flush()
             total = 0
     if held:

@@ -19,7 +19,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of texts handled at once in numpy.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -102,6 +102,12 @@ def gram_hash(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """Each text's set of k-word shingles as sorted hashes; fewer words make one shingle of all, none an empty set."""
+    size = np.cumsum([len(t) for t in texts])
+    edge = [0, *(np.flatnonzero(np.diff(size // CHUNK)) + 1).tolist(), len(texts)]
+    return [s for a, b in zip(edge, edge[1:]) for s in _shingle_sets(texts[a:b], k)]
+
+
+def _shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     words = Words(texts)
     grams, at = gram_hash(words, k)
     doc = words.doc[at]

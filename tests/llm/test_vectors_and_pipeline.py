@@ -26,6 +26,8 @@ def test_recall_and_scores(spark):
     got = {}
     for r in hnsw.search(index, df.where("id % 50 = 0").withColumnRenamed("id", "query_id"), 5).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        a, b = (np.array(rows[i][1], float) for i in (r.query_id, r.vec_id))
+        assert abs(r.score - (a * b).sum() / np.sqrt((a * a).sum() * (b * b).sum())) < 1e-12
     want = brute(rows, queries, 5)
     hit = sum(len({v for _, v in got[q]} & set(want[q])) for q in want)
     assert hit >= 0.9 * 5 * len(want) and all(sorted(r for r, _ in x) == [1, 2, 3, 4, 5] for x in got.values())
@@ -43,7 +45,16 @@ def test_ties_copies_and_unusable_vectors(spark):
 
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "id long, v array<float>")
+    some = spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0]), (None, [1.0, 1.0])], "id long, v array<float>")
     assert hnsw.search(hnsw.build_index(df, 5), df.withColumnRenamed("id", "query_id"), 5).collect() == []
+    assert hnsw.search(hnsw.build_index(some, 5), df.withColumnRenamed("id", "query_id"), 5).collect() == []
+    assert hnsw.search(hnsw.build_index(df, 5), some.withColumnRenamed("id", "query_id"), 5).collect() == []
+
+
+def test_clashing_columns_are_ignored(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)], 9, 8, b"x", 7) for i in range(30)], "id long, v array<double>, shard int, dim int, ids binary, kind int")
+    out = hnsw.search(hnsw.build_index(df, 3), df.where("id % 10 = 0").withColumnRenamed("id", "query_id"), 3).collect()
+    assert len(out) == 9 and {r.vec_id for r in out if r.query_id == 20} <= {18, 19, 21, 22}
 
 
 def test_pipeline_stages(spark, tmp_path):
