@@ -8,9 +8,9 @@ from pyspark.sql.window import Window
 
 from framewell.functions.values import first_truthy
 
-#: Words that open a question, and words that bait clicks.
-QUESTION_WORDS = ("who", "what", "when", "where", "why", "how", "which", "is", "are", "do", "does", "can", "will")
-CLICKBAIT = ("shocking", "unbelievable", "secret", "amazing", "insane", "never", "must")
+#: Words that open a question, and strings that bait clicks wherever they stand in a title.
+QUESTION_WORDS = ("кто", "что", "где", "когда", "почему", "зачем", "как", "who", "what", "where", "when", "why", "how")
+CLICKBAIT = ("шок", "срочно", "невероятно", "топ", "лучшие", "секрет", "удивит", "скандал", "честно", "разоблачение", "shocking", "urgent", "incredible", "top", "best", "secret", "you won't believe", "scandal", "honest", "exposed")
 FILLERS = ("um", "uh", "like", "so", "well", "actually", "basically")
 STOPWORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "de", "for", "from", "in", "is", "it", "la", "of", "on", "or", "que", "the", "to", "und", "was", "with")
 
@@ -45,15 +45,16 @@ def lexical_pack(df: DataFrame, text: str) -> DataFrame:
     n = F.size("_w")
     letters = F.aggregate("_w", F.lit(0), lambda s, w: s + F.length(w))
     chars = F.length(t)
-    in_list = lambda words: F.size(F.filter("_w", lambda w: w.isin(*words)))
+    baits = sum((F.contains(F.lower(t), F.lit(w)).cast("int") for w in CLICKBAIT), F.lit(0))
+    asks = F.coalesce(F.get("_w", F.lit(0)).isin(*QUESTION_WORDS) & F.startswith(F.lower(t), F.get("_w", F.lit(0))), F.lit(False)).cast("int")
     return rows.withColumns(
         {
             "n_chars_clean": chars, "n_words": n, "n_sentences": F.col("_s"), "n_unique": F.size(F.array_distinct("_w")),
             "type_token": _share(F.size(F.array_distinct("_w")), n), "mean_word": _share(letters, n), "words_per_sentence": _share(n, F.col("_s")),
             "punct_ratio": _share(count(r"[!-/:-@\[-`{-~]"), chars), "caps_ratio": _share(count("[A-Z]"), count("[A-Za-z]")), "digit_ratio": _share(count("[0-9]"), chars),
-            "n_question": count(r"\?"), "n_exclaim": count("!"), "is_question": (F.get("_w", F.lit(0)).isin(*QUESTION_WORDS) | t.endswith("?")).cast("int"),
+            "n_question": count(r"\?"), "n_exclaim": count("!"), "is_question": F.greatest(asks, t.endswith("?").cast("int")), "question_prefix": asks,
             "n_urls": count(r"https?://\S+"), "n_mentions": count(r"@[A-Za-z0-9_]+"), "n_numbers": count("[0-9]+"), "n_times": count("[0-9]{1,2}:[0-9]{2}"),
-            "n_clickbait": in_list(CLICKBAIT), "long_word_ratio": _share(F.size(F.filter("_w", lambda w: F.length(w) > 6)), n),
+            "n_clickbait": baits, "clickbait_score": F.least(F.lit(1.0), (baits + (count("!") > 0).cast("int") + asks) / 3.0), "long_word_ratio": _share(F.size(F.filter("_w", lambda w: F.length(w) > 6)), n),
             "special_ratio": _share(count(r"[^A-Za-z0-9\s]"), chars),
             "readability": 206.835 - 1.015 * _share(n, F.col("_s")) - 84.6 * _share(count("[aeiouyAEIOUY]+"), n),
         }

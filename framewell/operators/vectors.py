@@ -56,30 +56,13 @@ def cosine_flag(a: Column | str, b: Column | str) -> Column:
     return F.when(_c(a).isNull() | _c(b).isNull(), "missing").when(F.size(_c(a)) != F.size(_c(b)), "dimension").when(~usable(a) | ~usable(b), "non_finite").when((norm(a) == 0) | (norm(b) == 0), "zero_norm").otherwise("ok")
 
 
-#: Vectors of a gallery that go to every task, at most; a larger one is dealt out in blocks.
-GALLERY_ROWS = 20_000
-
-
 def top_k_cosine(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, k: int, exclude_self: bool = False) -> DataFrame:
-    """The k most similar gallery vectors of each query, ties to the smaller id (V06-V08, J15): qid, rank, gid, score.
+    """The k most similar gallery vectors of each query, ties to the smaller id (V06-V08, J15): qid, rank, gid, score."""
+    return top_k_cosine_all(queries, gallery, qid, gid, vector, k, exclude_self)
 
-    Norms are computed once a vector. The gallery is dealt in blocks of bounded size; each query meets each block
-    and keeps its best k there before they are merged.
-    """
-    blocks = max(1, -(-gallery.count() // GALLERY_ROWS))
-    g = gallery.where(usable(vector) & (norm(vector) > 0)).select(F.col(gid).alias("_g"), normalise(vector).alias("_gv"), F.pmod(F.xxhash64(gid), F.lit(blocks)).alias("_b"))
-    q = queries.where(usable(vector) & (norm(vector) > 0)).select(F.col(qid).alias("_q"), normalise(vector).alias("_qv"))
-    q = q.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    pairs = q.join(F.broadcast(g) if blocks == 1 else g, "_b").where(F.size("_qv") == F.size("_gv"))
-    if exclude_self:
-        pairs = pairs.where("_q <> _g")
-    scored = pairs.select("_q", "_g", "_b", dot("_qv", "_gv").alias("score"))
-    best = top_k(scored, ["_q", "_b"], [F.desc(F.round("score", 12)), F.col("_g")], k).drop("rank") if blocks > 1 else scored
-    return top_k(best, ["_q"], [F.desc(F.round("score", 12)), F.col("_g")], k).select(F.col("_q").alias(qid), "rank", F.col("_g").alias(gid), "score")
-
-
-#: Vectors of a block when all rows meet all rows; two blocks meet in a task.
-BLOCK_ROWS = 8_192
+
+#: Vectors of a block of queries and of the gallery; two blocks meet in a task, and a query keeps its best of each.
+QUERY_ROWS, GALLERY_ROWS = 4_096, 65_536
 #: Scores in a worker's memory at a time.
 _SCORES = 1 << 21
 
@@ -134,7 +117,7 @@ def _best_of_groups(exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
 
 def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column):
     """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension."""
-    n, m = (max(1, -(-df.count() // BLOCK_ROWS)) for df in (queries, gallery))
+    n, m = (max(1, -(-df.count() // rows)) for df, rows in ((queries, QUERY_ROWS), (gallery, GALLERY_ROWS)))
 
     def side(df: DataFrame, own: str, blocks: int, other: str, others: int, *columns: Column) -> DataFrame:
         key = qid if own == "_i" else gid

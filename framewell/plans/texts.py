@@ -54,9 +54,9 @@ def f14_tokens(spark, sf):
 
 
 def f15_lexical(spark, sf):
-    cols = ["n_words", "n_unique", "type_token", "mean_word", "punct_ratio", "caps_ratio", "digit_ratio", "n_question", "is_question", "n_urls", "n_mentions", "n_numbers", "n_clickbait", "long_word_ratio"]
+    cols = ["n_words", "n_unique", "type_token", "mean_word", "punct_ratio", "caps_ratio", "digit_ratio", "n_question", "is_question", "n_urls", "n_mentions", "n_numbers", "n_clickbait", "question_prefix", "clickbait_score", "long_word_ratio"]
     out = X.lexical_pack(table(spark, sf, "documents").select("doc_id", "text"), "text")
-    return out.select("doc_id", *(F.round(c, 7).alias(c) if c.endswith(("ratio", "token", "word")) else F.col(c).cast("bigint").alias(c) for c in cols))
+    return out.select("doc_id", *(F.round(c, 7).alias(c) if c.endswith(("ratio", "token", "word", "score")) else F.col(c).cast("bigint").alias(c) for c in cols))
 
 
 def f16_hashtags(spark, sf):
@@ -131,6 +131,7 @@ def f30_first_of(spark, sf):
 _W = "list_transform(regexp_extract_all(regexp_replace(trim(regexp_replace(coalesce(text,''),'\\s+',' ','g')),'','','g'), '[\\p{L}\\p{N}_]+'), lambda w: lower(w))"
 _T = "trim(regexp_replace(coalesce(text,''),'\\s+',' ','g'))"
 _N = lambda p: f"len(regexp_extract_all(t,'{p}'))"
+_BAITS = "+".join("contains(lower(t),'" + w.replace("'", "''") + "')::INT" for w in X.CLICKBAIT)
 QUERIES = {
     "f01_log_target": (f01_log_target, "WITH o AS (SELECT l_orderkey, min(l_quantity) v0, max(l_extendedprice/100) FILTER (l_linenumber=2) v7 FROM lineitem GROUP BY 1) SELECT l_orderkey, CASE WHEN v7 IS NOT NULL THEN round(ln(1+greatest(v7-v0,0)),6) END target, CASE WHEN v7 IS NOT NULL THEN round(ln(1+greatest(trunc(v7)-trunc(v0),0)),6) END target_int, v7 IS NOT NULL mask FROM o"),
     "f02_video_targets": (f02_video_targets, "WITH i AS (SELECT user_id, value v, row_number() OVER (PARTITION BY user_id ORDER BY event_id)-1 i FROM events WHERE user_id IS NOT NULL), w AS (SELECT user_id, max(v) FILTER (i=0) a, max(v) FILTER (i=1) b, max(v) FILTER (i=2) c, max(v) FILTER (i=3) d FROM i WHERE i<4 GROUP BY 1) SELECT user_id, " + ", ".join(f"CASE WHEN {x} IS NOT NULL AND a IS NOT NULL THEN round(ln(1+greatest({x}-a,0)),6) END target_{h}, ({x} IS NOT NULL AND a IS NOT NULL)::INT mask_{h}" for x, h in (("b", "7d"), ("c", "14d"), ("d", "21d"))) + " FROM w"),
@@ -140,7 +141,7 @@ QUERIES = {
     "f09_times": (f09_times, "WITH o AS (SELECT o_orderkey, date_trunc('minute',o_orderdate) a, date_trunc('second',o_orderdate)-CASE WHEN o_orderkey%2=0 THEN INTERVAL 0 HOUR ELSE INTERVAL 3 HOUR END b FROM orders) SELECT o_orderkey, strftime(a,'%Y-%m-%d %H:%M:%S') stamp, strftime(b,'%Y-%m-%d %H:%M:%S') iso, round(greatest(epoch(b-a)/3600,0),6)::DOUBLE age, round(epoch(b-a)/3600,6)::DOUBLE signed FROM o"),
     "f12_schedule": (f12_schedule, "WITH o AS (SELECT o_orderkey, o_orderdate b, unnest([1,2,3]) i FROM orders) SELECT o_orderkey, i, strftime(b+to_hours(168*i),'%Y-%m-%d %H:%M:%S') due, strftime(b+to_hours(168*i+173),'%Y-%m-%d %H:%M:%S') next_due FROM o"),
     "f14_tokens": (f14_tokens, f"SELECT doc_id, length({_T}) clean_len, len(regexp_extract_all(coalesce(text,''),'[\\p{{L}}\\p{{N}}_]+')) n_tokens, len(list_filter(list_transform(string_split_regex(coalesce(text,''),'[.!?]+'), lambda s: trim(s)), lambda s: s<>'')) n_sentences FROM documents"),
-    "f15_lexical": (f15_lexical, f"WITH t AS (SELECT doc_id, {_T} t FROM documents), w AS (SELECT doc_id, t, list_transform(regexp_extract_all(t,'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM t), n AS (SELECT *, len(w) n, nullif(length(t),0) c FROM w) SELECT doc_id, n::BIGINT n_words, len(list_distinct(w))::BIGINT n_unique, round(coalesce(len(list_distinct(w))/nullif(n,0),0),7) type_token, round(coalesce(list_sum(list_transform(w, lambda x: length(x)))/nullif(n,0),0),7) mean_word, round(coalesce({_N('[!-/:-@\\[-`{-~]')}/c,0),7) punct_ratio, round(coalesce({_N('[A-Z]')}/nullif({_N('[A-Za-z]')},0),0),7) caps_ratio, round(coalesce({_N('[0-9]')}/c,0),7) digit_ratio, {_N('\\?')}::BIGINT n_question, (coalesce(w[1] IN ({', '.join(repr(x) for x in X.QUESTION_WORDS)}),false) OR ends_with(t,'?'))::BIGINT is_question, {_N('https?://\\S+')}::BIGINT n_urls, {_N('@[A-Za-z0-9_]+')}::BIGINT n_mentions, {_N('[0-9]+')}::BIGINT n_numbers, len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in X.CLICKBAIT)})))::BIGINT n_clickbait, round(coalesce(len(list_filter(w, lambda x: length(x)>6))/nullif(n,0),0),7) long_word_ratio FROM n"),
+    "f15_lexical": (f15_lexical, f"WITH t AS (SELECT doc_id, {_T} t FROM documents), w AS (SELECT doc_id, t, list_transform(regexp_extract_all(t,'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM t), n AS (SELECT *, len(w) n, nullif(length(t),0) c, coalesce(w[1] IN ({', '.join(repr(x) for x in X.QUESTION_WORDS)}) AND starts_with(lower(t), w[1]),false) q, {_BAITS} b FROM w) SELECT doc_id, n::BIGINT n_words, len(list_distinct(w))::BIGINT n_unique, round(coalesce(len(list_distinct(w))/nullif(n,0),0),7) type_token, round(coalesce(list_sum(list_transform(w, lambda x: length(x)))/nullif(n,0),0),7) mean_word, round(coalesce({_N('[!-/:-@\\[-`{-~]')}/c,0),7) punct_ratio, round(coalesce({_N('[A-Z]')}/nullif({_N('[A-Za-z]')},0),0),7) caps_ratio, round(coalesce({_N('[0-9]')}/c,0),7) digit_ratio, {_N('\\?')}::BIGINT n_question, (q OR ends_with(t,'?'))::BIGINT is_question, q::BIGINT question_prefix, round(least(1.0::DOUBLE,(b+(contains(t,'!'))::INT+q::INT)/3.0::DOUBLE),7) clickbait_score, {_N('https?://\\S+')}::BIGINT n_urls, {_N('@[A-Za-z0-9_]+')}::BIGINT n_mentions, {_N('[0-9]+')}::BIGINT n_numbers, b::BIGINT n_clickbait, round(coalesce(len(list_filter(w, lambda x: length(x)>6))/nullif(n,0),0),7) long_word_ratio FROM n"),
     "f16_hashtags": (f16_hashtags, None),
     "f17_tags": (f17_tags, "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(text[1:200],' ')[1:12], lambda x: lower(trim(regexp_replace(x,'^#+','')))), lambda x: x<>'')))[1:8],'|') tags FROM documents"),
     "f17_tags_all": (f17_tags_all, None),

@@ -23,7 +23,8 @@ def run(spark, name):
 
 @pytest.fixture(params=[97, 8_192])
 def blocks(request, monkeypatch):
-    monkeypatch.setattr(vectors, "BLOCK_ROWS", request.param)
+    monkeypatch.setattr(vectors, "QUERY_ROWS", request.param)
+    monkeypatch.setattr(vectors, "GALLERY_ROWS", request.param)
 
 
 @pytest.fixture(scope="module")
@@ -90,7 +91,8 @@ def test_entropy_of_all_rows(spark, embedded):
 
 def test_equal_vectors_rank_by_id(spark, monkeypatch):
     """More equal vectors than k, spread over blocks; a zero, a missing and a shorter one."""
-    monkeypatch.setattr(vectors, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 4)
+    monkeypatch.setattr(vectors, "GALLERY_ROWS", 4)
     rows = [(i, [1.0, 2.0]) for i in range(30)] + [(30, [2.0, -1.0]), (31, [0.0, 0.0]), (32, None), (33, [1.0])]
     df = spark.createDataFrame(rows, "id long, v array<double>")
     out = defaultdict(list)
