@@ -57,9 +57,10 @@ def select_by_fold(df: DataFrame, features: list[str], target: str, fold: str, k
     """For each fold the k features of largest |Spearman| with the target on the other folds (L05): fold, rank, feature."""
     from framewell.operators.ranks import top_k
 
-    folds = df.select(F.col(fold).alias("_own")).distinct()
-    train = df.join(F.broadcast(folds), F.col(fold) != F.col("_own"))
-    long = train.select(F.col("_own").alias("fold"), F.col(target).alias("_y"), *(F.col(f).cast("double").alias(f) for f in features)).unpivot(["fold", "_y"], features, "feature", "value")
+    # A row trains every fold but its own; folds are few, and only their numbers come to the driver.
+    folds = F.array(*(F.lit(r[0]) for r in df.select(fold).distinct().orderBy(fold).collect()))
+    train = df.withColumn("_train", F.explode(F.filter(folds, lambda x: x != F.col(fold))))
+    long = train.select(F.col("_train").alias("fold"), F.col(target).alias("_y"), *(F.col(f).cast("double").alias(f) for f in features)).unpivot(["fold", "_y"], features, "feature", "value")
     s = spearman(long, ["fold", "feature"], "value", "_y")
     return top_k(s, ["fold"], [F.desc(F.round(F.abs("spearman"), 9)), F.col("feature")], k).select("fold", "rank", "feature")
 

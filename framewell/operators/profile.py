@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewell.functions.names import free
+from framewell.functions.sizes import small
 from framewell.functions.values import finite
 from framewell.operators.ranks import percentile_of, running_sums
 
@@ -56,7 +57,7 @@ def feature_quality(long: DataFrame, keys: list[str], ranges: DataFrame | None =
     ``value`` NULL is empty. ``ranges`` gives keys, lo, hi; a feature without a range is never out of it.
     """
     if ranges is not None:
-        long = long.join(F.broadcast(ranges) if ranges.limit(10_001).count() <= 10_000 else ranges, keys, "left")
+        long = long.join(small(ranges), keys, "left")
     else:
         long = long.withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double")})
     v, raw = finite("value"), F.col("value")
@@ -135,14 +136,8 @@ def first_non_empty(df: DataFrame, keys: list[str], order: str, columns: list[st
     return df.groupBy(*keys).agg(*(F.min_by(keep(c), F.when(keep(c).isNotNull(), F.col(order))).alias(c) for c in columns))
 
 
-def nearest_rank(value: Column, percent: float) -> Column:
-    """Aggregate: the sorted value at the half-even rounded index p / 100 (n - 1) (A12); collects a group's values."""
-    values = F.array_sort(F.collect_list(value))
-    return F.when(F.size(values) > 0, F.get(values, F.bround(F.lit(percent / 100.0) * (F.size(values) - 1), 0).cast("int")))
-
-
 def nearest_rank_table(df: DataFrame, keys: list[str], value: str, percents: list[float]) -> DataFrame:
-    """As nearest_rank for many rows: value counts and running sums, no list of a group's values. keys, percent, value."""
+    """The sorted value at the half-even rounded index p / 100 (n - 1) (A12), by value counts and running sums: keys, percent, value."""
     counts = running_sums(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c")), keys, value, ["c"])
     want = counts.withColumn("percent", F.explode(F.array(*(F.lit(float(p)) for p in percents))))
     at = F.bround(F.col("percent") / 100.0 * (F.col("c_all") - 1), 0)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framewell.functions.sizes import small
 from framewell.functions.values import empty_like, finite, lenient_double
 
 
@@ -87,7 +88,7 @@ def apply_rules(long: DataFrame, rules: DataFrame) -> DataFrame:
     distinct = long.select("component", "column").distinct()
     fits = (F.col("_rc").isNull() | (F.col("_rc") == F.col("component"))) & F.coalesce(F.col("_rn") == F.col("column"), F.regexp("column", F.col("pattern")), F.lit(False))
     rank = Window.partitionBy("component", "column").orderBy(F.col("_rn").isNull(), F.col("_rc").isNull(), "pattern")
-    chosen = distinct.join(F.broadcast(r) if r.limit(10_001).count() <= 10_000 else r, fits).withColumn("_p", F.row_number().over(rank)).where("_p = 1").drop("_p", "_rc", "_rn", "pattern")
+    chosen = distinct.join(small(r), fits).withColumn("_p", F.row_number().over(rank)).where("_p = 1").drop("_p", "_rc", "_rn", "pattern")
     rows = long.join(chosen, ["component", "column"], "left")
     v = lenient_double("raw")
     ranged = F.col("lo").isNotNull() | F.col("hi").isNotNull()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewell.functions.names import free
+from framewell.functions.sizes import small
 
 
 def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -25,7 +26,7 @@ def reanchor(offsets: DataFrame, completed: DataFrame, key: str, index: str, hou
     """Next due = actual collection + gap to the next offset (F13, T05): key, next index, due."""
     step = offsets.select(F.col(index), F.lead(index).over(Window.orderBy(index)).alias("_n"), (F.lead(hours).over(Window.orderBy(index)) - F.col(hours)).alias("_gap"))
     last = completed.groupBy(key).agg(F.max_by(F.struct(index, at), index).alias("_l")).select(key, f"_l.{index}", f"_l.{at}")
-    return last.join(F.broadcast(step), index).where("_n IS NOT NULL").select(key, F.col("_n").alias(index), F.timestamp_add("MINUTE", (F.col("_gap") * 60).cast("int"), F.col(at)).alias("due"))
+    return last.join(small(step), index).where("_n IS NOT NULL").select(key, F.col("_n").alias(index), F.timestamp_add("MINUTE", (F.col("_gap") * 60).cast("int"), F.col(at)).alias("due"))
 
 
 def merge_claims(df: DataFrame, key: str, order: str, status: str, expires: str, now: Column) -> DataFrame:
@@ -69,7 +70,7 @@ def illegal_transitions(df: DataFrame, key: str, order: str, status: str, allowe
     """Status changes that the table does not allow."""
     rows = df.withColumn("_from", F.lag(status).over(Window.partitionBy(key).orderBy(order))).where(F.col("_from").isNotNull() & (F.col("_from") != F.col(status)))
     table = df.sparkSession.createDataFrame(allowed, f"_from string, {status} string")
-    return rows.join(F.broadcast(table), ["_from", status], "left_anti").select(key, order, F.col("_from").alias("previous"), status)
+    return rows.join(small(table), ["_from", status], "left_anti").select(key, order, F.col("_from").alias("previous"), status)
 
 
 def stale(df: DataFrame, key: str, t: str, now: Column, ttl_seconds: float) -> DataFrame:

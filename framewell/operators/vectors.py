@@ -115,18 +115,18 @@ def _best_of_groups(exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
     return pa.table({"_q": q["_q"].take(pa.array(np.concatenate(rows))), "_t": g["_t"].take(pa.array(np.concatenate(cols))), "score": np.concatenate(values)})
 
 
-def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column):
-    """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension."""
+def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column, by: list[str] = ()):
+    """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension (and ``by``)."""
     n, m = (max(1, -(-df.count() // rows)) for df, rows in ((queries, QUERY_ROWS), (gallery, GALLERY_ROWS)))
 
     def side(df: DataFrame, own: str, blocks: int, other: str, others: int, *columns: Column) -> DataFrame:
         key = qid if own == "_i" else gid
-        rows = df.where(usable(vector) & (norm(vector) > 0)).select(*columns, F.size(vector).alias("_d"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(own))
+        rows = df.where(usable(vector) & (norm(vector) > 0)).select(*columns, *by, F.size(vector).alias("_d"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(own))
         return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
     q = side(queries, "_i", n, "_j", m, F.col(qid).alias("_q"), F.col(vector).alias("_qv"))
     g = side(gallery, "_j", m, "_i", n, F.col(gid).alias("_g"), F.col(vector).alias("_gv"), *keep)
-    return q.groupBy("_d", "_i", "_j").cogroup(g.groupBy("_d", "_i", "_j"))
+    return q.groupBy(*by, "_d", "_i", "_j").cogroup(g.groupBy(*by, "_d", "_i", "_j"))
 
 
 def _kind(df: DataFrame, column: str) -> str:
@@ -230,12 +230,14 @@ def start_end_shift(df: DataFrame, keys: list[str], order: str, vector: str, mos
 def uniqueness(df: DataFrame, keys: list[str], item: str, vector: str, repeat: float = 0.97) -> DataFrame:
     """Within a key, each vector's nearest other one: repetition ratio, p95 similarity, diversity.
 
-    Sequences are short and bounded by the sampling of a video; pairs are met by key.
+    The nearest one is found in blocks that meet as matrices, the mean from the key's mean vector: no pair is a row.
+    Vectors that are unusable or zero, and a key's only vector, take no part.
     """
-    unit = df.select(*keys, F.col(item).alias("_i"), normalise(vector).alias("_v"))
-    pairs = unit.join(unit.select(*keys, F.col("_i").alias("_j"), F.col("_v").alias("_u")), keys).where("_i <> _j")
-    near = pairs.groupBy(*keys, "_i").agg(F.max(dot("_v", "_u")).alias("_m"), F.avg(dot("_v", "_u")).alias("_a"))
-    return near.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col("_m") >= repeat).cast("int")).alias("repetition_ratio"), F.percentile("_m", F.lit(0.95)).alias("p95_similarity"), (1 - F.avg("_a")).alias("diversity"))
+    rows = df.select(*keys, F.col(item).alias("_item"), F.col(vector).alias("_x"), F.to_json(F.struct(*keys, item)).alias("_id"))
+    near = _met(rows, rows, "_id", "_id", "_x", by=keys).applyInArrow(partial(_best_of_block, 1, True, True), "_q string, _g string, score double")
+    near = near.groupBy(F.col("_q").alias("_id")).agg(F.max("score").alias("_m")).join(rows.select(*keys, "_item", "_id"), "_id")
+    near = near.join(mean_similarity(rows, keys, "_item", "_x"), [*keys, "_item"])
+    return near.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col("_m") >= repeat).cast("int")).alias("repetition_ratio"), F.percentile("_m", F.lit(0.95)).alias("p95_similarity"), (1 - F.avg("mean_similarity")).alias("diversity"))
 
 
 def mean_similarity(df: DataFrame, keys: list[str], item: str, vector: str) -> DataFrame:

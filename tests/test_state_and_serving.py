@@ -128,3 +128,16 @@ def test_registered_functions_in_sql(spark):
     rows = spark.sql("SELECT place, word FROM framewell_words('one two')").collect()
     assert [(r.place, r.word) for r in rows] == [(0, "one"), (1, "two")]
     assert 0 <= spark.sql("SELECT framewell_unit_hash('x') AS u").first().u < 1
+
+
+def test_late_rows_are_dropped_and_old_windows_leave(spark, tmp_path):
+    """Files in order: two hours of rows, rows ten hours later, then one that is late; a one-hour watermark, known to the batch after the next."""
+    import time
+
+    for i, rows in enumerate(([(0.1, 1.0), (0.5, 2.0), (1.2, 4.0)], [(11.0, 8.0)], [(11.1, 1.0)], [(0.2, 100.0), (11.5, 16.0)], [(30.0, 32.0)], [(31.0, 0.0)])):
+        df = spark.createDataFrame(rows, "h double, value double").select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("h") * 3600).alias("ts"), "value")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # files are taken by age
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), "k string, ts timestamp, value double", 1)
+    got = sorted((r.start.hour, r.n, r.total) for r in jobs.run_to_end(jobs.tumbling(stream, ["k"], "ts", "1 hour", "1 hour")).collect())
+    assert got == [(0, 2, 3.0), (1, 1, 4.0), (11, 3, 25.0)]
