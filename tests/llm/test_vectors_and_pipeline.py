@@ -1,3 +1,8 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
 import numpy as np
 
 from framewell.llm import hnsw
@@ -85,3 +90,89 @@ def test_pipeline_bears_odd_rows(spark):
         for _, stage in C.STAGES:
             docs = cut(stage(spark, docs, "/root/testdata/sf0.001"))
     assert docs.count() == 0
+
+
+def plain_pipeline(spark, rows, items):
+    """The pipeline in plain Python: rows (doc_id, text), kept and cut stage by stage; ids of each document's tokens."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from framewell.llm import decontam, language
+    from tests.llm.test_text_ops import alnum, components
+
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang in rows], "doc_id long, text string, lang string")
+    model = language.fit(docs, ~language.held_out())
+    texts = {}
+    for i, t, _ in rows:
+        _, score = model.predict([(t or "").encode()])
+        if t and any(c.isalpha() for c in t) and score[0] >= model.least:
+            texts[i] = t
+    groups = components(list(texts.items()), 5, 80)
+    texts = {i: t for i, t in texts.items() if groups[i][1] == i}
+    gone = covered(sorted(texts.items()), 100)
+    texts = {i: "".join(c for c, g in zip(t, gone[i]) if not g) for i, t in texts.items()}
+    texts = {i: t for i, t in texts.items() if t.strip() or not any(gone[i])}
+
+    def grams(w):
+        return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)])
+
+    def holds(t, item):
+        w, m = alnum(t), alnum(item)
+        return any(decontam.weighted_similarity(grams(w[s : s + len(m)]), grams(m)) >= 0.8 for s in range(max(1, len(w) - len(m) + 1))) if w and m else False
+
+    texts = {i: t for i, t in texts.items() if not any(holds(t, x) for x in items)}
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return {i: [*tok.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
+
+
+def covered(rows, length):
+    """Marks of the characters (ASCII texts) that strings which also start earlier cover."""
+    seen, out = set(), {}
+    for i, t in rows:
+        gone = [False] * len(t)
+        for p in range(len(t) - length + 1):
+            if t[p : p + length] in seen:
+                gone[p : p + length] = [True] * length
+            seen.add(t[p : p + length])
+        out[i] = gone
+    return out
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    import corpus_pipeline as C
+
+    rng = random.Random(12)
+    source = [(r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    clean = [(re.sub(r"[^\x20-\x7e]", "e", t)[:1500], lang) for t, lang in source]
+    words = lambda n: " ".join(f"{rng.choice(['river', 'table', 'window', 'garden', 'paper'])}{rng.randrange(9999)}" for _ in range(n))
+    item, passage = words(30), words(25)
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(clean)]
+    rows += [(100 + i, clean[i][0], clean[i][1]) for i in range(0, 20, 2)]  # exact copies
+    for i in range(1, 20, 3):  # near copies: one word changed
+        w = clean[i][0].split(" ")
+        w[len(w) // 2] = "changed"
+        rows.append((200 + i, " ".join(w), clean[i][1]))
+    rows += [(300 + i, f"{clean[20 + i][0][:400]} {words(12)} {passage} {words(20)}", "en") for i in range(6)]
+    rows += [(400, f"{words(10)} {item} {words(10)}", "en"), (401, None, "en"), (402, "12345 !!! 999", None), (403, " ", "en")]
+    docs = spark.createDataFrame([(i, t, lang, f"s{i % 3}", len(t or "")) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, words(20))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = defaultdict(list)
+    out = C.run(spark, str(tmp_path)).collect()
+    for r in out:
+        got[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    want = plain_pipeline(spark, rows, [item])
+    assert set(got) == set(want) and 400 not in got and not set(range(100, 120)) & set(got) and len(got) > 50
+    for i, ids in want.items():
+        assert sum(n for _, _, n, _ in got[i]) == len(ids)
+        for _, start, n, crc in got[i]:
+            assert crc == zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())
+    per = defaultdict(list)
+    for r in out:
+        per[r.sequence_id].append((r.offset, r.length))
+    for x in per.values():
+        at = 0
+        for offset, n in sorted(x):
+            assert offset == at
+            at += n
+        assert at <= 1024
