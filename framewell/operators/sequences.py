@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+
 from collections.abc import Iterator
 
 import pandas as pd
@@ -88,13 +90,14 @@ def suppress_by_time(peaks: DataFrame, keys: list[str], t: str, value: str, gap:
     schema = peaks.select(*keys, t, value).schema
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        chosen: list[float] = []
+        chosen: list[float] = []  # sorted, so that only the neighbours of a time can be too near
         rows = []
-        for r in pdf.sort_values([value, t], ascending=[False, True]).itertuples():
-            at = getattr(r, t)
-            if all(abs(at - c) >= gap for c in chosen):
-                chosen.append(at)
-                rows.append(r.Index)
+        order = pdf.sort_values([value, t], ascending=[False, True])
+        for i, at in zip(order.index, order[t]):
+            p = bisect.bisect_left(chosen, at)
+            if all(abs(at - c) >= gap for c in chosen[max(p - 1, 0) : p + 1]):
+                chosen.insert(p, at)
+                rows.append(i)
         return pdf.loc[rows]
 
     return peaks.select(*keys, t, value).groupBy(*keys).applyInPandas(keep, schema)

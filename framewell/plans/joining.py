@@ -193,7 +193,7 @@ QUERIES = {
     "j03_semi": (j03_semi, "SELECT l_returnflag, count(*) n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority='1-URGENT') GROUP BY 1"),
     "j04_anti": (j04_anti, "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"),
     "j05_snapshot_fields": (j05_snapshot_fields, "SELECT o_orderkey, o_orderstatus, s1 snapshot_1, s2 snapshot_2, s3 snapshot_3 FROM orders LEFT JOIN (SELECT l_orderkey, max(l_quantity) FILTER (l_linenumber=1) s1, max(l_quantity) FILTER (l_linenumber=2) s2, max(l_quantity) FILTER (l_linenumber=3) s3 FROM lineitem WHERE l_linenumber<=3 GROUP BY 1) ON o_orderkey=l_orderkey"),
-    "j07_cell_compare": (j07_cell_compare, None),
+    "j07_cell_compare": (j07_cell_compare, "WITH c AS (SELECT p_partkey, unnest([p_size::DOUBLE,p_retailprice]) v FROM part) SELECT CASE WHEN p_partkey%50=0 THEN 'value' ELSE 'missing_right' END reason, count(*) n FROM c WHERE v IS NOT NULL AND (p_partkey%50=0 AND abs(v-v*1.01::DOUBLE)>1e-5+1e-4*abs(v*1.01::DOUBLE) OR p_partkey%50<>0 AND p_partkey%77=0) GROUP BY 1"),
     "j08_asof_backward": (j08_asof_backward, f"WITH {_FRAMES}, p AS (SELECT user_id, t, max(event_id) scene FROM f WHERE event_type='click' GROUP BY ALL) SELECT f.event_id, p.scene FROM f ASOF LEFT JOIN p ON f.user_id=p.user_id AND f.t>=p.t"),
     "j09_interpolate": (j09_interpolate, f"""WITH {_FRAMES}, p AS (SELECT user_id, t, max(value) v FROM f WHERE event_type='click' AND value IS NOT NULL GROUP BY ALL), q AS (SELECT DISTINCT user_id, t FROM f WHERE event_type='view'),
       c AS (SELECT user_id, count(*) n FROM p GROUP BY 1), x AS (SELECT q.user_id, q.t, a.t t_a, a.v av FROM q ASOF LEFT JOIN p a ON q.user_id=a.user_id AND q.t>=a.t), y AS (SELECT x.*, b.t bt, b.v bv FROM x ASOF LEFT JOIN p b ON x.user_id=b.user_id AND x.t<=b.t)

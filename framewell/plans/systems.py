@@ -166,7 +166,9 @@ QUERIES = {
     "t09_stream_retries": (t09_stream_retries, f"SELECT user_id AS key, count(*) attempts, count(*)>=5 dead FROM {_E} AND event_type='purchase' GROUP BY 1"),
     "l01_fit_predict": (l01_fit_predict, None),
     "l03_out_of_fold": (l03_out_of_fold, None),
-    "l05_select_by_fold": (l05_select_by_fold, None),
+    "l05_select_by_fold": (l05_select_by_fold, """WITH t AS (SELECT f.fold, l_extendedprice y, unnest(['l_quantity','l_discount','l_tax','line']) feature, unnest([l_quantity,l_discount,l_tax,l_linenumber::DOUBLE]) x FROM lineitem JOIN (SELECT unnest([0,1,2]) fold) f ON l_orderkey%3<>f.fold),
+      r AS (SELECT fold, feature, rank() OVER (PARTITION BY fold, feature ORDER BY x)+(count(*) OVER (PARTITION BY fold, feature, x)-1)/2.0 rx, rank() OVER (PARTITION BY fold, feature ORDER BY y)+(count(*) OVER (PARTITION BY fold, feature, y)-1)/2.0 ry FROM t),
+      s AS (SELECT fold, feature, round(abs(corr(rx,ry)),9) s FROM r GROUP BY ALL) SELECT fold::INT fold, 1::INT AS rank, feature FROM s QUALIFY row_number() OVER (PARTITION BY fold ORDER BY s DESC, feature)=1"""),
     "l07_synthetic": (l07_synthetic, "SELECT count(*) n, count(*) over_five FROM orders"),
     "l08_segments": (l08_segments, "SELECT CASE l_linenumber WHEN 1 THEN 0 ELSE 2 END segment, count(*) n FROM lineitem WHERE l_linenumber<=2 GROUP BY 1"),
     "l08_segments_all": (l08_segments_all, None),
