@@ -69,12 +69,12 @@ def j09_interpolate(spark, sf):
 
 def _intervals(spark, sf):
     f = _frames(spark, sf)
-    asr = f.where("event_id % 3 = 0").select("user_id", "event_id", F.col("t").alias("a0"), (F.col("t") + 3600 + F.col("event_id") % 5 * 1800).alias("a1"))
-    turns = f.where("event_id % 3 = 1").select("user_id", F.col("event_id").alias("turn"), F.col("t").alias("s0"), (F.col("t") + 7200).alias("s1"), F.col("event_type").alias("speaker"))
+    asr = f.where("event_id % 2 = 0").select("user_id", "event_id", F.col("t").alias("a0"), (F.col("t") + 3600 + F.col("event_id") % 5 * 1800).alias("a1"))
+    turns = f.where("event_id % 2 = 1").select("user_id", F.col("event_id").alias("turn"), F.col("t").alias("s0"), (F.col("t") + 7200).alias("s1"), F.col("event_type").alias("speaker"))
     return asr, turns
 
 
-_INTERVALS = _FRAMES + ", asr AS (SELECT user_id, event_id, t a0, t+3600+event_id%5*1800 a1 FROM f WHERE event_id%3=0), turns AS (SELECT user_id, event_id turn, t s0, t+7200 s1, event_type speaker FROM f WHERE event_id%3=1)"
+_INTERVALS = _FRAMES + ", asr AS (SELECT user_id, event_id, t a0, t+3600+event_id%5*1800 a1 FROM f WHERE event_id%2=0), turns AS (SELECT user_id, event_id turn, t s0, t+7200 s1, event_type speaker FROM f WHERE event_id%2=1)"
 
 
 def j10_interval_overlap(spark, sf):
@@ -130,7 +130,7 @@ def _nearest(spark, sf, only="true"):
 
 
 def j20_nearest(spark, sf):
-    return _nearest(spark, sf, "pos % 9 = 0")
+    return _nearest(spark, sf)
 
 
 def j20_nearest_all(spark, sf):
@@ -143,7 +143,7 @@ def u01_union_by_key(spark, sf):
 
 
 def u02_distinct_rows(spark, sf):
-    a, b = (_t(spark, sf, "lineitem").where(c).select("l_returnflag", "l_linestatus", "l_linenumber") for c in ("l_orderkey % 2 = 0", "l_orderkey % 3 = 0"))
+    a, b = (_t(spark, sf, "lineitem").where(c).select("l_returnflag", "l_linestatus", "l_linenumber") for c in ("l_orderkey % 2 = 0", "l_orderkey % 2 = 1 OR l_orderkey % 3 = 0"))
     return a.union(b).distinct()
 
 
@@ -170,8 +170,9 @@ def u06_except(spark, sf):
 def u07_components(spark, sf):
     from framewell.operators.graph import connected_components
 
-    i = _t(spark, sf, "lineitem").where("l_quantity >= 49 AND l_tax = 0.0")
-    edges = i.select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 10_000_000).alias("v"))
+    orders = _t(spark, sf, "orders").select((F.col("o_orderkey") + 1_000_000_000).alias("u"), F.col("o_custkey").alias("v"))
+    fours = _t(spark, sf, "customer").select(F.col("c_custkey").alias("u"), (F.col("c_custkey") - F.col("c_custkey") % 4).alias("v"))
+    edges = orders.union(fours)
     return connected_components(edges, cut)
 
 
@@ -206,15 +207,15 @@ QUERIES = {
     "j14_due_probe": (j14_due_probe, "SELECT o_orderstatus, count(*) n FROM orders JOIN lineitem a ON o_orderkey=l_orderkey AND l_linenumber=1 WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey=o_orderkey AND b.l_linenumber=2) GROUP BY 1"),
     "j17_overlay": (j17_overlay, "WITH b AS (SELECT l_orderkey k, l_linenumber i, max(l_quantity) d FROM lineitem WHERE l_linenumber<=2 GROUP BY ALL), o AS (SELECT l_orderkey k, l_linenumber i, -min(l_quantity) d FROM lineitem WHERE l_linenumber BETWEEN 2 AND 3 AND l_orderkey IN (SELECT k FROM b) GROUP BY ALL) SELECT i l_linenumber, count(*) n, sum(coalesce(o.d,b.d)) total FROM b FULL JOIN o USING (k,i) GROUP BY 1"),
     "j19_known_keys": (j19_known_keys, "SELECT c_mktsegment, count(*) n FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1"),
-    "j20_nearest": (j20_nearest, "WITH p AS (SELECT (p_partkey*7%1009)::DOUBLE x, p_partkey pos FROM part WHERE p_partkey%9=0), q AS (SELECT s_suppkey*10.3::DOUBLE x FROM supplier) SELECT round(q.x,6) x, arg_min(pos, (abs(p.x-q.x), pos)) pos FROM q, p GROUP BY q.x"),
+    "j20_nearest": (j20_nearest, "WITH p AS (SELECT (p_partkey*7%1009)::DOUBLE x, p_partkey pos FROM part), q AS (SELECT s_suppkey*10.3::DOUBLE x FROM supplier) SELECT round(q.x,6) x, arg_min(pos, (abs(p.x-q.x), pos)) pos FROM q, p GROUP BY q.x"),
     "j20_nearest_all": (j20_nearest_all, "WITH p AS (SELECT (p_partkey*7%1009)::DOUBLE x, p_partkey pos FROM part), q AS (SELECT s_suppkey*10.3::DOUBLE x FROM supplier) SELECT round(q.x,6) x, arg_min(pos, (abs(p.x-q.x), pos)) pos FROM q, p GROUP BY q.x"),
     "u01_union_by_key": (u01_union_by_key, "WITH r AS (SELECT o_custkey k, o_orderkey AS row, CASE WHEN o_orderkey%3=0 THEN 0 ELSE 1 END p FROM orders) SELECT k, row FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY p, row DESC)=1"),
-    "u02_distinct_rows": (u02_distinct_rows, "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%2=0 UNION SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%3=0"),
+    "u02_distinct_rows": (u02_distinct_rows, "SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%2=0 UNION SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey%2=1 OR l_orderkey%3=0"),
     "u03_max_merge": (u03_max_merge, "SELECT l_suppkey, greatest(count(*) FILTER (l_linestatus='O'), count(*) FILTER (l_linestatus='F')) n, array_to_string(list_sort(list(DISTINCT l_returnflag)),',') flags FROM lineitem GROUP BY 1"),
     "u04_newer_wins": (u04_newer_wins, "WITH r AS (SELECT l_orderkey, l_shipdate at_, l_linenumber, CASE WHEN l_returnflag='N' THEN 1 ELSE 0 END p FROM lineitem) SELECT l_orderkey, strftime(at_,'%Y-%m-%d %H:%M:%S') AS \"at\", l_linenumber FROM r QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY at_ DESC, p, l_linenumber)=1"),
     "u05_intersect": (u05_intersect, "SELECT l_partkey FROM lineitem WHERE l_shipdate<TIMESTAMP '1995-01-01' INTERSECT SELECT l_partkey FROM lineitem WHERE l_shipdate>=TIMESTAMP '1997-01-01'"),
     "u06_except": (u06_except, "SELECT p_partkey k FROM part EXCEPT SELECT l_partkey FROM lineitem"),
-    "u07_components": (u07_components, "WITH RECURSIVE e AS (SELECT DISTINCT l_partkey u, l_suppkey+10000000 v FROM lineitem WHERE l_quantity>=49 AND l_tax=0.0), b AS (SELECT u,v FROM e UNION ALL SELECT v,u FROM e), r AS (SELECT u node, u reach FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u=r.reach) SELECT node, min(reach) component FROM r GROUP BY 1"),
+    "u07_components": (u07_components, "WITH RECURSIVE e AS (SELECT o_orderkey+1000000000 u, o_custkey v FROM orders UNION SELECT c_custkey, c_custkey-c_custkey%4 FROM customer WHERE c_custkey%4<>0), b AS (SELECT u,v FROM e UNION ALL SELECT v,u FROM e), r AS (SELECT u node, u reach FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u=r.reach) SELECT node, min(reach) component FROM r GROUP BY 1"),
     "u08_incidents": (u08_incidents, "SELECT user_id id, min(event_id) first_seen, max(event_id) last_seen, arg_max(event_type,event_id) last_batch, count(DISTINCT event_type) n_batches, array_to_string(list_sort(list(DISTINCT event_type)),',') batches FROM events WHERE user_id IS NOT NULL GROUP BY 1"),
     "u09_event_stream": (u09_event_stream, f"WITH {_FRAMES}, u AS (SELECT user_id, t, 1 kind FROM f WHERE event_type='click' UNION ALL SELECT user_id, t, 200 FROM f WHERE event_type='view' AND value>50 UNION ALL SELECT user_id, t, 210 FROM f WHERE event_type='purchase') SELECT user_id, round(t,3) t, kind, row_number() OVER (PARTITION BY user_id ORDER BY t, kind)::INT place FROM u"),
 }

@@ -117,7 +117,7 @@ def _slots(items):
 
 
 def o08_slots(spark, sf):
-    return _slots(_items(spark, sf).where("l_orderkey % 3 = 0"))
+    return _slots(_items(spark, sf))
 
 
 def o08_slots_all(spark, sf):
@@ -185,7 +185,7 @@ QUERIES = {
     "o05_golden_sets": (o05_golden_sets, "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY sha256('1337::'||o_orderkey)) i FROM orders) SELECT o_orderkey, CASE WHEN i<=100 THEN 'holdout' ELSE 'regression' END part FROM r WHERE i<=150"),
     "o06_hash_sample": (o06_hash_sample, "SELECT c_custkey FROM customer ORDER BY sha256('7::'||c_custkey) LIMIT 40"),
     "o07_extremes": (o07_extremes, "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INT \"rank\", 'most' side FROM orders QUALIFY \"rank\"<=2 UNION ALL SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey)::INT \"rank\", 'least' FROM orders QUALIFY \"rank\"<=2"),
-    "o08_slots": (o08_slots, "WITH r AS (SELECT l_orderkey, l_extendedprice v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) i FROM lineitem WHERE l_orderkey%3=0) SELECT l_orderkey, max(v) FILTER (i=1) top1, max(v) FILTER (i=2) top2, max(v) FILTER (i=3) top3, max(v) FILTER (i=4) top4 FROM r GROUP BY 1"),
+    "o08_slots": (o08_slots, "WITH r AS (SELECT l_orderkey, l_extendedprice v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) i FROM lineitem) SELECT l_orderkey, max(v) FILTER (i=1) top1, max(v) FILTER (i=2) top2, max(v) FILTER (i=3) top3, max(v) FILTER (i=4) top4 FROM r GROUP BY 1"),
     "o08_slots_all": (o08_slots_all, "WITH r AS (SELECT l_orderkey, l_extendedprice v, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) i FROM lineitem) SELECT l_orderkey, max(v) FILTER (i=1) top1, max(v) FILTER (i=2) top2, max(v) FILTER (i=3) top3, max(v) FILTER (i=4) top4 FROM r GROUP BY 1"),
     "o09_limit": (o09_limit, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25"),
     "o10_time_split": (o10_time_split, "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) i, count(*) OVER () n FROM orders WHERE o_orderdate IS NOT NULL) SELECT o_orderkey, CASE WHEN i<=round_even(n*0.7,0) THEN 'train' WHEN i<=round_even(n*0.7,0)+round_even(n*0.15,0) THEN 'valid' ELSE 'test' END split FROM r"),

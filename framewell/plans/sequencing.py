@@ -84,10 +84,7 @@ def w17_windows(spark, sf):
 
 
 def w18_union_windows(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "n_chars").where("n_chars < 3000")
-    w = S.plan_windows(d, "n_chars", 32, 64, 8)
-    frames = d.withColumn("frame", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_chars"), F.lit(4).cast("bigint")))).withColumn("place", F.expr("frame div 4"))
-    return S.union_windows(w, frames, ["doc_id"], "start", 16, "frame", "place").select("doc_id", "lo", "hi", "n")
+    return w18_union_windows_all(spark, sf)
 
 
 def w18_union_windows_all(spark, sf):
@@ -187,7 +184,7 @@ QUERIES = {
     "w15_density": (w15_density, f"WITH {_C}, b AS (SELECT user_id, least(floor(t/500),9) b, count(*) c FROM c GROUP BY ALL), f AS (SELECT user_id, unnest(range(10)) b FROM (SELECT DISTINCT user_id FROM c)) SELECT user_id, round(var_pop(coalesce(c,0)/500.0),9) density_var, sum(c)::BIGINT events FROM f LEFT JOIN b USING (user_id,b) GROUP BY 1"),
     "w16_bins": (w16_bins, f"WITH {_C}, b AS (SELECT user_id, greatest(0,least(ceil(t/625)-1,7))::BIGINT bin, avg(value) a, max(value) x, quantile_cont(value,0.5) p, quantile_cont(value,0.9) q FROM c GROUP BY ALL), f AS (SELECT user_id, unnest(range(8)) bin FROM (SELECT DISTINCT user_id FROM c)) SELECT user_id, bin, round(a,9) mean, round(x,9) max, round(p,9) p50, round(q,9) p90, (a IS NOT NULL)::INT mask FROM f LEFT JOIN b USING (user_id,bin)"),
     "w17_windows": (w17_windows, "WITH d AS (SELECT doc_id, greatest(n_chars-200,0) l FROM documents), s AS (SELECT doc_id, list_sort(list_distinct(list_append(range(0,l+1,150),l))) s FROM d), x AS (SELECT doc_id, CASE WHEN len(s)>12 THEN list_distinct(list_transform(range(12), lambda i: s[1+round_even(i*(len(s)-1)/11.0,0)::INT])) ELSE s END s FROM s) SELECT doc_id, unnest(s) AS start FROM x"),
-    "w18_union_windows": (w18_union_windows, "WITH d AS (SELECT doc_id, n_chars n, greatest(n_chars-32,0) l FROM documents WHERE n_chars<3000), s AS (SELECT doc_id, n, list_sort(list_distinct(list_append(range(0,l+1,64),l))) s FROM d), x AS (SELECT doc_id, n, CASE WHEN len(s)>8 THEN list_distinct(list_transform(range(8), lambda i: s[1+round_even(i*(len(s)-1)/7.0,0)::INT])) ELSE s END s FROM s), w AS (SELECT doc_id, n, unnest(s) a FROM x), f AS (SELECT doc_id, a, unnest(range(a,a+16)) f, n FROM w), h AS (SELECT doc_id, a, min(f//4) lo, max(f//4) hi, count(*) n FROM f WHERE f%4=0 AND f<=n GROUP BY ALL) SELECT doc_id, lo, hi, max(n) n FROM h GROUP BY ALL"),
+    "w18_union_windows": (w18_union_windows, "WITH d AS (SELECT doc_id, coalesce(n_chars,length(text)) n, greatest(coalesce(n_chars,length(text))-32,0) l FROM documents), s AS (SELECT doc_id, n, list_sort(list_distinct(list_append(range(0,l+1,64),l))) s FROM d), x AS (SELECT doc_id, n, CASE WHEN len(s)>8 THEN list_distinct(list_transform(range(8), lambda i: s[1+round_even(i*(len(s)-1)/7.0,0)::INT])) ELSE s END s FROM s), w AS (SELECT doc_id, n, unnest(s) a FROM x), f AS (SELECT doc_id, a, unnest(range(a,a+16)) f, n FROM w), h AS (SELECT doc_id, a, min(f//4) lo, max(f//4) hi, count(*) n FROM f WHERE f%4=0 AND f<=n GROUP BY ALL) SELECT doc_id, lo, hi, max(n) n FROM h GROUP BY ALL"),
     "w18_union_windows_all": (w18_union_windows_all, None),
     "w19_blocks": (w19_blocks, f"WITH {_WS}, b AS (SELECT user_id, (i-1)//greatest(1,round_even(n/10.0,0)::BIGINT) b, avg(value) m FROM w GROUP BY ALL) SELECT user_id, round(min(m),5) least_mean, count(*) blocks FROM b GROUP BY 1"),
     "w20_budget": (w20_budget, "SELECT conv_id, turn FROM conversations QUALIFY sum(length(coalesce(text,''))) OVER (PARTITION BY conv_id ORDER BY turn)<=400"),

@@ -19,12 +19,7 @@ def s01_csv_round_trip(spark, sf):
 
 
 def s06_keyed_records(spark, sf):
-    path = S.scratch(spark)
-    o = table(spark, sf, "orders").where("o_orderkey % 40 = 0")
-    body = F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))), lambda s: F.format_string('"%d":{"snapshot_0":{"viewCount":"%d"},"snapshot_1":{"viewCount":"%d","likeCount":"x"}}', s["o_orderkey"], F.floor(s["o_totalprice"]).cast("bigint"), F.floor(s["o_totalprice"] * 2).cast("bigint"))))
-    o.groupBy("o_orderstatus").agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value")).write.partitionBy("o_orderstatus").text(path)
-    rows = S.keyed_records(spark, path, "video_id", o.select(F.col("o_orderkey").cast("string").alias("video_id")).where("o_orderkey % 80 = 0"))
-    return S.snapshots(rows, "video_id", [0, 1]).select("video_id", "snapshot_index", "views", "likes")
+    return s06_keyed_records_all(spark, sf)
 
 
 def s06_keyed_records_all(spark, sf):
@@ -114,7 +109,8 @@ def l07_synthetic(spark, sf):
 
 
 def l08_segments(spark, sf):
-    out = L.segment_1d(table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("double").alias("v")).where("v <= 2"), "v", 3)
+    """Two values for three segments: the uniform ones."""
+    out = L.segment_1d(table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linestatus") == "O").cast("double").alias("v")), "v", 3)
     return out.groupBy("segment").agg(F.count("*").alias("n"))
 
 
@@ -152,7 +148,7 @@ def s25_subtitles(spark, sf):
 _E = "events WHERE ts IS NOT NULL AND user_id IS NOT NULL"
 QUERIES = {
     "s01_csv_round_trip": (s01_csv_round_trip, "SELECT n_nationkey, n_name FROM nation"),
-    "s06_keyed_records": (s06_keyed_records, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders WHERE o_orderkey%80=0"),
+    "s06_keyed_records": (s06_keyed_records, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
     "s06_keyed_records_all": (s06_keyed_records_all, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
     "s12_partition_value": (s12_partition_value, "SELECT c_mktsegment category, count(*) n FROM customer GROUP BY 1"),
     "s18_sidecar": (s18_sidecar, "SELECT count(*) n_rows, (SELECT count(*) FROM information_schema.columns WHERE table_name='supplier') n_columns, sha256((SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns WHERE table_name='supplier')) column_hash FROM supplier"),
@@ -170,7 +166,7 @@ QUERIES = {
       r AS (SELECT fold, feature, rank() OVER (PARTITION BY fold, feature ORDER BY x)+(count(*) OVER (PARTITION BY fold, feature, x)-1)/2.0 rx, rank() OVER (PARTITION BY fold, feature ORDER BY y)+(count(*) OVER (PARTITION BY fold, feature, y)-1)/2.0 ry FROM t),
       s AS (SELECT fold, feature, round(abs(corr(rx,ry)),9) s FROM r GROUP BY ALL) SELECT fold::INT fold, 1::INT AS rank, feature FROM s QUALIFY row_number() OVER (PARTITION BY fold ORDER BY s DESC, feature)=1"""),
     "l07_synthetic": (l07_synthetic, "SELECT count(*) n, count(*) over_five FROM orders"),
-    "l08_segments": (l08_segments, "SELECT CASE l_linenumber WHEN 1 THEN 0 ELSE 2 END segment, count(*) n FROM lineitem WHERE l_linenumber<=2 GROUP BY 1"),
+    "l08_segments": (l08_segments, "SELECT CASE l_linestatus WHEN 'O' THEN 2 ELSE 0 END segment, count(*) n FROM lineitem GROUP BY 1"),
     "l08_segments_all": (l08_segments_all, None),
     "l11_topo": (l11_topo, "SELECT unnest([0,1,2,3,4])::BIGINT place, unnest(['segmenter','clip','flow','scene','story']) AS name"),
     "l12_similarity": (l12_similarity, "SELECT p_partkey, round(CASE WHEN p_partkey%2=0 THEN 0.6*(p_partkey%10/10.0)+0.4*(p_partkey%7/7.0) ELSE p_partkey%7/7.0 END::DOUBLE,7) score FROM part"),

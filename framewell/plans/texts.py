@@ -65,8 +65,7 @@ def f16_hashtags(spark, sf):
 
 
 def f17_tags(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.slice(F.split(F.substring("text", 1, 200), " "), 1, 12).alias("tags"))
-    return d.select("doc_id", F.array_join(X.canonical_tags("tags", 8), "|").alias("tags"))
+    return f17_tags_all(spark, sf)
 
 
 def f17_tags_all(spark, sf):
@@ -144,7 +143,7 @@ QUERIES = {
     "f15_lexical": (f15_lexical, f"WITH t AS (SELECT doc_id, {_T} t FROM documents), w AS (SELECT doc_id, t, list_transform(regexp_extract_all(t,'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM t), n AS (SELECT *, len(w) n, nullif(length(t),0) c, coalesce(w[1] IN ({', '.join(repr(x) for x in X.QUESTION_WORDS)}) AND starts_with(lower(t), w[1]),false) q, {_BAITS} b FROM w) SELECT doc_id, n::BIGINT n_words, len(list_distinct(w))::BIGINT n_unique, round(coalesce(len(list_distinct(w))/nullif(n,0),0),7) type_token, round(coalesce(list_sum(list_transform(w, lambda x: length(x)))/nullif(n,0),0),7) mean_word, round(coalesce({_N('[!-/:-@\\[-`{-~]')}/c,0),7) punct_ratio, round(coalesce({_N('[A-Z]')}/nullif({_N('[A-Za-z]')},0),0),7) caps_ratio, round(coalesce({_N('[0-9]')}/c,0),7) digit_ratio, {_N('\\?')}::BIGINT n_question, (q OR ends_with(t,'?'))::BIGINT is_question, q::BIGINT question_prefix, round(least(1.0::DOUBLE,(b+(contains(t,'!'))::INT+q::INT)/3.0::DOUBLE),7) clickbait_score, {_N('https?://\\S+')}::BIGINT n_urls, {_N('@[A-Za-z0-9_]+')}::BIGINT n_mentions, {_N('[0-9]+')}::BIGINT n_numbers, b::BIGINT n_clickbait, round(coalesce(len(list_filter(w, lambda x: length(x)>6))/nullif(n,0),0),7) long_word_ratio FROM n"),
     "f16_hashtags": (f16_hashtags, r"""WITH d AS (SELECT doc_id, concat_ws(' ', '#Top', regexp_replace(text,' ([a-z]{5,9}) ',' #\1 ','g')) t FROM documents), h AS (SELECT *, list_transform(list_filter(regexp_extract_all(t,'(?:^|[^\p{L}\p{M}\p{N}_-])#([\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}_-]*)',1), lambda x: length(x)<=12), lambda x: lower(x)) h FROM d)
       SELECT doc_id, array_to_string(list_filter(h, lambda x, i: list_position(h,x)=i),',') tags, length(trim(regexp_replace(regexp_replace(t,'(^|[^\p{L}\p{M}\p{N}_-])#[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}_-]*','\1 ','g'),'\s+',' ','g'))) rest FROM h"""),
-    "f17_tags": (f17_tags, "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(text[1:200],' ')[1:12], lambda x: lower(trim(regexp_replace(x,'^#+','')))), lambda x: x<>'')))[1:8],'|') tags FROM documents"),
+    "f17_tags": (f17_tags, "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(text,' '), lambda x: lower(trim(regexp_replace(x,'^#+','')))), lambda x: x<>'')))[1:8],'|') tags FROM documents"),
     "f17_tags_all": (f17_tags_all, None),
     "f18_questions": (f18_questions, None),
     "f19_keyphrases": (f19_keyphrases, f"WITH w AS (SELECT item_id, list_transform(regexp_extract_all(coalesce(text,''),'[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) w FROM benchmark), g AS (SELECT item_id, n, unnest(range(len(w)-n+1)) a, w FROM w, (SELECT unnest([1,2,3]) n)), p AS (SELECT item_id, n, a, w[a+1:a+n] g FROM g), k AS (SELECT item_id, n, array_to_string(g,' ') phrase, count(*) tf, min(a) f FROM p WHERE g[1] NOT IN ({', '.join(repr(x) for x in X.STOPWORDS)}) AND g[-1] NOT IN ({', '.join(repr(x) for x in X.STOPWORDS)}) AND len(list_filter(g, lambda x: length(x)<=1))=0 GROUP BY ALL), s AS (SELECT item_id, phrase, round(tf/(1.0+f)*(1+0.25*(n-1)),9)::DOUBLE score FROM k) SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, phrase)::INT \"rank\", phrase, score FROM s QUALIFY \"rank\"<=5"),

@@ -36,12 +36,12 @@ def v04_one_to_many(spark, sf):
 
 def v08_topk_cosine(spark, sf):
     e = _e(spark, sf)
-    return V.top_k_cosine(e.where("vec_id % 25 = 0").withColumnRenamed("vec_id", "query_id"), e, "query_id", "vec_id", "embedding", 5).select("query_id", "rank", "vec_id", F.round("score", 5).alias("score"))
+    return V.top_k_cosine(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), e, "query_id", "vec_id", "embedding", 5).select("query_id", "rank", "vec_id", F.round("score", 5).alias("score"))
 
 
 def v07_corpus_topk(spark, sf):
     e = _e(spark, sf)
-    t = V.top_k_cosine(e.where("vec_id % 40 = 0").withColumnRenamed("vec_id", "query_id"), e, "query_id", "vec_id", "embedding", 4, True)
+    t = V.top_k_cosine(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), e, "query_id", "vec_id", "embedding", 4, True)
     return t.groupBy("query_id").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.max("rank").alias("n"))
 
 
@@ -65,7 +65,7 @@ def _cluster_entropy(spark, sf, rows):
 
 
 def v10_cluster_entropy(spark, sf):
-    return _cluster_entropy(spark, sf, _e(spark, sf).where("vec_id % 10 = 0"))
+    return _cluster_entropy(spark, sf, _e(spark, sf))
 
 
 def v11_threshold_after_k(spark, sf):
@@ -74,7 +74,7 @@ def v11_threshold_after_k(spark, sf):
 
 def v12_filtered_search(spark, sf):
     e = _e(spark, sf)
-    return V.top_k_cosine(e.where("vec_id = 0").withColumnRenamed("vec_id", "query_id"), e.where("label % 2 = 0"), "query_id", "vec_id", "embedding", 10).select("rank", "vec_id")
+    return V.top_k_cosine(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), e.where("label % 2 = 0"), "query_id", "vec_id", "embedding", 10).select("query_id", "rank", "vec_id")
 
 
 def v13_primary(spark, sf):
@@ -138,7 +138,7 @@ def _prompts(e):
 
 def a37_topics(spark, sf):
     e = _e(spark, sf)
-    return _topics(e.where("vec_id % 20 = 0"), _prompts(e.where("vec_id % 20 = 1")))
+    return _topics(e, _prompts(e))
 
 
 def a37_topics_all(spark, sf):
@@ -147,7 +147,7 @@ def a37_topics_all(spark, sf):
 
 
 def a38_track_topk(spark, sf):
-    e, g = _e(spark, sf).where("vec_id % 5 = 0").withColumnRenamed("label", "track"), _e(spark, sf).where("vec_id % 50 = 1").select(F.col("vec_id").alias("gid"), "embedding")
+    e, g = _e(spark, sf).withColumnRenamed("label", "track"), _e(spark, sf).select(F.col("vec_id").alias("gid"), "embedding")
     t = V.top_k_cosine(e, g, "vec_id", "gid", "embedding", 3).join(e.select("vec_id", "track"), "vec_id").groupBy("track", "gid").agg(F.max("score").alias("score"))
     return top_k(t, ["track"], [F.desc(F.round("score", 9)), F.col("gid")], 3).select("track", "gid", "rank")
 
@@ -208,12 +208,12 @@ QUERIES = {
     "v01_normalise": (v01_normalise, "SELECT vec_id, CASE WHEN list_dot_product(embedding::DOUBLE[],embedding::DOUBLE[])>0 THEN 1.0 ELSE 0 END::DOUBLE unit, round(embedding[1]::DOUBLE/(sqrt(list_dot_product(embedding::DOUBLE[],embedding::DOUBLE[]))+1e-9),5) x0 FROM embeddings WHERE embedding IS NOT NULL"),
     "v02_cosine": (v02_cosine, f"SELECT a.vec_id, round({_ab},6) cosine, 'ok' flag FROM embeddings a JOIN embeddings b ON b.vec_id=a.vec_id+1"),
     "v04_one_to_many": (v04_one_to_many, f"WITH b AS (SELECT label, arg_min(embedding,vec_id) embedding, min(vec_id) f FROM embeddings GROUP BY 1), c AS (SELECT a.label, {_ab} c FROM embeddings a JOIN b ON a.label=b.label AND a.vec_id<>b.f) SELECT label, count(*) n, round(avg(c),6) mean, round(median(c),6) median, round(stddev_pop(c),6) std, round(quantile_cont(c,0.95),6) p95 FROM c GROUP BY 1"),
-    "v08_topk_cosine": (v08_topk_cosine, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%25=0) SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)::INT \"rank\", vec_id, round(c,5) score FROM c QUALIFY \"rank\"<=5"),
-    "v07_corpus_topk": (v07_corpus_topk, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%40=0 AND a.vec_id<>b.vec_id), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)<=4) SELECT query_id, round(avg(c),6) mean_score, count(*)::INT n FROM t GROUP BY 1"),
+    "v08_topk_cosine": (v08_topk_cosine, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%20=0) SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)::INT \"rank\", vec_id, round(c,5) score FROM c QUALIFY \"rank\"<=5"),
+    "v07_corpus_topk": (v07_corpus_topk, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%20=0 AND a.vec_id<>b.vec_id), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)<=4) SELECT query_id, round(avg(c),6) mean_score, count(*)::INT n FROM t GROUP BY 1"),
     "v09_nearest_centroid": (v09_nearest_centroid, f"WITH {_CENT}, c AS (SELECT vec_id, cent.label, {_COS.format(a='embedding', b='v')} c FROM embeddings, cent), t AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(c,12) DESC, label) i FROM c QUALIFY i<=2) SELECT vec_id, arg_min(label,i) AS cluster, round(1-max(c),5) distance, round(max(c)-min(c),5) margin FROM t GROUP BY 1"),
-    "v10_cluster_entropy": (v10_cluster_entropy, f"WITH {_CENT}, c AS (SELECT vec_id, cent.label, {_COS.format(a='embedding', b='v')} c FROM embeddings, cent WHERE vec_id%10=0), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(c,12) DESC, label)<=5), e AS (SELECT vec_id, exp((c-max(c) OVER (PARTITION BY vec_id))/0.1) e FROM t), p AS (SELECT vec_id, e/sum(e) OVER (PARTITION BY vec_id) p FROM e), h AS (SELECT vec_id, -sum(p*ln(p+1e-12)) h, count(*) k FROM p GROUP BY 1) SELECT vec_id, round(h,5) entropy, round(CASE WHEN k>1 THEN h/ln(k) ELSE 0 END,5) normalised, round(exp(h),5) perplexity FROM h"),
-    "v11_threshold_after_k": (v11_threshold_after_k, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%25=0), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)<=5) SELECT query_id, vec_id FROM t WHERE round(c,5)>=0.4"),
-    "v12_filtered_search": (v12_filtered_search, f"WITH c AS (SELECT b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id=0 AND b.label%2=0) SELECT row_number() OVER (ORDER BY round(c,12) DESC, vec_id)::INT \"rank\", vec_id FROM c QUALIFY \"rank\"<=10"),
+    "v10_cluster_entropy": (v10_cluster_entropy, f"WITH {_CENT}, c AS (SELECT vec_id, cent.label, {_COS.format(a='embedding', b='v')} c FROM embeddings, cent), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(c,12) DESC, label)<=5), e AS (SELECT vec_id, exp((c-max(c) OVER (PARTITION BY vec_id))/0.1) e FROM t), p AS (SELECT vec_id, e/sum(e) OVER (PARTITION BY vec_id) p FROM e), h AS (SELECT vec_id, -sum(p*ln(p+1e-12)) h, count(*) k FROM p GROUP BY 1) SELECT vec_id, round(h,5) entropy, round(CASE WHEN k>1 THEN h/ln(k) ELSE 0 END,5) normalised, round(exp(h),5) perplexity FROM h"),
+    "v11_threshold_after_k": (v11_threshold_after_k, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%20=0), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)<=5) SELECT query_id, vec_id FROM t WHERE round(c,5)>=0.4"),
+    "v12_filtered_search": (v12_filtered_search, f"WITH c AS (SELECT a.vec_id query_id, b.vec_id, {_ab} c FROM embeddings a, embeddings b WHERE a.vec_id%20=0 AND b.label%2=0) SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(c,12) DESC, vec_id)::INT \"rank\", vec_id FROM c QUALIFY \"rank\"<=10"),
     "v13_primary": (v13_primary, "SELECT vec_id, round(embedding[1]::DOUBLE,5) x0, CASE WHEN vec_id%3=0 THEN 'a' WHEN vec_id%2=1 THEN 'b' ELSE 'c' END AS source FROM embeddings"),
     "v14_upsert": (v14_upsert, "SELECT vec_id, label+CASE WHEN vec_id%7=0 THEN 100 ELSE 0 END AS label FROM embeddings WHERE vec_id%14<>0 UNION ALL SELECT vec_id+1000000, label FROM embeddings WHERE vec_id%50=0"),
     "a29_mean_vector": (a29_mean_vector, f"WITH {_D}, m AS (SELECT label, d, sum((vec_id%5+1)*x)/sum(vec_id%5+1) m, stddev_pop(x) s FROM d GROUP BY ALL), n AS (SELECT label, sqrt(sum(m*m)) n, avg(s) ms FROM m GROUP BY 1), s AS (SELECT label, stddev_samp(x) es FROM d GROUP BY 1) SELECT label, round(max(m/n) FILTER (d=0),5) x0, round(max(m/n) FILTER (d=3),5) x3, round(max(m/n) FILTER (d=7),5) x7, round(any_value(ms),6) mean_std, round(any_value(es),6) element_std FROM m JOIN n USING (label) JOIN s USING (label) GROUP BY 1"),
@@ -223,8 +223,8 @@ QUERIES = {
     "a33_trimmed": (a33_trimmed, f"WITH {_D}, n AS (SELECT vec_id, label, sqrt(list_dot_product(embedding::DOUBLE[],embedding::DOUBLE[])) n FROM embeddings), q AS (SELECT label, quantile_cont(n,0.1) a, quantile_cont(n,0.9) b, count(*) k FROM n GROUP BY 1), t AS (SELECT vec_id FROM n JOIN q USING (label) WHERE k<4 OR n BETWEEN a AND b) SELECT label, round(avg(x) FILTER (d=0),5) x0, round(avg(x) FILTER (d=1),5) x1 FROM d WHERE vec_id IN (SELECT vec_id FROM t) GROUP BY 1"),
     "a35_chunk_variance": (a35_chunk_variance, f"WITH {_D}, v AS (SELECT label, d, var_pop(x) v FROM d GROUP BY ALL) SELECT label, round(sqrt(sum(v*v)),6) variance_norm, round(max(v),6) top0 FROM v GROUP BY 1"),
     "a36_entropy": (a36_entropy, "WITH c AS (SELECT o_custkey, o_orderstatus, count(*) w FROM orders GROUP BY ALL), p AS (SELECT o_custkey, w/sum(w) OVER (PARTITION BY o_custkey) p FROM c), h AS (SELECT o_custkey, -sum(p*ln(p+1e-12)) h, count(*) k FROM p GROUP BY 1) SELECT o_custkey, round(h,6) entropy, round(CASE WHEN k>1 THEN h/ln(k) ELSE 0 END,6) normalised, round(exp(h),6) perplexity FROM h"),
-    "a37_topics": (a37_topics, f"WITH c AS (SELECT a.vec_id, b.label topic, max({_ab}) s FROM embeddings a, embeddings b WHERE a.vec_id%20=0 AND b.vec_id%20=1 GROUP BY ALL) SELECT vec_id, topic, row_number() OVER (PARTITION BY vec_id ORDER BY round(s,9) DESC, topic)::INT \"rank\", round(s,5) score FROM c QUALIFY \"rank\"<=3"),
-    "a38_track_topk": (a38_track_topk, f"WITH c AS (SELECT a.vec_id, a.label track, b.vec_id gid, {_ab} s FROM embeddings a, embeddings b WHERE a.vec_id%5=0 AND b.vec_id%50=1), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(s,12) DESC, gid)<=3), m AS (SELECT track, gid, max(s) s FROM t GROUP BY ALL) SELECT track, gid, row_number() OVER (PARTITION BY track ORDER BY round(s,9) DESC, gid)::INT \"rank\" FROM m QUALIFY \"rank\"<=3"),
+    "a37_topics": (a37_topics, f"WITH c AS (SELECT a.vec_id, b.label topic, max({_ab}) s FROM embeddings a, embeddings b WHERE a.vec_id<>b.vec_id GROUP BY ALL) SELECT vec_id, topic, row_number() OVER (PARTITION BY vec_id ORDER BY round(s,9) DESC, topic)::INT \"rank\", round(s,5) score FROM c QUALIFY \"rank\"<=3"),
+    "a38_track_topk": (a38_track_topk, f"WITH c AS (SELECT a.vec_id, a.label track, b.vec_id gid, {_ab} s FROM embeddings a, embeddings b), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(s,12) DESC, gid)<=3), m AS (SELECT track, gid, max(s) s FROM t GROUP BY ALL) SELECT track, gid, row_number() OVER (PARTITION BY track ORDER BY round(s,9) DESC, gid)::INT \"rank\" FROM m QUALIFY \"rank\"<=3"),
     "a44_uniqueness": (a44_uniqueness, f"WITH c AS (SELECT a.vec_id//25 video, a.vec_id i, {_ab} s FROM embeddings a JOIN embeddings b ON a.vec_id//25=b.vec_id//25 AND a.vec_id<>b.vec_id), n AS (SELECT video, i, max(s) m, avg(s) a FROM c GROUP BY ALL) SELECT video, count(*) n, round(avg((m>=0.5)::INT),5) repetition_ratio, round(quantile_cont(m,0.95),5) p95_similarity, round(1-avg(a),5) diversity FROM n GROUP BY 1"),
     "w02_consecutive": (w02_consecutive, f"WITH b AS (SELECT vec_id, embedding, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) p FROM embeddings), c AS (SELECT vec_id, {_COS.format(a='embedding', b='p')} s FROM b) SELECT vec_id, round(s,5) similarity, round(1-s,5) novelty FROM c"),
     "w24_shift": (w24_shift, f"WITH {_D}, r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) i, count(*) OVER (PARTITION BY label) n FROM embeddings), k AS (SELECT *, least(3,greatest(1,n//2)) k FROM r), m AS (SELECT label, d, avg(x) FILTER (i<=k) a, avg(x) FILTER (i>n-k) b FROM d JOIN k USING (vec_id,label) GROUP BY ALL) SELECT label, round(sum(a*b)/sqrt(sum(a*a)*sum(b*b)),5) shift_cosine FROM m GROUP BY 1"),
