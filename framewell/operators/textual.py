@@ -41,9 +41,9 @@ def lexical_pack(df: DataFrame, text: str) -> DataFrame:
     """df with lengths, type-token ratio, punctuation, capitals, digits, question, links, mentions, readability."""
     t = F.col("_t")
     count = lambda p: F.regexp_count(t, F.lit(p))
-    rows = df.withColumn("_t", squeeze(text)).withColumns({"_w": F.transform(tokens("_t"), lambda w: F.lower(w)), "_s": F.greatest(F.size(sentences("_t")), F.lit(1))})
+    rows = df.withColumn("_t", squeeze(text)).withColumns({"_w": tokens(F.lower("_t")), "_s": F.greatest(F.size(sentences("_t")), F.lit(1))})
     n = F.size("_w")
-    letters = F.aggregate("_w", F.lit(0), lambda s, w: s + F.length(w))
+    letters = F.length(F.array_join("_w", ""))
     chars = F.length(t)
     baits = sum((F.contains(F.lower(t), F.lit(w)).cast("int") for w in CLICKBAIT), F.lit(0))
     asks = F.coalesce(F.get("_w", F.lit(0)).isin(*QUESTION_WORDS) & F.startswith(F.lower(t), F.get("_w", F.lit(0))), F.lit(False)).cast("int")
@@ -54,7 +54,7 @@ def lexical_pack(df: DataFrame, text: str) -> DataFrame:
             "punct_ratio": _share(count(r"[!-/:-@\[-`{-~]"), chars), "caps_ratio": _share(count("[A-Z]"), count("[A-Za-z]")), "digit_ratio": _share(count("[0-9]"), chars),
             "n_question": count(r"\?"), "n_exclaim": count("!"), "is_question": F.greatest(asks, t.endswith("?").cast("int")), "question_prefix": asks,
             "n_urls": count(r"https?://\S+"), "n_mentions": count(r"@[A-Za-z0-9_]+"), "n_numbers": count("[0-9]+"), "n_times": count("[0-9]{1,2}:[0-9]{2}"),
-            "n_clickbait": baits, "clickbait_score": F.least(F.lit(1.0), (baits + (count("!") > 0).cast("int") + asks) / 3.0), "long_word_ratio": _share(F.size(F.filter("_w", lambda w: F.length(w) > 6)), n),
+            "n_clickbait": baits, "clickbait_score": F.least(F.lit(1.0), (baits + (count("!") > 0).cast("int") + asks) / 3.0), "long_word_ratio": _share(F.regexp_count(F.lower(t), F.lit(r"[\p{L}\p{N}_]{7,}")), n),
             "special_ratio": _share(count(r"[^A-Za-z0-9\s]"), chars),
             "readability": 206.835 - 1.015 * _share(n, F.col("_s")) - 84.6 * _share(count("[aeiouyAEIOUY]+"), n),
         }
