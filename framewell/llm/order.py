@@ -34,7 +34,7 @@ from framewell.llm.tokens import byte_bpe, default_paths
 ROUNDS = 6
 PAD = 0xFFFF
 #: Bytes of text that a task turns into ids, and bytes of records that a task writes as whole shards.
-TASK_BYTES, WRITE_BYTES = 64 << 20, 64 << 20
+TASK_BYTES, WRITE_BYTES = 64 << 20, 32 << 20
 #: Ids that a task deals out at once.
 DEAL = 8 << 20
 #: Tasks whose offsets are broadcast, 12 bytes each; more are joined.
