@@ -5,7 +5,8 @@ both computed once, so a word is counted in one pass over its bytes and no piece
 single bytes are pieces too (byte fallback), so every word can be matched. A word ``[^\\x20\\x09-\\x0D]+`` is matched
 with the word mark before it, case as it is.
 
-Null and empty texts have no words and no tokens. Repeated rows are counted each; other columns are ignored.
+Null and empty texts have no words and no tokens; very long ones are counted whole. Repeated rows are counted each;
+other columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
