@@ -15,7 +15,8 @@ training counts, packed by hash range; ranges add them up and send each block th
 and ranges are of bounded bytes of text, so memory does not grow with the corpus, while what is counted does. EM sees
 a histogram of binned estimates of fixed size (counts exact, estimates to half a bit).
 
-Tokens are told apart by 64 bits, pairs and triples by 56 bits of their hashes. Null text is empty: its one token is
+Tokens are told apart by 64 bits of their hashes, pairs and triples by 9 bits more than the number of the corpus's
+bytes has, so at any size about one in some thousands shares its count with another. Null text is empty: its one token is
 the end. A null doc_id stays null and counts as held out. A very long text is one block's whole. Repeated rows are
 scored, and counted, each. With nothing to train on, N = V = 0 and every token gets 1 / (V + 1). Other columns,
 whatever their names, are ignored. An empty table gives an empty result.
@@ -34,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewell.llm import text as T
-from framewell.llm.store import cut, partitions
+from framewell.llm.store import cut
 
 END_WORD, START = T.U64(0x6A09E667F3BCC908), T.U64(0xBB67AE8584CAA73B)
 #: Bytes of text in a block of documents, and of those whose hashes make one range.
-BLOCK_BYTES, RANGE_BYTES = 6 << 20, 4 << 20
-#: Bits of the hashes of one, two and three tokens that are sent.
-SENT = {1: 64, 2: 56, 3: 56}
+BLOCK_BYTES, RANGE_BYTES = 6 << 20, 8 << 20
+ORDERS = (1, 2, 3)
+#: Bits of a pair's or triple's hash that are sent, beyond those of the corpus's bytes, and at least.
+SPARE, LEAST = 9, 40
 #: Binary digits of a context's frequency that are told apart: of pairs, then of single tokens.
 DIGITS = 40
 BUCKETS = 2 * DIGITS
@@ -67,7 +69,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Block:
     """The tokens of a block: ids of documents, distinct hashes of one, two and three tokens and where each token finds them."""
 
-    def __init__(self, packed: list[bytes]):
+    def __init__(self, packed: list[bytes], sent: dict[int, int]):
         parts = [pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(p, max_output_size=1 << 31)).read_all() for p in packed]
         table = pa.concat_tables(parts)
         self.doc_id, self.train = table.column("doc_id"), np.array(table.column("train").to_pylist(), bool)
@@ -90,12 +92,12 @@ class Block:
         #: By order, the distinct hashes and each token's place among them.
         self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         gram = token
-        for order in SENT:
+        for order in ORDERS:
             if order > 1:  # the gram before, and the token
                 before = np.concatenate([[START], gram[:-1]])
                 before[first] = START
                 gram = T.fold([before, token])
-            self.grams[order] = np.unique(gram >> T.U64(64 - SENT[order]), return_inverse=True)
+            self.grams[order] = np.unique(gram >> T.U64(64 - sent[order]), return_inverse=True)
         #: Whether a token is its text's first.
         self.head = np.zeros(len(token), bool)
         self.head[first] = True
@@ -106,8 +108,21 @@ class Block:
         return np.bincount(at[self.train[self.doc]], minlength=len(hashes))
 
 
-def _range_of(hashes: np.ndarray, order: int, ranges: int) -> np.ndarray:
-    return ((hashes >> T.U64(SENT[order] - 32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+def sent_bits(size: int) -> dict[int, int]:
+    """Bits of the hashes of one, two and three tokens that are sent, for a corpus of so many bytes."""
+    return {1: 64} | dict.fromkeys((2, 3), min(64, max(LEAST, size.bit_length() + SPARE)))
+
+
+def _range_of(hashes: np.ndarray, bits: int, ranges: int) -> np.ndarray:
+    return ((hashes >> T.U64(bits - 32)) * T.U64(ranges) >> T.U64(32)).astype(np.int64)
+
+
+def _press(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(T.pack(*arrays))
+
+
+def _unpress(blob: bytes) -> list[np.ndarray]:
+    return T.unpack(zstandard.ZstdDecompressor().decompress(blob, max_output_size=1 << 31))
 
 
 def _small(a: np.ndarray) -> np.ndarray:
@@ -116,17 +131,17 @@ def _small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def _ask(ranges: int, table: pa.Table) -> pa.Table:
+def _ask(ranges: int, sent: dict[int, int], table: pa.Table) -> pa.Table:
     """What a block holds: hashes as differences, and training counts, by order and range."""
-    block = Block(table.column("data").to_pylist())
+    block = Block(table.column("data").to_pylist(), sent)
     name, rows = table.column("block")[0].as_py(), []
-    for order in SENT:
+    for order in ORDERS:
         hashes, count = block.grams[order][0], block.trained(order)
-        edge = np.searchsorted(_range_of(hashes, order, ranges), np.arange(ranges + 1))
+        edge = np.searchsorted(_range_of(hashes, sent[order], ranges), np.arange(ranges + 1))
         for r in range(ranges):
             a, b = edge[r], edge[r + 1]
             if b > a:
-                rows.append((r, name, order, T.pack(np.diff(hashes[a:b], prepend=T.U64(0)), _small(count[a:b]))))
+                rows.append((r, name, order, _press(_small(np.diff(hashes[a:b], prepend=T.U64(0))), _small(count[a:b]))))
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["range", "block", "order", "data"])
 
 
@@ -139,9 +154,9 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[int, int], list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for r, b, o, data in zip(*(batch.column(c).to_pylist() for c in ("range", "block", "order", "data"))):
-            step, count = T.unpack(data)
+            step, count = _unpress(data)
             held.setdefault((r, o), []).append((b, np.cumsum(step, dtype=T.U64), count))
-    end = END_WORD >> T.U64(64 - SENT[1])
+    end = END_WORD
     for (r, o), parts in held.items():
         hashes = np.concatenate([h for _, h, _ in parts])
         values, inverse = np.unique(hashes, return_inverse=True)
@@ -151,7 +166,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _answers([(-1, o, r, b"", int((total > 0).sum()), int(total.sum()), ends)])
         at, rows = 0, []
         for b, h, _ in parts:
-            rows.append((b, o, r, T.pack(_small(total[inverse[at : at + len(h)]])), None, None, None))
+            rows.append((b, o, r, _press(_small(total[inverse[at : at + len(h)]])), None, None, None))
             at += len(h)
         for i in range(0, len(rows), 256):
             yield _answers(rows[i : i + 256])
@@ -167,10 +182,10 @@ def _known(block: Block, answers: pa.Table, texts: int) -> tuple[list[np.ndarray
     order, where = (answers.column(c).to_numpy() for c in ("order", "range"))
     data = answers.column("data").to_pylist()
     count, context = [], []
-    for o in SENT:
+    for o in ORDERS:
         at = np.flatnonzero(order == o)
-        count.append(np.concatenate([T.unpack(data[i])[0].astype(np.int64) for i in at[np.argsort(where[at])]])[block.grams[o][1]])
-        if o < max(SENT):
+        count.append(np.concatenate([_unpress(data[i])[0].astype(np.int64) for i in at[np.argsort(where[at])]])[block.grams[o][1]])
+        if o < max(ORDERS):
             before = np.concatenate([[texts], count[-1][:-1]])
             before[block.head] = texts
             context.append(before)
@@ -202,12 +217,12 @@ def cells_of(count: list[np.ndarray], context: list[np.ndarray], n: int) -> np.n
     return cell
 
 
-def _histogram(n: int, texts: int, docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _histogram(n: int, texts: int, sent: dict[int, int], docs: pa.Table, answers: pa.Table) -> pa.Table:
     """How many training tokens each cell has."""
     schema = pa.schema([("group", pa.int32()), ("data", pa.binary())])
     if not docs.num_rows:
         return schema.empty_table()
-    block = Block(docs.column("data").to_pylist())
+    block = Block(docs.column("data").to_pylist(), sent)
     own = block.train[block.doc]
     count, context = ([c[own] for c in x] for x in _known(block, answers, texts))
     at, number = np.unique(cells_of(count, context, n), return_counts=True)
@@ -250,11 +265,11 @@ def learn_weights(at: np.ndarray, count: np.ndarray, types: int, rounds: int = 4
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(n: int, types: int, texts: int, weight: np.ndarray, docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _score(n: int, types: int, texts: int, sent: dict[int, int], weight: np.ndarray, docs: pa.Table, answers: pa.Table) -> pa.Table:
     names = [c.split()[0] for c in SCORES.split(", ")]
     if not docs.num_rows:
         return pa.schema([(x, k) for x, k in zip(names, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]).empty_table()
-    block = Block(docs.column("data").to_pylist())
+    block = Block(docs.column("data").to_pylist(), sent)
     count, context = _known(block, answers, texts)
     base = np.log10((count[0] + 1) / (n + types + 1))
     w = weight[bucket_of(context)]
@@ -271,20 +286,20 @@ def score_documents(docs: DataFrame, train: F.Column) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(partitions(spark), math.ceil(size / BLOCK_BYTES))
-    ranges = max(2 * partitions(spark), math.ceil(size / RANGE_BYTES))
+    # Both from the bytes alone: a block sends a message to each range.
+    blocks, ranges, bits = max(1, math.ceil(size / BLOCK_BYTES)), max(1, math.ceil(size / RANGE_BYTES)), sent_bits(size)
     packed = source.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).mapInArrow(_pack_texts, "block int, data binary").groupBy("block")
 
     def ask(table: pa.Table) -> pa.Table:
-        return _ask(ranges, table)
+        return _ask(ranges, bits, table)
 
     asked = packed.applyInArrow(ask, ASKED)
     answers = cut(asked.repartition(ranges, "range").mapInArrow(_answer, ANSWER))
     types, n, texts = (x or 0 for x in answers.where("block < 0").agg(F.sum("types"), F.sum("tokens"), F.sum("texts")).first())
     sent = answers.where("block >= 0").select("block", "order", "range", "data").groupBy("block")
-    cells = packed.cogroup(sent).applyInArrow(partial(_histogram, n, texts), "group int, data binary")
+    cells = packed.cogroup(sent).applyInArrow(partial(_histogram, n, texts, bits), "group int, data binary")
     for _ in range(2):
         cells = cells.groupBy("group").applyInArrow(_sum_cells, "group int, data binary")
     row = cells.first()
     weight = learn_weights(*T.unpack(bytes(row["data"])), types) if row and n else np.tile([0.0, 0.0, 0.0, 1.0], (BUCKETS, 1))
-    return packed.cogroup(sent).applyInArrow(partial(_score, n, types, texts, weight), SCORES)
+    return packed.cogroup(sent).applyInArrow(partial(_score, n, types, texts, bits, weight), SCORES)
