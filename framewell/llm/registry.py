@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-PLANS: tuple[str, ...] = ("q_jaccard", "q_suffix", "q_packing", "q_wordpiece", "q_language", "q_order", "q_licenses", "q_decontam", "q_interpolation", "q_hnsw", "q_bitslice")
+PLANS: tuple[str, ...] = ("q_jaccard", "q_suffix", "q_packing", "q_wordpiece", "q_language", "q_order", "q_licenses", "q_decontam", "q_interpolation", "q_hnsw", "q_bitslice", "q_exact", "q_collocations")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:
