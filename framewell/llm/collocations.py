@@ -13,8 +13,8 @@ equal ones. A candidate inside a longer one (itself kept or not) with 100 f(long
    range adds them up and answers each shard which of its cells reach ``least``. A cell's sum bounds every phrase in it
    from above, so no candidate is lost; cells are spread over the ranges, so no task holds the sketch.
 3. Automata. Each shard compiles its phrases whose cell, and whose parts' cells, reach ``least`` into automata, over an
-   alphabet of one character a word; pieces, and words of no candidate, are set apart by a delimiter that stands in no
-   phrase, so that no match begins or ends within a word or runs across pieces. The automata count all overlapping
+   alphabet that spells each word with three signs of its places; pieces, and words of no candidate, are set apart by a
+   delimiter that stands in no phrase, so that no match begins or ends within a word or runs across pieces. The automata count all overlapping
    matches in the shard. Counts are summed over the shards, in the map tasks first, and those below ``least`` go: what
    remains are exact counts of phrases, which are told apart by their words, not by hashes.
 4. Scores come from joins of candidates with their parts, in decimals of 38 digits.
@@ -42,10 +42,11 @@ from framewell.llm import golomb
 from framewell.llm import text as T
 from framewell.llm.store import cut, partitions
 
-#: Bytes of text in a shard, of all languages that a task holds back, and of those whose phrases make one range of cells.
-SHARD_BYTES, HELD_BYTES, RANGE_BYTES = 4 << 20, 24 << 20, 8 << 20
+#: Bytes of text in a shard, of all languages that a task holds back, of those whose phrases make one range of cells, and of
+#: the shards that a task counts.
+SHARD_BYTES, HELD_BYTES, RANGE_BYTES, TASK_BYTES = 4 << 20, 24 << 20, 8 << 20, 16 << 20
 #: Phrases of one automaton.
-AUTOMATON = 1 << 18
+AUTOMATON = 1 << 17
 END = b"\n"
 #: Lower-cases A-Z, ends of pieces become line feeds, tabs become spaces.
 _NORMAL = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -148,10 +149,14 @@ def _answer(least: int, bits: int, ranges: int, table: pa.Table) -> pa.Table:
     return pa.table([table.column("shard"), pa.array([r] * len(told), pa.int32()), pa.array(told, pa.binary())], names=["shard", "range", "data"])
 
 
-def _text_of(codes: np.ndarray) -> str:
-    """A character for each number, 0 the delimiter's; surrogates are left out."""
-    codes = codes.astype(np.uint32)
-    return (codes + (codes >= 0xD800).astype(np.uint32) * np.uint32(0x800)).tobytes().decode("utf-32-le")
+#: Digits of a word's number; each place has signs of its own, so that no match begins or ends within a word.
+PLACES = 3
+
+
+def _text_of(codes: np.ndarray, base: int) -> str:
+    """PLACES signs for each number, the delimiter alone for 0: few signs, since a node's branches are searched in turn."""
+    signs = [np.where(codes > 0, 1 + base * j + codes // base**j % base, 0) for j in range(PLACES)]
+    return np.stack(signs, axis=-1).astype("<u4").tobytes().decode("utf-32-le")
 
 
 def _matches(ids: np.ndarray, phrases: list[np.ndarray], words: int) -> list[np.ndarray]:
@@ -169,14 +174,15 @@ def _matches(ids: np.ndarray, phrases: list[np.ndarray], words: int) -> list[np.
         code = np.zeros(words, np.int64)
         used = np.unique(np.concatenate([p.reshape(-1) for _, _, p in part]))
         code[used] = np.arange(1, len(used) + 1)
+        base = math.ceil((len(used) + 1) ** (1 / PLACES)) + 1
         automaton, number = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0
         for k, _, p in part:
-            joined, width = _text_of(code[p.reshape(-1)]), p.shape[1]
+            joined, width = _text_of(code[p.reshape(-1)], base), p.shape[1] * PLACES
             for i in range(len(p)):
                 automaton.add_word(joined[i * width : i * width + width], number)
                 number += 1
         automaton.make_automaton()
-        found = np.bincount(np.fromiter((v for _, v in automaton.iter(_text_of(code[ids]))), np.int64), minlength=number)
+        found = np.bincount(np.fromiter((v for _, v in automaton.iter(_text_of(code[ids], base))), np.int64), minlength=number)
         at = 0
         for k, a, p in part:
             out[k][a : a + len(p)] = found[at : at + len(p)]
@@ -251,7 +257,9 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
     sent = shards.mapInArrow(partial(_send, longest, least, bits, ranges), "range int, shard long, cells binary, counts binary")
     told = sent.groupBy("range").applyInArrow(answer, "shard long, range int, data binary")
     told = told.groupBy("shard").agg(F.collect_list(F.struct("range", "data", F.lit(lead).alias("bits"))).alias("answers"))
-    found = shards.join(told.hint("shuffle_hash"), "shard", "left").mapInArrow(partial(_scan, longest, bits), COUNTS)
+    # Counting is much work for few bytes, so tasks are not merged by their bytes.
+    tasks = max(partitions(spark), math.ceil(size / TASK_BYTES))
+    found = shards.repartition(tasks, "shard").join(told.repartition(tasks, "shard").hint("shuffle_hash"), "shard", "left").mapInArrow(partial(_scan, longest, bits), COUNTS)
     return found.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a")).where((F.col("words") == 0) | (F.col("a") >= least))
 
 
