@@ -15,8 +15,9 @@ equal ones. A candidate inside a longer one (itself kept or not) with 100 f(long
 3. Automata. Each shard compiles its phrases whose cell, and whose parts' cells, reach ``least`` into automata, over an
    alphabet that spells each word with three signs of its places; pieces, and words of no candidate, are set apart by a
    delimiter that stands in no phrase, so that no match begins or ends within a word or runs across pieces. The automata count all overlapping
-   matches in the shard. Counts are summed over the shards, in the map tasks first, and those below ``least`` go: what
-   remains are exact counts of phrases, which are told apart by their words, not by hashes.
+   matches in the shard. Counts are summed over the shards, within tasks first, then by range of cells, in which all of a
+   phrase's counts meet; those below ``least`` go: what remains are exact counts of phrases, which are told apart by
+   their words, not by hashes.
 4. Scores come from joins of candidates with their parts, in decimals of 38 digits.
 
 An automaton takes a bounded number of phrases, a shard a bounded number of bytes (a longer text is cut at a piece's
@@ -190,59 +191,104 @@ def _matches(ids: np.ndarray, phrases: list[np.ndarray], words: int) -> list[np.
     return out
 
 
-COUNTS = "lang string, words int, phrase string, a long"
-
-
-def _counts(lang: str, words: int, phrase: pa.Array, a: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch({"lang": pa.array([lang] * len(a), pa.string()), "words": pa.array(np.full(len(a), words, np.int32)), "phrase": phrase.cast(pa.string()), "a": pa.array(a)})
-
-
-def _scan(longest: int, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each shard (no phrase) and the occurrences of its phrases whose bounds reach ``least``."""
-    plain = zstandard.ZstdDecompressor()
+#: Phrases that a task holds before it sends their counts.
+HELD_PHRASES = 1 << 20
+COUNTS = "lang string, range int, data binary"
+
+
+class _Sums:
+    """Counts of a task's phrases. They are added up first and travel as sorted blocks, a block for each range of cells."""
+
+    def __init__(self, shift: int):
+        self.shift, self.parts, self.rows = shift, [], 0
+
+    def add(self, lang: str, words: int, phrase: pa.Array, a: np.ndarray, cell: np.ndarray) -> None:
+        self.parts.append(pa.table({"lang": pa.array([lang] * len(a), pa.string()), "words": pa.array(np.full(len(a), words, np.uint8)), "phrase": phrase.cast(pa.binary()), "a": pa.array(a), "range": pa.array((cell >> np.uint64(self.shift)).astype(np.int32))}))
+        self.rows += len(a)
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        table = pa.concat_tables(self.parts).group_by(["lang", "range", "words", "phrase"]).aggregate([("a", "sum")])
+        table = table.sort_by([("lang", "ascending"), ("range", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        self.parts, self.rows = [], 0
+        lang, where = table.column("lang").combine_chunks().dictionary_encode(), table.column("range").to_numpy()
+        edge = np.flatnonzero(np.concatenate([[True], (np.diff(where) != 0) | (np.diff(lang.indices.to_numpy()) != 0)]))
+        press, rows = zstandard.ZstdCompressor(level=3), []
+        for i, j in zip(edge.tolist(), [*edge[1:].tolist(), table.num_rows]):
+            part = table.slice(i, j - i)
+            phrases = part.column("phrase").combine_chunks()
+            size = pc.binary_length(phrases).to_numpy()
+            data = T.pack(part.column("words").to_numpy(), _small(size), _small(part.column("a_sum").to_numpy())) + b"".join(phrases.to_pylist())
+            rows.append((lang[i].as_py(), int(where[i]), press.compress(data)))
+        for i in range(0, len(rows), 64):
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 64]), (pa.string(), pa.int32(), pa.binary()))], names=["lang", "range", "data"])
+
+
+def _small(a: np.ndarray) -> np.ndarray:
+    top = int(a.max()) if len(a) else 0
+    return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
+def _total(least: int, table: pa.Table) -> pa.Table:
+    """The counts of a language's range, added up; of phrases below ``least`` none."""
+    plain, parts = zstandard.ZstdDecompressor(), []
+    for data in table.column("data").to_pylist():
+        data = plain.decompress(data, max_output_size=1 << 31)
+        words, size, a = T.unpack(data)
+        at = len(data) - int(size.sum())
+        offsets = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
+        parts.append(pa.table({"words": pa.array(words.astype(np.int32)), "phrase": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(data[at:])]), "a": pa.array(a.astype(np.int64))}))
+    out = pa.concat_tables(parts).group_by(["words", "phrase"]).aggregate([("a", "sum")]).rename_columns(["words", "phrase", "a"])
+    out = out.filter(pc.or_(pc.equal(out.column("words"), 0), pc.greater_equal(out.column("a"), least)))
+    return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * out.num_rows, pa.string()), "words": out.column("words"), "phrase": out.column("phrase").cast(pa.large_string()).cast(pa.string()), "a": out.column("a")})
+
+
+def _scan(longest: int, bits: int, lead: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each shard (no phrase, 0 words) and the occurrences of its phrases whose bounds reach ``least``."""
+    plain, sums = zstandard.ZstdDecompressor(), _Sums(bits - lead)
     for batch in batches:
         for lang, data, answers in zip(*(batch.column(c).to_pylist() for c in ("lang", "data", "answers"))):
             shard = Shard(lang, data, longest, bits)
-            yield _counts(lang, 0, pa.array([None], pa.string()), np.array([shard.n]))
+            sums.add(lang, 0, pa.array([""], pa.string()), np.array([shard.n]), np.zeros(1, np.uint64))
             if not answers:
                 continue
             cells, _ = shard.distinct()
             bitmaps = [np.unpackbits(np.frombuffer(plain.decompress(x["data"], max_output_size=1 << 31), np.uint8)) for x in sorted(answers, key=lambda x: x["range"])]
             # Bitmaps are whole bytes; each message's size is that of its range here.
-            edge = np.flatnonzero(np.concatenate([[True], np.diff((cells >> np.uint64(bits - answers[0]["bits"])).astype(np.int64)) != 0]))
+            edge = np.flatnonzero(np.concatenate([[True], np.diff((cells >> np.uint64(bits - lead)).astype(np.int64)) != 0]))
             sizes = np.diff(edge, append=len(cells))
             high = cells[np.concatenate([b[:n] for b, n in zip(bitmaps, sizes)]).astype(bool)]
             # A small table first, since few cells are high.
             maybe = np.zeros(1 << 22, bool)
             maybe[(high & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-            reach, phrases = np.zeros(len(shard.id), bool), []
+            reach, phrases, where = np.zeros(len(shard.id), bool), [], []
             for k, (own, at) in enumerate(zip(shard.cells, shard.at), 1):
                 some = maybe[(own & np.uint64((1 << 22) - 1)).astype(np.int64)]
                 if k > 1:  # both parts of one word less
                     some &= reach[at] & reach[at + 1]
                 own, at = own[some], at[some]
-                at = at[high[np.minimum(np.searchsorted(high, own), max(len(high) - 1, 0))] == own] if len(high) else at[:0]
+                sure = high[np.minimum(np.searchsorted(high, own), max(len(high) - 1, 0))] == own if len(high) else np.zeros(len(own), bool)
+                own, at = own[sure], at[sure]
                 reach = np.zeros(len(shard.id) + 1, bool)
                 reach[at] = True
-                ids = shard.id[at].astype(np.int64)
-                if k == 1:
-                    phrases.append(np.unique(ids).reshape(-1, 1))
-                    continue
                 # Phrases of k words by the number of the first k - 1 and the last word.
+                ids = shard.id[at].astype(np.int64)
                 for j in range(1, k):
                     _, ids = np.unique(ids * len(shard.word) + shard.id[at + j], return_inverse=True)
-                first = np.full(int(ids.max()) + 1 if len(ids) else 0, -1)
-                first[ids] = at
-                phrases.append(shard.id[first[:, None] + np.arange(k)] if len(first) else np.zeros((0, k), np.int32))
-            for k, (own, found) in enumerate(zip(phrases, _matches(shard.id, phrases, len(shard.word))), 1):
-                for i in range(0, len(own), 1 << 16):
-                    part = own[i : i + (1 << 16)]
-                    names = [shard.word.take(pa.array(part[:, j])).cast(pa.string()) for j in range(k)]
-                    yield _counts(lang, k, pc.binary_join_element_wise(*names, " ") if k > 1 else names[0], found[i : i + (1 << 16)])
+                _, first = np.unique(ids, return_index=True)
+                phrases.append(shard.id[at[first][:, None] + np.arange(k)])
+                where.append(own[first])
+            for k, (own, cell, found) in enumerate(zip(phrases, where, _matches(shard.id, phrases, len(shard.word))), 1):
+                if len(own):
+                    names = [shard.word.take(pa.array(own[:, j])).cast(pa.string()) for j in range(k)]
+                    sums.add(lang, k, pc.binary_join_element_wise(*names, " ") if k > 1 else names[0], found, cell)
+            if sums.rows > HELD_PHRASES:
+                yield from sums.blocks()
+    if sums.rows:
+        yield from sums.blocks()
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
-    """lang, words, phrase and a of every phrase of 1 to ``longest`` words with a >= ``least``; rows of 0 words hold each lang's number of words."""
+    """lang, words, phrase and a of every phrase of 1 to ``longest`` words with a >= ``least``; the row of 0 words holds a lang's number of words."""
     spark = docs.sparkSession
     source = T.binary_text(docs, F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     shards = cut(source.mapInArrow(_shards, SHARDS))
@@ -256,11 +302,15 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
 
     sent = shards.mapInArrow(partial(_send, longest, least, bits, ranges), "range int, shard long, cells binary, counts binary")
     told = sent.groupBy("range").applyInArrow(answer, "shard long, range int, data binary")
-    told = told.groupBy("shard").agg(F.collect_list(F.struct("range", "data", F.lit(lead).alias("bits"))).alias("answers"))
+    told = told.groupBy("shard").agg(F.collect_list(F.struct("range", "data")).alias("answers"))
+
+    def total(table: pa.Table) -> pa.Table:
+        return _total(least, table)
+
     # Counting is much work for few bytes, so tasks are not merged by their bytes.
     tasks = max(partitions(spark), math.ceil(size / TASK_BYTES))
-    found = shards.repartition(tasks, "shard").join(told.repartition(tasks, "shard").hint("shuffle_hash"), "shard", "left").mapInArrow(partial(_scan, longest, bits), COUNTS)
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a")).where((F.col("words") == 0) | (F.col("a") >= least))
+    found = shards.repartition(tasks, "shard").join(told.repartition(tasks, "shard").hint("shuffle_hash"), "shard", "left").mapInArrow(partial(_scan, longest, bits, lead), COUNTS)
+    return found.groupBy("lang", "range").applyInArrow(total, "lang string, words int, phrase string, a long")
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside: int = 50, top: int = 2000) -> DataFrame:
