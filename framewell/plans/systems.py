@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from framewell.operators import learning as L
 from framewell.operators import ranks as R
+from framewell.sources import bigjson as B
 from framewell.sources import files as S
 from framewell.streaming import jobs as J
 from framewell.plans.common import table
@@ -30,6 +31,15 @@ def s06_keyed_records_all(spark, sf):
     return S.snapshots(S.keyed_records(spark, path, "video_id"), "video_id", [0, 1]).select("video_id", "snapshot_index", "views", "likes")
 
 
+def s08_incremental_json(spark, sf):
+    """Texts, with their quotes, backslashes and braces, as objects by id, a file a partition; read in blocks and compared by hash."""
+    path = S.scratch(spark)
+    d = table(spark, sf, "documents").where("doc_id IS NOT NULL").select("doc_id", F.to_json(F.struct(F.concat_ws("", F.lit('{"\\'), "text").alias("text"), F.array("lang", "source").alias("of"))).alias("record"))
+    B.write_keyed(d.repartition("doc_id"), "doc_id", "record", path)
+    r = S.keyed_records(spark, path, "video_id").withColumn("r", F.from_json("record", "text string, of array<string>"))
+    return r.select("video_id", F.length("r.text").cast("long").alias("n"), F.md5("r.text").alias("hash"), F.element_at("r.of", 1).alias("lang"))
+
+
 def s12_partition_value(spark, sf):
     path = S.scratch(spark)
     table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("category")).write.partitionBy("category").json(path)
@@ -150,6 +160,7 @@ QUERIES = {
     "s01_csv_round_trip": (s01_csv_round_trip, "SELECT n_nationkey, n_name FROM nation"),
     "s06_keyed_records": (s06_keyed_records, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
     "s06_keyed_records_all": (s06_keyed_records_all, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
+    "s08_incremental_json": (s08_incremental_json, r"""SELECT doc_id::VARCHAR video_id, length('{"\'||coalesce(text,'')) n, md5('{"\'||coalesce(text,'')) AS hash, lang FROM documents WHERE doc_id IS NOT NULL"""),
     "s12_partition_value": (s12_partition_value, "SELECT c_mktsegment category, count(*) n FROM customer GROUP BY 1"),
     "s18_sidecar": (s18_sidecar, "SELECT count(*) n_rows, (SELECT count(*) FROM information_schema.columns WHERE table_name='supplier') n_columns, sha256((SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM information_schema.columns WHERE table_name='supplier')) column_hash FROM supplier"),
     "s19_split_export": (s19_split_export, "WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey)-1 i, ceil(count(*) OVER ()/7.0) e FROM customer) SELECT floor(i/e)::INT file, count(*) n, min(c_custkey) AS first FROM r GROUP BY 1"),

@@ -156,17 +156,17 @@ def npz_features(artifacts: DataFrame) -> DataFrame:
 
 
 def keyed_records(spark: SparkSession, path: str, key: str, wanted: DataFrame | None = None) -> DataFrame:
-    """Records of JSON shards that are objects by id or lists with an id field; the later file wins.
+    """Records of JSON shards that are objects by id or lists with an id field; of an id's records the last one wins, by file and
+    place (S06-S08, S10, S11). Shards of any size are read by many tasks.
 
-    Wanted ids are joined right after the records are split, so others are never parsed further. key, record (JSON), path.
+    Wanted ids are joined right after the records are split, so others are never parsed. key, record (JSON), path.
     """
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    mapped = files.where(F.col("value").rlike(r"^\s*\{")).select("path", F.explode(F.from_json("value", "map<string, string>")).alias(key, "record"))
-    listed = files.where(F.col("value").rlike(r"^\s*\[")).select("path", F.explode(F.from_json("value", "array<string>")).alias("record")).select("path", F.get_json_object("record", f"$.{key}").alias(key), "record")
-    rows = mapped.unionByName(listed).where(F.col(key).isNotNull())
+    from framewell.sources.bigjson import json_members, keyed
+
+    rows = keyed(json_members(spark, path), key)
     if wanted is not None:
         rows = rows.join(wanted.select(key).distinct(), key, "left_semi")
-    return rows.groupBy(key).agg(F.max_by("record", "path").alias("record"), F.max("path").alias("path"))
+    return rows.groupBy(key).agg(F.max_by("record", F.struct("path", "block", "seq")).alias("record"), F.max("path").alias("path"))
 
 
 def snapshots(records: DataFrame, key: str, indices: list[int]) -> DataFrame:
