@@ -83,44 +83,6 @@ def balance(df: DataFrame, keys: list[str], amount: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.coalesce(F.sum(amount), F.lit(0)).alias("balance"))
 
 
-def accept(df: DataFrame, group: str, order: str, channel: str, value: str, cap: int, history: int = 500, least: int = 20, z: float = 3.0) -> DataFrame:
-    """Order-dependent acceptance in each group (T08): rolling one-sided outlier test over the last accepted values
-    (sample deviation, at least ``least`` of them), then a cap a channel. Adds reason (NULL: accepted). Sequential by group.
-    """
-    import math
-    from collections import Counter, deque
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        kept, used, out = deque(maxlen=history), Counter(), []
-        shift = one = two = 0.0
-        for c, v in zip(pdf[channel], pdf[value]):
-            reason = None
-            if v is not None and not math.isnan(v) and len(kept) >= least:
-                # Sums of the kept values less their first keep digits; both are carried from row to row.
-                mean = shift + one / len(kept)
-                sd = math.sqrt(max(0.0, two - one * one / len(kept)) / (len(kept) - 1))
-                if sd > 0 and (v - mean) / sd > z:
-                    reason = "outlier"
-            if reason is None and used[c] >= cap:
-                reason = "channel_cap"
-            if reason is None:
-                used[c] += 1
-                if v is not None and not math.isnan(v):
-                    if not kept:
-                        shift = v
-                    if len(kept) == history:
-                        one, two = one - (kept[0] - shift), two - (kept[0] - shift) ** 2
-                    kept.append(v)
-                    one, two = one + (v - shift), two + (v - shift) ** 2
-            out.append(reason)
-        return pdf.assign(reason=out)
-
-    cols = [group, order, channel, value]
-    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in cols) + ", reason string"
-    return df.select(*cols).groupBy(group).applyInPandas(run, schema)
-
-
 def balancer_score(share: Column, target: Column, coefficient: float) -> Column:
     """1 less the coefficient times the overfill of a bucket over its target, not below 0."""
     return F.greatest(F.lit(0.0), 1 - coefficient * F.greatest(F.lit(0.0), F.try_divide(share - target, target)))

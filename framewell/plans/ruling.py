@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framewell.functions import values as V
+from framewell.operators import balancing as B
 from framewell.operators import rules as R
 from framewell.operators import stateful as S
 from framewell.plans.common import table
@@ -119,7 +120,14 @@ def t06_claims(spark, sf):
 
 def t08_accept(spark, sf):
     e = table(spark, sf, "events").where("user_id IS NOT NULL AND value IS NOT NULL")
-    return S.accept(e.select("event_type", "event_id", "user_id", "value"), "event_type", "event_id", "user_id", "value", 8, z=1.5).groupBy("reason").agg(F.count("*").alias("n"))
+    return B.accept(e.select("event_type", "event_id", "user_id", "value"), "event_type", "event_id", "user_id", "value", 8, z=1.5).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def t08_balanced_accept(spark, sf):
+    """Users as campaigns; event types and value ranges are to be spread, and at most 12 rows of a type accepted."""
+    e = table(spark, sf, "events").where("user_id IS NOT NULL")
+    shares = {"event_type": B.Share(1.0, max_share=0.5), "value": B.Share(0.8, ((None, 9), (10, 49), (50, None)), [0.5, 0.3, 0.2], unknown_share=0.1)}
+    return B.accept(e.select("user_id", "event_id", "event_type", "value"), "user_id", "event_id", "event_type", "value", 12, balance=B.Balance(shares, mode="hard", least=0.6)).select("user_id", "event_id", "score", "reason")
 
 
 def t09_retries(spark, sf):
@@ -198,6 +206,7 @@ QUERIES = {
     "t05_reanchor": (t05_reanchor, "WITH d AS (SELECT l_orderkey k, l_linenumber i, max(l_shipdate) a FROM lineitem GROUP BY ALL), l AS (SELECT k, max(i) i, arg_max(a,i) a FROM d GROUP BY 1) SELECT k l_orderkey, (i+1)::INT l_linenumber, strftime(a+to_days(7),'%Y-%m-%d %H:%M:%S') due FROM l WHERE i<4"),
     "t06_claims": (t06_claims, "WITH e AS (SELECT user_id, event_id, CASE WHEN event_type='purchase' THEN 'done' WHEN event_id%11=0 THEN 'released' ELSE 'claimed' END status FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)=1) SELECT * FROM e WHERE status='claimed' AND event_id*10>97000"),
     "t08_accept": (t08_accept, None),
+    "t08_balanced_accept": (t08_balanced_accept, None),
     "t09_retries": (t09_retries, "SELECT l_orderkey, max(l_linenumber) attempts, max(l_linenumber)*30.0::DOUBLE backoff, max(l_linenumber)>=5 dead FROM lineitem GROUP BY 1"),
     "t10_rate_limit": (t10_rate_limit, None),
     "t11_circuit": (t11_circuit, "SELECT user_id, event_id t, (sum((event_type='purchase')::INT) OVER w)::BIGINT failures, sum((event_type='purchase')::INT) OVER w>=3 AS open FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_id RANGE BETWEEN 300 PRECEDING AND CURRENT ROW)"),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewell.functions import values as V
-from framewell.operators import graph, joins, learning, profile, ranks, rules, sequences, setops, stateful, textual, vectors
+from framewell.operators import balancing, graph, joins, learning, profile, ranks, rules, sequences, setops, stateful, textual, vectors
 from framewell.sources import files
 from framewell.streaming import jobs
 
@@ -128,7 +128,7 @@ def test_setops_and_state(spark):
     hits = frame(spark, [("a", float(t)) for t in (0, 1, 2, 9, 11, 12)], "k string, t double")
     assert [r.allowed for r in stateful.rate_limit(hits, "k", "t", 10.0, 3).orderBy("t").collect()] == [True, True, True, False, True, True]
     rows = frame(spark, [("g", i, "c" if i < 30 else "d", 1.0 + i % 2) for i in range(40)] + [("g", 40, "e", 500.0)], "g string, o int, c string, v double")
-    out = {r.o: r.reason for r in stateful.accept(rows, "g", "o", "c", "v", 25).collect()}
+    out = {r.o: r.reason for r in balancing.accept(rows, "g", "o", "c", "v", 25).collect()}
     assert out[40] == "outlier" and out[26] == "channel_cap" and out[31] is None
 
 
