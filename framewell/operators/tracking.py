@@ -1,4 +1,4 @@
-"""Bounded assignment of detections to tracks, video by video (J18 of the survey)."""
+"""Optimal assignment of detections to tracks, video by video (J18 of the survey)."""
 
 from __future__ import annotations
 
@@ -8,86 +8,91 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from framewell.operators.matching import cheapest_matching
+
+# Fixed values, which results depend on: a match needs a cosine of 0.5 and a move of at most 0.5 for each frame since the
+# track was seen; it costs 0.7 of the cosine distance and 0.3 of the move. A track is active for 3 frames without a match
+# and lost for 10 more, from which a cosine of 0.6 brings it back. Half of the old look stays when a track is seen.
+MATCH_COSINE, REVIVE_COSINE = 0.5, 0.6
+LOOK_WEIGHT, MOVE_WEIGHT = 0.7, 0.3
+MOVE_A_FRAME = 0.5
+ACTIVE_FRAMES, LOST_FRAMES = 3, 10
+OLD_LOOK = 0.5
+
 
 @dataclass(frozen=True)
-class Gates:
-    """Least cosine of a match and of a revival, weights of looks and motion, greatest move a frame, frames a track stays active and then lost, share of the old look."""
-
-    similar: float = 0.5
-    revive: float = 0.6
-    looks: float = 0.7
-    motion: float = 0.3
-    move: float = 0.5
-    active: int = 3
-    lost: int = 10
-    keep: float = 0.5
-
-
-class _Tracks:
-    """The live tracks of one video as arrays; ended ones are forgotten, so state is bounded by what is in view."""
-
-    def __init__(self, gates: Gates):
-        self.g, self.made = gates, 0
-        self.number, self.seen, self.look, self.centre = np.zeros(0, np.int64), np.zeros(0, np.int64), None, np.zeros((0, 2))
-
-    def step(self, frame: int, look: np.ndarray, centre: np.ndarray) -> np.ndarray:
-        """Track numbers of a frame's detections; frame counts the frames that had any row."""
-        g = self.g
-        look = look / np.where((n := np.linalg.norm(look, axis=1, keepdims=True)) < 1e-8, 1.0, n)
-        if self.look is None:
-            self.look = np.zeros((0, look.shape[1]))
-        idle = frame - self.seen
-        stay = idle - 1 <= g.active + g.lost
-        self.number, self.seen, self.look, self.centre, idle = (x[stay] for x in (self.number, self.seen, self.look, self.centre, idle))
-        out = np.full(len(look), -1, np.int64)
-        cos = self.look @ look.T
-        far = np.linalg.norm(self.centre[:, None] - centre[None], axis=2)
-        live = idle - 1 <= g.active
-        ok = (cos >= g.similar) & (far <= g.move * np.maximum(idle, 1)[:, None]) & live[:, None]
-        # Cheapest pairs first, each track and detection once.
-        t, d = np.nonzero(ok)
-        cost = g.looks * (1 - cos[t, d]) + g.motion * far[t, d]
-        free = np.ones(len(self.number), bool)
-        for i in np.lexsort((d, t, cost)).tolist():
-            if free[t[i]] and out[d[i]] < 0:
-                self._see(t[i], frame, look[d[i]], centre[d[i]])
-                free[t[i]], out[d[i]] = False, self.number[t[i]]
-        # What is left revives the most similar lost track, or starts one.
-        free &= ~live
-        for j in np.flatnonzero(out < 0).tolist():
-            near = np.where(free, cos[:, j] if len(free) else 0.0, -np.inf)
-            best = int(near.argmax()) if free.any() else -1
-            if best >= 0 and near[best] >= g.revive:
-                self._see(best, frame, look[j], centre[j])
-                free[best] = False
-                out[j] = self.number[best]
-            else:
-                out[j], self.made = self.made, self.made + 1
-                self.number, self.seen = np.append(self.number, out[j]), np.append(self.seen, frame)
-                self.look, self.centre = np.vstack([self.look, look[j]]), np.vstack([self.centre, centre[j]])
-                free = np.append(free, False)
-                cos = np.vstack([cos, np.full(len(look), -np.inf)])
-        return out
-
-    def _see(self, i: int, frame: int, look: np.ndarray, centre: np.ndarray) -> None:
-        mixed = self.g.keep * self.look[i] + (1 - self.g.keep) * look
-        self.look[i] = mixed / (np.linalg.norm(mixed) or 1.0)
-        self.centre[i], self.seen[i] = centre, frame
-
-
-def assign_tracks(df: DataFrame, video: str, frame: str, slot: str, vector: str, x: str, y: str, gates: Gates = Gates()) -> DataFrame:
+class Tracking:
+    """What may be set otherwise than the fixed values."""
+
+    match_cosine: float = MATCH_COSINE
+    revive_cosine: float = REVIVE_COSINE
+    weights: tuple[float, float] = (LOOK_WEIGHT, MOVE_WEIGHT)
+    move: float = MOVE_A_FRAME
+    frames: tuple[int, int] = (ACTIVE_FRAMES, LOST_FRAMES)
+    old_look: float = OLD_LOOK
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(x, axis=-1, keepdims=True)
+    return x / np.where(size < 1e-8, 1.0, size)
+
+
+class _View:
+    """Tracks of one video that can still be met, one entry each in parallel arrays; others are forgotten."""
+
+    def __init__(self, how: Tracking, width: int):
+        self.how, self.next = how, 0
+        self.track, self.last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.look, self.centre = np.zeros((0, width)), np.zeros((0, 2))
+
+    def frame(self, now: int, look: np.ndarray, centre: np.ndarray) -> np.ndarray:
+        """Track numbers of the detections of frame ``now``; frames are numbered without gaps."""
+        look = _unit(look)
+        missed = now - self.last - 1
+        keep = missed <= sum(self.how.frames)
+        self.track, self.last, self.look, self.centre, missed = (a[keep] for a in (self.track, self.last, self.look, self.centre, missed))
+        cosine = self.look @ look.T
+        entry = np.full(len(look), -1)
+        active = np.flatnonzero(missed <= self.how.frames[0])
+        if len(active):
+            move = np.linalg.norm(self.centre[active, None] - centre, axis=-1)
+            allowed = (cosine[active] >= self.how.match_cosine) & (move <= self.how.move * (missed[active, None] + 1))
+            one, other = cheapest_matching(self.how.weights[0] * (1 - cosine[active]) + self.how.weights[1] * move, allowed)
+            entry[other] = active[one]
+        lost = set(np.flatnonzero(missed > self.how.frames[0]).tolist())
+        for d in np.flatnonzero(entry < 0):
+            like = max(lost, key=lambda e: (cosine[e, d], -e), default=None)
+            if like is not None and cosine[like, d] >= self.how.revive_cosine:
+                entry[d] = like
+                lost.remove(like)
+        seen = np.flatnonzero(entry >= 0)
+        at = entry[seen]
+        self.look[at] = _unit(self.how.old_look * self.look[at] + (1 - self.how.old_look) * look[seen])
+        self.centre[at], self.last[at] = centre[seen], now
+        new = np.flatnonzero(entry < 0)
+        entry[new] = len(self.track) + np.arange(len(new))
+        self.track = np.concatenate([self.track, self.next + np.arange(len(new))])
+        self.last = np.concatenate([self.last, np.full(len(new), now)])
+        self.look, self.centre = np.concatenate([self.look, look[new]]), np.concatenate([self.centre, centre[new]])
+        self.next += len(new)
+        return self.track[entry]
+
+
+def assign_tracks(df: DataFrame, video: str, frame: str, slot: str, vector: str, x: str, y: str, how: Tracking = Tracking()) -> DataFrame:
     """A track number for each detection of a video (J18): video, frame, slot, track.
 
-    Frames are taken in order; detections match active tracks by look and motion within gates, one to one, cheapest
-    pairs first; what is left revives a lost track or starts one. Videos are the unit of parallelism: a video's frames
-    depend on each other, and their number is bounded by its sampling. Rows without a vector or centre take no part.
+    Frames are taken in order; the detections of a frame and the active tracks are matched at least total cost, as many
+    as the gates allow. What is left revives the most similar lost track or starts one. Videos are the unit of
+    parallelism: a video's frames depend on each other, and their number is bounded by its sampling. Rows without a
+    vector or centre take no part.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tracks, parts = _Tracks(gates), []
+        view, parts = None, []
         for at, (_, rows) in enumerate(pdf.sort_values([frame, slot]).groupby(frame, sort=True)):
-            found = tracks.step(at, np.array(rows[vector].tolist(), float), rows[[x, y]].to_numpy(float))
-            parts.append(rows[[video, frame, slot]].assign(track=found))
+            look = np.array(rows[vector].tolist(), float)
+            view = view or _View(how, look.shape[1])
+            parts.append(rows[[video, frame, slot]].assign(track=view.frame(at, look, rows[[x, y]].to_numpy(float))))
         return pd.concat(parts)
 
     kind = lambda c: df.schema[c].dataType.simpleString()
