@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewell.functions.names import free
+from framewell.functions.sizes import small
 from framewell.functions.values import finite
 
 
@@ -167,12 +168,53 @@ def group_time_split(df: DataFrame, group: str, t: str, train: float, valid: flo
     return df.join(ranked.select(group, split.alias("split")), group)
 
 
+def lightest_folds(sizes: list[tuple[int, int]], folds: int) -> list[tuple[int, int, int, list[int]]]:
+    """Where greedy balancing puts groups: (size, first, end, order) says that of the groups of a size, in order, those numbered
+    first .. end - 1 go to the folds of ``order`` in turn.
+
+    sizes holds (size, number of groups), largest first. Each group goes to the fold with the fewest rows, the first of
+    equals. With groups of one size a fold of load L takes its j-th at level L + j * size, so folds take turns, and the
+    turn only changes where the level reaches another fold: at most one stretch a fold and size, however many groups.
+    """
+    load, out = [0] * folds, []
+    for size, groups in sizes:
+        at, taken = 0, [0] * folds
+        levels = sorted(range(folds), key=lambda f: (load[f], f))
+        for m in range(1, folds + 1):
+            if at == groups:
+                break
+            active, before = levels[:m], groups
+            if m < folds:
+                # Places before the next fold's own level; of equal levels the first fold goes first.
+                new = levels[m]
+                before = sum(-(-(load[new] - load[f] + (f < new)) // size) for f in active)
+            end = min(groups, before)
+            if end > at:
+                turn = sorted(active, key=lambda f: (load[f] + taken[f] * size, f))
+                out.append((size, at, end, turn))
+                for i, f in enumerate(turn):
+                    taken[f] += (end - at - i + m - 1) // m
+                at = end
+        load = [x + n * size for x, n in zip(load, taken)]
+    return out
+
+
 def grouped_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
-    """A fold for each group, larger groups first dealt like cards, back and forth (O12): near equal rows, no driver loop."""
+    """A fold for each group: the largest groups first, each to the fold with the fewest rows so far.
+
+    Only the number of groups of each size comes to the driver. Groups of one size go by their key.
+    """
     sizes = df.groupBy(group).agg(F.count("*").alias("_c"))
-    rank = numbered(sizes, [F.desc("_c"), F.col(group)]).withColumn("_i", F.col("rn") - 1)
-    turn, place = F.floor(F.col("_i") / folds), F.col("_i") % folds
-    return df.join(rank.select(group, F.when(turn % 2 == 0, place).otherwise(folds - 1 - place).cast("int").alias("fold")), group)
+    counted = sorted(((r["_c"], r["n"]) for r in sizes.groupBy("_c").agg(F.count("*").alias("n")).collect()), reverse=True)
+    before, offset = {}, 0
+    for size, n in counted:
+        before[size], offset = offset, offset + n
+    plan = [(size, before[size] + 1, first, end, turn) for size, first, end, turn in lightest_folds(counted, folds)]
+    plan = df.sparkSession.createDataFrame(plan, "_c long, _before long, _first long, _end long, _turn array<int>")
+    rank = numbered(sizes, [F.desc("_c"), F.col(group)]).join(small(plan), "_c").withColumn("_i", F.col("rn") - F.col("_before"))
+    rank = rank.where((F.col("_i") >= F.col("_first")) & (F.col("_i") < F.col("_end")))
+    turn = F.element_at("_turn", ((F.col("_i") - F.col("_first")) % F.size("_turn") + 1).cast("int"))
+    return df.join(rank.select(F.col(group).alias("_group"), turn.alias("fold")), F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def allocate(weights: DataFrame, name: str, weight: str, target: int) -> DataFrame:

@@ -138,7 +138,7 @@ def o11_group_time_split(spark, sf):
 
 
 def o12_grouped_folds(spark, sf):
-    return R.grouped_folds(table(spark, sf, "orders"), "o_custkey", 5).groupBy("fold").agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("groups"))
+    return R.grouped_folds(table(spark, sf, "orders"), "o_custkey", 5).groupBy("o_custkey").agg(F.max("fold").alias("fold"), F.count("*").alias("n"))
 
 
 def o13_allocate(spark, sf):
@@ -190,7 +190,7 @@ QUERIES = {
     "o09_limit": (o09_limit, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25"),
     "o10_time_split": (o10_time_split, "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) i, count(*) OVER () n FROM orders WHERE o_orderdate IS NOT NULL) SELECT o_orderkey, CASE WHEN i<=round_even(n*0.7,0) THEN 'train' WHEN i<=round_even(n*0.7,0)+round_even(n*0.15,0) THEN 'valid' ELSE 'test' END split FROM r"),
     "o11_group_time_split": (o11_group_time_split, "WITH g AS (SELECT o_custkey, min(coalesce(o_orderdate, TIMESTAMP '1970-01-01')) t FROM orders GROUP BY 1), r AS (SELECT o_custkey, row_number() OVER (ORDER BY t, o_custkey) i, count(*) OVER () n FROM g) SELECT o_orderkey, CASE WHEN i<=floor(n*0.7) THEN 'train' WHEN i<=floor(n*(0.7+0.15)) THEN 'valid' ELSE 'test' END split FROM orders JOIN r USING (o_custkey)"),
-    "o12_grouped_folds": (o12_grouped_folds, "WITH g AS (SELECT o_custkey, count(*) c FROM orders GROUP BY 1), r AS (SELECT o_custkey, row_number() OVER (ORDER BY c DESC, o_custkey)-1 i FROM g), f AS (SELECT o_custkey, (CASE WHEN (i//5)%2=0 THEN i%5 ELSE 4-i%5 END)::INT fold FROM r) SELECT fold, count(*) n, count(DISTINCT o_custkey) AS groups FROM orders JOIN f USING (o_custkey) GROUP BY 1"),
+    "o12_grouped_folds": (o12_grouped_folds, "WITH RECURSIVE g AS (SELECT o_custkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS i FROM orders GROUP BY 1), r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS o_custkey, NULL::BIGINT AS n, NULL::INT AS fold, [0,0,0,0,0]::BIGINT[] AS load UNION ALL SELECT g.i, g.o_custkey, g.n, list_position(load, list_min(load))-1, list_transform(load, lambda x, j: x + CASE WHEN j = list_position(load, list_min(load)) THEN g.n ELSE 0 END) FROM r JOIN g ON g.i = r.i + 1) SELECT o_custkey, fold, n FROM r WHERE i > 0"),
     "o13_allocate": (o13_allocate, "WITH w AS (SELECT o_orderpriority, count(*) w FROM orders GROUP BY 1), f AS (SELECT *, floor(1003*w/sum(w) OVER ()) f FROM w), r AS (SELECT *, 1003-sum(f) OVER () l, row_number() OVER (ORDER BY w DESC, o_orderpriority) i FROM f) SELECT o_orderpriority, (f+(i<=l)::INT)::BIGINT AS count FROM r"),
     "l09_batch_size": (l09_batch_size, "SELECT p_partkey, CASE WHEN p_partkey%40=0 THEN 64 ELSE greatest(1, least(64, floor((p_partkey*3.0-500)/(p_partkey%40)))) END::BIGINT batch FROM part"),
     "l10_active_cost": (l10_active_cost, "WITH r AS (SELECT l_suppkey, l_returnflag branch, l_shipdate valid_from, max(CASE WHEN l_linenumber%2=0 THEN l_shipdate+to_days(400) END) valid_to FROM lineitem GROUP BY ALL) SELECT l_suppkey, branch, strftime(valid_from,'%Y-%m-%d %H:%M:%S') valid_from FROM r WHERE valid_from<=TIMESTAMP '1996-01-01' AND (valid_to IS NULL OR valid_to>TIMESTAMP '1996-01-01') QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY (branch<>'N')::INT, branch, r.valid_from DESC)=1"),
