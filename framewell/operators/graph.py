@@ -32,3 +32,15 @@ def connected_components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame]
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+
+
+def keep_one(df: DataFrame, key: str, order: list[str], pairs: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """df without redundant rows: of the rows that pairs(u, v) of keys connect, the first by order stays.
+
+    Keys of pairs that df does not have connect nothing. Clusters are reduced by a combinable minimum.
+    """
+    own = df.select(key)
+    known = pairs.join(own.withColumnRenamed(key, "u"), "u", "left_semi").join(own.withColumnRenamed(key, "v"), "v", "left_semi").select("u", "v")
+    found = connected_components(known, cut).select(F.col("node").alias(key), "component")
+    first = df.join(found, key).groupBy("component").agg(F.min_by(key, F.struct(*order)).alias(key)).select(key)
+    return df.join(found.select(key), key, "left_anti").unionByName(df.join(first, key, "left_semi"))

@@ -204,6 +204,16 @@ def chunk_variance(df: DataFrame, keys: list[str], vector: str, top: int = 4) ->
     return per.groupBy(*keys).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("variance_norm"), F.slice(F.sort_array(F.collect_list("v"), asc=False), 1, top).alias("top"))
 
 
+def topic_distribution(scores: DataFrame, key: str, topic: str, score: str, k: int, temperature: float) -> DataFrame:
+    """The k best topics of each key, their softmax at a temperature, and that distribution's entropy."""
+    from framewell.functions.values import softmax_over
+
+    best = top_k(scores, [key], [F.desc(F.round(score, 9)), F.col(topic)], k)
+    own = Window.partitionBy(key)
+    best = best.withColumn("probability", softmax_over(F.col(score), own, temperature))
+    return best.withColumn("entropy", -F.sum(F.col("probability") * F.ln(F.col("probability") + 1e-9)).over(own))
+
+
 def entropy(df: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """Entropy, normalised entropy and perplexity of a distribution."""
     p = F.col(weight) / F.sum(weight).over(Window.partitionBy(*keys))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from framewell.operators import joins as J
 from framewell.operators import setops as S
@@ -176,6 +177,16 @@ def u07_components(spark, sf):
     return connected_components(edges, cut)
 
 
+def u07_keep_one(spark, sf):
+    """Part pairs of one type and nearly one price are redundant; the first by price and key of each cluster stays."""
+    from framewell.operators.graph import keep_one
+
+    p = _t(spark, sf, "part").select("p_partkey", F.concat_ws("|", "p_type", "p_brand").alias("kind"), "p_retailprice")
+    near = Window.partitionBy("kind").orderBy("p_retailprice", "p_partkey")
+    pairs = p.withColumn("v", F.lead("p_partkey").over(near)).withColumn("gap", F.lead("p_retailprice").over(near) - F.col("p_retailprice"))
+    return keep_one(p, "p_partkey", ["p_retailprice", "p_partkey"], pairs.where("gap < 5").select(F.col("p_partkey").alias("u"), "v"), cut).select("p_partkey")
+
+
 def u08_incidents(spark, sf):
     return S.merge_incidents(_t(spark, sf, "events").where("user_id IS NOT NULL").select(F.col("user_id").alias("id"), F.col("event_id").alias("seen"), F.col("event_type").alias("batch")), "id", "seen", "batch")
 
@@ -189,6 +200,7 @@ def u09_event_stream(spark, sf):
 
 
 QUERIES = {
+    "u07_keep_one": (u07_keep_one, "SELECT p_partkey FROM part QUALIFY NOT coalesce(p_retailprice - lag(p_retailprice) OVER (PARTITION BY concat_ws('|', p_type, p_brand) ORDER BY p_retailprice, p_partkey) < 5, false)"),
     "j01_left_targets": (j01_left_targets, "SELECT o_orderkey, c_name, c_acctbal, c_custkey IS NOT NULL matched FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal>0) ON o_custkey=c_custkey"),
     "j02_inner_last_wins": (j02_inner_last_wins, "SELECT c_custkey, event_id, value FROM customer JOIN (SELECT * FROM events WHERE value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)=1) ON c_custkey=user_id"),
     "j03_semi": (j03_semi, "SELECT l_returnflag, count(*) n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority='1-URGENT') GROUP BY 1"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framewell.operators import filters as C
 from framewell.operators import sequences as S
 from framewell.plans.common import table
 
@@ -58,6 +59,15 @@ def w11_z_score(spark, sf):
     return rows.select("event_id", F.round(0.5 * F.col("a") + 0.5 * F.col("b"), 5).alias("energy"))
 
 
+def w11_energy(spark, sf):
+    return _r(C.energy(_curve(spark, sf), _K, "t", "value", "t", 1.0, "energy").select("event_id", "energy"), "energy", digits=4)
+
+
+def w12_energy_peaks(spark, sf):
+    """Peaks of the energy at or above its 90th percentile, 20 apart."""
+    return _r(C.high_peaks(C.energy(_curve(spark, sf), _K, "t", "value", "t", 1.0, "energy"), _K, "t", "energy", 20.0), "energy", digits=4)
+
+
 def w12_peaks(spark, sf):
     return S.suppress_by_time(S.local_peaks(_curve(spark, sf), _K, "t", "value"), _K, "t", "value", 400.0)
 
@@ -127,6 +137,10 @@ def w26_trend(spark, sf):
     return _r(S.trend(_curve(spark, sf), _K, "t", "value"), "slope", "intercept", digits=6)
 
 
+def w26_savgol(spark, sf):
+    return _r(C.savgol(_curve(spark, sf), _K, "t", "value", 5, 2, "trend").select("event_id", "trend"), "trend", digits=6)
+
+
 def w26_periodicity(spark, sf):
     return S.periodicity(_curve(spark, sf), _K, "event_id", "value")
 
@@ -135,6 +149,10 @@ def w27_peaks(spark, sf):
     return S.local_peaks(_curve(spark, sf), _K, "t", "value").where("value > 60").select("event_id", "value")
 
 
+def w27_top_jumps(spark, sf):
+    return C.top_jumps(_curve(spark, sf), _K, "t", "value", 20.0, 5, 3).select("user_id", "event_id", "place", "rank")
+
+
 def a39_dominant(spark, sf):
     return _r(S.dominant(_curve(spark, sf), _K, "event_id", "event_type", "value"), "stability", digits=7)
 
@@ -168,6 +186,10 @@ def a47_line(spark, sf):
 
 
 _WS = _C + ", w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t) i, count(*) OVER (PARTITION BY user_id) n, lag(value) OVER (PARTITION BY user_id ORDER BY t) pv, lag(t) OVER (PARTITION BY user_id ORDER BY t) pt, lag(event_type) OVER (PARTITION BY user_id ORDER BY t) pe, lead(value) OVER (PARTITION BY user_id ORDER BY t) nv FROM c)"
+_L = _C + ", l AS (SELECT user_id, list(event_id ORDER BY t) e, list(value ORDER BY t) a, list(t ORDER BY t) b, count(*) n FROM c GROUP BY 1)"
+_G = "list_transform(range(n), lambda i: list_sum(list_transform(range(9), lambda j: " + str([round(float(x), 17) for x in C.gaussian_weights(1.0)]) + "[j+1]*{v}[CASE WHEN (i+j-4+2*n*9)%(2*n)<n THEN (i+j-4+2*n*9)%(2*n)+1 ELSE 2*n-(i+j-4+2*n*9)%(2*n) END])))"
+_Z = "list_transform({v}, lambda x: (x-list_avg({v}))/(list_stddev_pop({v})+1e-6))"
+
 QUERIES = {
     "w03_rate": (w03_rate, f"WITH {_WS} SELECT event_id, round(value-pv,9) delta, round((value-pv)/greatest(t-pt,0.001),9) rate FROM w"),
     "w04_aligned": (w04_aligned, f"WITH {_WS} SELECT event_id, round(coalesce(value-pv,0),5) delta FROM w"),
@@ -178,6 +200,8 @@ QUERIES = {
     "w09_segments": (w09_segments, f"WITH {_WS}, g AS (SELECT *, sum(CASE WHEN pe=event_type THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY t) island FROM w) SELECT user_id, island::BIGINT island, any_value(event_type) event_type, min(event_id) AS first, max(event_id) AS last, count(*) n FROM g GROUP BY user_id, island"),
     "w10_uniform_segments": (w10_uniform_segments, f"WITH {_WS} SELECT user_id, least((i-1)//greatest(n//5,1),4)::INT segment, count(*) n, min(event_id) AS first FROM w GROUP BY user_id, 2"),
     "w11_z_score": (w11_z_score, f"WITH {_C} SELECT event_id, round(0.5*(value-avg(value) OVER u)/(stddev_pop(value) OVER u+1e-6)+0.5*(t-avg(t) OVER u)/(stddev_pop(t) OVER u+1e-6),5) energy FROM c WINDOW u AS (PARTITION BY user_id)"),
+    "w11_energy": (w11_energy, f"WITH {_L}, s AS (SELECT e, n, {_G.format(v='a')} a, {_G.format(v='b')} b FROM l), z AS (SELECT e, n, {_Z.format(v='a')} a, {_Z.format(v='b')} b FROM s), m AS (SELECT e, n, list_transform(range(n), lambda i: 0.5*a[i+1]+0.5*b[i+1]) m FROM z), g AS (SELECT e, {_G.format(v='m')} g FROM m), o AS (SELECT unnest(e) event_id, unnest({_Z.format(v='g')}) energy FROM g) SELECT event_id, round(energy,4) energy FROM o"),
+    "w12_energy_peaks": (w12_energy_peaks, None),
     "w12_peaks": (w12_peaks, None),
     "w13_hook": (w13_hook, f"WITH {_WS}, e AS (SELECT *, min(t) OVER u + least(300.0, 0.15*(max(t) OVER u - min(t) OVER u)) e FROM w WINDOW u AS (PARTITION BY user_id)), k AS (SELECT *, sum((t<=e)::INT) OVER (PARTITION BY user_id) k FROM e) SELECT user_id, count(*) n, round(avg(value),4) mean, round(max(value),4) max, round(stddev_pop(value),4) std FROM k WHERE t<=e OR (k<3 AND i<=3) GROUP BY 1"),
     "w14_climax": (w14_climax, f"WITH {_WS} SELECT user_id, value peak, round(CASE WHEN n>1 THEN (i-1)/(n-1) ELSE 0 END,9) AS position FROM w QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, t)=1"),
@@ -193,7 +217,9 @@ QUERIES = {
     "w23_balance": (w23_balance, f"WITH {_C} SELECT event_id, sum(floor(value)*CASE WHEN event_type='purchase' THEN -1 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT balance FROM c"),
     "w25_smoothness": (w25_smoothness, f"WITH {_WS}, d AS (SELECT user_id, t, value-pv d FROM w), e AS (SELECT user_id, d, d-lag(d) OVER (PARTITION BY user_id ORDER BY t) dd FROM d) SELECT user_id, round(avg(abs(dd)),5) smoothness, count(*) FILTER (abs(d)>40) jumps FROM e GROUP BY 1"),
     "w26_trend": (w26_trend, f"WITH {_C} SELECT user_id, round(regr_slope(value,t),6) slope, round(regr_intercept(value,t),6) intercept FROM c GROUP BY 1"),
+    "w26_savgol": (w26_savgol, f"WITH {_C}, w AS (SELECT event_id, value, row_number() OVER v i, count(*) OVER (PARTITION BY user_id) n, list(value) OVER (PARTITION BY user_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) x FROM c WINDOW v AS (PARTITION BY user_id ORDER BY t)), f AS (SELECT *, greatest(0, least(i-3, n-5)) s FROM w) SELECT event_id, round(CASE WHEN n<=5 THEN value ELSE (CASE i-s WHEN 1 THEN 31*x[s+1]+9*x[s+2]-3*x[s+3]-5*x[s+4]+3*x[s+5] WHEN 2 THEN 9*x[s+1]+13*x[s+2]+12*x[s+3]+6*x[s+4]-5*x[s+5] WHEN 3 THEN -3*x[s+1]+12*x[s+2]+17*x[s+3]+12*x[s+4]-3*x[s+5] WHEN 4 THEN -5*x[s+1]+6*x[s+2]+12*x[s+3]+13*x[s+4]+9*x[s+5] ELSE 3*x[s+1]-5*x[s+2]-3*x[s+3]+9*x[s+4]+31*x[s+5] END)/35 END,6) trend FROM f"),
     "w26_periodicity": (w26_periodicity, None),
+    "w27_top_jumps": (w27_top_jumps, f"WITH RECURSIVE {_WS}, p AS (SELECT user_id, event_id, i-1 AS p, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, i DESC) AS o FROM w WHERE i>2 AND i<n-1 AND value>=20 AND value>=pv AND value>nv), r AS (SELECT DISTINCT user_id, 0::BIGINT AS o, []::BIGINT[] AS k, NULL::BIGINT AS event_id, NULL::BIGINT AS p, false AS got FROM p UNION ALL SELECT p.user_id, p.o, CASE WHEN len(k)<3 AND len(list_filter(k, lambda x: abs(x-p.p)<5))=0 THEN list_append(k, p.p) ELSE k END, p.event_id, p.p, len(k)<3 AND len(list_filter(k, lambda x: abs(x-p.p)<5))=0 FROM r JOIN p ON p.user_id=r.user_id AND p.o=r.o+1) SELECT user_id, event_id, p::INT AS place, len(k)::INT AS rank FROM r WHERE got"),
     "w27_peaks": (w27_peaks, f"WITH {_WS} SELECT event_id, value FROM w WHERE value>=pv AND value>nv AND value>60"),
     "a39_dominant": (a39_dominant, f"WITH {_C}, p AS (SELECT user_id, event_type, count(*) c, min(event_id) f, sum(value) s FROM c GROUP BY ALL), q AS (SELECT *, sum(s) OVER (PARTITION BY user_id) a FROM p) SELECT user_id, event_type dominant, round(s/nullif(a,0),7) stability FROM q QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY c DESC, f)=1"),
     "a40_intervals": (a40_intervals, f"WITH {_WS}, d AS (SELECT user_id, t-pt d FROM w WHERE t>pt) SELECT user_id, count(*) n, round(avg(d),5) mean, round(stddev_pop(d),5) std, min(d) min, max(d) max, round(median(d),5) median, round(1/(1+stddev_pop(d)/avg(d)),5) regularity, round(60/median(d),5) tempo FROM d GROUP BY 1"),

@@ -54,6 +54,15 @@ def v09_nearest_centroid(spark, sf):
     return t.groupBy("vec_id").agg(F.min_by("label", "rank").alias("cluster"), F.round(1 - F.max("score"), 5).alias("distance"), F.round(F.max("score") - F.min("score"), 5).alias("margin"))
 
 
+def v09_projected_centroid(spark, sf):
+    """Nearest label centroid in the space of the first eight principal components of all vectors."""
+    from framewell.operators import projection as P
+
+    e = _e(spark, sf)
+    found = P.nearest_projected(e, _centroids(spark, sf).withColumnRenamed("vector", "embedding"), "vec_id", "label", "embedding", P.fit_projection(e, "embedding", 8))
+    return found.select("vec_id", "cluster", F.round("distance", 5).alias("distance"), F.round("margin", 5).alias("margin"))
+
+
 def _cluster_entropy(spark, sf, rows):
     from pyspark.sql.window import Window
 
@@ -146,6 +155,15 @@ def a37_topics_all(spark, sf):
     return _topics(_e(spark, sf), _prompts(_e(spark, sf)))
 
 
+def a37_topic_distribution(spark, sf):
+    """Two prompts a label, its mean and its mean of even ids, as topics: the three best, their softmax, and its entropy."""
+    e = _e(spark, sf)
+    prompts = V.mean_vector(e, ["label"], "embedding").unionByName(V.mean_vector(e.where("vec_id % 2 = 0"), ["label"], "embedding"))
+    prompts = prompts.select(F.col("label").alias("topic"), F.col("vector").alias("embedding"), F.xxhash64("label", "vector").alias("prompt"))
+    best = V.topic_distribution(V.best_by_group(e, prompts, "vec_id", "prompt", "embedding", "topic"), "vec_id", "topic", "score", 3, 0.1)
+    return best.select("vec_id", "rank", "topic", F.round("probability", 5).alias("probability"), F.round("entropy", 5).alias("entropy"))
+
+
 def a38_track_topk(spark, sf):
     e, g = _e(spark, sf).withColumnRenamed("label", "track"), _e(spark, sf).select(F.col("vec_id").alias("gid"), "embedding")
     t = V.top_k_cosine(e, g, "vec_id", "gid", "embedding", 3).join(e.select("vec_id", "track"), "vec_id").groupBy("track", "gid").agg(F.max("score").alias("score"))
@@ -223,6 +241,8 @@ QUERIES = {
     "a33_trimmed": (a33_trimmed, f"WITH {_D}, n AS (SELECT vec_id, label, sqrt(list_dot_product(embedding::DOUBLE[],embedding::DOUBLE[])) n FROM embeddings), q AS (SELECT label, quantile_cont(n,0.1) a, quantile_cont(n,0.9) b, count(*) k FROM n GROUP BY 1), t AS (SELECT vec_id FROM n JOIN q USING (label) WHERE k<4 OR n BETWEEN a AND b) SELECT label, round(avg(x) FILTER (d=0),5) x0, round(avg(x) FILTER (d=1),5) x1 FROM d WHERE vec_id IN (SELECT vec_id FROM t) GROUP BY 1"),
     "a35_chunk_variance": (a35_chunk_variance, f"WITH {_D}, v AS (SELECT label, d, var_pop(x) v FROM d GROUP BY ALL) SELECT label, round(sqrt(sum(v*v)),6) variance_norm, round(max(v),6) top0 FROM v GROUP BY 1"),
     "a36_entropy": (a36_entropy, "WITH c AS (SELECT o_custkey, o_orderstatus, count(*) w FROM orders GROUP BY ALL), p AS (SELECT o_custkey, w/sum(w) OVER (PARTITION BY o_custkey) p FROM c), h AS (SELECT o_custkey, -sum(p*ln(p+1e-12)) h, count(*) k FROM p GROUP BY 1) SELECT o_custkey, round(h,6) entropy, round(CASE WHEN k>1 THEN h/ln(k) ELSE 0 END,6) normalised, round(exp(h),6) perplexity FROM h"),
+    "v09_projected_centroid": (v09_projected_centroid, None),
+    "a37_topic_distribution": (a37_topic_distribution, f"WITH m AS (SELECT label, list(v ORDER BY i) v FROM (SELECT label, i, avg(x) v FROM (SELECT label, generate_subscripts(embedding,1) i, unnest(embedding)::DOUBLE x FROM embeddings) GROUP BY ALL) GROUP BY 1 UNION ALL SELECT label, list(v ORDER BY i) v FROM (SELECT label, i, avg(x) v FROM (SELECT label, generate_subscripts(embedding,1) i, unnest(embedding)::DOUBLE x FROM embeddings WHERE vec_id%2=0) GROUP BY ALL) GROUP BY 1), t AS (SELECT vec_id, m.label topic, max({_COS.format(a='embedding', b='v')}) s FROM embeddings, m GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s,9) DESC, topic)::INT r FROM t QUALIFY r<=3), p AS (SELECT *, exp((s-max(s) OVER w)/0.1)/sum(exp((s-max_s)/0.1)) OVER w p FROM (SELECT *, max(s) OVER (PARTITION BY vec_id) max_s FROM k) WINDOW w AS (PARTITION BY vec_id)) SELECT vec_id, r AS rank, topic, round(p,5) probability, round(-sum(p*ln(p+1e-9)) OVER (PARTITION BY vec_id),5) entropy FROM p"),
     "a37_topics": (a37_topics, f"WITH c AS (SELECT a.vec_id, b.label topic, max({_ab}) s FROM embeddings a, embeddings b WHERE a.vec_id<>b.vec_id GROUP BY ALL) SELECT vec_id, topic, row_number() OVER (PARTITION BY vec_id ORDER BY round(s,9) DESC, topic)::INT \"rank\", round(s,5) score FROM c QUALIFY \"rank\"<=3"),
     "a38_track_topk": (a38_track_topk, f"WITH c AS (SELECT a.vec_id, a.label track, b.vec_id gid, {_ab} s FROM embeddings a, embeddings b), t AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(s,12) DESC, gid)<=3), m AS (SELECT track, gid, max(s) s FROM t GROUP BY ALL) SELECT track, gid, row_number() OVER (PARTITION BY track ORDER BY round(s,9) DESC, gid)::INT \"rank\" FROM m QUALIFY \"rank\"<=3"),
     "a44_uniqueness": (a44_uniqueness, f"WITH c AS (SELECT a.vec_id//25 video, a.vec_id i, {_ab} s FROM embeddings a JOIN embeddings b ON a.vec_id//25=b.vec_id//25 AND a.vec_id<>b.vec_id), n AS (SELECT video, i, max(s) m, avg(s) a FROM c GROUP BY ALL) SELECT video, count(*) n, round(avg((m>=0.5)::INT),5) repetition_ratio, round(quantile_cont(m,0.95),5) p95_similarity, round(1-avg(a),5) diversity FROM n GROUP BY 1"),
