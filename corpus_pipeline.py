@@ -18,18 +18,31 @@ from framewell.llm.suffix import dedup
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; rejected ones go."""
+    """Documents whose language is identified; rejected ones go.
+
+    A null, empty or letterless text is rejected. A very long text is read whole, in slices. Rows that repeat an id or a
+    text are each judged, alike for equal texts. With no labelled row to learn from all are rejected, and an empty table
+    stays empty. Other columns are kept as they are.
+    """
     named = identify(docs, fit(docs, ~held_out()))
     return named.where(~F.col("lang_rejected")).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id, null last."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id, null last.
+
+    Texts without words link with nothing and stay. Rows that repeat both id and text of a kept one go; rows that repeat
+    an id with another text are documents of their own. An empty table stays empty.
+    """
     return one_of_each(docs, k=5, percent=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 100 bytes that occur earlier; documents of which nothing is left go."""
+    """Texts without strings of 100 bytes that occur earlier; documents of which nothing is left go.
+
+    The earlier document is that of the smaller doc_id. Null, empty and short texts stay as they are. An empty table stays
+    empty. Columns but text and n_chars are kept as they are.
+    """
     out = dedup(docs, length=100)
     out = out.where((F.col("n_removed") == 0) | (F.length(F.trim("kept_text")) > 0))
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
@@ -38,13 +51,20 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = cut(contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no benchmark item. A row goes or stays by its text alone, whatever its doc_id, null or repeated.
+
+    Null and empty texts, and rows held against no or only empty items, stay. An empty table stays empty.
+    """
+    text = F.xxhash64("text")
+    found = contaminated(docs.select(text.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = cut(found.select(F.col("doc_id").alias("held")).distinct())
+    return docs.join(found, text == found["held"], "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed sequences of what is left."""
+    """The packed sequences of what is left: a row for each piece. A null text is empty, its one token the end; a text longer
+    than a sequence is cut into pieces; rows that repeat are packed each. An empty table gives no rows.
+    """
     return pack_documents(docs, capacity=1024)
 
 
