@@ -92,6 +92,20 @@ def test_pipeline_bears_odd_rows(spark):
     assert docs.count() == 0
 
 
+def test_decontamination_goes_by_text_not_by_id(spark, tmp_path):
+    """Rows of one id, and rows without an id, each go or stay by their own text."""
+    import corpus_pipeline as C
+
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    item, clean, other = words(30), words(50), words(40)
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"{words(5)} {item}", 1), (1, clean, 2), (None, f"{item} {words(9)}", 3), (None, other, 4), (2, None, 5), (3, "", 6), (4, clean, 7), (None, None, 8), (5, item, 9), (5, item, 10)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, n) for i, t, n in rows], "doc_id long, text string, lang string, source string, n_chars long, held long")
+    kept = C.decontaminate(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and sorted(r.held for r in kept.collect()) == [2, 4, 5, 6, 7, 8]
+
+
 def plain_pipeline(spark, rows, items):
     """The pipeline in plain Python: rows (doc_id, text), kept and cut stage by stage; ids of each document's tokens."""
     import public_tokenizers
