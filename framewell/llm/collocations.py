@@ -192,7 +192,7 @@ def _matches(ids: np.ndarray, phrases: list[np.ndarray], words: int) -> list[np.
 
 
 #: Phrases that a task holds before it sends their counts.
-HELD_PHRASES = 1 << 20
+HELD_PHRASES = 3 << 18
 COUNTS = "lang string, range int, data binary"
 
 
@@ -207,9 +207,10 @@ class _Sums:
         self.rows += len(a)
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
-        table = pa.concat_tables(self.parts).group_by(["lang", "range", "words", "phrase"]).aggregate([("a", "sum")])
+        table, self.parts, self.rows = pa.concat_tables(self.parts), [], 0
+        # What is no longer needed goes before the next step.
+        table = table.group_by(["lang", "range", "words", "phrase"]).aggregate([("a", "sum")])
         table = table.sort_by([("lang", "ascending"), ("range", "ascending"), ("phrase", "ascending")]).combine_chunks()
-        self.parts, self.rows = [], 0
         lang, where = table.column("lang").combine_chunks().dictionary_encode(), table.column("range").to_numpy()
         edge = np.flatnonzero(np.concatenate([[True], (np.diff(where) != 0) | (np.diff(lang.indices.to_numpy()) != 0)]))
         press, rows = zstandard.ZstdCompressor(level=3), []
@@ -281,6 +282,7 @@ def _scan(longest: int, bits: int, lead: int, batches: Iterator[pa.RecordBatch])
                 if len(own):
                     names = [shard.word.take(pa.array(own[:, j])).cast(pa.string()) for j in range(k)]
                     sums.add(lang, k, pc.binary_join_element_wise(*names, " ") if k > 1 else names[0], found, cell)
+            del shard, phrases, where, found
             if sums.rows > HELD_PHRASES:
                 yield from sums.blocks()
     if sums.rows:
