@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 #: Modules of framewell.plans that register queries.
-MODULES: tuple[str, ...] = ("profiling", "joining", "ranking", "sequencing", "vectoring", "texts", "ruling", "systems", "scalars", "artifacts", "serving", "machines")
+MODULES: tuple[str, ...] = ("profiling", "joining", "ranking", "sequencing", "vectoring", "texts", "ruling", "systems", "scalars", "artifacts", "serving", "machines", "extracting")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:
