@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard, results merged.
 
-Vectors are dealt out by hash in shards of about SHARD distinct vectors. A shard's graph is kept as flat neighbour
+Vectors are dealt out by hash in shards of about SHARD distinct vectors, or SHARD_BYTES of them. A shard's graph is kept as flat neighbour
 arrays, one row of fixed width for each node and layer, beside its vectors, in one table row. Layers are built from
 the top; nodes enter a layer in batches, each found by a beam search of many nodes at once in what stands already,
 linked to diverse near nodes and linked back. A search takes packed blocks of queries through each shard the same way.
-Shards grow with the vectors a partition has, up to SHARD_MOST, so that fewer graphs answer each query at scale.
+A shard's size depends neither on the table nor on the cluster, so recall at scale is that of one full shard, which is
+measured. Every query visits every shard.
 
 Equal vectors are one node that carries the smallest ``k + 1`` of their ids, which is all that k results (and the
 query's own row left out) can need; so one vector held by a third of the rows is one node. Found vectors are scored
@@ -31,10 +32,11 @@ from pyspark.sql.window import Window
 from framewell.llm import text as T
 from framewell.llm.store import cut, partitions
 
-SHARD, SHARD_MOST = 4096, 65_536
+#: Distinct vectors of a shard, and their bytes in double precision, on average.
+SHARD, SHARD_BYTES = 8192, 64 << 20
 #: Links of a node on upper layers; the lowest has twice as many.
 LINKS = 16
-BEAM_BUILD, BEAM_SEARCH = 48, 64
+BEAM_BUILD, BEAM_SEARCH = 64, 96
 BATCH = 512
 #: Nodes of a beam that are expanded in one step.
 STRIDE = 4
@@ -203,7 +205,7 @@ INDEX = "dim int, shard int, nodes int, ids binary, sizes binary, vectors binary
 
 def _build(table: pa.Table) -> pa.Table:
     members = table.column("ids").to_pylist()
-    vectors = np.array(table.column("v").to_pylist(), np.float64)
+    vectors = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
     first = np.array([m[0] for m in members], np.int64)
     order = np.argsort(first)
     vectors, members = vectors[order], [members[i] for i in order]
@@ -221,8 +223,8 @@ def build_index(vectors: DataFrame, k: int, shard: int | None = None) -> DataFra
     # Ids beyond the first k + 1 of a vector are dropped before the shuffle and after it: none of them can be a result.
     ranked = rows.withColumn("r", F.dense_rank().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     distinct = cut(ranked.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")))
-    count = distinct.count()
-    shards = max(1, math.ceil(count / (shard or min(SHARD_MOST, max(SHARD, count // partitions(spark))))))
+    count, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    shards = max(1, math.ceil(count / (shard or max(1, min(SHARD, SHARD_BYTES // (8 * max(1, width)))))))
     dealt = distinct.select(F.size("v").alias("dim"), F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int").alias("shard"), "ids", "v")
     return cut(dealt.groupBy("dim", "shard").applyInArrow(_build, INDEX))
 

@@ -61,6 +61,36 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return (prefix[end] - prefix[start]) * down[start]
 
 
+#: A second polynomial, modulo a prime: what the first one cannot tell apart at any odd base (Thue-Morse words) differs here.
+PRIME = (1 << 31) - 1
+SIDE = 0x4F1BBCDC
+_SIDE_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def _fold31(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME but for one addend; below 2**33."""
+    return (x & U64(PRIME)) + (x >> U64(31))
+
+
+def side_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_SIDE_POWERS[0]) < n:
+        size = max(n, CHUNK + 1024)
+        for k, root in enumerate((SIDE, pow(SIDE, -1, PRIME))):
+            steps = np.ones(1, U64)
+            while len(steps) < size:
+                steps = np.concatenate([steps, steps * U64(pow(root, len(steps), PRIME)) % U64(PRIME)])
+            _SIDE_POWERS[k] = steps[:size]
+    return _SIDE_POWERS[0][:n], _SIDE_POWERS[1][:n]
+
+
+def side_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Values of buf[s:e] below PRIME."""
+    up, down = side_powers(len(buf) + 1)
+    prefix = np.zeros(len(buf) + 1, U64)
+    np.cumsum(_fold31((BYTE_CODE >> U64(34))[buf] * up[:-1]), out=prefix[1:])
+    return (prefix[end] - prefix[start]) % U64(PRIME) * down[start] % U64(PRIME)
+
+
 def lower(buf: np.ndarray) -> np.ndarray:
     """A-Z to a-z, all other bytes as they are."""
     return buf + (((buf >= 65) & (buf <= 90)).astype(np.uint8) << 5)
@@ -77,7 +107,10 @@ class Words:
         word = ~gaps[self.buf]
         edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        self.hash = mix(span_hash(prefix_hash(self.buf), self.start, self.end))
+        value = span_hash(prefix_hash(self.buf), self.start, self.end)
+        if gaps is SPACE:  # operators that count and compare these words take their hashes for the words themselves
+            value += mix(side_hash(self.buf, self.start, self.end))
+        self.hash = mix(value)
         self.doc = np.searchsorted(self.offset, self.start, "right") - 1
         #: Words of text i are first[i] .. first[i + 1].
         self.first = np.searchsorted(self.doc, np.arange(len(texts) + 1))
