@@ -287,6 +287,7 @@ def _scan(longest: int, bits: int, lead: int, batches: Iterator[pa.RecordBatch])
                 yield from sums.blocks()
     if sums.rows:
         yield from sums.blocks()
+    T.trim()
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:

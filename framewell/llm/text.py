@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Iterator
 
@@ -160,8 +161,22 @@ def binary_text(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers live on between tasks, and several of them share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    own = ctypes.CDLL(None)
+    if hasattr(own, "malloc_trim"):
+        own.malloc_trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches of at most limit bytes in the column, or one row."""
+    """The rows again, in batches of at most limit bytes in the column, or one row. Freed memory goes back before and after."""
+    trim()
+    yield from _chunks(batches, column, limit)
+    trim()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -232,5 +247,6 @@ def packed_rows(key: str, where: np.ndarray, count: int, arrays: list[np.ndarray
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
     """The packed arrays of all rows, each joined to one."""
+    trim()
     held = [unpack(d) for batch in batches for d in batch.column("data").to_pylist()]
     return [np.concatenate(x) for x in zip(*held)] if held else None
