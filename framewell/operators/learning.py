@@ -82,7 +82,7 @@ def permutation_importance(df: DataFrame, model: PipelineModel, features: list[s
 
 def synthetic_targets(df: DataFrame, key: str, horizons: dict[str, float], seed: int = 7) -> DataFrame:
     """Seeded targets that grow with the horizon, and masks."""
-    u = lambda tag: (F.xxhash64(F.lit(f"{seed}{tag}"), F.col(key)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52))
+    u = lambda tag: F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}{tag}:"), F.col(key).cast("string")), 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
     base = 5 + 3 * u("base")
     return df.withColumns({f"target_{h}": base + F.log1p(F.lit(d)) * (0.5 + u(h)) for h, d in horizons.items()}).withColumns({f"mask_{h}": (u(f"m{h}") < 0.9).cast("double") for h in horizons})
 

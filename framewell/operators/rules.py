@@ -46,6 +46,11 @@ def leakage_guard(names: list[str], allow: list[str] = ()) -> list[str]:
     return [n for n in names if n not in allow and re.search(LEAK, n)]
 
 
+def leaks(name: Column, allow: list[str] = ()) -> Column:
+    """Whether a column of names carries the future, as ``leakage_guard`` does for a list."""
+    return ~name.isin(list(allow)) & name.rlike(LEAK) if allow else name.rlike(LEAK)
+
+
 def leakage_audit(features: DataFrame, name: str, spec: DataFrame, targets: str = r"^target_") -> DataFrame:
     """Class of each feature: forbidden, target, mapped or unmapped (P07); spec lists the known names as ``name``."""
     known = spec.select(F.col("name").alias(name), F.lit(True).alias("_k"))

@@ -29,8 +29,10 @@ def p03_order(spark, sf):
 
 
 def p06_leakage_guard(spark, sf):
-    names = [f"views_{i}" for i in range(4)] + ["snapshot_2", "title_len", "likes_10"]
-    return spark.createDataFrame([(n, n in R.leakage_guard(names)) for n in names], "name string, leak boolean")
+    """Feature names made of every part's name and a number, some with the endings and words of later snapshots."""
+    kind = F.element_at(F.array(F.lit("views"), F.lit("snapshot"), F.lit("title"), F.lit("")), (F.col("p_partkey") % 4 + 1).cast("int"))
+    names = table(spark, sf, "part").select(F.concat(F.translate("p_name", " ", "_"), F.lit("_"), kind, F.lit("_"), (F.col("p_partkey") % 23).cast("string")).alias("name"))
+    return names.groupBy("name").agg(F.count("*").alias("n")).select("name", "n", R.leaks(F.col("name"), ["red_widget_views_1"]).alias("leak"))
 
 
 def p07_leakage_audit(spark, sf):
@@ -187,7 +189,7 @@ QUERIES = {
     "p01_column_filter": (p01_column_filter, "SELECT unnest(['l_quantity','l_discount','l_linenumber']) feature, (SELECT count(*) FROM lineitem) n"),
     "p02_namespace": (p02_namespace, "SELECT l_orderkey, lower(l_returnflag)||'__'||lower(l_linestatus) feature, arg_max(l_quantity,(l_linenumber,l_quantity)) l_quantity FROM lineitem GROUP BY 1,2"),
     "p03_order": (p03_order, "SELECT c_custkey, c_acctbal, c_mktsegment, c_name, c_nationkey FROM customer"),
-    "p06_leakage_guard": (p06_leakage_guard, "WITH n AS (SELECT unnest(['views_0','views_1','views_2','views_3','snapshot_2','title_len','likes_10']) AS name) SELECT name, regexp_matches(name,'(_[123]$)|(snapshot_[0-9]+)') leak FROM n"),
+    "p06_leakage_guard": (p06_leakage_guard, "WITH n AS (SELECT replace(p_name,' ','_')||'_'||['views','snapshot','title',''][p_partkey%4+1]||'_'||(p_partkey%23) AS name FROM part) SELECT name, count(*) n, name<>'red_widget_views_1' AND regexp_matches(name,'(_[123]$)|(snapshot_[0-9]+)') leak FROM n GROUP BY 1"),
     "p07_leakage_audit": (p07_leakage_audit, "WITH f AS (SELECT p_partkey k, CASE WHEN p_partkey%3=0 THEN 'target_' ELSE 'f_' END||p_partkey||CASE WHEN p_partkey%5=0 THEN '_2' ELSE '' END AS name FROM part), s AS (SELECT 'f_'||p_partkey AS name FROM part WHERE p_partkey%2=0) SELECT CASE WHEN regexp_matches(name,'(_[123]$)|(snapshot_[0-9]+)') THEN 'forbidden' WHEN name LIKE 'target_%' THEN 'target' WHEN name IN (SELECT name FROM s) THEN 'mapped' ELSE 'unmapped' END AS class, count(*) n FROM f GROUP BY 1"),
     "p09_filter_reason": (p09_filter_reason, f"SELECT o_orderkey, {_REASON} reason FROM orders"),
     "p10_post_enrich": (p10_post_enrich, f"SELECT o_orderkey, CASE WHEN o_orderpriority='1-URGENT' THEN 'live' WHEN o_orderpriority='2-HIGH' THEN 'upcoming' ELSE {_REASON} END reason FROM orders"),

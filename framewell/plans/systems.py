@@ -114,8 +114,7 @@ def l05_select_by_fold(spark, sf):
 
 
 def l07_synthetic(spark, sf):
-    t = _train(spark, sf)
-    return t.agg(F.count("*").alias("n"), F.count(F.when(F.col("target_14d") > 5, 1)).alias("over_five"))
+    return _train(spark, sf).select("o_orderkey", *(F.round(f"target_{h}", 9).alias(f"target_{h}") for h in ("7d", "14d")), "mask_7d", "mask_14d")
 
 
 def l08_segments(spark, sf):
@@ -131,8 +130,12 @@ def l08_segments_all(spark, sf):
 
 
 def l11_topo(spark, sf):
-    graph = {"segmenter": [], "clip": ["segmenter"], "flow": ["segmenter"], "scene": ["clip"], "story": ["scene", "flow"], "text": []}
-    return spark.createDataFrame(list(enumerate(L.topo_order(graph, ["story"]))), "place long, name string")
+    """Nations need their region; asked for are nations of even keys. The graph is as small as the components of a system are."""
+    regions = {r["r_regionkey"]: f"R {r['r_name']}" for r in table(spark, sf, "region").collect()}
+    nations = [(r["n_nationkey"], f"N {r['n_name']}", r["n_regionkey"]) for r in table(spark, sf, "nation").collect()]
+    graph = {name: [] for name in regions.values()} | {name: [regions[region]] for _, name, region in nations}
+    order = L.topo_order(graph, [name for key, name, _ in nations if key % 2 == 0])
+    return spark.createDataFrame(list(enumerate(order)), "place long, name string")
 
 
 def l12_similarity(spark, sf):
@@ -156,6 +159,7 @@ def s25_subtitles(spark, sf):
 
 
 _E = "events WHERE ts IS NOT NULL AND user_id IS NOT NULL"
+_U = "(('0x'||substr(sha256('7{}:'||o_orderkey),1,13))::UBIGINT::DOUBLE/4503599627370496.0::DOUBLE)"
 QUERIES = {
     "s01_csv_round_trip": (s01_csv_round_trip, "SELECT n_nationkey, n_name FROM nation"),
     "s06_keyed_records": (s06_keyed_records, "SELECT o_orderkey::VARCHAR video_id, unnest([0,1]) snapshot_index, unnest([floor(o_totalprice),floor(o_totalprice*2)])::DOUBLE AS views, NULL::DOUBLE likes FROM orders"),
@@ -176,10 +180,10 @@ QUERIES = {
     "l05_select_by_fold": (l05_select_by_fold, """WITH t AS (SELECT f.fold, l_extendedprice y, unnest(['l_quantity','l_discount','l_tax','line']) feature, unnest([l_quantity,l_discount,l_tax,l_linenumber::DOUBLE]) x FROM lineitem JOIN (SELECT unnest([0,1,2]) fold) f ON l_orderkey%3<>f.fold),
       r AS (SELECT fold, feature, rank() OVER (PARTITION BY fold, feature ORDER BY x)+(count(*) OVER (PARTITION BY fold, feature, x)-1)/2.0 rx, rank() OVER (PARTITION BY fold, feature ORDER BY y)+(count(*) OVER (PARTITION BY fold, feature, y)-1)/2.0 ry FROM t),
       s AS (SELECT fold, feature, round(abs(corr(rx,ry)),9) s FROM r GROUP BY ALL) SELECT fold::INT fold, 1::INT AS rank, feature FROM s QUALIFY row_number() OVER (PARTITION BY fold ORDER BY s DESC, feature)=1"""),
-    "l07_synthetic": (l07_synthetic, "SELECT count(*) n, count(*) over_five FROM orders"),
+    "l07_synthetic": (l07_synthetic, f"SELECT o_orderkey, round(5+3*{_U.format('base')}+ln(8.0::DOUBLE)*(0.5+{_U.format('7d')}),9) target_7d, round(5+3*{_U.format('base')}+ln(15.0::DOUBLE)*(0.5+{_U.format('14d')}),9) target_14d, ({_U.format('m7d')}<0.9)::INT::DOUBLE mask_7d, ({_U.format('m14d')}<0.9)::INT::DOUBLE mask_14d FROM orders"),
     "l08_segments": (l08_segments, "SELECT CASE l_linestatus WHEN 'O' THEN 2 ELSE 0 END segment, count(*) n FROM lineitem GROUP BY 1"),
     "l08_segments_all": (l08_segments_all, None),
-    "l11_topo": (l11_topo, "SELECT unnest([0,1,2,3,4])::BIGINT place, unnest(['segmenter','clip','flow','scene','story']) AS name"),
+    "l11_topo": (l11_topo, "WITH n AS (SELECT 'N '||n_name AS name, 'R '||r_name AS region FROM nation JOIN region ON r_regionkey=n_regionkey WHERE n_nationkey%2=0), o AS (SELECT DISTINCT 0 AS level, region AS name FROM n UNION ALL SELECT 1, name FROM n) SELECT row_number() OVER (ORDER BY level, name)-1 AS place, name FROM o"),
     "l12_similarity": (l12_similarity, "SELECT p_partkey, round(CASE WHEN p_partkey%2=0 THEN 0.6*(p_partkey%10/10.0)+0.4*(p_partkey%7/7.0) ELSE p_partkey%7/7.0 END::DOUBLE,7) score FROM part"),
     "l15_melt": (l15_melt, "SELECT c_custkey, 'clip' component, c_name path FROM customer WHERE c_custkey%2=0 UNION ALL SELECT c_custkey, 'flow', c_mktsegment FROM customer WHERE c_custkey%3<>0"),
 }
