@@ -210,7 +210,7 @@ QUERIES = {
     "t08_accept": (t08_accept, None),
     "t08_balanced_accept": (t08_balanced_accept, None),
     "t09_retries": (t09_retries, "SELECT l_orderkey, max(l_linenumber) attempts, max(l_linenumber)*30.0::DOUBLE backoff, max(l_linenumber)>=5 dead FROM lineitem GROUP BY 1"),
-    "t10_rate_limit": (t10_rate_limit, None),
+    "t10_rate_limit": (t10_rate_limit, "WITH RECURSIVE e AS (SELECT user_id, event_id::DOUBLE AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events WHERE user_id IS NOT NULL), r AS (SELECT DISTINCT user_id, 0::BIGINT AS i, -1e300::DOUBLE AS s, 0 AS used, NULL::BOOLEAN AS allowed FROM e UNION ALL SELECT e.user_id, e.i, CASE WHEN e.t-r.s>=500 THEN e.t ELSE r.s END, CASE WHEN e.t-r.s>=500 THEN 1 ELSE r.used+1 END, e.t-r.s>=500 OR r.used+1<=5 FROM r JOIN e ON e.user_id=r.user_id AND e.i=r.i+1) SELECT allowed, count(*) n FROM r WHERE i>0 GROUP BY 1"),
     "t11_circuit": (t11_circuit, "SELECT user_id, event_id t, (sum((event_type='purchase')::INT) OVER w)::BIGINT failures, sum((event_type='purchase')::INT) OVER w>=3 AS open FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_id RANGE BETWEEN 300 PRECEDING AND CURRENT ROW)"),
     "t12_transitions": (t12_transitions, "WITH e AS (SELECT user_id, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) previous, event_type FROM events WHERE user_id IS NOT NULL) SELECT * FROM e WHERE previous<>event_type AND (previous||event_type) NOT IN ('viewclick','clickpurchase')"),
     "t14_stale": (t14_stale, "WITH e AS (SELECT user_id, max(ts) l FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1) SELECT user_id FROM e WHERE epoch((SELECT max(ts) FROM events WHERE user_id IS NOT NULL)-l)>21600"),

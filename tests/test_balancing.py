@@ -111,3 +111,15 @@ def test_registered_balance_equals_a_sequential_run(spark):
     fields = {"event_type": (4, 1.0, None, None, None, 0.5), "value": (5, 0.8, [(None, 9), (10, 49), (50, None)], [0.5, 0.3, 0.2], 0.1, None)}
     whole = [(*r[:5], None if r[5] is None else int(r[5])) for r in rows]
     assert {r.event_id: (r.score, r.reason) for r in t08_balanced_accept(spark, sf).collect()} == sequential(whole, 12, 500, 20, 3.0, fields, "hard", 0.6, 0)
+
+
+def test_registered_acceptance_equals_a_sequential_run(spark):
+    """t08_accept: event types as groups, users as channels."""
+    from collections import Counter
+
+    from framewell.plans.ruling import t08_accept
+
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.event_type, r.event_id, r.user_id, r.value, None, None) for r in spark.read.parquet(f"{sf}/events.parquet").where("user_id IS NOT NULL AND value IS NOT NULL").collect()]
+    want = Counter(reason for _, reason in sequential(rows, 8, 500, 20, 1.5, {}, None, 0, 0).values())
+    assert {r.reason: r.n for r in t08_accept(spark, sf).collect()} == want
