@@ -6,7 +6,7 @@ is padded. A balanced Feistel network on the least even number of bits that hold
 the result is a number again, gives every sequence a global slot: the same key and documents give the same slots,
 however the input is partitioned. Slots are dealt out in ranges of ``shard_rows``: shard s holds slots
 s * shard_rows and up, each as ``length`` little-endian unsigned 16-bit ids and one line feed, so slot k is at byte
-(k mod shard_rows) * (2 * length + 1) of its shard and reading can start at any slot. A task writes some whole shards;
+(k mod shard_rows) * (2 * length + 1) of its shard and reading can start at any slot (``read_sequences``). A task writes some whole shards;
 Spark's committer puts them in the shared folder. Ids of 65,535 and up raise an error.
 
 Null text is empty (one end id). Very long texts run over many sequences. Rows that repeat are written each. Other
@@ -23,7 +23,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -200,3 +200,29 @@ def materialise(docs: DataFrame, length: int = 512, shard_rows: int = 16_384, ke
     written = shards.mapInArrow(partial(_written, length, shard_rows), "slot long, n_ids int, ids_crc32 long")
     manifest = written.join(holders, "slot").select("slot", F.expr(f"slot div {shard_rows}").alias("shard"), (F.col("slot") % shard_rows * (2 * length + 1)).alias("byte_offset"), "n_ids", "ids_crc32", F.col("held.doc_id").alias("doc_ids"))
     return manifest, f"{folder}/shards"
+
+
+def read_sequences(spark: SparkSession, folder: str, start: int = 0, count: int | None = None, length: int = 512, shard_rows: int = 16_384) -> DataFrame:
+    """slot and ids (padding left out) of the slots from ``start`` on, at most ``count``: what a trainer reads that goes on there.
+
+    Only the shards that hold these slots are listed as input; a shard's records are found by their place, one task a
+    shard. Slots beyond the last one give nothing.
+    """
+    end = start + count if count is not None else 1 << 62
+    stride = 2 * length + 1
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                raw = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, stride)
+                low = shard * shard_rows
+                for a in range(max(start - low, 0), min(len(raw), end - low), 4096):
+                    b = min(a + 4096, len(raw), end - low)
+                    ids = np.ascontiguousarray(raw[a:b, :-1]).view("<u2")
+                    some = ids != PAD
+                    sizes = pa.array(np.concatenate([[0], np.cumsum(some.sum(1))]).astype(np.int32))
+                    yield pa.record_batch({"slot": pa.array(np.arange(low + a, low + b)), "ids": pa.ListArray.from_arrays(sizes, pa.array(ids[some].astype(np.int32)))})
+
+    shards = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select(F.col("shard").cast("long").alias("shard"), "content")
+    shards = shards.where((F.col("shard") >= start // shard_rows) & (F.col("shard") < -(-end // shard_rows)))
+    return shards.mapInArrow(records, "slot long, ids array<int>")

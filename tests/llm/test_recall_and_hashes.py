@@ -1,5 +1,7 @@
 """Recall of a full shard on data without clusters; words that polynomials modulo 2**64 cannot tell apart."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -56,3 +58,19 @@ def test_hashes_do_not_depend_on_the_place():
     alone = {t: int(T.Words([t]).hash[0]) for t in texts}
     together = T.Words(texts)
     assert [alone[t] for t in texts] == together.hash.tolist() and len(set(alone.values())) == len(set(texts))
+
+
+def test_reading_starts_at_any_slot(spark):
+    from framewell.llm import order
+    from tests.llm.odd import odd_docs
+
+    manifest, folder = order.materialise(odd_docs(spark), length=64, shard_rows=10)
+    sizes = {r.slot: r.n_ids for r in manifest.collect()}
+    n = len(sizes)
+    read = lambda *a: {r.slot: list(r.ids) for r in order.read_sequences(spark, folder, *a, length=64, shard_rows=10).collect()}
+    whole = read()
+    assert sorted(whole) == list(range(n)) and {s: len(x) for s, x in whole.items()} == sizes
+    for start, count in ((0, 1), (7, 25), (10, 10), (n - 3, None), (n, None), (13, 0)):
+        assert read(start, count) == {s: x for s, x in whole.items() if start <= s < (n if count is None else start + count)}
+    plan = order.read_sequences(spark, folder, 25, 5, length=64, shard_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(shard#", plan)
