@@ -213,7 +213,7 @@ def grouped_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
     plan = df.sparkSession.createDataFrame(plan, "_c long, _before long, _first long, _end long, _turn array<int>")
     rank = numbered(sizes, [F.desc("_c"), F.col(group)]).join(small(plan), "_c").withColumn("_i", F.col("rn") - F.col("_before"))
     rank = rank.where((F.col("_i") >= F.col("_first")) & (F.col("_i") < F.col("_end")))
-    turn = F.element_at("_turn", ((F.col("_i") - F.col("_first")) % F.size("_turn") + 1).cast("int"))
+    turn = F.get("_turn", F.pmod(F.col("_i") - F.col("_first"), F.size("_turn")).cast("int"))
     return df.join(rank.select(F.col(group).alias("_group"), turn.alias("fold")), F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 

@@ -229,11 +229,9 @@ def consecutive_similarity(df: DataFrame, keys: list[str], order: str, vector: s
 
 def start_end_shift(df: DataFrame, keys: list[str], order: str, vector: str, most: int = 3) -> DataFrame:
     """Cosine of the mean of the first and of the last min(most, max(1, n // 2)) vectors."""
-    n = F.count("*").over(Window.partitionBy(*keys))
-    i = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    rows = df.withColumns({"_n": n, "_i": i}).withColumn("_k", F.least(F.lit(most), F.greatest(F.lit(1), F.floor(F.col("_n") / 2))))
-    a = mean_vector(rows.where("_i <= _k"), keys, vector, unit=False).withColumnRenamed("vector", "_a")
-    b = mean_vector(rows.where("_i > _n - _k"), keys, vector, unit=False).withColumnRenamed("vector", "_b")
+    # Only the ends of a key travel; how many of them count follows from the number of its rows.
+    k = df.groupBy(*keys).agg(F.least(F.lit(most), F.greatest(F.lit(1), F.floor(F.count("*") / 2))).alias("_k"))
+    a, b = (mean_vector(top_k(df.select(*keys, order, vector), keys, [by], most).join(k, keys).where(F.col("rank") <= F.col("_k")), keys, vector, unit=False).withColumnRenamed("vector", name) for by, name in ((F.asc(order), "_a"), (F.desc(order), "_b")))
     return a.join(b, keys).select(*keys, cosine("_a", "_b").alias("shift_cosine"))
 
 

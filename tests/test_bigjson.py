@@ -34,7 +34,7 @@ def small_blocks(spark):
         spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
-@pytest.mark.parametrize(("size", "held"), [(40, 8 << 20), (300, 8 << 20), (97, 20), (1 << 27, 64)])
+@pytest.mark.parametrize(("size", "held"), [(150, 8 << 20), (400, 8 << 20), (211, 20), (1 << 27, 64)])
 def test_blocks_equal_whole_file_parsing(spark, tmp_path, small_blocks, monkeypatch, size, held):
     """Objects and lists of random values, among them strings of quotes, braces and backslashes, over many small blocks."""
     monkeypatch.setattr(B, "HELD", held)
@@ -76,7 +76,7 @@ def test_passes_over_files(spark, tmp_path, small_blocks, monkeypatch):
 
 def test_odd_files(spark, tmp_path, small_blocks):
     """Empty files, empty objects, scalars, a byte order mark, unfinished files, repeated keys, wanted ids."""
-    small_blocks(10)
+    small_blocks(16)
     texts = {"a": "", "b": "{}", "c": " [ ] \n", "d": '"text, {"', "e": "\ufeff{\"bom\": 1}", "f": '{"one": {"v": 1}, "two": {"v": 2', "g": '{"three": 3, "four": 4', "h": '{"twice": {"v": 1}, "x": "}", "twice": {"v": 2}}', "i": '{"twice": {"v": 3}}'}
     for name, text in texts.items():
         (tmp_path / f"{name}.json").write_text(text)
