@@ -208,7 +208,10 @@ def keyed(members: DataFrame, key: str) -> DataFrame:
 
 
 def write_keyed(df: DataFrame, key: str, value: str, path: str) -> None:
-    """One JSON object a partition, ``{key: value, ...}``; value is JSON text. Written as it streams, nothing is gathered."""
+    """One JSON object a partition, ``{key: value, ...}``; value is JSON text. Written as it streams, nothing is gathered.
+
+    Rows without key or value are left out.
+    """
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = "{"
@@ -221,4 +224,5 @@ def write_keyed(df: DataFrame, key: str, value: str, path: str) -> None:
         yield pa.record_batch({"value": pa.array(["}" if mark == "," else "{}"], pa.string())})
 
     name = F.regexp_replace(F.to_json(F.array(F.col(key).cast("string"))), r"(?s)^\[(.*)\]$", "$1")
-    df.select(F.concat(name, F.lit(":"), F.col(value)).alias("member")).mapInArrow(lines, "value string").write.text(path)
+    rows = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    rows.select(F.concat(name, F.lit(":"), F.col(value)).alias("member")).mapInArrow(lines, "value string").write.text(path)

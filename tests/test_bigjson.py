@@ -93,7 +93,7 @@ def test_odd_files(spark, tmp_path, small_blocks):
 
 
 def test_written_objects_are_json(spark, tmp_path):
-    rows = spark.createDataFrame([(i, json.dumps({"v": "}" * i})) for i in range(40)], "id int, record string")
+    rows = spark.createDataFrame([(i, json.dumps({"v": "}" * i})) for i in range(40)] + [(None, "{}"), (41, None)], "id int, record string")
     B.write_keyed(rows.repartition(3), "id", "record", f"file://{tmp_path}/out")
     texts = [f.read_text() for f in (tmp_path / "out").glob("part-*")]
     assert {k: v for t in texts for k, v in json.loads(t).items()} == {str(i): {"v": "}" * i} for i in range(40)}
