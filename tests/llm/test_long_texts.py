@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from framewell.llm import decontam, interpolation, jaccard, language, licenses, order, packing, suffix, wordpiece
+from framewell.llm import bitslice, collocations, decontam, exact, interpolation, jaccard, language, licenses, order, packing, suffix, wordpiece
 from tests.llm.odd import WORDS, prose
 
 ITEM = "seven grey owls counted every lantern beside the frozen canal before dawn arrived"
@@ -59,3 +59,15 @@ def test_tokens(long_docs):
     assert {r.doc_id: r.n for r in pieces} == n and max(r.most for r in pieces) == 1024
     manifest = order.materialise(long_docs)[0].agg(F.sum("n_ids").alias("n"), F.count("*").alias("c")).first()
     assert manifest.n == sum(n.values()) and manifest.c == -(-manifest.n // 512)
+
+
+def test_search_phrases_and_copies(spark, long_docs):
+    items = spark.createDataFrame([(7, ITEM), (8, "lantern kurzer")], "item_id long, text string")
+    got = [(r.item_id, r["rank"], r.doc_id) for r in bitslice.ranked(long_docs, items, 2).collect()]
+    assert (7, 1, 1) in got and (7, 2, 2) in got and {d for i, _, d in got if i == 8} == {1, 3}
+    # One text without an end of a piece is a shard by itself, longer than others.
+    found = {(r.lang, r.phrase): (r.a, r.l, r.r) for r in collocations.collocations(long_docs.where("doc_id < 3"), 3, 2, top=10**6).collect()}
+    assert ("en", "seven grey owls") in found and found["en", "seven grey owls"] == (2, 2, 2) and ("en", "kurzer text") not in found
+    twice = long_docs.union(long_docs.where("doc_id = 1").select(F.col("doc_id") + 10, F.upper("text"), "lang"))
+    got = by_id(exact.exact_groups(twice))
+    assert (got[1].keep_id, got[1].group_size, got[1].kept) == (11, 2, False) and got[11].kept and got[2].group_size == 1
