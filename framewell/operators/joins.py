@@ -23,7 +23,7 @@ def asof_backward(probes: DataFrame, points: DataFrame, keys: list[str], t: str,
     seen = Window.partitionBy(*keys).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
     found = F.last("_v", ignorenulls=True).over(seen)
     if clip_first:
-        found = F.coalesce(found, F.first("_v", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_t", "_k").rowsBetween(0, Window.unboundedFollowing)))
+        found = F.coalesce(found, F.last("_v", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(F.desc("_t"), F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)))
     out = left.unionByName(right).withColumn("_found", found).where("_k = 1")
     return out.select(*keys, F.col("_t").alias(t), *([F.col(f"_row.{c}").alias(c) for c in carried]), F.col("_found").alias(value))
 
@@ -33,9 +33,9 @@ def interpolate(probes: DataFrame, points: DataFrame, keys: list[str], t: str, v
     points = points.where(F.col(value).isNotNull() & ~F.isnan(value) & F.col(t).isNotNull())
     rows = points.select(*keys, F.col(t).alias("_t"), F.lit(0).alias("_k"), F.col(value).cast("double").alias("_v")).union(probes.select(*keys, F.col(t), F.lit(1), F.lit(None).cast("double")))
     before = Window.partitionBy(*keys).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*keys).orderBy("_t", F.desc("_k")).rowsBetween(0, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.desc("_t"), "_k").rowsBetween(Window.unboundedPreceding, 0)
     point = F.when(F.col("_k") == 0, F.struct("_t", "_v"))
-    rows = rows.withColumns({"a": F.last(point, ignorenulls=True).over(before), "b": F.first(point, ignorenulls=True).over(after), "n": F.count(F.when(F.col("_k") == 0, 1)).over(Window.partitionBy(*keys))}).where("_k = 1")
+    rows = rows.withColumns({"a": F.last(point, ignorenulls=True).over(before), "b": F.last(point, ignorenulls=True).over(after), "n": F.count(F.when(F.col("_k") == 0, 1)).over(Window.partitionBy(*keys))}).where("_k = 1")
     line = F.col("a._v") + (F.col("b._v") - F.col("a._v")) * (F.col("_t") - F.col("a._t")) / (F.col("b._t") - F.col("a._t"))
     return rows.select(*keys, F.col("_t").alias(t), F.when(F.col("n") >= 2, F.when(F.col("a._t") == F.col("b._t"), F.col("a._v")).otherwise(F.when(F.col("b._t") > F.col("a._t"), line))).alias(value))
 
@@ -78,15 +78,33 @@ def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def nearest_match(probes: DataFrame, points: DataFrame, keys: list[str], x: str, position: str) -> DataFrame:
-    """Each probe with the position of the nearest point, the smaller position on ties (J20): the last before and the first after."""
-    rows = points.select(*keys, F.col(x).alias("_x"), F.lit(0).alias("_k"), F.col(position).alias("_p")).union(probes.select(*keys, F.col(x), F.lit(1), F.lit(None).cast(points.schema[position].dataType)))
-    point = F.when(F.col("_k") == 0, F.struct(F.col("_x").alias("x"), F.col("_p").alias("p")))
-    lo = Window.partitionBy(*keys).orderBy("_x", "_k", F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0)
-    hi = Window.partitionBy(*keys).orderBy("_x", F.desc("_k"), "_p").rowsBetween(0, Window.unboundedFollowing)
-    rows = rows.withColumns({"a": F.last(point, ignorenulls=True).over(lo), "b": F.first(point, ignorenulls=True).over(hi)}).where("_k = 1")
+    """Each probe with the position of the nearest point, the smaller position on ties (J20): the last before and the first after.
+
+    No task sees a whole key: distinct values go to range partitions, which look back and ahead by themselves; the last point
+    before each partition and the first one after it come from a table of a row for each key and partition. Both looks are
+    running ones, since a frame that ends with its partition is worked out anew for each row. Points without x are left out.
+    """
+    from framewell.sources.files import scratch
+
+    rows = points.where(F.col(x).isNotNull()).select(*keys, F.col(x).alias("_x"), F.lit(0).alias("_n"), F.col(position).alias("_p")).union(probes.select(*keys, F.col(x), F.lit(1), F.lit(None).cast(points.schema[position].dataType)))
+    rows = rows.groupBy(*keys, "_x").agg(F.sum("_n").alias("_n"), F.bool_or(F.col("_n") == 0).alias("_k"), F.min("_p").alias("_p"))
+    path = scratch(probes.sparkSession)
+    dealt = rows.repartitionByRange(*keys, "_x").withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = probes.sparkSession.read.schema(dealt.schema).parquet(path)
+    point = F.when(F.col("_k"), F.struct(F.col("_x").alias("x"), F.col("_p").alias("p")))
+    running = lambda by, order, end: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    last = lambda c, *frame: F.last(c, ignorenulls=True).over(running(*frame))
+    ends = dealt.groupBy(*keys, "_part").agg(F.max(point).alias("_last"), F.min(point).alias("_first"))
+    ends = ends.select(*keys, "_part", last("_last", keys, "_part", -1).alias("_before"), last("_first", keys, F.desc("_part"), -1).alias("_after")).alias("ends")
+    own = dealt.select("*", last(point, ["_part", *keys], "_x", 0).alias("_a"), last(point, ["_part", *keys], F.desc("_x"), 0).alias("_b")).where("_n > 0").alias("own")
+    same = F.lit(True)
+    for k in ("_part", *keys):
+        same = same & F.col(f"own.`{k}`").eqNullSafe(F.col(f"ends.`{k}`"))
+    rows = own.join(ends, same).select(*(F.col(f"own.`{k}`") for k in keys), "_x", "_n", F.coalesce("_a", "_before").alias("a"), F.coalesce("_b", "_after").alias("b"))
     da, db = F.col("_x") - F.col("a.x"), F.col("b.x") - F.col("_x")
     pick = F.when(F.col("b").isNull() | (da < db), F.col("a.p")).when(F.col("a").isNull() | (db < da), F.col("b.p")).otherwise(F.least("a.p", "b.p"))
-    return rows.select(*keys, F.col("_x").alias(x), pick.alias(position))
+    return rows.select(*keys, F.col("_x").alias(x), pick.alias(position), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_n")).drop("_n")
 
 
 def overlay(schedule: DataFrame, override: DataFrame, keys: list[str], value: str, known: list[str]) -> DataFrame:

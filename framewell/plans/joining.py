@@ -126,7 +126,7 @@ def j19_known_keys(spark, sf):
 
 def _nearest(spark, sf, only="true"):
     p = _t(spark, sf, "part").select(F.lit(1).alias("g"), (F.col("p_partkey") * 7 % 1009).cast("double").alias("x"), F.col("p_partkey").alias("pos"))
-    probes = _t(spark, sf, "supplier").select(F.lit(1).alias("g"), (F.col("s_suppkey") * 10.3).alias("x"))
+    probes = _t(spark, sf, "supplier").select(F.lit(1).alias("g"), (F.col("s_suppkey") * 10.3).alias("x")).distinct()
     return J.nearest_match(probes, p.where(only), ["g"], "x", "pos").select(F.round("x", 6).alias("x"), "pos")
 
 
