@@ -11,10 +11,10 @@ from framewell.functions.names import free
 from framewell.functions.sizes import small
 
 
-def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def first_seen(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """The first row of each key."""
     place = free(df, "_place")
-    return df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where(F.col(place) == 1).drop(place)
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(place) == 1).drop(place)
 
 
 def due_entries(schedule: DataFrame, done: DataFrame, keys: list[str], due: str, now: Column) -> DataFrame:

@@ -162,8 +162,9 @@ def t15_checkpoint(spark, sf):
 
 
 def t18_idempotent(spark, sf):
-    i = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
-    return S.first_seen(i, ["l_orderkey", "l_suppkey"], "l_linenumber")
+    """Of rows with equal line numbers the first of the table."""
+    i = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    return S.first_seen(i, ["l_orderkey", "l_suppkey"], "l_linenumber", "file", "place").drop("file", "place")
 
 
 def a45_balance(spark, sf):

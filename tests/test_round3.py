@@ -19,3 +19,24 @@ def test_nearest_match_of_one_large_key(spark):
     want = sorted((1, float(x), int(np.lexsort((np.arange(len(at)), abs(at - x)))[0])) for x in ask)
     got = [tuple(r) for r in out.collect()]
     assert sorted(r for r in got if r[0] == 1) == want and [r for r in got if r[0] == 3] == [(3, 1.0, None)] and len(got) == 2001
+
+
+def test_equal_line_numbers_keep_the_first_row(spark, tmp_path):
+    """In the order of the table, whatever tasks read it."""
+    rng = np.random.default_rng(4)
+    n = 4000
+    t = {"l_orderkey": rng.integers(0, 50, n), "l_suppkey": rng.integers(0, 4, n), "l_linenumber": rng.integers(1, 4, n).astype("int32"), "l_quantity": rng.permutation(n).astype("float64")}
+    (tmp_path / "lineitem.parquet").mkdir()
+    pq.write_table(pa.table(t)[:300], tmp_path / "lineitem.parquet" / "part-0.parquet", row_group_size=100)
+    pq.write_table(pa.table(t)[300:], tmp_path / "lineitem.parquet" / "part-1.parquet", row_group_size=200)
+    want = {}
+    for o, s, line, q in sorted(zip(*(t[c].tolist() for c in t)), key=lambda r: r[:3]):
+        want.setdefault((o, s), (line, q))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        got = catalog.queries()["t18_idempotent"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {(r.l_orderkey, r.l_suppkey): (r.l_linenumber, r.l_quantity) for r in got} == want and len(got) == len(want)
