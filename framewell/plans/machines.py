@@ -37,7 +37,7 @@ def t13_consumer_group(spark, sf):
     ack = F.timestamp_add("DAY", (F.col("message") % 40).cast("int"), F.timestamp_add("HOUR", F.lit(1), F.col("added")))
     rows = F.array(F.struct(F.lit(0).alias("event_id"), F.col("added").alias("at"), F.lit("add").alias("action")), F.struct(F.lit(1).alias("event_id"), ack.alias("at"), F.lit("ack").alias("action")))
     o = o.select("message", "priority", F.explode(rows).alias("r")).select("message", "priority", "r.*", F.col("message").alias("part")).where("action = 'add' OR message % 3 > 0")
-    out = J.run_to_end(M.consumer_group(_stream(spark, o), _GROUP))
+    out = J.run_to_end(M.consumer_group(_stream(spark, o), _GROUP, shards=M.shards_for(table(spark, sf, "orders").count())))
     return out.groupBy("message").agg(F.max("priority").alias("priority"), F.count_if(F.col("status") == "pending").alias("delivered"), F.max("deliveries").alias("deliveries"), F.max_by("status", F.struct("at", "deliveries", F.col("status") != "pending")).alias("status"), F.count_distinct("consumer").alias("consumers"))
 
 

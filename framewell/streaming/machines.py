@@ -170,6 +170,15 @@ class Message:
         return [(at, self.priority, None, self.deliveries, self.status)]
 
 
+#: Messages of a shard of a consumer group; a batch's rows of a shard, and its pending messages, are in a worker's memory at once.
+SHARD_MESSAGES = 10_000
+
+
+def shards_for(messages: int, least: int = 64) -> int:
+    """Shards of a group that takes so many messages in a batch or has them pending: memory follows the shard, not the stream."""
+    return max(least, -(-messages // SHARD_MESSAGES))
+
+
 DELIVERIES = "message long, at long, priority int, consumer int, deliveries int, status string"
 
 
@@ -231,7 +240,7 @@ def consumer_group(stream: DataFrame, rules: GroupRules = GroupRules(), late: st
 
     A message is delivered when it is added; without an acknowledgement it goes to the next consumer after the idle time,
     and is dead after the last delivery. A row for each delivery (pending), acknowledgement (done) and end (dead). State is
-    a few numbers for each pending message, in as many shards by message as the group should spread over; an id that is
+    a few numbers for each pending message, in as many shards by message as the group should spread over (``shards_for``); an id that is
     added again after its end is a new message. Readers take a batch's rows by priority.
     """
     state_store(stream.sparkSession)

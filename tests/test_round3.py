@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 
 from framewell import catalog
 from framewell.operators import joins
+from framewell.streaming import machines
 
 
 def test_nearest_match_of_one_large_key(spark):
@@ -40,3 +41,14 @@ def test_equal_line_numbers_keep_the_first_row(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert {(r.l_orderkey, r.l_suppkey): (r.l_linenumber, r.l_quantity) for r in got} == want and len(got) == len(want)
+
+
+def test_consumer_groups_have_small_shards(spark, monkeypatch):
+    """However many messages there are, a shard keeps its size; results do not depend on it."""
+    name, sf = "t13_consumer_group", "/root/testdata/sf0.001"
+    want = sorted(map(tuple, catalog.queries()[name](spark, sf).collect()))
+    monkeypatch.setattr(machines, "SHARD_MESSAGES", 10)
+    given, group = [], machines.consumer_group
+    monkeypatch.setattr(machines, "consumer_group", lambda *args, **named: given.append(named["shards"]) or group(*args, **named))
+    assert sorted(map(tuple, catalog.queries()[name](spark, sf).collect())) == want
+    assert given == [len(want) // 10]
