@@ -46,15 +46,20 @@ def percentile_of(value: str, share: float) -> Column:
     return lo + (hi - lo) * rest
 
 
-def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank") -> DataFrame:
-    """Average rank among equal values.
+def average_rank(df: DataFrame, keys: list[str], value: str, out: str = "rank", among: DataFrame | None = None) -> DataFrame:
+    """Average rank among equal values (W01), of df's rows or of those of ``among``, from which df's come.
 
-    Ranks come from running counts of distinct values, in range partitions, and join back. NULL values have no rank
-    and are left out.
+    Ranks come from running counts of distinct values, in range partitions, and join back; a short table of them is
+    broadcast. NULL values have no rank and are left out.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
+    counts = (df if among is None else among).where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
     ranks = running_sums(counts, keys, value, ["c"]).select(*keys, value, (F.col("c_upto") - (F.col("c") - 1) / 2.0).alias(out))
-    return df.join(ranks, [*keys, value])
+    return df.join(small(ranks), [*keys, value])
+
+
+def centred_rank(c: str) -> Column:
+    """Average rank less the mean rank, over running sums of the counts c."""
+    return F.col(f"{c}_upto") - (F.col(c) - 1) / 2.0 - (F.col(f"{c}_all") + 1) / 2.0
 
 
 def correlation(x: Column | str, y: Column | str) -> Column:
@@ -65,7 +70,7 @@ def correlation(x: Column | str, y: Column | str) -> Column:
 def spearman(df: DataFrame, keys: list[str], x: str, y: str, least: int = 2) -> DataFrame:
     """Spearman correlation over finite pairs; NULL under ``least`` pairs or without variance."""
     rows = df.select(*keys, finite(x).alias("_x"), finite(y).alias("_y")).where("_x IS NOT NULL AND _y IS NOT NULL")
-    rows = average_rank(average_rank(rows, keys, "_x", "_rx"), keys, "_y", "_ry")
+    rows = average_rank(average_rank(rows, keys, "_x", "_rx"), keys, "_y", "_ry", among=rows)
     return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.when(F.count("*") >= least, correlation("_rx", "_ry")).alias("spearman"))
 
 
@@ -77,19 +82,33 @@ def mae(y: str, p: str) -> Column:
 def redundant_pairs(df: DataFrame, row: str, features: list[str], threshold: float, least_finite: float = 0.5) -> DataFrame:
     """Pairs of features with |Spearman| at or over the threshold, after median fill (A26): feature_a, feature_b, spearman.
 
-    Features are columns, so their pairs are aggregates of one pass over ranked rows: nothing is joined row by row.
+    One count of all features' values gives their shares, medians, ranks and variances. Rows join the ranks, of which
+    short tables are broadcast, and each pair is one sum over them.
     """
-    stats = df.agg(*(F.avg(finite(f).isNotNull().cast("double")).alias(f"s_{f}") for f in features), *(F.median(finite(f)).alias(f"m_{f}") for f in features), *(F.count_distinct(finite(f)).alias(f"d_{f}") for f in features)).first()
-    use = [f for f in features if (stats[f"s_{f}"] or 0) >= least_finite and stats[f"d_{f}"] > 1]
-    ranked = df.select(row, *(F.coalesce(finite(f), F.lit(stats[f"m_{f}"])).alias(f) for f in use))
-    for f in use:
-        ranked = average_rank(ranked, [], f, f"r_{f}")
+    from framewell.sources.files import cut
+
+    rows = df.select(*(finite(f).alias(f) for f in features))
+    counts = cut(rows.unpivot([], features, "feature", "value").groupBy("feature", "value").agg(F.count("*").alias("c")))
+    total = {r["feature"]: r["n"] for r in counts.groupBy("feature").agg(F.sum("c").alias("n")).collect()}
+    sums = running_sums(counts.where("value IS NOT NULL"), ["feature"], "value", ["c"])
+    stats = {r["feature"]: r for r in sums.groupBy("feature").agg(percentile_of("value", 0.5).alias("m"), F.count("*").alias("d"), F.max("c_all").alias("n")).collect()}
+    use = [f for f in features if f in stats and stats[f]["n"] / total[f] >= least_finite and stats[f]["d"] > 1]
     pairs = [(a, b) for i, a in enumerate(use) for b in use[i + 1 :]]
+    spark = df.sparkSession
     if not pairs:
-        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, spearman double")
-    wide = ranked.agg(*(correlation(f"r_{a}", f"r_{b}").alias(f"{i}") for i, (a, b) in enumerate(pairs)))
-    long = wide.select(F.explode(F.array(*(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("spearman")) for i, (a, b) in enumerate(pairs)))).alias("x")).select("x.*")
-    return long.where(F.abs("spearman") >= threshold)
+        return spark.createDataFrame([], "feature_a string, feature_b string, spearman double")
+    filled = [(f, stats[f]["m"], total[f] - stats[f]["n"]) for f in use if total[f] > stats[f]["n"]]
+    if filled:
+        known = counts.where("value IS NOT NULL").union(spark.createDataFrame(filled, counts.schema))
+        sums = running_sums(known.groupBy("feature", "value").agg(F.sum("c").alias("c")), ["feature"], "value", ["c"])
+    ranks = cut(sums.where(F.col("feature").isin(use)).select("feature", "value", "c", centred_rank("c").alias("r")))
+    spread = {r["feature"]: r["v"] for r in ranks.groupBy("feature").agg(F.sum(F.col("c") * F.col("r") * F.col("r")).alias("v")).collect()}
+    ranked = rows.select(*(F.coalesce(f, F.lit(stats[f]["m"])).alias(f) for f in use))
+    for f in use:
+        ranked = ranked.join(small(ranks.where(F.col("feature") == f).select(F.col("value").alias(f), F.col("r").alias(f"r_{f}"))), f)
+    wide = ranked.agg(*(F.sum(F.col(f"r_{a}") * F.col(f"r_{b}")).alias(f"{i}") for i, (a, b) in enumerate(pairs)))
+    found = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.try_divide(F.col(f"{i}"), F.lit((spread[a] * spread[b]) ** 0.5)).alias("spearman")) for i, (a, b) in enumerate(pairs)]
+    return wide.select(F.explode(F.array(*found)).alias("x")).select("x.*").where(F.abs("spearman") >= threshold)
 
 
 def _finite_correlation(a: str, b: str) -> Column:

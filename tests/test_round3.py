@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from framewell import catalog
-from framewell.operators import joins
+from framewell.operators import joins, ranks
 from framewell.streaming import machines
 
 
@@ -52,3 +52,28 @@ def test_consumer_groups_have_small_shards(spark, monkeypatch):
     monkeypatch.setattr(machines, "consumer_group", lambda *args, **named: given.append(named["shards"]) or group(*args, **named))
     assert sorted(map(tuple, catalog.queries()[name](spark, sf).collect())) == want
     assert given == [len(want) // 10]
+
+
+def _spearman(a, b):
+    rank = lambda v: np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+    return np.corrcoef(rank(a), rank(b))[0, 1]
+
+
+def _numbers(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 6, 300).astype(float), rng.integers(0, 40, 300).astype(float)
+    c = np.where(rng.random(300) < 0.2, np.nan, a * 3 + rng.integers(0, 9, 300))
+    fold = rng.integers(0, 3, 300)
+    rows = [(int(f), *map(float, x)) for f, *x in zip(fold, a, b, c, a + b + np.nan_to_num(c))]
+    return spark.createDataFrame(rows, "fold int, a double, b double, c double, y double"), fold, {"a": a, "b": b, "c": c}, a + b + np.nan_to_num(c)
+
+
+def test_ranks_are_taken_from_the_first_rows(spark):
+    """Pairs with gaps filled by the median, without a join of rows for each rank; short tables of ranks are broadcast."""
+    df, _, x, _ = _numbers(spark)
+    x["c"] = np.where(np.isnan(x["c"]), np.nanmedian(x["c"]), x["c"])
+    out = ranks.redundant_pairs(df, "fold", ["a", "b", "c"], 0.0)
+    want = {(i, j): _spearman(x[i], x[j]) for i, j in (("a", "b"), ("a", "c"), ("b", "c"))}
+    got = {(r.feature_a, r.feature_b): r.spearman for r in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
