@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -10,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewell.functions.values import finite
-from framewell.operators.ranks import spearman
 
 
 def fit_heads(df: DataFrame, features: list[str], heads: dict[str, str], rounds: int = 10, depth: int = 3, seed: int = 7) -> dict[str, PipelineModel]:
@@ -53,18 +54,65 @@ def out_of_fold(df: DataFrame, features: list[str], target: str, fold: str, fold
     return parts
 
 
+#: Folds times features whose sums a row adds to at a time; more features are read in passes.
+_FOLD_SUMS = 64
+
+
 def select_by_fold(df: DataFrame, features: list[str], target: str, fold: str, k: int) -> DataFrame:
-    """For each fold the k features of largest |Spearman| with the target on the other folds (L05): fold, rank, feature."""
+    """For each fold the k features of largest |Spearman| with the target on the other folds (L05): fold, rank, feature.
+
+    A row trains every fold but its own, yet none is repeated: a value has a rank for each fold, from its counts on the
+    others. Features' ranks join the rows, of which short tables are broadcast; their sums by value of the target meet the
+    target's ranks, so that of the rows only these sums are shuffled.
+    """
     from framewell.operators.ranks import top_k
 
-    # A row trains every fold but its own; folds are few, and only their numbers come to the driver.
-    folds = F.array(*(F.lit(r[0]) for r in df.select(fold).distinct().orderBy(fold).collect()))
-    train = df.withColumn("_train", F.explode(F.filter(folds, lambda x: x != F.col(fold))))
-    long = train.select(F.col("_train").alias("fold"), F.col(target).alias("_y"), *(F.col(f).cast("double").alias(f) for f in features)).unpivot(["fold", "_y"], features, "feature", "value")
-    s = spearman(long, ["fold", "feature"], "value", "_y")
+    # Folds are few, and only their numbers come to the driver.
+    folds = [r[0] for r in df.select(fold).where(F.col(fold).isNotNull()).distinct().orderBy(fold).collect()]
+    if not folds:
+        return df.select(F.col(fold).alias("fold"), F.lit(0).alias("rank"), F.lit("").alias("feature")).limit(0)
+    each = max(1, _FOLD_SUMS // len(folds))
+    parts = [_fold_spearman(df, features[i : i + each], target, fold, folds) for i in range(0, len(features), each)]
+    s = reduce(DataFrame.unionByName, parts)
     return top_k(s, ["fold"], [F.desc(F.round(F.abs("spearman"), 9)), F.col("feature")], k).select("fold", "rank", "feature")
 
 
+def _fold_spearman(df: DataFrame, features: list[str], target: str, fold: str, folds: list) -> DataFrame:
+    """fold, feature, spearman on the rows of the other folds where feature and target are finite; no row where there are none."""
+    from framewell.functions.sizes import small
+    from framewell.operators.ranks import centred_rank, running_sums
+    from framewell.sources.files import cut
+
+    xs = [f"_x{i}" for i in range(len(features))]
+    rows = df.where(F.col(fold).isNotNull()).select(F.col(fold).alias("_fold"), finite(target).alias("_y"), *(finite(f).alias(x) for f, x in zip(features, xs))).where("_y IS NOT NULL")
+    trains = [F.col("_fold") != F.lit(f) for f in folds]
+    cs = [f"c{i}" for i in range(len(folds))]
+    counts = cut(rows.unpivot(["_fold", "_y"], xs, "_feature", "_value").groupBy("_feature", "_value").agg(*(F.count_if(t).alias(c) for t, c in zip(trains, cs))))
+    gaps = {r[0] for r in counts.where("_value IS NULL").select("_feature").collect()}
+    sums = running_sums(counts.where("_value IS NOT NULL"), ["_feature"], "_value", cs)
+    ranks = cut(sums.select("_feature", "_value", *cs, *(centred_rank(c).alias(f"r_{c}") for c in cs)))
+    spread = {r[0]: r for r in ranks.groupBy("_feature").agg(*(F.sum(F.col(c) * F.col(f"r_{c}") * F.col(f"r_{c}")).alias(c) for c in cs)).collect()}
+    xs_known = [x for x in xs if x in spread]
+    for x in xs_known:
+        own = small(ranks.where(F.col("_feature") == x).select(F.col("_value").alias(x), F.array(*(f"r_{c}" for c in cs)).alias(f"r{x}")))
+        rows = rows.join(own, x, "left")
+    # The target's counts are the same for all features that have no gaps.
+    pairs = {x: [c + x if x in gaps else c for c in cs] for x in xs_known}
+    ys = {c: F.count_if(t) for t, c in zip(trains, cs)} | {c: F.count_if(t & F.col(x).isNotNull()) for x in xs_known if x in gaps for t, c in zip(trains, pairs[x])}
+    adds = {f"s{i}{x}": F.sum(F.when(t, F.col(f"r{x}")[i])) for x in xs_known for i, t in enumerate(trains)}
+    by_y = rows.groupBy("_y").agg(*(v.alias(n) for n, v in (ys | adds).items()))
+    by_y = running_sums(by_y, [], "_y", list(ys))
+    squares = [F.sum(F.col(c) * centred_rank(c) * centred_rank(c)).alias(f"v{c}") for c in ys]
+    wide = by_y.agg(*squares, *(F.max(f"{c}_all").alias(f"n{c}") for c in ys), *(F.sum(F.coalesce(F.col(f"s{i}{x}"), F.lit(0.0)) * centred_rank(c)).alias(f"p{i}{x}") for x in xs_known for i, c in enumerate(pairs[x])))
+    found = [
+        F.struct(F.lit(folds[i]).alias("fold"), F.lit(f).alias("feature"), F.col(f"n{c}").alias("n"), F.when(F.col(f"n{c}") >= 2, F.try_divide(F.col(f"p{i}{x}"), F.sqrt(F.col(f"v{c}") * F.lit(spread[x][cs[i]])))).alias("spearman"))
+        for f, x in zip(features, xs) if x in spread for i, c in enumerate(pairs[x])
+    ]
+    if not found:
+        return df.select(F.col(fold).alias("fold"), F.lit("").alias("feature"), F.lit(0.0).alias("spearman")).limit(0)
+    return wide.select(F.explode(F.array(*found)).alias("s")).where("s.n > 0").select("s.fold", "s.feature", "s.spearman")
+
+
 def permutation_importance(df: DataFrame, model: PipelineModel, features: list[str], target: str, key: str, seed: int = 7) -> DataFrame:
     """Rise of the mean absolute error when one feature is dealt anew among the rows."""
     from framewell.operators.ranks import numbered

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from framewell import catalog
-from framewell.operators import joins, ranks
+from framewell.operators import joins, learning, ranks
 from framewell.streaming import machines
 
 
@@ -77,3 +77,15 @@ def test_ranks_are_taken_from_the_first_rows(spark):
     got = {(r.feature_a, r.feature_b): r.spearman for r in out.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folds_do_not_repeat_rows(spark):
+    """Ranks of each fold's training rows, over rows where feature and target are finite."""
+    df, fold, x, y = _numbers(spark)
+    got = {(r.fold, r.feature): r.spearman for r in learning._fold_spearman(df, ["a", "b", "c"], "y", "fold", [0, 1, 2]).collect()}
+    for k in range(3):
+        for f, v in x.items():
+            on = (fold != k) & ~np.isnan(v)
+            assert abs(got[k, f] - _spearman(v[on], y[on])) < 1e-9
+    best = {k: sorted((-round(abs(got[k, f]), 9), f) for f in x)[0][1] for k in range(3)}
+    assert {r.fold: r.feature for r in learning.select_by_fold(df, ["a", "b", "c"], "y", "fold", 1).collect()} == best
