@@ -19,12 +19,15 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Blocks whose beginnings are broadcast at once; more are read in passes over the files.
 MOST_BLOCKS = 100_000
+#: Bytes of a block that a task looks at at once, or a row of it if that is longer.
+SLICE = 1 << 20
 #: Characters of an unfinished member that a task holds before it gives a piece of it.
 HELD = 8 << 20
 
@@ -38,27 +41,33 @@ def _marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of brackets and commas, the number of quotes before each (modulo 2), and all quotes that are not escaped."""
     b = np.frombuffer(text, np.uint8)
     quotes = np.flatnonzero(b == 34)
-    slash = b == 92
-    if slash.any() and len(quotes):
-        plain = np.maximum.accumulate(np.where(slash, -1, np.arange(len(b))))
-        before = np.where(quotes > 0, plain[quotes - 1], -1)
-        quotes = quotes[(quotes - 1 - before) % 2 == 0]
+    slashes = np.flatnonzero(b == 92)
+    if len(slashes) and len(quotes):
+        # Backslashes right before a quote: its distance from where their run begins.
+        begins = np.maximum.accumulate(np.where(np.diff(slashes, prepend=-2) > 1, slashes, 0))
+        last = np.searchsorted(slashes, quotes) - 1
+        touched = (last >= 0) & (slashes[last] == quotes - 1)
+        quotes = quotes[~touched | ((quotes - begins[last]) % 2 == 0)]
     at = np.flatnonzero(_MARK[b])
     return at, np.searchsorted(quotes, at) & 1, quotes
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes, dict]]:
-    """Text of one block, batch by batch, with the row's other columns."""
+    """Text of one block, in slices of whole rows, with the row's other columns."""
     for batch in batches:
         rows = batch.num_rows
-        path, block = batch.column("path"), batch.column("block").to_numpy()
-        value, at = batch.column("value").to_pylist(), 0
-        names = path.to_pylist()
-        for i in range(1, rows + 1):
-            if i == rows or block[i] != block[at] or names[i] != names[at]:
-                more = {c: batch.column(c)[at].as_py() for c in batch.schema.names if c not in ("path", "block", "value")}
-                yield names[at], int(block[at]), ("}".join(value[at:i]) + "}").encode(), more
-                at = i
+        value = batch.column("value")
+        block, size = batch.column("block").to_numpy(), np.cumsum(pc.binary_length(value).to_numpy(zero_copy_only=False))
+        path = batch.column("path").dictionary_encode()
+        name, names = path.indices.to_numpy(), path.dictionary.to_pylist()
+        new = np.flatnonzero((np.diff(block) != 0) | (np.diff(name) != 0)) + 1
+        for at, end in zip([0, *new.tolist()], [*new.tolist(), rows]):
+            more = {c: batch.column(c)[at].as_py() for c in batch.schema.names if c not in ("path", "block", "value")} if at < end else {}
+            while at < end:
+                stop = int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right"))
+                stop = min(end, max(at + 1, stop))
+                yield names[name[at]], int(block[at]), ("}".join(value.slice(at, stop - at).to_pylist()) + "}").encode(), more
+                at = stop
 
 
 BLOCKS = "path string, block long, flips int, plain long, quoted long, shape string, bytes long, size long"
@@ -216,11 +225,12 @@ def write_keyed(df: DataFrame, key: str, value: str, path: str) -> None:
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = "{"
         for batch in batches:
-            out = []
-            for member in batch.column("member").to_pylist():
-                out.append(mark + member)
-                mark = ","
-            yield pa.record_batch({"value": pa.array(out, pa.string())})
+            for at in range(0, batch.num_rows, 256):
+                out = []
+                for member in batch.column("member").slice(at, 256).to_pylist():
+                    out.append(mark + member)
+                    mark = ","
+                yield pa.record_batch({"value": pa.array(out, pa.string())})
         yield pa.record_batch({"value": pa.array(["}" if mark == "," else "{}"], pa.string())})
 
     name = F.regexp_replace(F.to_json(F.array(F.col(key).cast("string"))), r"(?s)^\[(.*)\]$", "$1")

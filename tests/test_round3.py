@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 
 from framewell import catalog
 from framewell.operators import joins, learning, ranks
+from framewell.sources import bigjson
 from framewell.streaming import machines
 
 
@@ -89,3 +90,29 @@ def test_folds_do_not_repeat_rows(spark):
             assert abs(got[k, f] - _spearman(v[on], y[on])) < 1e-9
     best = {k: sorted((-round(abs(got[k, f]), 9), f) for f in x)[0][1] for k in range(3)}
     assert {r.fold: r.feature for r in learning.select_by_fold(df, ["a", "b", "c"], "y", "fold", 1).collect()} == best
+
+
+def test_blocks_are_looked_at_in_slices():
+    """A batch of 40 MB takes a few MB; escapes before quotes are told by their number."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        text = bytes(rng.choice(np.frombuffer(b'\\\\"{,x', np.uint8), 30))
+        plain, inside, want = [], 0, []
+        for i, c in enumerate(text):
+            run = len(text[:i]) - len(text[:i].rstrip(b"\\"))
+            if c == 34 and run % 2 == 0:
+                plain.append(i)
+                inside ^= 1
+            elif c in b"{,":
+                want.append((i, inside))
+        at, odd, quotes = bigjson._marks(text)
+        assert quotes.tolist() == plain and list(zip(at.tolist(), odd.tolist())) == want
+    n = 4000
+    batch = pa.record_batch({"value": pa.array(['"k":"' + "x\\\"" * 3400] * n), "path": pa.array(["a"] * n), "block": pa.array([0] * n), "size": pa.array([1] * n)})
+    tracemalloc.start()
+    list(bigjson._summaries(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
