@@ -37,7 +37,8 @@ def normalise(v: Column | str, policy: str = "leave", eps: float = 1e-9) -> Colu
     """Unit vector; a zero one by policy: "add" divides by norm + eps, "floor" by max(norm, eps), "leave" keeps it."""
     n = norm(v)
     by = {"add": n + eps, "floor": F.greatest(n, F.lit(eps)), "leave": F.when(n > 0, n).otherwise(F.lit(1.0))}[policy]
-    return F.transform(doubles(v), lambda x: x / by)
+    # The norm stands beside the components: within the function over them it would be worked out for each one.
+    return F.zip_with(doubles(v), F.array_repeat(by, F.size(_c(v))), lambda x, y: x / y)
 
 
 def usable(v: Column | str) -> Column:
@@ -115,14 +116,20 @@ def _best_of_groups(exclude_self: bool, q: pa.Table, g: pa.Table) -> pa.Table:
     return pa.table({"_q": q["_q"].take(pa.array(np.concatenate(rows))), "_t": g["_t"].take(pa.array(np.concatenate(cols))), "score": np.concatenate(values)})
 
 
-def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column, by: list[str] = ()):
-    """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension (and ``by``)."""
-    n, m = (max(1, -(-df.count() // rows)) for df, rows in ((queries, QUERY_ROWS), (gallery, GALLERY_ROWS)))
+def _met(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vector: str, *keep: Column, by: list[str] = (), size: str | None = None):
+    """Both sides dealt in blocks, each block of one side sent to each block of the other, grouped by pair and dimension (and ``by``).
 
-    def side(df: DataFrame, own: str, blocks: int, other: str, others: int, *columns: Column) -> DataFrame:
+    With ``size``, a column that holds the number of rows of a row's own ``by``, blocks are those of each such key.
+    """
+    if size:
+        n, m = (F.greatest(F.lit(1), F.ceil(F.col(size) / rows)).cast("int") for rows in (QUERY_ROWS, GALLERY_ROWS))
+    else:
+        n, m = (F.lit(max(1, -(-df.count() // rows))) for df, rows in ((queries, QUERY_ROWS), (gallery, GALLERY_ROWS)))
+
+    def side(df: DataFrame, own: str, blocks: Column, other: str, others: Column, *columns: Column) -> DataFrame:
         key = qid if own == "_i" else gid
-        rows = df.where(usable(vector) & (norm(vector) > 0)).select(*columns, *by, F.size(vector).alias("_d"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(own))
-        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        rows = df.where(usable(vector) & (norm(vector) > 0)).select(*columns, *(F.col(k).alias(k) for k in by), F.size(vector).alias("_d"), F.pmod(F.xxhash64(key), blocks).cast("int").alias(own), (others - 1).alias("_last"))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_last")))).drop("_last")
 
     q = side(queries, "_i", n, "_j", m, F.col(qid).alias("_q"), F.col(vector).alias("_qv"))
     g = side(gallery, "_j", m, "_i", n, F.col(gid).alias("_g"), F.col(vector).alias("_gv"), *keep)
@@ -235,16 +242,47 @@ def start_end_shift(df: DataFrame, keys: list[str], order: str, vector: str, mos
     return a.join(b, keys).select(*keys, cosine("_a", "_b").alias("shift_cosine"))
 
 
+def _nearest_within(rows: pa.Table) -> pa.Table:
+    """Of many small keys at once, each row's best cosine with another row of its key and dimension."""
+    rows = rows.sort_by([("_key", "ascending"), ("_d", "ascending")])
+    key, size = (pc.rank(rows[c], tiebreaker="dense").to_numpy().astype("int64") for c in ("_key", "_d"))
+    item = pc.rank(rows["_id"], tiebreaker="dense").to_numpy()
+    ends = np.flatnonzero((np.diff(key) != 0) | (np.diff(size) != 0)) + 1
+    out, best = [np.empty(0, "int64")], [np.empty(0)]
+    for lo, hi in zip([0, *ends.tolist()], [*ends.tolist(), rows.num_rows]):
+        if hi - lo > 1:
+            v, own = _matrix(rows.slice(lo, hi - lo), "_x"), item[lo:hi]
+            step = max(1, _SCORES // (hi - lo))
+            for at in range(0, hi - lo, step):
+                s = np.round(v[at : at + step] @ v.T, 12)
+                s[own[at : at + step, None] == own] = -np.inf
+                m = s.max(axis=1)
+                found = np.flatnonzero(m > -np.inf)
+                out.append(found + lo + at), best.append(m[found])
+    return pa.table({"_q": rows["_id"].take(pa.array(np.concatenate(out))), "score": np.concatenate(best)})
+
+
 def uniqueness(df: DataFrame, keys: list[str], item: str, vector: str, repeat: float = 0.97) -> DataFrame:
     """Within a key, each vector's nearest other one: repetition ratio, p95 similarity, diversity.
 
-    The nearest one is found in blocks that meet as matrices, the mean from the key's mean vector: no pair is a row.
-    Vectors that are unusable or zero, and a key's only vector, take no part.
+    The nearest one is found in blocks that meet as matrices, the mean from the key's mean vector: no pair is a row. Many
+    small keys share a task's call; a large one is dealt in blocks of its own. Vectors that are unusable or zero, and a
+    key's only vector, take no part.
     """
-    rows = df.select(*keys, F.col(item).alias("_item"), F.col(vector).alias("_x"), F.to_json(F.struct(*keys, item)).alias("_id"))
-    near = _met(rows, rows, "_id", "_id", "_x", by=keys).applyInArrow(partial(_best_of_block, 1, True, True), "_q string, _g string, score double")
-    near = near.groupBy(F.col("_q").alias("_id")).agg(F.max("score").alias("_m")).join(rows.select(*keys, "_item", "_id"), "_id")
-    near = near.join(mean_similarity(rows, keys, "_item", "_x"), [*keys, "_item"])
+    from framewell.sources.files import cut
+
+    rows = df.select(*keys, F.col(item).alias("_item"), normalise(vector).alias("_x"), F.to_json(F.struct(*keys, item)).alias("_id")).where(usable(vector) & (norm(vector) > 0))
+    rows = cut(rows)
+    sized = rows.join(rows.groupBy(*keys).agg(F.count("*").alias("_c")), keys)
+    bundles = max(1, -(-rows.count() // QUERY_ROWS))
+    few = sized.where(F.col("_c") <= QUERY_ROWS).select("_id", "_x", F.size("_x").alias("_d"), F.to_json(F.struct(*keys)).alias("_key"), F.pmod(F.xxhash64(*keys), F.lit(bundles)).alias("_bundle"))
+    few = few.groupBy("_bundle").applyInArrow(_nearest_within, "_q string, score double")
+    many = sized.where(F.col("_c") > QUERY_ROWS)
+    if rows.groupBy(*keys).count().where(F.col("count") > QUERY_ROWS).limit(1).count():
+        met = _met(many, many, "_id", "_id", "_x", by=keys, size="_c").applyInArrow(partial(_best_of_block, 1, True, True), "_q string, _g string, score double")
+        few = few.unionByName(met.select("_q", "score"))
+    near = few.groupBy(F.col("_q").alias("_id")).agg(F.max("score").alias("_m")).join(rows.select(*keys, "_item", "_id"), "_id")
+    near = near.join(_mean_similarity(rows.select(*keys, "_item", F.col("_x").alias("_v")), keys, "_item"), [*keys, "_item"])
     return near.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col("_m") >= repeat).cast("int")).alias("repetition_ratio"), F.percentile("_m", F.lit(0.95)).alias("p95_similarity"), (1 - F.avg("mean_similarity")).alias("diversity"))
 
 
@@ -253,7 +291,10 @@ def mean_similarity(df: DataFrame, keys: list[str], item: str, vector: str) -> D
 
     The sum of a unit vector's products with all others is its product with their sum. NULL where it is alone.
     """
-    unit = df.where(usable(vector) & (norm(vector) > 0)).select(*keys, item, normalise(vector).alias("_v"))
+    return _mean_similarity(df.where(usable(vector) & (norm(vector) > 0)).select(*keys, item, normalise(vector).alias("_v")), keys, item)
+
+
+def _mean_similarity(unit: DataFrame, keys: list[str], item: str) -> DataFrame:
     mean = mean_vector(unit, keys, "_v", unit=False).join(unit.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
     all_of = F.col("_n") * dot("_v", "vector") - dot("_v", "_v")
     return unit.join(mean, keys).select(*keys, item, F.try_divide(all_of, F.col("_n") - 1).alias("mean_similarity"))

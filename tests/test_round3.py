@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from framewell import catalog
-from framewell.operators import joins, learning, ranks
+from framewell.operators import joins, learning, ranks, vectors
 from framewell.sources import bigjson
 from framewell.streaming import machines
 
@@ -116,3 +116,23 @@ def test_blocks_are_looked_at_in_slices():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 60 << 20
+
+
+def test_uniqueness_deals_blocks_by_key(spark, monkeypatch):
+    """Small keys, one over the size of a block, vectors of two dimensions; calls follow the keys' rows, not the table's blocks."""
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 16)
+    monkeypatch.setattr(vectors, "GALLERY_ROWS", 32)
+    rng = np.random.default_rng(7)
+    rows = [(k, i, [float(x) for x in rng.normal(size=3)]) for i, k in enumerate([0] * 50 + [1] * 5 + [2] * 7 + [3])] + [(1, 90, [1.0]), (2, 91, None), (2, 92, [0.0, 0.0, 0.0])]
+    calls, met = [], vectors._met
+    monkeypatch.setattr(vectors, "_met", lambda *args, **named: calls.append(named.get("size")) or met(*args, **named))
+    df = spark.createDataFrame(rows, "k int, i int, v array<double>")
+    got = {r.k: r for r in vectors.uniqueness(df, ["k"], "i", "v", 0.5).collect()}
+    assert calls == ["_c"] and set(got) == {0, 1, 2}
+    for k, n in ((0, 50), (1, 5), (2, 7)):
+        v = np.array([x for key, _, x in rows if key == k and x and len(x) == 3 and any(x)])
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        s = v @ v.T
+        np.fill_diagonal(s, -1)
+        m = s.max(axis=1)
+        assert got[k].n == n and abs(got[k].repetition_ratio - (m >= 0.5).mean()) < 1e-9 and abs(got[k].p95_similarity - np.quantile(m, 0.95)) < 1e-9
