@@ -63,14 +63,16 @@ def top_k_cosine(queries: DataFrame, gallery: DataFrame, qid: str, gid: str, vec
 
 
 #: Vectors of a block of queries and of the gallery; two blocks meet in a task, and a query keeps its best of each.
-QUERY_ROWS, GALLERY_ROWS = 4_096, 65_536
+QUERY_ROWS, GALLERY_ROWS = 8_192, 16_384
 #: Scores in a worker's memory at a time.
-_SCORES = 1 << 21
+_SCORES = 1 << 20
 
 
 def _matrix(t: pa.Table, name: str, unit: bool = True) -> np.ndarray:
     v = t[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(t.num_rows, -1)
-    return v / np.sqrt((v * v).sum(axis=1, keepdims=True)) if unit else v
+    if unit:
+        v /= np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+    return v
 
 
 def _scores(q: pa.Table, g: pa.Table, exclude_self: bool, unit: bool = True):

@@ -136,3 +136,17 @@ def test_uniqueness_deals_blocks_by_key(spark, monkeypatch):
         np.fill_diagonal(s, -1)
         m = s.max(axis=1)
         assert got[k].n == n and abs(got[k].repetition_ratio - (m >= 0.5).mean()) < 1e-9 and abs(got[k].p95_similarity - np.quantile(m, 0.95)) < 1e-9
+
+
+def test_full_blocks_take_little_memory():
+    """Two full blocks of 64 dimensions, as a worker holds them."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    side = lambda n, i, v: pa.table({i: np.arange(n), v: pa.array(list(rng.normal(size=(n, 64)).astype("float32")))})
+    q, g = side(vectors.QUERY_ROWS, "_q", "_qv"), side(vectors.GALLERY_ROWS, "_g", "_gv")
+    tracemalloc.start()
+    assert vectors._best_of_block(5, True, True, q, g).num_rows == 5 * vectors.QUERY_ROWS
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
