@@ -26,7 +26,10 @@ def s06_keyed_records(spark, sf):
 def s06_keyed_records_all(spark, sf):
     """All orders, in shards of up to 10,000."""
     path = S.scratch(spark)
-    o = table(spark, sf, "orders").select(F.expr("o_orderkey div 10000").alias("shard"), F.format_string('"%d":{"snapshot_0":{"viewCount":"%d"},"snapshot_1":{"viewCount":"%d","likeCount":"x"}}', "o_orderkey", F.floor("o_totalprice").cast("bigint"), F.floor(F.col("o_totalprice") * 2).cast("bigint")).alias("record"))
+    o = table(spark, sf, "orders")
+    key, views, twice = (F.coalesce(c.cast("bigint").cast("string"), F.lit("null")) for c in (F.col("o_orderkey"), F.floor("o_totalprice"), F.floor(F.col("o_totalprice") * 2)))
+    record = F.concat(F.lit('"'), key, F.lit('":{"snapshot_0":{"viewCount":"'), views, F.lit('"},"snapshot_1":{"viewCount":"'), twice, F.lit('","likeCount":"x"}}'))
+    o = o.select(F.expr("o_orderkey div 10000").alias("shard"), record.alias("record"))
     o.groupBy("shard").agg(F.concat(F.lit("{"), F.concat_ws(",", F.collect_list("record")), F.lit("}")).alias("value")).write.partitionBy("shard").text(path)
     return S.snapshots(S.keyed_records(spark, path, "video_id"), "video_id", [0, 1]).select("video_id", "snapshot_index", "views", "likes")
 

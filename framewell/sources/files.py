@@ -166,17 +166,24 @@ def keyed_records(spark: SparkSession, path: str, key: str, wanted: DataFrame |
     rows = keyed(json_members(spark, path), key)
     if wanted is not None:
         rows = rows.join(wanted.select(key).distinct(), key, "left_semi")
-    return rows.groupBy(key).agg(F.max_by("record", F.struct("path", "block", "seq")).alias("record"), F.max("path").alias("path"))
+    last = rows.groupBy(key).agg(F.max(F.struct("path", "block", "seq", "record")).alias("_last"))
+    return last.select(key, "_last.record", "_last.path")
 
 
 def snapshots(records: DataFrame, key: str, indices: list[int]) -> DataFrame:
     """Long snapshots of records with snapshot_N fields or a snapshots list; counters are text and are cast."""
     fields = "viewCount string, likeCount string, commentCount string, time_get string"
-    named = [F.struct(F.lit(i).alias("i"), F.from_json(F.get_json_object("record", f"$.snapshot_{i}"), fields).alias("s")) for i in indices]
-    listed = F.transform(F.from_json(F.get_json_object("record", "$.snapshots"), f"array<struct<{fields.replace(' string', ': string')}>>"), lambda s, i: F.struct(i.alias("i"), s.alias("s")))
-    both = F.when(F.get_json_object("record", "$.snapshots").isNotNull(), listed).otherwise(F.array(*named))
-    rows = records.select(key, F.explode(both).alias("x")).where("x.s IS NOT NULL")
-    return rows.select(key, F.col("x.i").alias("snapshot_index"), *(F.col(f"x.s.{c}").try_cast("double").alias(n) for c, n in (("viewCount", "views"), ("likeCount", "likes"), ("commentCount", "comments"))), F.col("x.s.time_get").alias("time_get"))
+    # One look at a record takes out all its fields.
+    parts = records.select(key, F.json_tuple("record", "snapshots", *(f"snapshot_{i}" for i in indices)).alias("_listed", *(f"_{i}" for i in indices)))
+    named = [F.struct(F.lit(i).alias("i"), F.from_json(f"_{i}", fields).alias("s")) for i in indices]
+    listed = F.transform(F.from_json("_listed", f"array<struct<{fields.replace(' string', ': string')}>>"), lambda s, i: F.struct(i.alias("i"), s.alias("s")))
+    rows = parts.select(key, F.explode(F.when(F.col("_listed").isNotNull(), listed).otherwise(F.array(*named))).alias("x")).where("x.s IS NOT NULL")
+
+    def number(c: F.Column) -> F.Column:
+        # Text that cannot be a number costs a thrown error in the cast.
+        return F.when(c.rlike("(?i)[0-9]|nan|inf"), c.try_cast("double"))
+
+    return rows.select(key, F.col("x.i").alias("snapshot_index"), *(number(F.col(f"x.s.{c}")).alias(n) for c, n in (("viewCount", "views"), ("likeCount", "likes"), ("commentCount", "comments"))), F.col("x.s.time_get").alias("time_get"))
 
 
 def category_from_path(path: str = "_metadata.file_path") -> F.Column:

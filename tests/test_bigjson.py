@@ -98,3 +98,44 @@ def test_written_objects_are_json(spark, tmp_path):
     texts = [f.read_text() for f in (tmp_path / "out").glob("part-*")]
     assert {k: v for t in texts for k, v in json.loads(t).items()} == {str(i): {"v": "}" * i} for i in range(40)}
     assert {r.id for r in S.keyed_records(spark, f"file://{tmp_path}/out", "id").collect()} == {str(i) for i in range(40)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_members_are_cut_in_one_pass(spark, tmp_path, small_blocks, monkeypatch):
+    """Pieces are read for only if a file has several blocks or a member may be held for long, and the two passes agree on places."""
+    (tmp_path / "a.json").write_text(json.dumps({"x": {"v": "}, {"}, "y": [], "z": {}}, indent=1))
+    (tmp_path / "b.json").write_text("{ }")
+    path, whole = f"file://{tmp_path}", [("a", '"x": {"v": "}, {"}'), ("a", '"y": []'), ("a", '"z": {}')]
+
+    def got():
+        rows = B.json_members(spark, path, strict=True)
+        found = sorted(rows.collect(), key=lambda r: (r.path, r.block, r.seq))
+        assert [(r.path[-6], " ".join(r.member.replace("\n", " ").split()).replace("{ ", "{").replace('" }', '"}').replace("{ }", "{}")) for r in found] == whole
+        return _plan(rows).count("MapInArrow")
+
+    assert got() == 1
+    monkeypatch.setattr(B, "HELD", 4)
+    assert got() == 2
+    monkeypatch.setattr(B, "HELD", 8 << 20)
+    small_blocks(8)
+    assert got() == 2
+
+
+def test_blocks_begin_where_those_before_end(spark):
+    """Without a call of Python for each file."""
+    rows = [("a", 0, 1, 2, -1, "{", 10, 40), ("a", 10, 1, 5, 0, '"', 10, 40), ("a", 20, 0, -2, 7, "x", 20, 40), ("b", 0, 0, 0, 0, "[", 9, 8), ("c", 0, 0, 0, 0, "1", 2, 2)]
+    states = B._states(spark.createDataFrame(rows, B.BLOCKS), False)
+    assert "Pandas" not in _plan(states)
+    assert {tuple(r) for r in states.collect()} == {("a", 0, 0, 0, "{", False, True), ("a", 10, 1, 2, "{", False, True), ("a", 20, 0, 2, "{", False, True), ("b", 0, 0, 0, "[", True, False), ("c", 0, 0, 0, "1", False, False)}
+
+
+def test_snapshots_take_a_record_apart_once(spark):
+    texts = {"x": None, "12": 12.0, " 7 ": 7.0, "1e3": 1000.0, "-inf": float("-inf"), "Infinity": float("inf"), "": None, "none": None, "0x": None}
+    records = [(k, json.dumps({"snapshot_0": {"viewCount": k, "likeCount": 5}, "snapshot_1": None})) for k in texts]
+    records += [("listed", json.dumps({"snapshots": [{"viewCount": 1}, {"viewCount": "2"}], "snapshot_0": {"viewCount": 9}})), ("none at all", "{}"), ("a list", "[1]")]
+    rows = S.snapshots(spark.createDataFrame(records, "id string, record string"), "id", [0, 1])
+    assert "get_json_object" not in _plan(rows)
+    assert {(r.id, r.snapshot_index): r.views for r in rows.collect()} == {**{(k, 0): v for k, v in texts.items()}, ("listed", 0): 1.0, ("listed", 1): 2.0}
