@@ -228,7 +228,7 @@ def json_members(spark: SparkSession, path: str, strict: bool = False) -> DataFr
         for number in range(passes):
             # Broadcast, so that the rows of a block stay in order.
             where = F.broadcast(_share(begins, passes, number).where("shape IN ('{', '[')").where(of).drop("several"))
-            parts.append(_share(rows, passes, number).join(where, ["path", "block"]).mapInArrow(partial(_members, whole=whole), PIECES))
+            parts.append(_share(rows, passes, number).drop("size").join(where, ["path", "block"]).mapInArrow(partial(_members, whole=whole), PIECES))
         return reduce(DataFrame.union, parts)
 
     out = members(True, "true").select("path", "shape", "unfinished", "block", "seq", F.col("text").alias("member"))
